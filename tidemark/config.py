@@ -138,7 +138,6 @@ class ImpactSettings:
     watermark: str = "2 minutes"
     trigger: str = "30 seconds"
     min_classifier_rows: int = 50
-    min_zone_roads: int = 3
     seed: int = 42
     trees: int = 100
     economics: Economics = field(default_factory=Economics)

@@ -10,12 +10,16 @@ from pyspark.sql import functions as F
 from tidemark import config
 from tidemark.functions import bands, scores
 from tidemark.operators import (
-    alerts, anomaly, cleaning, correlation, features, impact, latest, sequences, windows,
+    alerts, anomaly, cleaning, congestion_model, correlation, features, impact, latest,
+    mobility_forecast, sequences, windows, zones,
 )
-from tidemark.plans import serving
-from tidemark.session import stage
+from tidemark.plans import cycle, serving
+from tidemark.session import scratch_path, stage
 from tidemark.sources import samples, tables
 from tidemark.sources.samples import SampleTables
+from tidemark.sources.tables import KeyedTable
+from tidemark.streaming import jobs
+from tidemark.streaming.events import parse_events
 
 DAY = "1 day"
 AS_OF_TRAILING = "2024-03-10 00:00:00"
@@ -602,3 +606,216 @@ def recent_context(t):
         "mobility_composite",
     )
     return rounded(rows, "fuel_price_delta", "traffic_index")
+
+
+# --- streams -----------------------------------------------------------------
+
+
+def drain_windows(t: SampleTables, kind: str, table: str) -> DataFrame:
+    """Run one window job over the events until they are used up; the stored windows."""
+    job = next(j for j in jobs.WINDOW_JOBS if j.table == table)
+    lake = scratch_path(t.spark, "stream")
+    running = jobs.start_windows(
+        {job.topic: samples.event_messages(samples.events_stream(t), kind)},
+        lake, f"{lake}/checkpoints", trigger=None,
+        state_partitions=t.spark.sparkContext.defaultParallelism,
+    )
+    running[table].awaitTermination()
+    return KeyedTable(t.spark, f"{lake}/{table}", job.keys).read()
+
+
+@query
+def stream_fuel_windows(t):
+    rows = drain_windows(t, "fuel", "fuel_price_agg")
+    return rounded(rows, "avg_price", "min_price", "max_price", "is_weekend")
+
+
+@query
+def stream_traffic_windows(t):
+    rows = drain_windows(t, "traffic", "traffic_agg")
+    return rounded(rows, "avg_congestion", "avg_speed", "avg_mobility_index")
+
+
+@query
+def stream_weather_windows(t):
+    rows = drain_windows(t, "weather", "weather_agg")
+    return rounded(rows, "avg_weather_score", "avg_temperature", "avg_humidity", "avg_rain_1h")
+
+
+@query
+def stream_transport_windows(t):
+    return rounded(drain_windows(t, "transport", "transport_agg"), "avg_load_factor")
+
+
+@query
+def stream_bronze_ingest(t):
+    """Readings and weather demultiplexed from one stream into two bronze tables."""
+    events = samples.events_stream(t)
+    raw = samples.event_messages(events, "reading").unionByName(
+        samples.event_messages(events, "condition")
+    )
+    lake = scratch_path(t.spark, "bronze")
+    jobs.split_topics(raw, lake, f"{lake}/checkpoints", trigger=None).awaitTermination()
+    parts = [
+        t.spark.read.parquet(f"{lake}/{table}")
+        .groupBy("city", "date", "source", "ingested_via")
+        .agg(F.count("*").alias("records"))
+        .withColumn("bronze_table", F.lit(table))
+        for table in jobs.BRONZE_TOPICS
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+@query
+def stream_joined_windows(t):
+    """The four streams joined per city and window; closed windows only."""
+    streams = {
+        job.topic: parse_events(
+            samples.event_messages(samples.events_stream(t), kind), job.schema
+        )
+        for job, kind in zip(jobs.WINDOW_JOBS, ("fuel", "traffic", "weather", "transport"))
+    }
+    path = scratch_path(t.spark, "joined")
+    joined = jobs.join_windows(*streams.values())
+    with jobs.shuffle_width(t.spark, t.spark.sparkContext.defaultParallelism):
+        (
+            joined.writeStream.format("parquet").outputMode("append")
+            .option("path", path).option("checkpointLocation", f"{path}-checkpoint")
+            .trigger(availableNow=True).start().awaitTermination()
+        )
+    return rounded(
+        t.spark.read.schema(joined.schema).parquet(path),
+        "avg_price", "avg_congestion", "avg_speed", "avg_weather_score",
+    )
+
+
+@query
+def stream_live_feed(t):
+    """Latest road states kept by a stream, averaged per city."""
+    raw = samples.event_messages(samples.events_stream(t), "reading")
+    readings = jobs.parse_readings(raw, jobs.schemas.ROAD_READING)
+    path = scratch_path(t.spark, "live")
+    roads = KeyedTable(t.spark, f"{path}/roads", ("city", "road_name"))
+    jobs.write_keyed(
+        jobs.latest_road_stream(readings), roads, f"{path}/checkpoint", trigger=None,
+        state_partitions=t.spark.sparkContext.defaultParallelism,
+    ).awaitTermination()
+    return jobs.live_feed(roads.read())
+
+
+# --- models ------------------------------------------------------------------
+
+
+def fitted_classifier(t: SampleTables):
+    rows = stored_silver(t)
+    return rows, *congestion_model.fit_classifier(rows)
+
+
+@query
+def rf_metrics(t):
+    return fitted_classifier(t)[2]
+
+
+@query
+def rf_forecast(t):
+    rows, model, _ = fitted_classifier(t)
+    change = wide_comparison(rows).select("city", "change_pct")
+    current = latest.city_snapshot(latest.latest_readings(rows)).select(
+        "city", F.col("avg_congestion").alias("current_congestion")
+    )
+    return congestion_model.forecast(
+        model, rows, AS_OF_LIVE, current.join(change, "city", "left")
+    )
+
+
+@query
+def forecast_by_city(t):
+    rows, model, _ = fitted_classifier(t)
+    return congestion_model.forecast_by_city(congestion_model.forecast(model, rows, AS_OF_LIVE))
+
+
+@query
+def forecast_steps(t):
+    """Present predictions with stored ones of an earlier hour, and a placeholder."""
+    rows, model, _ = fitted_classifier(t)
+    columns = ["city", "horizon_minutes", "predicted_level", "predicted_at"]
+    cached = congestion_model.forecast(model, rows, AS_OF_LIVE).select(columns)
+    earlier = congestion_model.forecast(
+        model, rows, "2024-01-30 10:00:00", speed_share={30: 1.0, 60: 0.95, 90: 0.9}
+    ).select(columns)
+    steps = serving.forecast_steps(cached, earlier)
+    cities = rows.select("city").distinct()
+    return serving.with_placeholder(steps, cities)
+
+
+def clustered_roads(t: SampleTables) -> DataFrame:
+    return zones.cluster_roads(stage(impact.road_impact(silver(t)), "roads"))
+
+
+@query
+def road_zones(t):
+    return clustered_roads(t)
+
+
+@query
+def cluster_overview(t):
+    return serving.cluster_overview(stage(clustered_roads(t), "zones"))
+
+
+@query
+def city_clusters(t):
+    cities = stage(samples.city_impact(t), "cities")
+    model, _ = zones.fit_city_clusters(cities)
+    return zones.label_cities(model, cities)
+
+
+@query
+def city_cluster_scores(t):
+    """Cities scored by a saved and reloaded cluster model."""
+    cities = stage(samples.city_impact(t), "cities")
+    model, _ = zones.fit_city_clusters(cities)
+    path = scratch_path(t.spark, "clusters")
+    zones.save_clusters(model, zones.impact_levels(model.transform(cities)), path)
+    return zones.score_cities(*zones.load_clusters(t.spark, path), cities)
+
+
+@query
+def mobility_forecast_errors(t):
+    return mobility_forecast.fit_forecast(stage(sample_sequences(t), "sequences"))[1]
+
+
+@query
+def mobility_forecast_steps(t):
+    inputs = features.forecast_inputs(stored_features(t))
+    model, _ = mobility_forecast.fit_forecast(
+        stage(sequences.build_sequences(inputs), "sequences")
+    )
+    return mobility_forecast.forecast_mobility(model, inputs, step_seconds=86_400)
+
+
+# --- the whole cycle ---------------------------------------------------------
+
+
+@query
+def medallion_cycle(t):
+    """Seed bronze, run one cycle with models, and count the rows of every table."""
+    lake = cycle.Lake(t.spark, scratch_path(t.spark, "lake"))
+    tables.seed_bronze(bronze(t), lake.path("bronze_traffic"))
+    written = cycle.run_cycle(lake, "2024-02-01 00:00:00")
+    return impact.table_counts({name: lake.read(name) for name in sorted(set(written))})
+
+
+@query
+def gold_summary(t):
+    """The serving documents after one cycle without models."""
+    lake = cycle.Lake(t.spark, scratch_path(t.spark, "lake"))
+    tables.seed_bronze(bronze(t), lake.path("bronze_traffic"))
+    cycle.run_cycle(lake, "2024-02-01 00:00:00", with_models=False)
+    return t.spark.read.parquet(lake.path("serving_documents"))
+
+
+@query
+def snapshot_pages(t):
+    """Road records per city in bounded pages."""
+    pages = latest.road_pages(latest.latest_readings(bronze(t)))
+    return pages.select("city", "page", F.to_json("roads").alias("roads"))

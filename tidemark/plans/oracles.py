@@ -397,6 +397,12 @@ def _count(name: str, source: str) -> str:
     return f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {source}"
 
 
+FIVE = "time_bucket(INTERVAL 5 MINUTE, ts) AS window_start"
+FIVE_END = "time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 5 MINUTE AS window_end"
+ROAD_SPEED = "CAST(50 + user_id % 21 AS DOUBLE) * (1 - least(value, 100) / 200)"
+CITY = "concat('city_', user_id % 3) AS city"
+
+
 ORACLES: dict[str, str] = {
     "bronze_trailing_window": f"""WITH {BRONZE}
         SELECT * EXCLUDE (ingest_seq) FROM bronze
@@ -722,4 +728,83 @@ ORACLES: dict[str, str] = {
         SELECT city, window_start, steps_back, {r("fuel_price_delta")} AS fuel_price_delta,
                {r("traffic_index")} AS traffic_index, mobility_composite
         FROM k WHERE steps_back <= 48 AND total >= 48""",
+    "stream_fuel_windows": f"""
+        WITH e AS (SELECT ts, {CITY}, event_type AS fuel_type, 8000 + value * 20 AS price
+                   FROM events)
+        SELECT {FIVE}, {FIVE_END}, city, fuel_type,
+               CASE WHEN price < 10000 THEN 'subsidi' WHEN price < 14000 THEN 'ron90'
+                    WHEN price < 16000 THEN 'ron95' ELSE 'premium' END AS price_category,
+               {r("avg(price)")} AS avg_price, {r("min(price)")} AS min_price,
+               {r("max(price)")} AS max_price, count(*) AS sample_count,
+               {r("avg(CASE WHEN dayofweek(ts) IN (0, 6) THEN 1 ELSE 0 END)")} AS is_weekend
+        FROM e WHERE price > 0 GROUP BY 1, 2, 3, 4, 5""",
+    "stream_traffic_windows": f"""
+        SELECT {FIVE}, {FIVE_END}, {CITY},
+               CASE WHEN value > 80 THEN 'critical' WHEN value > 60 THEN 'heavy'
+                    WHEN value > 40 THEN 'moderate' ELSE 'light' END AS traffic_severity,
+               {r("avg(value)")} AS avg_congestion, {r(f"avg({ROAD_SPEED})")} AS avg_speed,
+               {r("avg(100 - value)")} AS avg_mobility_index, count(*) AS roads_monitored
+        FROM events WHERE value BETWEEN 0 AND 100 GROUP BY 1, 2, 3, 4""",
+    "stream_weather_windows": f"""
+        WITH {CONDITIONS},
+        e AS (SELECT ts, {CITY}, value, user_id, weather_main
+              FROM events JOIN conditions USING (event_id) WHERE value BETWEEN 0 AND 100),
+        v AS (SELECT {FIVE}, {FIVE_END}, * FROM e),
+        m AS (SELECT window_start, city, weather_main, count(*) AS n FROM v GROUP BY ALL),
+        top AS (SELECT window_start, city, weather_main FROM m QUALIFY row_number() OVER (
+          PARTITION BY window_start, city ORDER BY n DESC, weather_main) = 1),
+        agg AS (SELECT window_start, window_end, city, avg(value) AS s, avg(25 + user_id % 10) AS t,
+                  avg(60 + user_id % 30) AS h, avg(value / 50) AS rain, count(*) AS sample_count
+                FROM v GROUP BY 1, 2, 3)
+        SELECT agg.window_start, window_end, agg.city, {r("s")} AS avg_weather_score,
+               {r("t")} AS avg_temperature, {r("h")} AS avg_humidity, {r("rain")} AS avg_rain_1h,
+               weather_main AS dominant_weather, sample_count
+        FROM agg JOIN top ON agg.window_start = top.window_start AND agg.city = top.city""",
+    "stream_transport_windows": f"""
+        SELECT {FIVE}, {FIVE_END}, {CITY}, CAST(sum(floor(value)) AS BIGINT) AS total_ridership,
+               {r("avg(floor(value) / 600 * 100)")} AS avg_load_factor, count(*) AS active_modes
+        FROM events WHERE floor(value) >= 0 GROUP BY 1, 2, 3""",
+    "stream_bronze_ingest": f"""
+        SELECT {CITY}, CAST(ts AS DATE) AS date, source, 'kafka' AS ingested_via,
+               count(*) AS records, bronze_table
+        FROM events, (VALUES ('tomtom', 'traffic'), ('openweathermap', 'weather'))
+          AS b(source, bronze_table)
+        GROUP BY ALL""",
+    "stream_joined_windows": f"""
+        WITH e AS (SELECT {FIVE}, {CITY}, value, {ROAD_SPEED} AS speed FROM events
+                   WHERE time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 5 MINUTE
+                         <= (SELECT max(ts) FROM events) - INTERVAL 2 MINUTE)
+        SELECT window_start, city, {r("avg(8000 + value * 20)")} AS avg_price,
+               {r("avg(value) FILTER (value BETWEEN 0 AND 100)")} AS avg_congestion,
+               {r("avg(speed) FILTER (value BETWEEN 0 AND 100)")} AS avg_speed,
+               {r("avg(value) FILTER (value BETWEEN 0 AND 100)")} AS avg_weather_score,
+               CAST(sum(floor(value)) AS BIGINT) AS total_ridership
+        FROM e GROUP BY 1, 2""",
+    "stream_live_feed": f"""
+        WITH last AS (SELECT *, {CITY}, {ROAD_SPEED} AS speed FROM events
+          QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) = 1)
+        SELECT city, {r("greatest(0, least(1, 1 - avg(value) / 100))", 4)} AS mobility_score,
+               {r("avg(value)", 2)} AS congestion_level, {r("avg(speed)", 2)} AS avg_speed,
+               CASE WHEN max(ts) >= TIMESTAMP '2024-01-21' THEN 'after' ELSE 'before' END AS period,
+               max(ts) AS updated_at
+        FROM last GROUP BY city""",
+    "medallion_cycle": f"WITH {SCORED},{ROADS_ONLY},{DAILY_ONLY} "
+    + " UNION ALL ".join(
+        [
+            _count("silver_traffic", "silver"),
+            _count("silver_baseline", "baseline"),
+            _count("gold_city_comparison", "(SELECT DISTINCT city, period FROM silver)"),
+            _count("gold_hourly_pattern", "(SELECT DISTINCT city, period, hour FROM silver)"),
+            _count("gold_daily_summary", "daily WHERE summary_date = "
+                                         "(SELECT max(summary_date) FROM daily)"),
+            _count("gold_road_impact", "road_impact"),
+            _count("gold_road_clusters", "road_impact"),
+            _count("gold_anomalies", "(SELECT 1 FROM scored WHERE is_anomaly = 1 "
+                                     "AND period = 'after' LIMIT 200)"),
+            _count("gold_anomaly_rate", "rates"),
+            _count("gold_model_metrics", "(VALUES ('accuracy'), ('f1'))"),
+            _count("gold_predictions", "(SELECT DISTINCT city, h FROM silver, "
+                                       "(VALUES (30), (60)) AS m(h))"),
+        ]
+    ),
 }

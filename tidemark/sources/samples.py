@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.bands import lookup
 from tidemark.functions.scores import half_up
 
 EVENT_DATE = "2024-01-21"
@@ -50,13 +51,6 @@ def road_readings(events: DataFrame) -> DataFrame:
     )
 
 
-def city_dimension(nation: DataFrame) -> DataFrame:
-    """A city dimension that covers two of the three sample cities."""
-    return nation.select(
-        F.concat(F.lit("city_"), (F.col("n_nationkey") % 2).cast("string")).alias("city")
-    ).distinct()
-
-
 def condition_events(events: DataFrame) -> DataFrame:
     """Weather conditions by event type, with rain for the last three."""
     kind = F.col("event_type")
@@ -179,3 +173,106 @@ def consumption(t: SampleTables) -> DataFrame:
         F.concat(F.lit("part_"), F.col("l_partkey").cast("string")).alias("fuel_type"),
         "litres_per_day",
     )
+
+
+def event_messages(events: DataFrame, kind: str) -> DataFrame:
+    """The event rows as JSON messages of one topic: (topic, value, broker_ts).
+
+    Works on a batch frame and on a stream.
+    """
+    at = F.col("ts").cast("timestamp")
+    user, value = F.col("user_id"), F.col("value")
+    city = F.concat(F.lit("city_"), (user % 3).cast("string")).alias("city")
+    stamp = F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp")
+    road = F.concat(F.lit("road_"), user.cast("string"))
+    free_flow = (F.lit(50) + user % 21).cast("double")
+    by_kind = {
+        "fuel": [
+            F.col("event_type").alias("fuel_type"),
+            (8000.0 + value * 20).alias("price"),
+        ],
+        "traffic": [
+            road.alias("road_id"),
+            road.alias("road_name"),
+            value.alias("congestion_level"),
+            (free_flow * (1 - F.least(value, F.lit(100.0)) / 200)).alias("avg_speed"),
+            free_flow.alias("free_flow_speed"),
+            (100 - value).alias("mobility_index"),
+        ],
+        "weather": [
+            (25 + user % 10).cast("double").alias("temperature"),
+            (60 + user % 30).cast("double").alias("humidity"),
+            lookup(
+                "event_type",
+                {"click": "Clear", "view": "Clouds", "purchase": "Rain",
+                 "signup": "Drizzle", "error": "Thunderstorm"},
+            ).alias("weather_main"),
+            (value / 50).alias("rain_1h"),
+            value.alias("weather_score"),
+        ],
+        "transport": [
+            F.col("event_type").alias("transport_mode"),
+            F.col("event_type").alias("transport_code"),
+            F.floor(value).cast("int").alias("ridership"),
+            F.lit(CAPACITY).alias("capacity"),
+            (F.floor(value) / CAPACITY * 100).alias("load_factor_pct"),
+        ],
+        "reading": [
+            road.alias("road_name"),
+            (F.lit(-6.0) - (user % 15) * 0.05).alias("lat"),
+            (F.lit(106.0) + (user % 15) * 0.1).alias("lon"),
+            (free_flow * (1 - F.least(value, F.lit(100.0)) / 200)).alias("current_speed"),
+            free_flow.alias("free_flow_speed"),
+            value.alias("congestion_index"),
+            F.when(at >= F.lit(EVENT_DATE).cast("timestamp"), "after").otherwise("before")
+            .alias("period"),
+            stamp.alias("recorded_at"),
+        ],
+        "condition": [
+            (25 + user % 10).cast("double").alias("temp"),
+            (60 + user % 30).cast("int").alias("humidity"),
+            F.col("event_type").alias("weather_desc"),
+            stamp.alias("recorded_at"),
+        ],
+    }
+    topics = {
+        "fuel": "fuel-price-stream", "traffic": "traffic-stream", "weather": "weather-stream",
+        "transport": "transport-stream", "reading": "traffic.raw", "condition": "weather.raw",
+    }
+    return events.select(
+        F.lit(topics[kind]).alias("topic"),
+        F.to_json(F.struct(stamp, city, *by_kind[kind])).alias("value"),
+        at.alias("broker_ts"),
+    )
+
+
+def events_stream(t: SampleTables) -> DataFrame:
+    """The events table read as a stream."""
+    return t.spark.readStream.schema(t.events.schema).parquet(
+        f"{t.folder}/events*.parquet"
+    )
+
+
+def city_impact(t: SampleTables) -> DataFrame:
+    """City cluster inputs, one row per nation."""
+    after = F.col("event_time") >= F.lit(PRICE_DATE).cast("timestamp")
+
+    def change(name: str) -> Column:
+        return F.avg(F.when(after, F.col(name))) - F.avg(F.when(~after, F.col(name)))
+
+    price_before = F.avg(F.when(~after, F.col("price")))
+    fuel = fuel_events(t).groupBy("nation").agg(
+        (change("price") / price_before * 100).alias("avg_fuel_price_delta")
+    )
+    traffic = traffic_events(t).groupBy("nation").agg(
+        (-change("mobility_index")).alias("avg_mobility_drop"),
+        change("congestion_level").alias("avg_congestion_change"),
+    )
+    transport = transport_events(t).groupBy("nation").agg(
+        (F.avg("load_factor_pct") / 100).alias("alt_transport_ratio")
+    )
+    income = _customer_city(t).groupBy("nation").agg(
+        (F.avg("c_acctbal") / 10_000).alias("city_income_proxy")
+    )
+    joined = fuel.join(traffic, "nation").join(transport, "nation").join(income, "nation")
+    return joined.withColumnRenamed("nation", "city").na.drop()
