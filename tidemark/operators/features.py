@@ -36,7 +36,10 @@ def price_delta(fuel: DataFrame) -> DataFrame:
 
 
 def holiday_frame(spark: SparkSession, days: Iterable[date] = HOLIDAYS) -> DataFrame:
-    return spark.createDataFrame([(d,) for d in days], "holiday DATE").distinct()
+    """A (holiday) dimension.  Built from literals, its size is known to the planner,
+    which then broadcasts it instead of shuffling the features by date."""
+    dates = F.array(*[F.lit(d) for d in sorted(set(days))])
+    return spark.range(1).select(F.explode(dates).alias("holiday"))
 
 
 def assemble_features(

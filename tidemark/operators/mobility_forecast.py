@@ -6,6 +6,7 @@ the step is an input, and city indicators shift the level.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -14,7 +15,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.config import SEQUENCE_FEATURES, SEQUENCE_TARGET
+from tidemark.config import SEQUENCE_FEATURES
 from tidemark.functions import scores
 from tidemark.operators.sequences import chronological_split, recent_context
 
@@ -25,15 +26,17 @@ def _names(features: Sequence[str]) -> list[str]:
     return [f"last_{f}" for f in features] + [f"mean_{f}" for f in features]
 
 
-def _with_step(rows: DataFrame, step: Column, steps: int) -> DataFrame:
-    turn = 2 * 3.141592653589793 * step / steps
+def _with_step(rows: DataFrame, step: Column, steps_per_day: int) -> DataFrame:
+    """The step and the time of day it falls on, as a point on the daily circle."""
+    day_share = F.col("last_time_of_day_norm") * 23 / 24 + step / steps_per_day
+    turn = 2 * math.pi * day_share
     return rows.withColumns(
         {"step": step.cast("double"), "step_sin": F.sin(turn), "step_cos": F.cos(turn)}
     )
 
 
 def training_rows(
-    sequences: DataFrame, features: Sequence[str] = SEQUENCE_FEATURES, future: int = 48
+    sequences: DataFrame, features: Sequence[str] = SEQUENCE_FEATURES, steps_per_day: int = 48
 ) -> DataFrame:
     """One row per sequence and future step: the last and mean past values, the target."""
 
@@ -50,19 +53,19 @@ def training_rows(
         *[mean_of(j).alias(f"mean_{f}") for j, f in enumerate(features)],
     )
     rows = inputs.select("*", F.posexplode("y").alias("_at", "label")).drop("y")
-    return _with_step(rows, F.col("_at") + 1, future).drop("_at")
+    return _with_step(rows, F.col("_at") + 1, steps_per_day).drop("_at")
 
 
 def fit_forecast(
     sequences: DataFrame, features: Sequence[str] = SEQUENCE_FEATURES, past: int = 48,
-    future: int = 48,
+    future: int = 48, steps_per_day: int = 48,
 ) -> tuple[PipelineModel, DataFrame] | None:
     """The fitted model and its validation error per city (MAE, MSE).
 
     Trains on the first 80 percent of each city's sequences; None when no city
     has enough of them.
     """
-    rows = training_rows(chronological_split(sequences, past, future), features, future)
+    rows = training_rows(chronological_split(sequences, past, future), features, steps_per_day)
     train = rows.where("split = 'train'")
     if train.isEmpty():
         return None
@@ -91,7 +94,7 @@ def _clipped(predictions: DataFrame) -> DataFrame:
 
 def forecast_mobility(
     model: PipelineModel, inputs: DataFrame, features: Sequence[str] = SEQUENCE_FEATURES,
-    past: int = 48, future: int = 48, step_seconds: int = 1800,
+    past: int = 48, future: int = 48, steps_per_day: int = 48,
 ) -> DataFrame:
     """The next ``future`` steps of every city with ``past`` recent rows."""
     recent = recent_context(inputs, past).fillna(0.0, subset=list(features))
@@ -105,14 +108,11 @@ def forecast_mobility(
     rows = context.select(
         "*", F.explode(F.sequence(F.lit(1), F.lit(future))).alias("_step")
     ).withColumns({f"last_{f}": F.col("_last")[j] for j, f in enumerate(features)})
-    scored = _clipped(model.transform(_with_step(rows, F.col("_step"), future)))
-    ahead = F.make_dt_interval(secs=F.col("_step") * step_seconds)
+    scored = _clipped(model.transform(_with_step(rows, F.col("_step"), steps_per_day)))
+    ahead = F.make_dt_interval(secs=F.col("_step") * (86_400 // steps_per_day))
     return scored.select(
         "city",
         F.col("_step").alias("step"),
         (F.col("last_at") + ahead).alias("forecast_at"),
         scores.half_up(F.col("mobility_score"), 4).alias("mobility_score"),
     )
-
-
-__all__ = ["SEQUENCE_TARGET", "fit_forecast", "forecast_mobility", "training_rows"]

@@ -37,11 +37,21 @@ def valid_transport(events: DataFrame) -> DataFrame:
 def _windowed(
     events: DataFrame, width: str, keys: Sequence[Column | str], aggregates: Sequence[Column]
 ) -> DataFrame:
-    grouped = events.groupBy(F.window("event_time", width).alias("w"), *keys).agg(*aggregates)
+    """Tumbling windows as (window_start, window_end, keys, aggregates).
+
+    A stream groups by the whole window, which carries the watermark that clears
+    its state.  A batch groups by the start alone, so the result is already
+    partitioned for joins on ``window_start``.
+    """
+    slot = F.window("event_time", width)
+    if events.isStreaming:
+        grouped = events.groupBy(slot.alias("w"), *keys).agg(*aggregates)
+        start, end = F.col("w.start"), F.col("w.end")
+    else:
+        grouped = events.groupBy(slot["start"].alias("w"), *keys).agg(*aggregates)
+        start, end = F.col("w"), F.col("w") + F.expr(f"INTERVAL {width}")
     names = [c for c in grouped.columns if c != "w"]
-    return grouped.select(
-        F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *names
-    )
+    return grouped.select(start.alias("window_start"), end.alias("window_end"), *names)
 
 
 def fuel_windows(events: DataFrame, width: str = "5 minutes") -> DataFrame:

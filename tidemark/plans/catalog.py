@@ -781,16 +781,18 @@ def city_cluster_scores(t):
 
 @query
 def mobility_forecast_errors(t):
-    return mobility_forecast.fit_forecast(stage(sample_sequences(t), "sequences"))[1]
+    return mobility_forecast.fit_forecast(
+        stage(sample_sequences(t), "sequences"), steps_per_day=1
+    )[1]
 
 
 @query
 def mobility_forecast_steps(t):
     inputs = features.forecast_inputs(stored_features(t))
     model, _ = mobility_forecast.fit_forecast(
-        stage(sequences.build_sequences(inputs), "sequences")
+        stage(sequences.build_sequences(inputs), "sequences"), steps_per_day=1
     )
-    return mobility_forecast.forecast_mobility(model, inputs, step_seconds=86_400)
+    return mobility_forecast.forecast_mobility(model, inputs, steps_per_day=1)
 
 
 # --- the whole cycle ---------------------------------------------------------

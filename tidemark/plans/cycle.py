@@ -33,9 +33,11 @@ class Lake:
         return f"{self.root}/{table}"
 
     def read(self, table: str) -> DataFrame:
+        """A table at its published precision.  Stored values stay unrounded, so
+        that differences of means are not differences of rounded means."""
         if table in GOLD_KEYS:
-            return self.keyed(table).read()
-        return self.spark.read.parquet(self.path(table))
+            return tables.published_precision(self.keyed(table).read())
+        return tables.published_precision(self.spark.read.parquet(self.path(table)))
 
     def keyed(self, table: str) -> KeyedTable:
         return KeyedTable(self.spark, self.path(table), GOLD_KEYS[table])
@@ -65,14 +67,12 @@ def run_cycle(
         cleaning.silver_readings(cleaning.nan_to_null(bronze)), lake.path("silver_traffic")
     )
     oldest = F.lit(as_of).cast("timestamp") - F.make_dt_interval(days=F.lit(settings.trailing_days))
-    silver = lake.read("silver_traffic").where(
+    silver = spark.read.parquet(lake.path("silver_traffic")).where(
         (F.col("date") >= F.to_date(oldest)) & (F.col("recorded_at") >= oldest)
     )
 
     def put(table: str, rows: DataFrame) -> None:
-        stamped = tables.stored_precision(rows).withColumn(
-            "computed_at", F.lit(as_of).cast("timestamp")
-        )
+        stamped = rows.withColumn("computed_at", F.lit(as_of).cast("timestamp"))
         lake.keyed(table).put(stamped, version)
         written.append(table)
 
@@ -81,9 +81,11 @@ def run_cycle(
     put("gold_daily_summary", impact.latest_day(impact.daily_summary(silver, settings.economics)))
 
     tables.replace_table(anomaly.baseline_stats(silver), lake.path("silver_baseline"))
-    scored = anomaly.score_readings(silver, lake.read("silver_baseline"), settings.zscore_limit)
+    scored = anomaly.score_readings(
+        silver, spark.read.parquet(lake.path("silver_baseline")), settings.zscore_limit
+    )
     top = anomaly.top_anomalies(scored, settings.top_anomalies)
-    tables.replace_table(tables.stored_precision(top), lake.path("gold_anomalies"))
+    tables.replace_table(top, lake.path("gold_anomalies"))
     put("gold_anomaly_rate", anomaly.anomaly_rate(scored))
     written += ["silver_baseline", "gold_anomalies"]
     if with_models:
@@ -96,35 +98,30 @@ def _run_models(lake: Lake, silver: DataFrame, as_of: str, settings, put) -> lis
     written = []
     tables.replace_table(impact.road_impact(silver), lake.path("gold_road_impact"))
     written.append("gold_road_impact")
-    clustered = zones.cluster_roads(lake.read("gold_road_impact"), seed=settings.seed)
+    clustered = zones.cluster_roads(
+        lake.spark.read.parquet(lake.path("gold_road_impact")), seed=settings.seed
+    )
     if clustered is not None:
         put("gold_road_clusters", clustered)
     fitted = congestion_model.fit_classifier(silver, settings)
     if fitted is not None:
         model, metrics = fitted
         run_id = as_of.replace(" ", "T").replace(":", "")
-        tables.append_history(
-            tables.stored_precision(metrics), lake.path("gold_model_metrics"), run_id, as_of
-        )
+        tables.append_history(metrics, lake.path("gold_model_metrics"), run_id, as_of)
         change = impact.comparison_wide(impact.city_comparison(silver)).select("city", "change_pct")
         current = latest.city_snapshot(latest.latest_readings(silver)).select("city", F.col("avg_congestion").alias("current_congestion"))
         predictions = congestion_model.forecast(
             model, silver, as_of, current.join(change, "city", "left")
         )
-        tables.append_history(
-            tables.stored_precision(predictions), lake.path("gold_predictions"), run_id, as_of
-        )
+        tables.append_history(predictions, lake.path("gold_predictions"), run_id, as_of)
         written += ["gold_model_metrics", "gold_predictions"]
     return written
 
 
 def _write_documents(lake: Lake) -> None:
     """Serving documents from the gold tables, one row per key."""
-    comparison = lake.read("gold_city_comparison").drop("computed_at")
-    wide = impact.comparison_wide(
-        comparison.withColumns({c: F.col(c).cast("double") for c in ("avg_congestion", "avg_speed")})
-    )
-    hourly = lake.read("gold_hourly_pattern")
+    wide = impact.comparison_wide(lake.keyed("gold_city_comparison").read())
+    hourly = lake.keyed("gold_hourly_pattern").read()
     documents = [
         tables.comparison_documents(wide),
         tables.hourly_documents(hourly),

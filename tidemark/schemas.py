@@ -48,8 +48,8 @@ WEATHER_READING = _schema(
     "ingested_via STRING, recorded_at STRING"
 )
 
-# Decimal precision of the stored gold columns.
-STORED_PRECISION = {
+# Decimal precision of the published columns.
+PUBLISHED_PRECISION = {
     "lat": "decimal(9,6)",
     "lon": "decimal(9,6)",
     "avg_congestion": "decimal(6,2)",

@@ -69,26 +69,22 @@ def condition_events(events: DataFrame) -> DataFrame:
     )
 
 
-def _supplier_city(t: SampleTables) -> DataFrame:
-    return (
-        t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"))
-        .join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
-        .select("s_suppkey", F.col("r_name").alias("city"), F.col("n_name").alias("nation"))
-    )
+def _located(rows: DataFrame, nation_key: str, t: SampleTables) -> DataFrame:
+    """Add ``nation`` and ``city`` (the region).
 
-
-def _customer_city(t: SampleTables) -> DataFrame:
+    Joined one table at a time: each right side is a plain file scan, so the
+    planner knows its size and never broadcasts the facts by mistake.
+    """
     return (
-        t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
+        rows.join(t.nation, F.col(nation_key) == F.col("n_nationkey"))
         .join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
-        .select(
-            "c_custkey", "c_acctbal", F.col("r_name").alias("city"), F.col("n_name").alias("nation")
-        )
+        .withColumnsRenamed({"r_name": "city", "n_name": "nation"})
     )
 
 
 def _shipments(t: SampleTables) -> DataFrame:
-    return t.lineitem.join(_supplier_city(t), F.col("l_suppkey") == F.col("s_suppkey")).withColumn(
+    rows = t.lineitem.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+    return _located(rows, "s_nationkey", t).withColumn(
         "event_time", F.col("l_shipdate").cast("timestamp")
     )
 
@@ -105,8 +101,13 @@ def fuel_events(t: SampleTables) -> DataFrame:
     )
 
 
+def _tens(share: str) -> Column:
+    """Hundredths as whole tens: 0.07 gives 70."""
+    return F.floor(F.col(share) * 100 + 0.5) * 10.0
+
+
 def traffic_events(t: SampleTables) -> DataFrame:
-    congestion = F.round(F.col("l_discount") * 100) * 10
+    congestion = _tens("l_discount")
     return _shipments(t).select(
         "event_time", "city", "nation",
         F.col("l_suppkey").cast("string").alias("road_id"),
@@ -120,7 +121,7 @@ def weather_events(t: SampleTables) -> DataFrame:
     slot = F.col("l_linenumber") % 5
     return _shipments(t).select(
         "event_time", "city",
-        (100 - F.round(F.col("l_tax") * 100) * 10).alias("weather_score"),
+        (100 - _tens("l_tax")).alias("weather_score"),
         (25.0 + F.col("l_linenumber")).alias("temperature"),
         (60.0 + F.col("l_quantity") / 2).alias("humidity"),
         (F.col("l_tax") * 100).alias("rain_1h"),
@@ -131,9 +132,8 @@ def weather_events(t: SampleTables) -> DataFrame:
 
 def transport_events(t: SampleTables) -> DataFrame:
     ridership = F.floor(F.col("o_totalprice") / 1000).cast("int")
-    return t.orders.join(
-        _customer_city(t), F.col("o_custkey") == F.col("c_custkey")
-    ).select(
+    rows = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+    return _located(rows, "c_nationkey", t).select(
         F.col("o_orderdate").cast("timestamp").alias("event_time"),
         "city", "nation",
         F.col("o_orderpriority").alias("transport_mode"),
@@ -271,7 +271,7 @@ def city_impact(t: SampleTables) -> DataFrame:
     transport = transport_events(t).groupBy("nation").agg(
         (F.avg("load_factor_pct") / 100).alias("alt_transport_ratio")
     )
-    income = _customer_city(t).groupBy("nation").agg(
+    income = _located(t.customer, "c_nationkey", t).groupBy("nation").agg(
         (F.avg("c_acctbal") / 10_000).alias("city_income_proxy")
     )
     joined = fuel.join(traffic, "nation").join(transport, "nation").join(income, "nation")

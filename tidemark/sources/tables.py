@@ -107,11 +107,11 @@ def write_silver(silver: DataFrame, path: str) -> None:
     )
 
 
-def stored_precision(df: DataFrame) -> DataFrame:
-    """Round the gold columns to the decimal precision they are stored with."""
+def published_precision(df: DataFrame) -> DataFrame:
+    """Round the known columns to the decimal precision they are published with."""
     casts = {
         name: F.col(name).cast(kind)
-        for name, kind in schemas.STORED_PRECISION.items()
+        for name, kind in schemas.PUBLISHED_PRECISION.items()
         if name in df.columns
     }
     return df.withColumns(casts) if casts else df
