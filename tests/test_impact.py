@@ -207,3 +207,24 @@ def test_forecast_placeholder(spark, missing):
     assert got[0]["mobility_score"] == 1.0 and len(got) == (2 if missing else 1)
     if missing:
         assert (got[1]["mobility_score"], got[1]["congestion_level"]) == (0.5, "Ramai Lancar")
+
+
+def test_roll_ups_equal_the_direct_aggregates(spark):
+    df = silver(
+        spark,
+        *[(c, "r", p, T0.replace(day=d, hour=h), 10.0 + d * h % 37, 20.0 + h)
+          for c in ("a", "b") for p, days in (("before", (1, 2)), ("after", (10, 11)))
+          for d in days for h in (3, 8, 20)],
+    )
+    cells = impact.reading_cells(df)
+    direct = rows(impact.city_comparison(df), "city", "period")
+    rolled = rows(impact.roll_up(cells, "city", "period"), "city", "period")
+    for one, other in zip(direct, rolled):
+        assert one["avg_congestion"] == pytest.approx(other["avg_congestion"])
+        assert one["avg_speed"] == pytest.approx(other["avg_speed"])
+        assert one["record_count"] == other["record_count"]
+    for one, other in zip(
+        rows(anomaly.baseline_stats(df), "city", "hour"),
+        rows(anomaly.baseline_from_cells(cells), "city", "hour"),
+    ):
+        assert one["mu"] == pytest.approx(other["mu"]) and one["sigma"] == pytest.approx(other["sigma"])

@@ -156,3 +156,34 @@ def test_cycle_runs_twice_to_the_same_tables(spark, lake):
     assert docs.count() == docs.select("key").distinct().count()
     comparison = place.read("gold_city_comparison")
     assert dict(comparison.dtypes)["avg_congestion"] == "decimal(6,2)"
+
+
+def test_incremental_cycle_only_cleans_touched_days(spark, lake):
+    t = SampleTables(spark, SMALL)
+    place = Lake(spark, lake)
+    bronze = samples.road_readings(t.events)
+    tables.seed_bronze(bronze, place.path("bronze_traffic"))
+    run_cycle(place, "2024-01-31 12:00:00", with_models=False)
+    full = place.read("silver_traffic").count()
+    # A later batch corrects one day: every reading of it is now invalid.
+    day = bronze.where("to_date(recorded_at) = '2024-01-30'")
+    fixed = day.withColumns({"ingest_seq": F.col("ingest_seq") + 10**9, "current_speed": F.lit(0.0)})
+    tables.write_partitioned(
+        tables_with_batch(fixed, 1), place.path("bronze_traffic"), by=tables.BRONZE_PARTITIONS
+    )
+    added = bronze.where("to_date(recorded_at) = '2024-01-29'").limit(1).selectExpr(
+        "* EXCEPT (road_name)", "'road_new' AS road_name"
+    ).withColumns({"congestion_index": F.lit(50.0), "current_speed": F.lit(9.0)})
+    tables.write_partitioned(
+        tables_with_batch(added, 2), place.path("bronze_traffic"), by=tables.BRONZE_PARTITIONS
+    )
+    run_cycle(place, "2024-01-31 12:10:00", with_models=False, after_batch=1)
+    assert place.read("silver_traffic").count() == full + 1
+    assert place.read("gold_anomaly_rate").agg(F.sum("total_records")).first()[0] == full + 1
+    assert run_cycle(place, "2024-01-31 12:20:00", with_models=False, after_batch=2) == []
+
+
+def tables_with_batch(df, batch):
+    from tidemark.operators.cleaning import with_defaults
+
+    return with_defaults(df).withColumn("ingest_batch", F.lit(batch))

@@ -97,11 +97,11 @@ def test_demultiplexed_bronze(spark, lake):
     )
     for _ in range(2):
         jobs.split_topics(raw, f"{lake}/bronze", f"{lake}/cp", trigger=None).awaitTermination()
-    traffic = rows(spark.read.parquet(f"{lake}/bronze/traffic"), "road_name")
+    traffic = rows(spark.read.parquet(f"{lake}/bronze/bronze_traffic"), "road_name")
     assert [(g["road_name"], g["source"], g["ingested_via"], str(g["date"])) for g in traffic] == [
         ("r1", "tomtom", "kafka", "2026-06-01"), ("r2", "x", "kafka", "2026-06-02")
     ]
-    weather = rows(spark.read.parquet(f"{lake}/bronze/weather"))
+    weather = rows(spark.read.parquet(f"{lake}/bronze/bronze_weather"))
     assert [(g["source"], g["rain_1h"]) for g in weather] == [("openweathermap", 0.0)]
 
 

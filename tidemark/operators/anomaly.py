@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import scores
+from tidemark.operators.impact import roll_up
 
 
 def baseline_stats(silver: DataFrame) -> DataFrame:
@@ -17,6 +18,14 @@ def baseline_stats(silver: DataFrame) -> DataFrame:
     )
 
 
+def baseline_from_cells(cells: DataFrame) -> DataFrame:
+    """The same baseline rolled up from :func:`impact.reading_cells`."""
+    before = roll_up(cells.where("period = 'before'"), "city", "hour")
+    return before.select(
+        "city", "hour", F.col("avg_congestion").alias("mu"), F.col("sigma_congestion").alias("sigma")
+    )
+
+
 def score_readings(silver: DataFrame, baseline: DataFrame, limit: float = 2.0) -> DataFrame:
     """Score both periods in one pass.
 

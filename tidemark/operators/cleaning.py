@@ -54,8 +54,13 @@ def tag_period(df: DataFrame, event_date: str, at: str = "recorded_at") -> DataF
 
 
 def deduplicate_readings(df: DataFrame, sequence: str = "ingest_seq") -> DataFrame:
-    """One reading per road and time; the one ingested last survives."""
-    return keep_latest(df, READING_KEY, [F.col(sequence).desc()])
+    """One reading per road and time; the one ingested last survives.
+
+    Rows that even share the sequence are ordered by their values, so that a
+    rerun keeps the same one.
+    """
+    ties = [c for c in ("congestion_index", "current_speed") if c in df.columns]
+    return keep_latest(df, READING_KEY, [F.col(c).desc() for c in (sequence, *ties)])
 
 
 def valid_readings(df: DataFrame) -> DataFrame:

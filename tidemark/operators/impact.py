@@ -15,6 +15,37 @@ def _when_period(period: str, value: Column | str) -> Column:
     return F.when(F.col("period") == period, value if isinstance(value, Column) else F.col(value))
 
 
+def reading_cells(silver: DataFrame) -> DataFrame:
+    """Counts and sums per (city, period, date, hour): one pass over silver.
+
+    Every mean and deviation of the gold layer rolls up from these few rows.
+    """
+    ci = F.col("congestion_index")
+    return silver.groupBy(
+        "city", "period", F.to_date("recorded_at").alias("date"), "hour"
+    ).agg(
+        F.count("*").alias("readings"),
+        F.sum(ci).alias("sum_ci"),
+        F.sum(ci * ci).alias("sum_ci2"),
+        F.sum("current_speed").alias("sum_speed"),
+        F.sum("free_flow_speed").alias("sum_free_flow"),
+        F.count("free_flow_speed").alias("free_flow_readings"),
+    )
+
+
+def roll_up(cells: DataFrame, *keys: str) -> DataFrame:
+    """Means, count and sample deviation per ``keys`` from :func:`reading_cells`."""
+    n, total = F.sum("readings"), F.sum("sum_ci")
+    spread = F.greatest(F.lit(0.0), F.sum("sum_ci2") - total * total / n)
+    return cells.groupBy(*keys).agg(
+        (total / n).alias("avg_congestion"),
+        (F.sum("sum_speed") / n).alias("avg_speed"),
+        F.try_divide(F.sum("sum_free_flow"), F.sum("free_flow_readings")).alias("avg_free_flow"),
+        F.sqrt(F.try_divide(spread, n - 1)).alias("sigma_congestion"),
+        n.alias("record_count"),
+    )
+
+
 def city_comparison(silver: DataFrame) -> DataFrame:
     return silver.groupBy("city", "period").agg(
         F.avg("congestion_index").alias("avg_congestion"),
@@ -90,6 +121,11 @@ def daily_summary(silver: DataFrame, economics: Economics = Economics()) -> Data
         F.avg("current_speed").alias("avg_speed"),
         F.avg("free_flow_speed").alias("avg_free_flow"),
     )
+    return with_estimates(daily, economics)
+
+
+def with_estimates(daily: DataFrame, economics: Economics = Economics()) -> DataFrame:
+    """Daily means (with ``avg_free_flow``) to the daily summary columns."""
     return daily.select(
         "summary_date",
         "city",

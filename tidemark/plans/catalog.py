@@ -236,6 +236,20 @@ def daily_impact(t):
     return rounded(latest_rows, "avg_congestion_index", "avg_speed")
 
 
+@query
+def fuel_history(t):
+    newest = impact.newest_daily(impact.daily_summary(silver(t)), 24, city="city_0")
+    return rounded(newest, "avg_congestion_index").select(
+        F.col("summary_date").cast("timestamp").alias("timestamp"), "city",
+        "avg_congestion_index", "est_extra_fuel_cost_idr",
+    )
+
+
+@query
+def price_policy(t):
+    return alerts.price_policy(samples.price_table(t))
+
+
 @query
 def recent_daily(t):
     newest = impact.newest_daily(impact.daily_summary(silver(t)), 15)
@@ -272,6 +286,7 @@ def upsert_comparison(t):
 @query
 def layer_counts(t):
     rows = stored_silver(t)
+    marked = scored(rows)
     return impact.table_counts(
         {
             "bronze_traffic": bronze(t),
@@ -281,8 +296,8 @@ def layer_counts(t):
             "gold_hourly_pattern": impact.hourly_pattern(rows),
             "gold_daily_summary": impact.daily_summary(rows),
             "gold_road_impact": impact.road_impact(rows),
-            "gold_anomalies": anomaly.top_anomalies(scored(rows)),
-            "gold_anomaly_rate": anomaly.anomaly_rate(scored(rows)),
+            "gold_anomalies": anomaly.top_anomalies(marked),
+            "gold_anomaly_rate": anomaly.anomaly_rate(marked),
         }
     )
 
@@ -418,31 +433,42 @@ def active_alerts(t):
     return rounded(found, "old_price", "new_price")
 
 
-def mobility_rows(rows: DataFrame) -> DataFrame:
+def mobility_rows(rows: DataFrame, cells: DataFrame) -> DataFrame:
     zones = impact.modal_zone(impact.road_impact(rows), "zone_band")
-    return serving.mobility(wide_comparison(rows), zones)
+    wide = impact.comparison_wide(impact.roll_up(cells, "city", "period"))
+    return serving.mobility(wide, zones)
+
+
+def daily_from_cells(cells: DataFrame) -> DataFrame:
+    daily = impact.roll_up(cells.withColumnRenamed("date", "summary_date"), "summary_date", "city")
+    return impact.with_estimates(daily.withColumnRenamed("avg_congestion", "avg_congestion_index"))
 
 
 @query
 def mobility_score(t):
-    return mobility_rows(stored_silver(t))
+    rows = stored_silver(t)
+    return mobility_rows(rows, impact.reading_cells(rows))
 
 
 @query
 def dashboard_snapshot(t):
     rows = stored_silver(t)
-    daily = impact.daily_summary(rows)
-    snapshot = serving.dashboard_snapshot(mobility_rows(rows), daily, FUEL_PRICE)
+    cells = stage(impact.reading_cells(rows), "cells")
+    snapshot = serving.dashboard_snapshot(
+        mobility_rows(rows, cells), daily_from_cells(cells), FUEL_PRICE
+    )
     return rounded(snapshot, "avg_congestion_index")
 
 
 @query
 def kpi_strip(t):
     rows = stored_silver(t)
+    cells = stage(impact.reading_cells(rows), "cells")
     kpis = serving.kpi_strip(
-        wide_comparison(rows),
-        anomaly.anomaly_rate(scored(rows)),
-        impact.latest_day(impact.daily_summary(rows)),
+        impact.comparison_wide(impact.roll_up(cells, "city", "period")),
+        anomaly.anomaly_rate(anomaly.score_readings(rows, stage(
+            anomaly.baseline_from_cells(cells), "baseline"))),
+        impact.latest_day(daily_from_cells(cells)),
     )
     return rounded(kpis, "value")
 
@@ -564,6 +590,17 @@ def corr_report(t):
     return rounded(report, "pearson_r", "p_value")
 
 
+@query
+def corr_report_csv(t):
+    """The overall report written as one CSV folder per city, and read back."""
+    report = rounded(
+        correlation.overall_correlation(daily_features(t)), "pearson_r", digits=4
+    ).drop("p_value")
+    path = scratch_path(t.spark, "report")
+    tables.export_csv(report, path)
+    return t.spark.read.schema(report.schema).option("header", True).csv(path)
+
+
 def sample_sequences(t: SampleTables) -> DataFrame:
     return sequences.build_sequences(features.forecast_inputs(stored_features(t)))
 
@@ -759,7 +796,8 @@ def road_zones(t):
 
 @query
 def cluster_overview(t):
-    return serving.cluster_overview(stage(clustered_roads(t), "zones"))
+    roads = stage(clustered_roads(t), "zones")
+    return serving.cluster_overview(roads, stage(impact.modal_zone(roads), "city-zones"))
 
 
 @query

@@ -43,28 +43,43 @@ class Lake:
         return KeyedTable(self.spark, self.path(table), GOLD_KEYS[table])
 
 
+def _ingest_order(readings: DataFrame) -> str:
+    """The column that tells which copy of a reading came in last."""
+    known = (c for c in ("ingest_seq", "ingested_at") if c in readings.columns)
+    return next(known, "recorded_at")
+
+
 def run_cycle(
-    lake: Lake, as_of: str, settings: ImpactSettings = ImpactSettings(), with_models: bool = True
+    lake: Lake,
+    as_of: str,
+    settings: ImpactSettings = ImpactSettings(),
+    with_models: bool = True,
+    after_batch: int | None = None,
 ) -> list[str]:
     """One pass at time ``as_of``; returns the tables that were written.
 
-    Every step reads stored tables, so a failed cycle can simply run again: it
-    replaces what it wrote.  The driver sees only guards and k-means centres.
+    With ``after_batch`` only the days that later ingest batches touched are
+    cleaned again.  Every step reads stored tables, so a failed cycle can simply
+    run again: it replaces what it wrote.  The driver sees only guards and
+    k-means centres.
     """
     spark = lake.spark
     # Whole days, since silver partitions are replaced by day.
     midnight = f"{as_of[:10]} 00:00:00"
-    bronze = tables.load_bronze(
-        spark, lake.path("bronze_traffic"), midnight, settings.trailing_days
-    )
-    if bronze is None:
+    stored = spark.read.parquet(lake.path("bronze_traffic"))
+    if after_batch is not None:
+        # At most one row per day of the trailing window; prunes the scan.
+        days = tables.touched_dates(stored, after_batch)
+        stored = stored.join(F.broadcast(days), "date", "left_semi")
+    bronze = tables.trailing_window(stored, midnight, settings.trailing_days)
+    if bronze.isEmpty():
         return []
     version = int(spark.sql(f"SELECT unix_timestamp(TIMESTAMP '{as_of}') AS v").first()["v"])
     written = ["silver_traffic"]
-    if "ingest_seq" not in bronze.columns:
-        bronze = bronze.withColumn("ingest_seq", F.lit(0))
+    sequence = _ingest_order(bronze)
     tables.write_silver(
-        cleaning.silver_readings(cleaning.nan_to_null(bronze)), lake.path("silver_traffic")
+        cleaning.silver_readings(cleaning.nan_to_null(bronze), sequence),
+        lake.path("silver_traffic"),
     )
     oldest = F.lit(as_of).cast("timestamp") - F.make_dt_interval(days=F.lit(settings.trailing_days))
     silver = spark.read.parquet(lake.path("silver_traffic")).where(
@@ -76,46 +91,62 @@ def run_cycle(
         lake.keyed(table).put(stamped, version)
         written.append(table)
 
-    put("gold_city_comparison", impact.city_comparison(silver))
-    put("gold_hourly_pattern", impact.hourly_pattern(silver))
-    put("gold_daily_summary", impact.latest_day(impact.daily_summary(silver, settings.economics)))
-
-    tables.replace_table(anomaly.baseline_stats(silver), lake.path("silver_baseline"))
-    scored = anomaly.score_readings(
-        silver, spark.read.parquet(lake.path("silver_baseline")), settings.zscore_limit
+    def replace(table: str, rows: DataFrame) -> DataFrame:
+        tables.replace_table(rows, lake.path(table))
+        written.append(table)
+        return spark.read.parquet(lake.path(table))
+
+    # One pass over silver; all the means below roll up from its few rows.
+    cells = replace("silver_cells", impact.reading_cells(silver))
+    put(
+        "gold_city_comparison",
+        impact.roll_up(cells, "city", "period").select(
+            "city", "period", "avg_congestion", "avg_speed", "record_count"
+        ),
+    )
+    put(
+        "gold_hourly_pattern",
+        impact.roll_up(cells, "city", "period", "hour").select(
+            "city", "period", "hour", "avg_congestion", "avg_speed"
+        ),
+    )
+    daily = impact.roll_up(cells, "city", "date").withColumnsRenamed(
+        {"date": "summary_date", "avg_congestion": "avg_congestion_index"}
     )
-    top = anomaly.top_anomalies(scored, settings.top_anomalies)
-    tables.replace_table(top, lake.path("gold_anomalies"))
+    put("gold_daily_summary", impact.latest_day(impact.with_estimates(daily, settings.economics)))
+
+    baseline = replace("silver_baseline", anomaly.baseline_from_cells(cells))
+    scored = anomaly.score_readings(silver, baseline, settings.zscore_limit)
+    replace("gold_anomalies", anomaly.top_anomalies(scored, settings.top_anomalies))
     put("gold_anomaly_rate", anomaly.anomaly_rate(scored))
-    written += ["silver_baseline", "gold_anomalies"]
     if with_models:
-        written += _run_models(lake, silver, as_of, settings, put)
+        _run_models(lake, silver, as_of, settings, put, replace, written)
     _write_documents(lake)
     return written
 
 
-def _run_models(lake: Lake, silver: DataFrame, as_of: str, settings, put) -> list[str]:
-    written = []
-    tables.replace_table(impact.road_impact(silver), lake.path("gold_road_impact"))
-    written.append("gold_road_impact")
-    clustered = zones.cluster_roads(
-        lake.spark.read.parquet(lake.path("gold_road_impact")), seed=settings.seed
-    )
+def _run_models(lake: Lake, silver: DataFrame, as_of: str, settings, put, replace, written) -> None:
+    roads = replace("gold_road_impact", impact.road_impact(silver))
+    clustered = zones.cluster_roads(roads, seed=settings.seed)
     if clustered is not None:
         put("gold_road_clusters", clustered)
     fitted = congestion_model.fit_classifier(silver, settings)
-    if fitted is not None:
-        model, metrics = fitted
-        run_id = as_of.replace(" ", "T").replace(":", "")
-        tables.append_history(metrics, lake.path("gold_model_metrics"), run_id, as_of)
-        change = impact.comparison_wide(impact.city_comparison(silver)).select("city", "change_pct")
-        current = latest.city_snapshot(latest.latest_readings(silver)).select("city", F.col("avg_congestion").alias("current_congestion"))
-        predictions = congestion_model.forecast(
-            model, silver, as_of, current.join(change, "city", "left")
-        )
-        tables.append_history(predictions, lake.path("gold_predictions"), run_id, as_of)
-        written += ["gold_model_metrics", "gold_predictions"]
-    return written
+    if fitted is None:
+        return
+    model, metrics = fitted
+    run_id = as_of.replace(" ", "T").replace(":", "")
+    tables.append_history(metrics, lake.path("gold_model_metrics"), run_id, as_of)
+    wide = impact.comparison_wide(lake.keyed("gold_city_comparison").read())
+    current = latest.city_snapshot(
+        latest.latest_readings(silver, _ingest_order(silver))
+    ).select(
+        "city", F.col("avg_congestion").alias("current_congestion")
+    )
+    predictions = congestion_model.forecast(
+        model, silver, as_of, current.join(wide.select("city", "change_pct"), "city", "left")
+    )
+    tables.append_history(predictions, lake.path("gold_predictions"), run_id, as_of)
+    written += ["gold_model_metrics", "gold_predictions"]
 
 
 def _write_documents(lake: Lake) -> None:

@@ -493,6 +493,16 @@ ORACLES: dict[str, str] = {
         FROM (SELECT DISTINCT city FROM silver) LEFT JOIN b USING (city)""",
     "daily_impact": f"""WITH {DAILY}
         SELECT * FROM daily WHERE summary_date = (SELECT max(summary_date) FROM daily)""",
+    "fuel_history": f"""WITH {DAILY}
+        SELECT CAST(summary_date AS TIMESTAMP) AS timestamp, city, avg_congestion_index,
+               est_extra_fuel_cost_idr
+        FROM daily WHERE city = 'city_0' ORDER BY summary_date DESC LIMIT 24""",
+    "price_policy": f"""WITH {PRICES}
+        SELECT fuel_type, price_before, price_after, DATE '1998-07-01' AS effective_date
+        FROM policy""",
+    "corr_report_csv": f"""WITH {PAIRS},{OVERALL_ONLY}
+        SELECT city, pair, n, {r("rr", 4)} AS pearson_r, significant, direction, strength
+        FROM (SELECT *, {OVERALL_LABELS} FROM overall)""",
     "recent_daily": f"WITH {DAILY} SELECT * FROM daily ORDER BY summary_date DESC, city LIMIT 15",
     "road_impact": f"""WITH {ROADS}
         SELECT city, road_name, {r("ci_before")} AS ci_before, {r("ci_after")} AS ci_after,
@@ -578,7 +588,7 @@ ORACLES: dict[str, str] = {
     "price_alerts": f"WITH {PRICES} {PRICE_ALERTS}",
     "budget_projection": f"""WITH {PRICES},
         use AS (SELECT l_orderkey AS consumer, concat('part_', l_partkey) AS fuel_type,
-                       sum(l_quantity) AS litres_per_day FROM lineitem GROUP BY 1, 2)
+                       l_quantity AS litres_per_day FROM lineitem)
         SELECT consumer, fuel_type, litres_per_day,
                {r("price_before * litres_per_day", 4)} AS daily_before,
                {r("price_after * litres_per_day", 4)} AS daily_after,
@@ -767,7 +777,7 @@ ORACLES: dict[str, str] = {
     "stream_bronze_ingest": f"""
         SELECT {CITY}, CAST(ts AS DATE) AS date, source, 'kafka' AS ingested_via,
                count(*) AS records, bronze_table
-        FROM events, (VALUES ('tomtom', 'traffic'), ('openweathermap', 'weather'))
+        FROM events, (VALUES ('tomtom', 'bronze_traffic'), ('openweathermap', 'bronze_weather'))
           AS b(source, bronze_table)
         GROUP BY ALL""",
     "stream_joined_windows": f"""
@@ -793,6 +803,7 @@ ORACLES: dict[str, str] = {
         [
             _count("silver_traffic", "silver"),
             _count("silver_baseline", "baseline"),
+            _count("silver_cells", "(SELECT DISTINCT city, period, recorded_at FROM silver)"),
             _count("gold_city_comparison", "(SELECT DISTINCT city, period FROM silver)"),
             _count("gold_hourly_pattern", "(SELECT DISTINCT city, period, hour FROM silver)"),
             _count("gold_daily_summary", "daily WHERE summary_date = "

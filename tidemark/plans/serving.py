@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tidemark import config
 from tidemark.functions import bands, scores
-from tidemark.operators import impact
 
 
 def mobility(wide: DataFrame, zones: DataFrame) -> DataFrame:
@@ -43,11 +42,13 @@ def dashboard_snapshot(
     )
 
 
-def cluster_overview(roads: DataFrame) -> DataFrame:
-    """Every road record with its city's commonest zone."""
-    city = impact.modal_zone(roads).select(
-        "city", F.col("zone").alias("city_zone"), "impact_level"
-    )
+def cluster_overview(roads: DataFrame, zones: DataFrame) -> DataFrame:
+    """Every road record with its city's commonest zone (see ``modal_zone``).
+
+    Pass the zones, one row per city, as a stored table: they are then broadcast
+    and a city with most of the roads is not shuffled into one task.
+    """
+    city = zones.select("city", F.col("zone").alias("city_zone"), "impact_level")
     return roads.join(city, "city")
 
 

@@ -165,13 +165,11 @@ def price_table(t: SampleTables) -> DataFrame:
 
 
 def consumption(t: SampleTables) -> DataFrame:
-    """Daily fuel use per order line: the customer's order as consumer, its part as fuel."""
-    return t.lineitem.groupBy("l_orderkey", "l_partkey").agg(
-        F.sum("l_quantity").alias("litres_per_day")
-    ).select(
+    """Daily fuel use: an order is a consumer, each of its lines the use of one fuel."""
+    return t.lineitem.select(
         F.col("l_orderkey").alias("consumer"),
         F.concat(F.lit("part_"), F.col("l_partkey").cast("string")).alias("fuel_type"),
-        "litres_per_day",
+        F.col("l_quantity").alias("litres_per_day"),
     )
 
 

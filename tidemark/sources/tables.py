@@ -26,7 +26,7 @@ def trailing_window(bronze: DataFrame, as_of: str, days: int = 60) -> DataFrame:
     rows = bronze.where(F.col("recorded_at") >= oldest)
     if "date" in bronze.columns:
         rows = rows.where(F.col("date") >= F.to_date(oldest))
-    extra = [c for c in ("ingest_seq",) if c in bronze.columns]
+    extra = [c for c in ("ingest_seq", "ingested_at") if c in bronze.columns]
     return rows.select(*BRONZE_COLUMNS, *extra)
 
 
@@ -90,15 +90,26 @@ def write_partitioned(
     )
 
 
+# Bronze partitions; the batch comes last so that a repeated batch replaces itself.
+BRONZE_PARTITIONS = ("city", "date", "ingest_batch")
+SEED_BATCH = -1
+
+
 def seed_bronze(readings: DataFrame, path: str, source: str = "tomtom") -> None:
-    """Bulk load of historical readings, tagged as a batch."""
+    """Bulk load of historical readings, tagged as a batch; may run again."""
     from tidemark.operators.cleaning import with_defaults
 
+    seeded = with_defaults(readings, source=source, ingested_via="batch_seed")
     write_partitioned(
-        with_defaults(readings, source=source, ingested_via="batch_seed"), path, mode="append"
+        seeded.withColumn("ingest_batch", F.lit(SEED_BATCH)), path, by=BRONZE_PARTITIONS
     )
 
 
+def touched_dates(bronze: DataFrame, after_batch: int) -> DataFrame:
+    """Dates that later ingest batches added to; reads partition values only."""
+    return bronze.where(F.col("ingest_batch") > after_batch).select("date").distinct()
+
+
 def write_silver(silver: DataFrame, path: str) -> None:
     """Refresh the silver partitions; running it again changes nothing."""
     write_partitioned(

@@ -14,7 +14,7 @@ from tidemark import schemas
 from tidemark.functions import scores
 from tidemark.operators import cleaning, windows
 from tidemark.session import shuffle_width
-from tidemark.sources.tables import KeyedTable, write_partitioned
+from tidemark.sources.tables import BRONZE_PARTITIONS, KeyedTable, write_partitioned
 from tidemark.streaming.events import parse_events
 
 
@@ -140,7 +140,9 @@ def join_windows(
 
 def parse_readings(raw: DataFrame, schema: T.StructType, **defaults) -> DataFrame:
     """Readings with their ingest defaults; rows without city or time are dropped."""
-    rows = raw.select(F.from_json("value", schema).alias("r")).select("r.*")
+    rows = raw.select(
+        F.from_json("value", schema).alias("r"), F.col("broker_ts").alias("ingested_at")
+    ).select("r.*", "ingested_at")
     rows = rows.withColumn("recorded_at", F.try_to_timestamp("recorded_at"))
     rows = cleaning.nan_to_null(rows.where("city IS NOT NULL AND recorded_at IS NOT NULL"))
     return cleaning.with_defaults(rows, **defaults)
@@ -161,8 +163,8 @@ def append_bronze(
 
 # Raw topics, by bronze table, and their ingest defaults.
 BRONZE_TOPICS = {
-    "traffic": ("traffic.raw", schemas.ROAD_READING, {"source": "tomtom"}),
-    "weather": (
+    "bronze_traffic": ("traffic.raw", schemas.ROAD_READING, {"source": "tomtom"}),
+    "bronze_weather": (
         "weather.raw", schemas.WEATHER_READING, {"source": "openweathermap", "rain_1h": 0.0}
     ),
 }
@@ -184,7 +186,7 @@ def split_topics(
                 rows = parse_readings(batch.where(F.col("topic") == topic), schema, **defaults)
                 write_partitioned(
                     rows.withColumn("ingest_batch", F.lit(batch_id)), f"{lake}/{table}",
-                    by=("city", "date", "ingest_batch"),
+                    by=BRONZE_PARTITIONS,
                 )
         finally:
             batch.unpersist()
