@@ -129,7 +129,7 @@ def test_mobility_forecast_learns_the_daily_cycle(spark):
         F.lit(0).alias("holiday_flag"), (0.5 + 0.3 * swing).alias("mobility_composite"),
     )
     inputs = features.forecast_inputs(stage(df, "daily"))
-    built = stage(sequences.build_sequences(inputs), "sequences")
+    built = stage(sequences.training_sequences(inputs), "sequences")
     model, errors = mobility_forecast.fit_forecast(built)
     got = rows(errors, "city")
     # The plain mean would be off by about 0.19.

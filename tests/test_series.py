@@ -133,7 +133,7 @@ def test_lag_against_brute_force(spark):
     x = noise(200, 7)
     y = [None] * 4 + [-v for v in x[:-4]]
     df = series(spark, a=(x, y), tiny=(noise(12, 1), noise(12, 2)), small=(noise(9, 1), noise(9, 2)))
-    lags = correlation.lag_correlation(df, pairs=PAIRS)
+    lags = correlation.lagged_correlation(df, pairs=PAIRS)
     got = {(g["city"], g["lag_steps"]): g for g in rows(lags)}
     for lag in range(13):
         r, n = pearson(x[:200 - lag], y[lag:])
@@ -159,7 +159,7 @@ def test_absent_column_skips_the_pair(spark):
 @pytest.mark.parametrize("n", [95, 96, 97, 98, 130])
 def test_sequences(spark, n):
     df = series(spark, a=([float(k) for k in range(n)], [float(-k) for k in range(n)]))
-    got = rows(sequences.build_sequences(df, names=["x"], target="y"), "pos")
+    got = rows(sequences.training_sequences(df, names=["x"], target="y"), "pos")
     assert [g["pos"] for g in got] == list(range(48, n - 48))
     for g in got:
         i = g["pos"]
@@ -172,7 +172,7 @@ def test_chronological_split(spark):
         return ([float(k) for k in range(n)], [0.0] * n)
 
     df = series(spark, enough=one(106), short=one(105))
-    built = sequences.build_sequences(df, names=["x"], target="y")
+    built = sequences.training_sequences(df, names=["x"], target="y")
     got = rows(sequences.chronological_split(built), "pos")
     assert {g["city"] for g in got} == {"enough"}
     assert [g["split"] for g in got] == ["train"] * 8 + ["validation"] * 2

@@ -43,9 +43,9 @@ def test_silver_refresh_is_idempotent(spark, lake):
     bronze = samples.road_readings(SampleTables(spark, SMALL).events)
     clean = cleaning.silver_readings(bronze)
     path = f"{lake}/silver"
-    tables.write_silver(clean, path)
+    tables.refresh_silver(clean, path)
     first = spark.read.parquet(path).count()
-    tables.write_silver(clean, path)
+    tables.refresh_silver(clean, path)
     assert spark.read.parquet(path).count() == first == clean.count()
 
 
@@ -58,7 +58,7 @@ def test_partition_pruning_of_the_trailing_window(spark, lake):
     text = plan(recent)
     assert "PartitionFilters: [isnotnull(date" in text and "date#" in text.split("PartitionFilters")[1]
     assert recent.count() == bronze.where("recorded_at >= '2024-01-15'").count()
-    assert tables.load_bronze(spark, f"{lake}/bronze", "2030-01-01 00:00:00") is None
+    assert tables.recent_bronze(spark, f"{lake}/bronze", "2030-01-01 00:00:00") is None
 
 
 def test_history_and_replace(spark, lake):
@@ -159,3 +159,23 @@ def test_scratch_needs_a_shared_folder_off_local(spark, monkeypatch):
 
     with pytest.raises(ValueError):
         session.scratch_root(Cluster)
+
+
+def test_a_hot_partition_becomes_several_files(spark, lake):
+    from pathlib import Path
+
+    n = 60_000
+    df = spark.range(0, n, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("c"), (F.col("id") % 40).cast("string")))
+        .alias("city"),
+        F.lit("2026-06-01").cast("date").alias("date"),
+        F.sha2(F.col("id").cast("string"), 256).alias("payload"),
+    )
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(key, "200KB")
+    try:
+        tables.write_partitioned(df, f"{lake}/t")
+    finally:
+        spark.conf.unset(key)
+    assert len(list(Path(lake, "t", "city=hot").rglob("*.parquet"))) > 2
+    assert spark.read.parquet(f"{lake}/t").count() == n

@@ -130,7 +130,7 @@ def sliding_correlation(
     )
 
 
-def lag_correlation(
+def lagged_correlation(
     features: DataFrame, max_lag: int = 12, pairs=CORRELATION_PAIRS, min_pairs: int = 10,
     step_hours: float = 0.5,
 ) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.config import HOLIDAYS, CompositeWeights
 from tidemark.functions import scores
 
-# Columns a missing source leaves empty and that are filled with 0 at the end.
+# Columns a missing source leaves empty, filled with 0 at the end.
 FILLED = (
     "fuel_price_delta", "traffic_index", "avg_speed", "transport_usage_norm",
     "weather_score_norm", "avg_temperature", "avg_rain_1h",

@@ -13,7 +13,7 @@ from tidemark.operators.ordered import block_window, with_halo, with_positions
 SERIES = ("city",)
 
 
-def build_sequences(
+def training_sequences(
     inputs: DataFrame,
     past: int = 48,
     future: int = 48,

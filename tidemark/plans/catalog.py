@@ -35,14 +35,22 @@ Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
 
-def query(build: Callable[[SampleTables], DataFrame]) -> Callable[[SampleTables], DataFrame]:
-    """Register ``build(tables)`` under its own name."""
+def named(name: str):
+    """Register ``build(tables)`` under ``name``."""
+
+    def register(build: Callable[[SampleTables], DataFrame]):
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            return build(SampleTables(spark, folder))
+
+        REGISTRY[name] = run
+        return build
 
-    def run(spark: SparkSession, folder: str) -> DataFrame:
-        return build(SampleTables(spark, folder))
+    return register
 
-    REGISTRY[build.__name__] = run
-    return build
+
+def query(build: Callable[[SampleTables], DataFrame]):
+    """Register ``build(tables)`` under its own name."""
+    return named(build.__name__)(build)
 
 
 def rounded(df: DataFrame, *names: str, digits: int = 6) -> DataFrame:
@@ -425,8 +433,8 @@ def budget_projection(t):
     )
 
 
-@query
-def active_alerts(t):
+@named("alerts")
+def all_alerts(t):
     rates = anomaly.anomaly_rate(scored(stored_silver(t)))
     # Any rise is reported here, so that the anomaly alert takes part.
     found = alerts.active_alerts(samples.price_table(t), rates, points=-100.0)
@@ -573,19 +581,19 @@ def corr_sliding(t):
 
 @query
 def corr_lag(t):
-    return correlation.lag_correlation(stored_features(t))
+    return correlation.lagged_correlation(stored_features(t))
 
 
 @query
 def corr_best_lag(t):
-    return correlation.best_lag(correlation.lag_correlation(stored_features(t)))
+    return correlation.best_lag(correlation.lagged_correlation(stored_features(t)))
 
 
 @query
 def corr_report(t):
     table = stored_features(t)
     report = correlation.correlation_report(
-        correlation.overall_correlation(table), correlation.lag_correlation(table)
+        correlation.overall_correlation(table), correlation.lagged_correlation(table)
     )
     return rounded(report, "pearson_r", "p_value")
 
@@ -602,7 +610,7 @@ def corr_report_csv(t):
 
 
 def sample_sequences(t: SampleTables) -> DataFrame:
-    return sequences.build_sequences(features.forecast_inputs(stored_features(t)))
+    return sequences.training_sequences(features.forecast_inputs(stored_features(t)))
 
 
 @query
@@ -828,7 +836,7 @@ def mobility_forecast_errors(t):
 def mobility_forecast_steps(t):
     inputs = features.forecast_inputs(stored_features(t))
     model, _ = mobility_forecast.fit_forecast(
-        stage(sequences.build_sequences(inputs), "sequences"), steps_per_day=1
+        stage(sequences.training_sequences(inputs), "sequences"), steps_per_day=1
     )
     return mobility_forecast.forecast_mobility(model, inputs, steps_per_day=1)
 

@@ -12,7 +12,7 @@ from tidemark.operators import anomaly, cleaning, congestion_model, impact, late
 from tidemark.sources import tables
 from tidemark.sources.tables import KeyedTable
 
-# Keyed gold tables and their natural keys.
+# Keyed gold tables and their natural keys.
 GOLD_KEYS = {
     "gold_city_comparison": ("city", "period"),
     "gold_hourly_pattern": ("city", "hour", "period"),
@@ -77,7 +77,7 @@ def run_cycle(
     version = int(spark.sql(f"SELECT unix_timestamp(TIMESTAMP '{as_of}') AS v").first()["v"])
     written = ["silver_traffic"]
     sequence = _ingest_order(bronze)
-    tables.write_silver(
+    tables.refresh_silver(
         cleaning.silver_readings(cleaning.nan_to_null(bronze), sequence),
         lake.path("silver_traffic"),
     )

@@ -596,7 +596,7 @@ ORACLES: dict[str, str] = {
                {r("(price_after - price_before) * litres_per_day * 30", 4)} AS extra_monthly,
                {r("(price_after - price_before) * litres_per_day * 365", 4)} AS extra_yearly
         FROM use JOIN policy USING (fuel_type)""",
-    "active_alerts": f"""WITH {PRICES},{SCORED},
+    "alerts": f"""WITH {PRICES},{SCORED},
         sides AS (SELECT coalesce(max(anomaly_rate_pct) FILTER (period = 'before'), 0) AS b,
                          coalesce(max(anomaly_rate_pct) FILTER (period = 'after'), 0) AS a
                   FROM rates)

@@ -1,4 +1,8 @@
-"""Explicit schemas of the inputs; every field may be null."""
+"""Explicit schemas of the inputs; every field may be null.
+
+Field names, order and precision are fixed formats shared with the producers and
+the readers of the tables.
+"""
 
 from pyspark.sql import types as T
 

@@ -30,7 +30,7 @@ def trailing_window(bronze: DataFrame, as_of: str, days: int = 60) -> DataFrame:
     return rows.select(*BRONZE_COLUMNS, *extra)
 
 
-def load_bronze(spark: SparkSession, path: str, as_of: str, days: int = 60) -> DataFrame | None:
+def recent_bronze(spark: SparkSession, path: str, as_of: str, days: int = 60) -> DataFrame | None:
     """The trailing window of the bronze table, or None when it holds nothing."""
     rows = trailing_window(spark.read.parquet(path), as_of, days)
     return None if rows.isEmpty() else rows
@@ -110,7 +110,7 @@ def touched_dates(bronze: DataFrame, after_batch: int) -> DataFrame:
     return bronze.where(F.col("ingest_batch") > after_batch).select("date").distinct()
 
 
-def write_silver(silver: DataFrame, path: str) -> None:
+def refresh_silver(silver: DataFrame, path: str) -> None:
     """Refresh the silver partitions; running it again changes nothing."""
     write_partitioned(
         silver.withColumn("date", F.to_date("recorded_at")), path,
