@@ -1,4 +1,5 @@
 import math
+import random
 from datetime import datetime
 
 from conftest import rows
@@ -122,6 +123,19 @@ def test_half_up(spark):
     assert got == [0.13, 2.68, -0.13, 1000000000.01, None]
 
 
+def test_half_up_equals_decimal_rounding(spark):
+    rng = random.Random(7)
+    values = [rng.uniform(-1, 1) * 10 ** rng.randint(-6, 8) for _ in range(3000)]
+    values += [k / 2 / 10**d for d in range(7) for k in range(-21, 22)]
+    values += [v + rng.choice((-1, 1)) * 1e-13 for v in values[-200:]]
+    values += [0.0, -0.0, -1e-12, 1e12 + 0.5, math.nan]
+    df = spark.createDataFrame([(v,) for v in values], "v DOUBLE")
+    for digits in (1, 2, 4, 6):
+        exact = F.round(F.col("v").try_cast("decimal(28,10)"), digits).cast("double")
+        got = df.select(scores.half_up(F.col("v"), digits).alias("a"), exact.alias("b")).collect()
+        assert [repr(r.a) for r in got] == [repr(r.b) for r in got]
+
+
 def test_minmax_null_policy(spark):
     df = spark.createDataFrame([(None,), (-5.0,), (50.0,), (500.0,)], "v DOUBLE")
     seen = [r[0] for r in df.select(scores.minmax(F.col("v"), 0, 100)).collect()]

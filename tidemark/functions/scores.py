@@ -11,12 +11,18 @@ from tidemark.functions.bands import lookup
 
 
 def half_up(value: Column, digits: int) -> Column:
-    """Round half up on the decimal value.
+    """Round half up, ignoring binary noise past the tenth decimal.
 
-    Going through a decimal first drops binary noise past the tenth place, so
-    sums that were added up in another order still round to the same number.
+    Sums that were added up in another order therefore round to the same number.
+    Plain arithmetic does it for all but huge values, which (like NaN, giving
+    null) go through a decimal.
     """
-    return F.round(value.try_cast("decimal(28,10)"), digits).cast("double")
+    unit = float(10**digits)
+    size = F.abs(value)
+    nearest = F.floor(size * unit + (0.5 + 0.5e-10 * unit)).cast("double") / unit
+    exact = F.round(value.try_cast("decimal(28,10)"), digits).cast("double")
+    small = F.when((value < 0) & (nearest > 0), -nearest).otherwise(nearest)
+    return F.when(size < 1e9, small).otherwise(exact)
 
 
 def clamp(value: Column, low: float, high: float) -> Column:

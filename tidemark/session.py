@@ -27,6 +27,7 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
         "spark.sql.streaming.stateStore.providerClass": (
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
         ),
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
         # The most frequent value is kept in small per-group maps; sort only beyond this.
         "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "10000",
     }
