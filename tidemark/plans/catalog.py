@@ -57,6 +57,11 @@ def rounded(df: DataFrame, *names: str, digits: int = 6) -> DataFrame:
     return df.withColumns({n: scores.half_up(F.col(n), digits) for n in names})
 
 
+def dated(df: DataFrame, name: str) -> DataFrame:
+    """A date column as a timestamp, which every client reads alike."""
+    return df.withColumn(name, F.col(name).cast("timestamp"))
+
+
 # --- shared inputs -----------------------------------------------------------
 
 
@@ -127,7 +132,8 @@ def bronze_defaults(t):
         F.when(F.col("event_id") % 2 == 0, "station").alias("source"),
         F.col("event_time").alias("recorded_at"),
     )
-    return rounded(cleaning.with_defaults(raw, source="openweathermap", rain_1h=0.0), "rain_1h")
+    filled = cleaning.with_defaults(raw, source="openweathermap", rain_1h=0.0)
+    return dated(rounded(filled, "rain_1h"), "date")
 
 
 @query
@@ -241,7 +247,7 @@ def best_hour(t):
 @query
 def daily_impact(t):
     latest_rows = impact.latest_day(impact.daily_summary(silver(t)))
-    return rounded(latest_rows, "avg_congestion_index", "avg_speed")
+    return dated(rounded(latest_rows, "avg_congestion_index", "avg_speed"), "summary_date")
 
 
 @query
@@ -255,13 +261,13 @@ def fuel_history(t):
 
 @query
 def price_policy(t):
-    return alerts.price_policy(samples.price_table(t))
+    return dated(alerts.price_policy(samples.price_table(t)), "effective_date")
 
 
 @query
 def recent_daily(t):
     newest = impact.newest_daily(impact.daily_summary(silver(t)), 15)
-    return rounded(newest, "avg_congestion_index", "avg_speed")
+    return dated(rounded(newest, "avg_congestion_index", "avg_speed"), "summary_date")
 
 
 @query
@@ -465,7 +471,7 @@ def dashboard_snapshot(t):
     snapshot = serving.dashboard_snapshot(
         mobility_rows(rows, cells), daily_from_cells(cells), FUEL_PRICE
     )
-    return rounded(snapshot, "avg_congestion_index")
+    return dated(rounded(snapshot, "avg_congestion_index"), "summary_date")
 
 
 @query
@@ -708,7 +714,7 @@ def stream_bronze_ingest(t):
         .withColumn("bronze_table", F.lit(table))
         for table in jobs.BRONZE_TOPICS
     ]
-    return parts[0].unionByName(parts[1])
+    return dated(parts[0].unionByName(parts[1]), "date")
 
 
 @query

@@ -74,7 +74,8 @@ CHANGE = r("after_congestion - before_congestion", 2)
 
 DAILY = SILVER + f""",
 daily_raw AS (
-  SELECT CAST(recorded_at AS DATE) AS summary_date, city, avg(congestion_index) AS ci,
+  SELECT CAST(CAST(recorded_at AS DATE) AS TIMESTAMP) AS summary_date, city,
+         avg(congestion_index) AS ci,
          avg(current_speed) AS spd, avg(free_flow_speed) AS ff
   FROM silver GROUP BY ALL),
 daily AS (
@@ -415,7 +416,7 @@ ORACLES: dict[str, str] = {
                {r("CASE WHEN rain_1h > 0 THEN rain_1h ELSE 0 END")} AS rain_1h,
                CASE WHEN event_id % 2 = 0 THEN 'station' ELSE 'openweathermap' END AS source,
                event_time AS recorded_at, 'kafka' AS ingested_via,
-               CAST(event_time AS DATE) AS date
+               CAST(CAST(event_time AS DATE) AS TIMESTAMP) AS date
         FROM conditions""",
     "silver_traffic": f"WITH {SILVER} SELECT * FROM silver",
     "level_distribution": f"""WITH {SILVER}
@@ -494,11 +495,11 @@ ORACLES: dict[str, str] = {
     "daily_impact": f"""WITH {DAILY}
         SELECT * FROM daily WHERE summary_date = (SELECT max(summary_date) FROM daily)""",
     "fuel_history": f"""WITH {DAILY}
-        SELECT CAST(summary_date AS TIMESTAMP) AS timestamp, city, avg_congestion_index,
+        SELECT summary_date AS timestamp, city, avg_congestion_index,
                est_extra_fuel_cost_idr
         FROM daily WHERE city = 'city_0' ORDER BY summary_date DESC LIMIT 24""",
     "price_policy": f"""WITH {PRICES}
-        SELECT fuel_type, price_before, price_after, DATE '1998-07-01' AS effective_date
+        SELECT fuel_type, price_before, price_after, TIMESTAMP '1998-07-01' AS effective_date
         FROM policy""",
     "corr_report_csv": f"""WITH {PAIRS},{OVERALL_ONLY}
         SELECT city, pair, n, {r("rr", 4)} AS pearson_r, significant, direction, strength
@@ -775,7 +776,7 @@ ORACLES: dict[str, str] = {
                {r("avg(floor(value) / 600 * 100)")} AS avg_load_factor, count(*) AS active_modes
         FROM events WHERE floor(value) >= 0 GROUP BY 1, 2, 3""",
     "stream_bronze_ingest": f"""
-        SELECT {CITY}, CAST(ts AS DATE) AS date, source, 'kafka' AS ingested_via,
+        SELECT {CITY}, CAST(CAST(ts AS DATE) AS TIMESTAMP) AS date, source, 'kafka' AS ingested_via,
                count(*) AS records, bronze_table
         FROM events, (VALUES ('tomtom', 'bronze_traffic'), ('openweathermap', 'bronze_weather'))
           AS b(source, bronze_table)
