@@ -2,18 +2,29 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.bpe import token_digests
+from tidemark.llm.golay_dedup import near_duplicates
 from tidemark.llm.language_id import identify_language, train_language_model
+from tidemark.llm.line_dedup import drop_shared_lines
+from tidemark.llm.packing import pack_documents
 from tidemark.llm.quality import score_quality, train_quality_model
 from tidemark.llm.sampling import held_out
 
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def _texts(spark: SparkSession, folder: str) -> DataFrame:
+    return _table(spark, folder, "documents").select("doc_id", "text")
+
+
 def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     labelled = docs.where(~held_out("doc_id")).select("doc_id", "text", "lang")
@@ -22,8 +33,18 @@ def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return pack_documents(_texts(spark, folder), TOKENIZER)
+
+
+def op5_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = near_duplicates(_texts(spark, folder), words=4, bits=4)
+    digits = F.lpad(F.lower(F.hex("fingerprint")), 16, "0")
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
 def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
-    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    docs = _texts(spark, folder)
     labels = _table(spark, folder, "labels").select("doc_id", "quality")
     labelled = docs.where(~held_out("doc_id")).join(labels, "doc_id")
     scored = score_quality(docs, train_quality_model(labelled), keep=["doc_id"])
@@ -35,8 +56,41 @@ def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = drop_shared_lines(_texts(spark, folder))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return token_digests(_texts(spark, folder), TOKENIZER, ["doc_id"])
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op3_packing": op3_packing,
+    "op5_simhash_dedup": op5_simhash_dedup,
     "op7_quality": op7_quality,
+    "op9_line_dedup": op9_line_dedup,
+    "op10_bpe": op10_bpe,
+}
+
+_BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+_LOWERED = "translate(trim(line, {b}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')".format(b=_BLANKS)
+
+ORACLES: dict[str, str] = {
+    "op9_line_dedup": f"""
+        WITH cut AS (
+            SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+        ), numbered AS (
+            SELECT doc_id, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS place FROM cut
+        ), keys AS (
+            SELECT doc_id, place, line, {_LOWERED} AS key FROM numbered
+        ), shared AS (
+            SELECT key FROM keys WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10
+        ), marked AS (
+            SELECT k.*, s.key IS NOT NULL AS gone FROM keys k LEFT JOIN shared s ON s.key = k.key
+        )
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '')) AS kept_sha256
+        FROM marked GROUP BY doc_id""",
 }
-ORACLES: dict[str, str] = {}
