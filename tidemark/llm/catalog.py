@@ -45,9 +45,8 @@ def op5_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = _texts(spark, folder)
-    labels = _table(spark, folder, "labels").select("doc_id", "quality")
-    labelled = docs.where(~held_out("doc_id")).join(labels, "doc_id")
-    scored = score_quality(docs, train_quality_model(labelled), keep=["doc_id"])
+    labels = _table(spark, folder, "labels").where(~held_out("doc_id"))
+    scored = score_quality(docs, train_quality_model(docs, labels), keep=["doc_id"])
     return scored.select(
         "doc_id",
         held_out("doc_id").alias("held_out"),

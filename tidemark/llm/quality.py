@@ -104,26 +104,31 @@ def _bags(bits: int):
 
 
 def train_quality_model(
-    labelled: DataFrame,
+    docs: DataFrame,
+    labels: DataFrame,
+    id_col: str = "doc_id",
     text_col: str = "text",
     label_col: str = "quality",
-    order_col: str = "doc_id",
     settings: QualitySettings = QualitySettings(),
 ) -> QualityModel:
-    """Train on (text, label 0 or 1) rows; rows without label are not used.
+    """Train on the texts of ``docs`` that ``labels`` (id, 0 or 1) marks.
 
-    At most ``rows_per_label`` rows of a label are drawn by a hash of
-    ``order_col``; their token shares reach the driver, at most 2^bucket_bits
-    numbers a row.  Without any row every score is 0.5.
+    At most ``rows_per_label`` labels of either kind are drawn by a hash of the
+    id; that bounded list goes to the documents, and not the documents to the
+    list.  Their token shares reach the driver, at most 2^bucket_bits numbers a
+    row.  Rows without label are not used; without any row every score is 0.5.
     """
     s = settings
-    binary = labelled.where(F.col(label_col).isin(0, 1))
-    rows, labels = labelled_sample(binary, label_col, order_col, s.rows_per_label, 2)
+    binary = labels.where(F.col(label_col).isin(0, 1)).select(
+        F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("label")
+    )
+    chosen, found = labelled_sample(binary, "label", "__id", s.rows_per_label, 2)
     weights = np.zeros(1 << s.bucket_bits, np.float32)
-    if not labels:
+    if not found:
         return QualityModel(weights, 0.0, s.scale, s.bucket_bits)
     bags = (
-        rows.select(F.col(label_col).cast("int").alias("label"), plain_text(text_col).alias("body"))
+        docs.join(F.broadcast(chosen), F.col(id_col) == F.col("__id"))
+        .select("label", plain_text(text_col).alias("body"))
         .mapInArrow(_bags(s.bucket_bits), "label int, ids array<int>, shares array<float>")
         .toArrow()
     )
