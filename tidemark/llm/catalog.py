@@ -13,6 +13,8 @@ from tidemark.llm.line_dedup import drop_shared_lines
 from tidemark.llm.packing import pack_documents
 from tidemark.llm.quality import score_quality, train_quality_model
 from tidemark.llm.sampling import held_out
+from tidemark.llm.simhash_index import as_text, count_neighbours, fingerprint_with_edits
+from tidemark.session import stage
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -33,6 +35,23 @@ def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op2_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """n_near: other documents within 3 bits, for the query set of ids divisible by 20."""
+    found = stage(fingerprint_with_edits(_texts(spark, folder)), "fingerprint-rows")
+    prints = found.select(F.col("fingerprint").alias("print"), "doc_id")
+    near = count_neighbours(prints.select("print"), prints.where(F.col("doc_id") % 20 == 0).select("print"))
+    return (
+        found.join(near, F.col("fingerprint") == F.col("print"), "left")
+        .withColumn("n_near", F.when(F.col("doc_id") % 20 == 0, F.col("near") - 1))
+        .select(
+            "doc_id", "n_chars", "edited_sha256",
+            as_text(F.col("fingerprint")).alias("fingerprint"),
+            as_text(F.col("edited_fingerprint")).alias("edited_fingerprint"),
+            "near_edited", "near_next", "n_near",
+        )
+    )
+
+
 def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(_texts(spark, folder), TOKENIZER)
 
@@ -66,6 +85,7 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_fingerprints": op2_fingerprints,
     "op3_packing": op3_packing,
     "op5_simhash_dedup": op5_simhash_dedup,
     "op7_quality": op7_quality,
