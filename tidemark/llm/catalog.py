@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import token_digests
 from tidemark.llm.golay_dedup import near_duplicates
+from tidemark.llm.grid_join import near_vectors
 from tidemark.llm.language_id import identify_language, train_language_model
 from tidemark.llm.line_dedup import drop_shared_lines
 from tidemark.llm.packing import pack_documents
 from tidemark.llm.quality import score_quality, train_quality_model
 from tidemark.llm.sampling import held_out
+from tidemark.llm.sharding import assign_shards
 from tidemark.llm.simhash_index import as_text, count_neighbours, fingerprint_with_edits
 from tidemark.session import stage
 
@@ -62,6 +64,15 @@ def op5_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op6_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    """Law ``bytes``, with which no shard is grown."""
+    placed = assign_shards(_texts(spark, folder), shards=8)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = _texts(spark, folder)
     labels = _table(spark, folder, "labels").where(~held_out("doc_id"))
@@ -74,6 +85,10 @@ def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_vectors(_table(spark, folder, "embeddings"), least=0.93)
+
+
 def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     kept = drop_shared_lines(_texts(spark, folder))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -88,7 +103,9 @@ QUERIES = {
     "op2_fingerprints": op2_fingerprints,
     "op3_packing": op3_packing,
     "op5_simhash_dedup": op5_simhash_dedup,
+    "op6_sharding": op6_sharding,
     "op7_quality": op7_quality,
+    "op8_embedding_dedup": op8_embedding_dedup,
     "op9_line_dedup": op9_line_dedup,
     "op10_bpe": op10_bpe,
 }
@@ -97,6 +114,23 @@ _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _LOWERED = "translate(trim(line, {b}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')".format(b=_BLANKS)
 
 ORACLES: dict[str, str] = {
+    "op8_embedding_dedup": """
+        WITH RECURSIVE sound AS (
+            SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+        ), links AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM sound a
+            JOIN sound b ON a.label = b.label AND len(a.v) = len(b.v) AND a.vec_id <> b.vec_id
+            WHERE list_cosine_similarity(a.v, b.v) >= 0.93
+        ), reach(v, low) AS (
+            SELECT vec_id, vec_id FROM embeddings
+            UNION SELECT l.b, r.low FROM reach r JOIN links l ON l.a = r.v
+        ), least AS (SELECT v, min(low) AS component_id FROM reach GROUP BY v),
+        degree AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+        SELECT e.vec_id, coalesce(d.n, 0) AS n_links, t.component_id, e.vec_id = t.component_id AS kept
+        FROM embeddings e JOIN least t ON t.v = e.vec_id LEFT JOIN degree d ON d.a = e.vec_id""",
     "op9_line_dedup": f"""
         WITH cut AS (
             SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
