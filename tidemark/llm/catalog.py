@@ -13,6 +13,7 @@ from tidemark.llm.language_id import identify_language, train_language_model
 from tidemark.llm.line_dedup import drop_shared_lines
 from tidemark.llm.packing import pack_documents
 from tidemark.llm.quality import score_quality, train_quality_model
+from tidemark.llm.repeats import remove_repeats
 from tidemark.llm.sampling import held_out
 from tidemark.llm.sharding import assign_shards
 from tidemark.llm.simhash_index import as_text, count_neighbours, fingerprint_with_edits
@@ -58,6 +59,11 @@ def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(_texts(spark, folder), TOKENIZER)
 
 
+def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = remove_repeats(_texts(spark, folder), length=200)
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op5_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = near_duplicates(_texts(spark, folder), words=4, bits=4)
     digits = F.lpad(F.lower(F.hex("fingerprint")), 16, "0")
@@ -102,6 +108,7 @@ QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_fingerprints": op2_fingerprints,
     "op3_packing": op3_packing,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_simhash_dedup": op5_simhash_dedup,
     "op6_sharding": op6_sharding,
     "op7_quality": op7_quality,

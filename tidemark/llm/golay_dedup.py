@@ -315,6 +315,21 @@ def near_links(prints: DataFrame, bits: int = MOST_BITS) -> DataFrame:
     return dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_linker(bits), "a long, b long")
 
 
+def _components(docs: DataFrame, keep: list[str], id_col: str, text_col: str, words: int, bits: int) -> DataFrame:
+    """Columns ``keep``, __print, __root (one per component) and component_id of every document."""
+    hashed = stage(fingerprints(docs, keep, text_col, words, "__print"), "fingerprints")
+    distinct = stage(
+        hashed.groupBy(F.col("__print").alias("print")).agg(F.min(id_col).alias("least")), "prints"
+    )
+    roots = connected(near_links(distinct.select("print"), bits))
+    grouped = distinct.join(roots, F.col("print") == F.col("node"), "left").select(
+        "print", "least", F.coalesce("root", "print").alias("__root")
+    )
+    component = grouped.groupBy("__root").agg(F.min("least").alias("component_id"))
+    named = grouped.join(component, "__root").select("print", "__root", "component_id")
+    return hashed.join(named, F.col("__print") == F.col("print")).drop("print")
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, bits: int = MOST_BITS
 ) -> DataFrame:
@@ -322,17 +337,27 @@ def near_duplicates(
 
     Documents are linked when their fingerprints differ in at most ``bits`` bits;
     the component is the smallest id that links reach.  Documents without words
-    share fingerprint 0 and are linked like any others.
+    share fingerprint 0 and are linked like any others.  Rows without id are
+    linked too, but never name a component that has an id.
     """
-    hashed = stage(fingerprints(docs, [id_col], text_col, words, "__print"), "fingerprints")
-    distinct = stage(
-        hashed.groupBy(F.col("__print").alias("print")).agg(F.min(id_col).alias("least")), "prints"
-    )
-    roots = connected(near_links(distinct.select("print"), bits))
-    grouped = distinct.join(roots, F.col("print") == F.col("node"), "left").select(
-        "print", "least", F.coalesce("root", "print").alias("root")
+    found = _components(docs.select(id_col, text_col), [id_col], id_col, text_col, words, bits)
+    return found.select(id_col, F.col("__print").alias("fingerprint"), "component_id")
+
+
+def keep_one(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, bits: int = MOST_BITS
+) -> DataFrame:
+    """``docs`` with one row of each component: the smallest id, and of its texts the least hash.
+
+    A repeated row stays once.
+    """
+    text_hash = F.xxhash64(plain_text(text_col))
+    keyed = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"), text_hash.alias("__k2"))
+    found = _components(keyed, ["__id", "__k2"], "__id", "__text", words, bits)
+    first = F.min(F.struct(F.col("__id").isNull(), "__id", "__k2")).alias("first")
+    stays = found.groupBy("__root").agg(first).select(
+        F.xxhash64("first.__id").alias("__k1"), F.col("first.__k2").alias("__k2")
     )
-    component = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = grouped.join(component, "root").select("print", "component_id")
-    joined = hashed.join(named, F.col("__print") == F.col("print"))
-    return joined.select(id_col, F.col("__print").alias("fingerprint"), "component_id")
+    marked = docs.withColumns({"__k1": F.xxhash64(F.col(id_col)), "__k2": text_hash})
+    kept = marked.join(stays, ["__k1", "__k2"], "left_semi").dropDuplicates(["__k1", "__k2"])
+    return kept.select(*(f"`{c}`" for c in docs.columns))
