@@ -41,12 +41,13 @@ class LanguageSettings:
     bucket_bits: int = 16
     dimensions: int = 16
     epochs: int = 6
+    least_steps: int = 8000  # a small sample is gone over more often
     learning_rate: float = 0.5
     rows_per_language: int = 600  # bound of the training sample, per language
     max_languages: int = 64
     calibration_share: float = 0.25
     wrongly_rejected: float = 0.001  # share of right answers that may be rejected
-    strictest_threshold: float = 0.6
+    strictest_threshold: float = 0.5  # below a half no language holds the text
     seed: int = 11
 
 
@@ -169,8 +170,9 @@ def _fit(languages, truth, ids, weights, s: LanguageSettings) -> LanguageModel:
     order = random.permutation(len(truth))
     held = order[: int(len(order) * s.calibration_share)] if len(order) >= 20 else order[:0]
     fit = order[len(held) :]
-    steps, step = max(1, s.epochs * len(fit)), 0
-    for _ in range(s.epochs):
+    epochs = max(s.epochs, -(-s.least_steps // max(1, len(fit))))
+    steps, step = max(1, epochs * len(fit)), 0
+    for _ in range(epochs):
         for k in random.permutation(fit):
             rate = s.learning_rate * (1 - step / steps)
             step += 1
@@ -208,7 +210,11 @@ def _softmax(logits: np.ndarray) -> np.ndarray:
 
 
 def _loss(logits: np.ndarray, target: np.ndarray) -> float:
-    return -np.log(_softmax(logits)[np.arange(len(target)), target] + 1e-12).mean()
+    """Mean log loss, with one more answer that is right by chance: without an error in the
+    sample, the temperature would else go to certainty."""
+    logs = np.log(_softmax(logits) + 1e-12)
+    chance = 1 / (len(target) + 1)
+    return -((1 - chance) * logs[np.arange(len(target)), target] + chance * logs.mean(axis=1)).mean()
 
 
 def _predictor(model: LanguageModel, passed: list[str], out: pa.Schema):

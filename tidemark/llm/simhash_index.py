@@ -43,7 +43,9 @@ def fingerprint_rows(rows: DataFrame, keys: list[str], text_col: str, out: str)
     """
     exploded = rows.select(*keys, F.explode_outer(terms(F.col(text_col))).alias("__term"))
     first, second = F.col("__term")["first"], F.col("__term")["second"]
-    weight = F.least(F.length(first) + F.coalesce(F.length(second), F.lit(0)), F.lit(_HEAVIEST))
+    letters = F.length(first) + F.coalesce(F.length(second), F.lit(0))
+    # A text without words comes as one null term, which has no vote.
+    weight = F.when(first.isNotNull(), F.least(letters, F.lit(_HEAVIEST)))
     voted = exploded.select(
         *keys, F.xxhash64(first, second).alias("__hash"), weight.cast("long").alias("__weight")
     )
