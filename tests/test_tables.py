@@ -36,7 +36,67 @@ def test_keyed_table_versions(spark, lake):
     table.put(frame(spark, ("a", "before", 11)), 2)  # the same version again
     expected = [{"city": "a", "period": "before", "v": 11}, {"city": "b", "period": "before", "v": 2}]
     assert table.exists() and rows(table.read(), "city") == expected
-    assert rows(table.compact(f"{lake}/folded").read(), "city") == expected
+    table.fold(most=1)
+    assert rows(table.read(), "city") == expected
+
+
+def test_versions_stay_bounded(spark, lake):
+    """Fifty batches leave few versions, and the last one can still run again."""
+    table = KeyedTable(spark, f"{lake}/t", ["city", "period"])
+    for batch in range(50):
+        table.put(frame(spark, (f"c{batch % 7}", "before", batch), ("x", "after", batch)), batch)
+        table.fold(most=5)
+    table.put(frame(spark, ("x", "after", 1000)), 49)
+    table.fold(most=5)
+    assert len(tables._versions(spark, table.path, "version")) <= 6
+    got = {g["city"]: g["v"] for g in rows(table.read())}
+    assert got == {f"c{k}": max(b for b in range(49) if b % 7 == k) for k in range(7)} | {"x": 1000}
+
+
+def test_upsert_keys(spark):
+    """Null is a key; several updates of one key leave one row."""
+    target = spark.createDataFrame([(None, 1), ("a", 1), ("b", 5)], "k STRING, v INT")
+    updates = spark.createDataFrame([(None, 2), ("a", 2), ("a", 3)], "k STRING, v INT")
+    got = {g["k"]: g["v"] for g in rows(tables.upsert(target, updates, ["k"]))}
+    assert got == {None: 2, "a": 3, "b": 5} and tables.upsert(target, updates, ["k"]).count() == 3
+
+
+def test_withdrawn_days_leave_silver(spark, lake):
+    readings = samples.road_readings(SampleTables(spark, SMALL).events)
+    clean = cleaning.silver_readings(readings)
+    tables.refresh_silver(clean, f"{lake}/s")
+    days = clean.select(F.to_date("recorded_at").alias("date")).distinct().orderBy("date").limit(2)
+    first = days.orderBy("date").first()["date"]
+    tables.refresh_silver(clean.where(F.lit(False)), f"{lake}/s", days.where(F.col("date") == F.lit(first)))
+    left = tables.read_silver(spark, f"{lake}/s")
+    assert left.count() == clean.where(F.to_date("recorded_at") != F.lit(first)).count()
+    tables.refresh_silver(clean.where(F.to_date("recorded_at") == F.lit(first)), f"{lake}/s")
+    left = tables.read_silver(spark, f"{lake}/s")
+    assert left.count() == clean.where(F.to_date("recorded_at") == F.lit(first)).count()
+
+
+def test_read_queries_stage_small_tables_only(spark, tmp_path, monkeypatch):
+    """They write baselines and cells, never silver, and all of it can be cleaned."""
+    from pathlib import Path
+
+    from tidemark import session
+
+    def size(place):
+        return sum(f.stat().st_size for f in Path(place).rglob("*.parquet"))
+
+    monkeypatch.setattr(session, "scratch_root", lambda spark: str(tmp_path / "own"))
+    monkeypatch.setattr(session, "_STAGED", [])
+    folder = "/root/testdata/sf0.01"  # here silver is larger than the tables that roll it up
+    tables.replace_table(catalog.silver(SampleTables(spark, folder)), str(tmp_path / "silver"))
+    before = 0
+    for name in ("anomaly_scored", "anomaly_rate", "top_anomalies", "top_anomalies_city", "alerts",
+                 "mobility_score", "kpi_strip"):
+        catalog.REGISTRY[name](spark, folder).collect()
+        assert size(tmp_path / "own") - before < size(tmp_path / "silver") / 2, name
+        before = size(tmp_path / "own")
+    assert before > 0
+    session.clean_scratch(spark)
+    assert size(tmp_path / "own") == 0
 
 
 def test_silver_refresh_is_idempotent(spark, lake):
@@ -44,9 +104,9 @@ def test_silver_refresh_is_idempotent(spark, lake):
     clean = cleaning.silver_readings(bronze)
     path = f"{lake}/silver"
     tables.refresh_silver(clean, path)
-    first = spark.read.parquet(path).count()
+    first = tables.read_silver(spark, path).count()
     tables.refresh_silver(clean, path)
-    assert spark.read.parquet(path).count() == first == clean.count()
+    assert tables.read_silver(spark, path).count() == first == clean.count()
 
 
 def test_partition_pruning_of_the_trailing_window(spark, lake):
@@ -57,8 +117,11 @@ def test_partition_pruning_of_the_trailing_window(spark, lake):
     recent = tables.trailing_window(stored, "2024-01-25 00:00:00", 10)
     text = plan(recent)
     assert "PartitionFilters: [isnotnull(date" in text and "date#" in text.split("PartitionFilters")[1]
-    assert recent.count() == bronze.where("recorded_at >= '2024-01-15'").count()
-    assert tables.recent_bronze(spark, f"{lake}/bronze", "2030-01-01 00:00:00") is None
+    wanted = bronze.where("recorded_at BETWEEN '2024-01-15' AND '2024-01-25'")
+    assert recent.count() == wanted.count()
+    assert tables.trailing_window(stored, "2030-01-01 00:00:00", 10).isEmpty()
+    ahead = tables.trailing_window(stored, "2024-01-25 00:00:00", 10, ahead=True)
+    assert ahead.count() == bronze.where("recorded_at >= '2024-01-15'").count()
 
 
 def test_history_and_replace(spark, lake):
@@ -68,7 +131,11 @@ def test_history_and_replace(spark, lake):
     assert spark.read.parquet(f"{lake}/h").count() == 2
     for _ in range(2):
         tables.replace_table(df, f"{lake}/p")
-    assert spark.read.parquet(f"{lake}/p").count() == 1
+    assert tables.read_replaced(spark, f"{lake}/p").count() == 1
+    for _ in range(3):
+        tables.replace_table(df.unionAll(df), f"{lake}/p")
+    assert tables.read_replaced(spark, f"{lake}/p").count() == 2
+    assert len(tables._versions(spark, f"{lake}/p", "load")) == 2
 
 
 def test_csv_report_per_city(spark, lake):

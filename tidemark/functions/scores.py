@@ -14,15 +14,14 @@ def half_up(value: Column, digits: int) -> Column:
     """Round half up, ignoring binary noise past the tenth decimal.
 
     Sums that were added up in another order therefore round to the same number.
-    Plain arithmetic does it for all but huge values, which (like NaN, giving
-    null) go through a decimal.
+    From 2^52 units on a double has no such decimals, and the value itself comes
+    back; NaN gives null.
     """
     unit = float(10**digits)
-    size = F.abs(value)
-    nearest = F.floor(size * unit + (0.5 + 0.5e-10 * unit)).cast("double") / unit
-    exact = F.round(value.try_cast("decimal(28,10)"), digits).cast("double")
-    small = F.when((value < 0) & (nearest > 0), -nearest).otherwise(nearest)
-    return F.when(size < 1e9, small).otherwise(exact)
+    units = F.abs(value) * unit
+    nearest = F.floor(units + (0.5 + 0.5e-10 * unit)).cast("double") / unit
+    signed = F.when((value < 0) & (nearest > 0), -nearest).otherwise(nearest)
+    return F.when(units < float(1 << 52), signed).when(~F.isnan(value), value)
 
 
 def clamp(value: Column, low: float, high: float) -> Column:

@@ -10,11 +10,16 @@ from tidemark.operators.impact import roll_up
 
 
 def baseline_stats(silver: DataFrame) -> DataFrame:
-    """Mean and sample deviation per city and hour of the ``before`` readings."""
+    """Mean and sample deviation per city and hour of the ``before`` readings.
+
+    Equal readings have deviation 0, whatever the order they were merged in.
+    """
+    ci = F.col("congestion_index")
+    constant = (F.count(ci) > 1) & (F.min(ci) == F.max(ci))
     return (
         silver.where("period = 'before'")
         .groupBy("city", "hour")
-        .agg(F.avg("congestion_index").alias("mu"), F.stddev("congestion_index").alias("sigma"))
+        .agg(F.avg(ci).alias("mu"), F.when(constant, F.lit(0.0)).otherwise(F.stddev(ci)).alias("sigma"))
     )
 
 

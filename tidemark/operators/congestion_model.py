@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
@@ -41,23 +42,36 @@ def enough_rows(df: DataFrame, least: int) -> bool:
     return df.limit(least).count() >= least
 
 
+def _complete():
+    """Whether a reading has all features of the classifier."""
+    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in CLASSIFIER_FEATURES])
+
+
 def fit_classifier(
     silver: DataFrame, settings: ImpactSettings = ImpactSettings(), chronological: bool = False
 ) -> tuple[PipelineModel, DataFrame] | None:
-    """The fitted forest and its metrics, or None with too few readings."""
-    if not enough_rows(silver, settings.min_classifier_rows):
+    """The fitted forest and its metrics, or None with too few readings.
+
+    Readings without one of the features cannot be classified; they are left out
+    of training and test and counted as ``dropped_rows``.
+    """
+    if not enough_rows(silver.where(_complete()), settings.min_classifier_rows):
         return None
-    rows = mark_split(silver, settings.seed, chronological=chronological).select(
+    marked = mark_split(silver, settings.seed, chronological=chronological).select(
         *CLASSIFIER_FEATURES, F.col("congestion_level").cast("double").alias("label"), "is_train"
     )
+    rows = marked.where(_complete())
     forest = RandomForestClassifier(
         featuresCol="features", labelCol="label", numTrees=settings.trees, seed=settings.seed
     )
     assembler = VectorAssembler(
-        inputCols=list(CLASSIFIER_FEATURES), outputCol="features", handleInvalid="skip"
+        inputCols=list(CLASSIFIER_FEATURES), outputCol="features", handleInvalid="error"
     )
     model = Pipeline(stages=[assembler, forest]).fit(rows.where("is_train"))
-    counts = rows.agg(F.count_if("is_train").alias("train_rows"))
+    counts = marked.agg(
+        F.count_if(F.col("is_train") & _complete()).alias("train_rows"),
+        F.count_if(~_complete()).alias("dropped_rows"),
+    )
     return model, metrics(model.transform(rows.where(~F.col("is_train"))), counts)
 
 
@@ -97,15 +111,22 @@ def metrics(predictions: DataFrame, counts: DataFrame) -> DataFrame:
     )
     # Both frames are single rows of totals.
     joined = total.withColumn("k", F.lit(1)).join(counts.withColumn("k", F.lit(1)), "k")
-    return joined.select("train_rows", "test_rows", both.alias("m")).select(
+    return joined.select("train_rows", "test_rows", "dropped_rows", both.alias("m")).select(
         F.lit(MODEL_NAME).alias("model_name"),
         "m.metric_name",
         scores.half_up(F.col("m.metric_value"), 4).alias("metric_value"),
         "train_rows",
-        "test_rows",
+        F.coalesce("test_rows", F.lit(0)).alias("test_rows"),
+        "dropped_rows",
     )
 
 
+METRICS_SCHEMA = (
+    "model_name string, metric_name string, metric_value double, train_rows long, test_rows long, "
+    "dropped_rows long"
+)
+
+
 def forecast(
     model: PipelineModel,
     silver: DataFrame,
@@ -138,7 +159,8 @@ def forecast(
         "free_flow_speed",
         (now + F.make_dt_interval(mins=F.col("step.horizon_minutes"))).alias("target_at"),
     )
-    predicted = model.transform(add_calendar(scenario, "target_at"))
+    # A city without any free-flow speed has no forecast.
+    predicted = model.transform(add_calendar(scenario, "target_at").where(_complete()))
     level = F.col("prediction").cast("int")
     result = predicted.select(
         "city",

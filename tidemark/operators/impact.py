@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.config import Economics
 from tidemark.functions import bands, scores
 
+# The rush hours.
 PEAK_HOURS = ((7, 9), (17, 19))
 
 
@@ -26,7 +27,10 @@ def reading_cells(silver: DataFrame) -> DataFrame:
     ).agg(
         F.count("*").alias("readings"),
         F.sum(ci).alias("sum_ci"),
-        F.sum(ci * ci).alias("sum_ci2"),
+        # Squared distances from the cell's own mean: sums of squares would lose them.
+        (F.var_pop(ci) * F.count(ci)).alias("spread_ci"),
+        F.min(ci).alias("min_ci"),
+        F.max(ci).alias("max_ci"),
         F.sum("current_speed").alias("sum_speed"),
         F.sum("free_flow_speed").alias("sum_free_flow"),
         F.count("free_flow_speed").alias("free_flow_readings"),
@@ -36,8 +40,12 @@ def reading_cells(silver: DataFrame) -> DataFrame:
 def roll_up(cells: DataFrame, *keys: str) -> DataFrame:
     """Means, count and sample deviation per ``keys`` from :func:`reading_cells`."""
     n, total = F.sum("readings"), F.sum("sum_ci")
-    spread = F.greatest(F.lit(0.0), F.sum("sum_ci2") - total * total / n)
-    return cells.groupBy(*keys).agg(
+    group = Window.partitionBy(*keys)
+    away = F.col("sum_ci") / F.col("readings") - F.sum("sum_ci").over(group) / F.sum("readings").over(group)
+    centred = cells.withColumn("_spread", F.col("spread_ci") + F.col("readings") * away * away)
+    # Equal readings have no deviation, whatever rounding says.
+    spread = F.when(F.min("min_ci") < F.max("max_ci"), F.sum("_spread")).otherwise(F.lit(0.0))
+    return centred.groupBy(*keys).agg(
         (total / n).alias("avg_congestion"),
         (F.sum("sum_speed") / n).alias("avg_speed"),
         F.try_divide(F.sum("sum_free_flow"), F.sum("free_flow_readings")).alias("avg_free_flow"),
@@ -141,22 +149,12 @@ def with_estimates(daily: DataFrame, economics: Economics = Economics()) -> Data
 
 
 def latest_day(daily: DataFrame) -> DataFrame:
-    """The rows of the newest day present, one pass over the input.
+    """The rows of the newest day present.
 
-    Each city is first reduced to its own newest day; only those rows (one per
-    city) meet to find the overall newest one.
+    The newest day is one value, found with partial maxima and joined back.
     """
-    rest = [c for c in daily.columns if c not in ("city", "summary_date")]
-    newest = daily.groupBy("city").agg(
-        F.max_by(F.struct("summary_date", *rest), "summary_date").alias("day")
-    )
-    rows = newest.select("city", "day.*")
-    overall = F.max("summary_date").over(Window.partitionBy())
-    return (
-        rows.withColumn("_overall", overall)
-        .where("summary_date = _overall")
-        .select(*daily.columns)
-    )
+    newest = daily.agg(F.max("summary_date").alias("summary_date"))
+    return daily.join(newest, "summary_date", "left_semi").select(*daily.columns)
 
 
 def road_impact(silver: DataFrame) -> DataFrame:
@@ -192,12 +190,25 @@ def level_distribution(silver: DataFrame) -> DataFrame:
     )
 
 
-def hourly_trend(history: DataFrame, newest: int = 2000, city: str | None = None) -> DataFrame:
-    """Mean congestion per clock hour and city over the newest readings."""
+def hourly_trend(
+    history: DataFrame, hours: int = 168, city: str | None = None, newest: int | None = None
+) -> DataFrame:
+    """Mean congestion per clock hour and city over the newest ``hours`` whole hours.
+
+    ``newest`` limits the readings instead, as a dashboard with a row budget does;
+    its oldest hour may then be averaged over a part of its readings.
+    """
     if city:
         history = history.where(F.col("city") == city)
-    recent = history.orderBy(F.col("recorded_at").desc(), "city", "road_name").limit(newest)
-    return recent.groupBy(F.date_trunc("hour", "recorded_at").alias("hour"), "city").agg(
+    hour = F.date_trunc("hour", "recorded_at")
+    if newest is not None:
+        recent = history.orderBy(F.col("recorded_at").desc(), "city", "road_name").limit(newest)
+    else:
+        last = history.agg(F.max(hour).alias("_last")).select(
+            F.explode(F.sequence(F.lit(0), F.lit(hours - 1))).alias("_back"), "_last"
+        ).select((F.col("_last") - F.make_dt_interval(hours=F.col("_back"))).alias("_hour"))
+        recent = history.withColumn("_hour", hour).join(last, "_hour", "left_semi")
+    return recent.groupBy(hour.alias("hour"), "city").agg(
         F.avg("congestion_index").alias("congestion_index")
     )
 

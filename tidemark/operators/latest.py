@@ -33,7 +33,8 @@ def city_snapshot(latest: DataFrame) -> DataFrame:
     state = latest.groupBy("city").agg(
         F.avg("congestion_index").alias("avg_congestion"),
         F.avg("current_speed").alias("avg_speed"),
-        F.max_by("period", "recorded_at").alias("period"),
+        # Of readings at one time the last road by name tells the period.
+        F.max_by("period", F.struct("recorded_at", "road_name")).alias("period"),
         F.max("recorded_at").alias("updated_at"),
         F.count("*").alias("roads_monitored"),
     )

@@ -73,11 +73,6 @@ def silver(t: SampleTables) -> DataFrame:
     return cleaning.silver_readings(bronze(t))
 
 
-def stored_silver(t: SampleTables) -> DataFrame:
-    """Silver as a written table, for queries with several branches."""
-    return stage(silver(t), "silver")
-
-
 def scored(rows: DataFrame) -> DataFrame:
     return anomaly.score_readings(rows, stage(anomaly.baseline_stats(rows), "baseline"))
 
@@ -122,6 +117,12 @@ def history_fallback(t):
     return cleaning.history_rows(empty, bronze(t))
 
 
+@query
+def history_silver(t):
+    """The same rows from a silver layer that has them."""
+    return cleaning.history_rows(silver(t), bronze(t))
+
+
 @query
 def bronze_defaults(t):
     """Weather messages without source, channel and, for dry ones, rain."""
@@ -283,13 +284,13 @@ def city_zone_mode(t):
 
 @query
 def hourly_trend(t):
-    return rounded(impact.hourly_trend(silver(t), 2000), "congestion_index")
+    return rounded(impact.hourly_trend(silver(t), hours=168), "congestion_index")
 
 
 @query
 def upsert_comparison(t):
     """Comparison of the first days, updated by the comparison of the later ones."""
-    rows = stored_silver(t)
+    rows = silver(t)
     split = F.lit("2024-01-16").cast("timestamp")
     target = impact.city_comparison(rows.where(F.col("recorded_at") < split))
     updates = impact.city_comparison(rows.where(F.col("recorded_at") >= split))
@@ -299,7 +300,7 @@ def upsert_comparison(t):
 
 @query
 def layer_counts(t):
-    rows = stored_silver(t)
+    rows = silver(t)
     marked = scored(rows)
     return impact.table_counts(
         {
@@ -326,7 +327,7 @@ def baseline_stats(t):
 
 @query
 def anomaly_scored(t):
-    rows = scored(stored_silver(t)).select(
+    rows = scored(silver(t)).select(
         "city", "road_name", "recorded_at", "period", "congestion_index", "mu", "sigma", "zscore",
         "is_anomaly",
     )
@@ -335,18 +336,18 @@ def anomaly_scored(t):
 
 @query
 def anomaly_rate(t):
-    return anomaly.anomaly_rate(scored(stored_silver(t)))
+    return anomaly.anomaly_rate(scored(silver(t)))
 
 
 @query
 def top_anomalies(t):
-    top = anomaly.top_anomalies(scored(stored_silver(t)), 200)
+    top = anomaly.top_anomalies(scored(silver(t)), 200)
     return rounded(top, "baseline_mean", "baseline_stddev", "zscore")
 
 
 @query
 def top_anomalies_city(t):
-    top = anomaly.top_anomalies(scored(stored_silver(t)), 50, city="city_1")
+    top = anomaly.top_anomalies(scored(silver(t)), 50, city="city_1")
     return rounded(top, "baseline_mean", "baseline_stddev", "zscore")
 
 
@@ -441,7 +442,7 @@ def budget_projection(t):
 
 @named("alerts")
 def all_alerts(t):
-    rates = anomaly.anomaly_rate(scored(stored_silver(t)))
+    rates = anomaly.anomaly_rate(scored(silver(t)))
     # Any rise is reported here, so that the anomaly alert takes part.
     found = alerts.active_alerts(samples.price_table(t), rates, points=-100.0)
     return rounded(found, "old_price", "new_price")
@@ -460,13 +461,13 @@ def daily_from_cells(cells: DataFrame) -> DataFrame:
 
 @query
 def mobility_score(t):
-    rows = stored_silver(t)
+    rows = silver(t)
     return mobility_rows(rows, impact.reading_cells(rows))
 
 
 @query
 def dashboard_snapshot(t):
-    rows = stored_silver(t)
+    rows = silver(t)
     cells = stage(impact.reading_cells(rows), "cells")
     snapshot = serving.dashboard_snapshot(
         mobility_rows(rows, cells), daily_from_cells(cells), FUEL_PRICE
@@ -476,7 +477,7 @@ def dashboard_snapshot(t):
 
 @query
 def kpi_strip(t):
-    rows = stored_silver(t)
+    rows = silver(t)
     cells = stage(impact.reading_cells(rows), "cells")
     kpis = serving.kpi_strip(
         impact.comparison_wide(impact.roll_up(cells, "city", "period")),
@@ -758,13 +759,14 @@ def stream_live_feed(t):
 
 
 def fitted_classifier(t: SampleTables):
-    rows = stored_silver(t)
+    rows = silver(t)
     return rows, *congestion_model.fit_classifier(rows)
 
 
 @query
 def rf_metrics(t):
-    return fitted_classifier(t)[2]
+    fitted = congestion_model.fit_classifier(silver(t))
+    return fitted[1] if fitted else t.spark.createDataFrame([], congestion_model.METRICS_SCHEMA)
 
 
 @query
@@ -859,17 +861,81 @@ def medallion_cycle(t):
     return impact.table_counts({name: lake.read(name) for name in sorted(set(written))})
 
 
+CYCLE_AS_OF = "2024-02-01 00:00:00"
+# A cycle in the middle of the readings, of which two days were corrected after an earlier one.
+CYCLE_EARLY, CYCLE_LATE = "2024-01-20 12:00:00", "2024-01-26 18:30:00"
+CYCLE_BAD_DAYS = ("2024-01-10", "2024-01-23")
+
+
+def corrected_lake(t: SampleTables) -> cycle.Lake:
+    """A full cycle, two days withdrawn by a later batch, then an incremental cycle."""
+    lake = cycle.Lake(t.spark, scratch_path(t.spark, "lake"))
+    readings = bronze(t)
+    tables.seed_bronze(readings, lake.path("bronze_traffic"))
+    cycle.run_cycle(lake, CYCLE_EARLY, with_models=False)
+    bad = readings.where(F.to_date("recorded_at").cast("string").isin(*CYCLE_BAD_DAYS))
+    fixed = bad.withColumns(
+        {"ingest_seq": F.col("ingest_seq") + 10**12, "current_speed": F.lit(0.0)}
+    )
+    tables.write_partitioned(
+        cleaning.with_defaults(fixed).withColumn("ingest_batch", F.lit(1)),
+        lake.path("bronze_traffic"), by=tables.BRONZE_PARTITIONS,
+    )
+    cycle.run_cycle(lake, CYCLE_LATE, with_models=False, incremental=True)
+    return lake
+
+
+@query
+def cycle_silver(t):
+    """Readings per city and day that silver holds after the correction."""
+    lake = corrected_lake(t)
+    days = lake.read("silver_traffic").groupBy("city", F.to_date("recorded_at").alias("day"))
+    return dated(days.agg(F.count("*").alias("readings")), "day")
+
+
+@query
+def cycle_comparison(t):
+    rows = corrected_lake(t).keyed("gold_city_comparison").read().drop("computed_at")
+    return rounded(rows, "avg_congestion", "avg_speed")
+
+
+@query
+def cycle_hourly(t):
+    rows = corrected_lake(t).keyed("gold_hourly_pattern").read().drop("computed_at")
+    return rounded(rows, "avg_congestion", "avg_speed")
+
+
+@query
+def cycle_daily(t):
+    """Two summaries: the newest day of either cycle."""
+    rows = corrected_lake(t).keyed("gold_daily_summary").read().drop("computed_at")
+    return dated(rounded(rows, "avg_congestion_index", "avg_speed"), "summary_date")
+
+
+@query
+def cycle_anomaly_rate(t):
+    return corrected_lake(t).keyed("gold_anomaly_rate").read().drop("computed_at")
+
+
+@query
+def cycle_top_anomalies(t):
+    lake = corrected_lake(t)
+    rows = tables.read_replaced(t.spark, lake.path("gold_anomalies"))
+    return rounded(rows, "baseline_mean", "baseline_stddev", "zscore")
+
+
 @query
 def gold_summary(t):
     """The serving documents after one cycle without models."""
     lake = cycle.Lake(t.spark, scratch_path(t.spark, "lake"))
     tables.seed_bronze(bronze(t), lake.path("bronze_traffic"))
-    cycle.run_cycle(lake, "2024-02-01 00:00:00", with_models=False)
-    return t.spark.read.parquet(lake.path("serving_documents"))
+    cycle.run_cycle(lake, CYCLE_AS_OF, with_models=False)
+    return lake.read("serving_documents")
 
 
 @query
 def snapshot_pages(t):
     """Road records per city in bounded pages."""
-    pages = latest.road_pages(latest.latest_readings(bronze(t)))
+    # One row per road: both the page count and the pages read it.
+    pages = latest.road_pages(stage(latest.latest_readings(bronze(t)), "latest"))
     return pages.select("city", "page", F.to_json("roads").alias("roads"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.config import ImpactSettings
 from tidemark.operators import anomaly, cleaning, congestion_model, impact, latest, zones
+from tidemark.session import stage
 from tidemark.sources import tables
 from tidemark.sources.tables import KeyedTable
 
@@ -19,7 +20,12 @@ GOLD_KEYS = {
     "gold_daily_summary": ("summary_date", "city"),
     "gold_road_clusters": ("city", "road_name"),
     "gold_anomaly_rate": ("period",),
+    "cycle_state": ("task",),
 }
+# Tables that every cycle replaces as a whole.
+REPLACED = (
+    "silver_cells", "silver_baseline", "gold_anomalies", "gold_road_impact", "serving_documents",
+)
 
 
 @dataclass(frozen=True)
@@ -37,6 +43,10 @@ class Lake:
         that differences of means are not differences of rounded means."""
         if table in GOLD_KEYS:
             return tables.published_precision(self.keyed(table).read())
+        if table in REPLACED:
+            return tables.published_precision(tables.read_replaced(self.spark, self.path(table)))
+        if table == "silver_traffic":
+            return tables.published_precision(tables.read_silver(self.spark, self.path(table)))
         return tables.published_precision(self.spark.read.parquet(self.path(table)))
 
     def keyed(self, table: str) -> KeyedTable:
@@ -49,42 +59,63 @@ def _ingest_order(readings: DataFrame) -> str:
     return next(known, "recorded_at")
 
 
+def last_batch(lake: Lake) -> int | None:
+    """The newest ingest batch that a finished cycle has cleaned; None before the first."""
+    state = lake.keyed("cycle_state")
+    if not state.exists():
+        return None
+    row = state.read().where("task = 'silver'").first()
+    return row["last_batch"] if row else None
+
+
 def run_cycle(
     lake: Lake,
     as_of: str,
     settings: ImpactSettings = ImpactSettings(),
     with_models: bool = True,
     after_batch: int | None = None,
+    incremental: bool = False,
 ) -> list[str]:
     """One pass at time ``as_of``; returns the tables that were written.
 
     With ``after_batch`` only the days that later ingest batches touched are
-    cleaned again.  Every step reads stored tables, so a failed cycle can simply
-    run again: it replaces what it wrote.  The driver sees only guards and
-    k-means centres.
+    cleaned again; ``incremental`` takes the batch that the last finished cycle
+    noted.  Gold always follows the readings of the trailing window up to
+    ``as_of``, also when no batch is new, since the window moves on.  Every step
+    reads stored tables, so a failed cycle can simply run again: it replaces what
+    it wrote.  The driver sees only guards, k-means centres and the city names
+    that a model indexes.
     """
     spark = lake.spark
-    # Whole days, since silver partitions are replaced by day.
+    if incremental and after_batch is None:
+        after_batch = last_batch(lake)
+    # Whole days, since silver partitions are replaced by day.  Later readings are cleaned
+    # too: a cycle that reaches their time need not find their batch new.
     midnight = f"{as_of[:10]} 00:00:00"
     stored = spark.read.parquet(lake.path("bronze_traffic"))
+    newest = stored.agg(F.max("ingest_batch").alias("batch")).first()["batch"]
+    bronze = tables.within(stored, midnight, settings.trailing_days, ahead=True)
+    days = None
     if after_batch is not None:
-        # At most one row per day of the trailing window; prunes the scan.
-        days = tables.touched_dates(stored, after_batch)
-        stored = stored.join(F.broadcast(days), "date", "left_semi")
-    bronze = tables.trailing_window(stored, midnight, settings.trailing_days)
-    if bronze.isEmpty():
+        days = stage(tables.touched_dates(bronze, after_batch), "touched-days")
+        bronze = bronze.join(days, "date", "left_semi")
+    written = []
+    sequence = _ingest_order(stored)
+    if not bronze.isEmpty():
+        bronze = tables.trailing_window(bronze, midnight, settings.trailing_days, ahead=True)
+        tables.refresh_silver(
+            cleaning.silver_readings(cleaning.nan_to_null(bronze), sequence),
+            lake.path("silver_traffic"), days,
+        )
+        written.append("silver_traffic")
+    if not tables.table_exists(spark, lake.path("silver_traffic")):
         return []
-    version = int(spark.sql(f"SELECT unix_timestamp(TIMESTAMP '{as_of}') AS v").first()["v"])
-    written = ["silver_traffic"]
-    sequence = _ingest_order(bronze)
-    tables.refresh_silver(
-        cleaning.silver_readings(cleaning.nan_to_null(bronze), sequence),
-        lake.path("silver_traffic"),
-    )
-    oldest = F.lit(as_of).cast("timestamp") - F.make_dt_interval(days=F.lit(settings.trailing_days))
-    silver = spark.read.parquet(lake.path("silver_traffic")).where(
-        (F.col("date") >= F.to_date(oldest)) & (F.col("recorded_at") >= oldest)
+    silver = tables.within(
+        tables.read_silver(spark, lake.path("silver_traffic")), as_of, settings.trailing_days
     )
+    if silver.isEmpty():
+        return []
+    version = int(spark.sql(f"SELECT unix_timestamp(TIMESTAMP '{as_of}') AS v").first()["v"])
 
     def put(table: str, rows: DataFrame) -> None:
         stamped = rows.withColumn("computed_at", F.lit(as_of).cast("timestamp"))
@@ -94,7 +125,7 @@ def run_cycle(
     def replace(table: str, rows: DataFrame) -> DataFrame:
         tables.replace_table(rows, lake.path(table))
         written.append(table)
-        return spark.read.parquet(lake.path(table))
+        return tables.read_replaced(spark, lake.path(table))
 
     # One pass over silver; all the means below roll up from its few rows.
     cells = replace("silver_cells", impact.reading_cells(silver))
@@ -121,7 +152,13 @@ def run_cycle(
     put("gold_anomaly_rate", anomaly.anomaly_rate(scored))
     if with_models:
         _run_models(lake, silver, as_of, settings, put, replace, written)
-    _write_documents(lake)
+    _write_documents(lake, written)
+    # Noted last: a cycle that fails before cleans the same days again.
+    state = spark.createDataFrame([("silver", newest)], "task string, last_batch long")
+    lake.keyed("cycle_state").put(state, version)
+    for table in GOLD_KEYS:
+        if lake.keyed(table).exists():
+            lake.keyed(table).fold()
     return written
 
 
@@ -149,22 +186,31 @@ def _run_models(lake: Lake, silver: DataFrame, as_of: str, settings, put, replac
     written += ["gold_model_metrics", "gold_predictions"]
 
 
-def _write_documents(lake: Lake) -> None:
-    """Serving documents from the gold tables, one row per key."""
+def _write_documents(lake: Lake, written: list[str]) -> None:
+    """Serving documents from the gold tables, one row per key.
+
+    Results of models are served only if this cycle computed them: with too few
+    readings for a model, those of an earlier cycle would pass for current.
+    """
     wide = impact.comparison_wide(lake.keyed("gold_city_comparison").read())
     hourly = lake.keyed("gold_hourly_pattern").read()
+    daily = impact.latest_day(lake.read("gold_daily_summary").drop("computed_at"))
     documents = [
         tables.comparison_documents(wide),
         tables.hourly_documents(hourly),
         tables.row_documents(lake.read("gold_anomaly_rate"), "anomaly_rate", ["period"]),
+        tables.row_documents(daily, "daily", ["city"]),
     ]
+    if tables.table_exists(lake.spark, lake.path("price_policy")):
+        prices = lake.read("price_policy")
+        documents.append(tables.row_documents(prices, "price_policy", ["fuel_type"]))
     optional = {
         "gold_predictions": ("prediction", ["city", "horizon_minutes"]),
         "gold_model_metrics": ("model_metrics", ["model_name", "metric_name"]),
         "gold_road_clusters": ("cluster", ["city", "road_name"]),
     }
     for table, (prefix, key) in optional.items():
-        if tables.table_exists(lake.spark, lake.path(table)):
+        if table in written:
             rows = lake.read(table)
             if "run_id" in rows.columns:
                 rows = cleaning.keep_latest(rows, key, [F.col("computed_at").desc()])

@@ -376,6 +376,22 @@ DAILY_ONLY = DAILY[len(SILVER) + 1:]
 MOBILITY = f"{COMPARISON},{ROADS_ONLY},{ZONES_ONLY},{MOBILITY_ONLY}"
 
 
+# Silver as the two cycles of ``catalog.corrected_lake`` see it: before the correction, and
+# after two days were withdrawn; ``silver`` is always the layer a gold table is computed from.
+_AT = "current_speed > 0 AND recorded_at <= TIMESTAMP '{}'{})"
+_GOOD_DAYS = " AND CAST(recorded_at AS DATE) NOT IN (DATE '2024-01-10', DATE '2024-01-23')"
+EARLY = SILVER.replace("current_speed > 0)", _AT.format("2024-01-20 12:00:00", ""))
+LATE = SILVER.replace("current_speed > 0)", _AT.format("2024-01-26 18:30:00", _GOOD_DAYS))
+CORRECTED = SILVER.replace("current_speed > 0)", f"current_speed > 0{_GOOD_DAYS})")
+
+
+def _both_cycles(rows: str, keys: str, more: str = "") -> str:
+    """Rows of the late cycle, and of the early one those that the late one did not replace."""
+    return f"""
+        WITH late AS (WITH {LATE}{more} {rows}), early AS (WITH {EARLY}{more} {rows})
+        SELECT * FROM late UNION ALL SELECT * FROM early WHERE ({keys}) NOT IN (SELECT ({keys}) FROM late)"""
+
+
 def _anomaly_columns(extra: str) -> str:
     return (
         f"SELECT city, road_name, recorded_at, congestion_index, {r('mu')} AS baseline_mean, "
@@ -408,6 +424,25 @@ ORACLES: dict[str, str] = {
     "bronze_trailing_window": f"""WITH {BRONZE}
         SELECT * EXCLUDE (ingest_seq) FROM bronze
         WHERE recorded_at >= TIMESTAMP '2024-03-10' - INTERVAL 60 DAY""",
+    "history_silver": f"""WITH {SILVER}
+        SELECT city, road_name, current_speed, congestion_index, congestion_level, period,
+               recorded_at FROM silver""",
+    "cycle_silver": f"""WITH {CORRECTED}
+        SELECT city, CAST(CAST(recorded_at AS DATE) AS TIMESTAMP) AS day, count(*) AS readings
+        FROM silver GROUP BY 1, 2""",
+    "cycle_comparison": _both_cycles(
+        f"""SELECT city, period, {r("avg(congestion_index)")} AS avg_congestion,
+                   {r("avg(current_speed)")} AS avg_speed, count(*) AS record_count
+            FROM silver GROUP BY city, period""", "city, period"),
+    "cycle_hourly": _both_cycles(
+        f"""SELECT city, period, hour, {r("avg(congestion_index)")} AS avg_congestion,
+                   {r("avg(current_speed)")} AS avg_speed
+            FROM silver GROUP BY city, period, hour""", "city, hour, period"),
+    "cycle_daily": _both_cycles(
+        "SELECT * FROM daily WHERE summary_date = (SELECT max(summary_date) FROM daily)",
+        "summary_date, city", "," + DAILY_ONLY),
+    "cycle_anomaly_rate": _both_cycles("SELECT * FROM rates", "period", "," + SCORED_ONLY),
+    "cycle_top_anomalies": f"WITH {LATE},{SCORED_ONLY} {_anomaly_columns('')} {_STRONGEST} LIMIT 200",
     "history_fallback": f"""WITH {BRONZE}
         SELECT city, road_name, current_speed, congestion_index,
                {level("congestion_index")} AS congestion_level, period, recorded_at FROM bronze""",
@@ -512,7 +547,8 @@ ORACLES: dict[str, str] = {
         FROM road_impact""",
     "city_zone_mode": f"WITH {ROADS},{ZONES_ONLY} SELECT city, zone, roads, impact_level FROM zones",
     "hourly_trend": f"""WITH {SILVER},
-        newest AS (SELECT * FROM silver ORDER BY recorded_at DESC, city, road_name LIMIT 2000)
+        newest AS (SELECT * FROM silver WHERE date_trunc('hour', recorded_at) >=
+                   (SELECT date_trunc('hour', max(recorded_at)) FROM silver) - INTERVAL 167 HOUR)
         SELECT CAST(date_trunc('hour', recorded_at) AS TIMESTAMP) AS hour, city,
                {r("avg(congestion_index)")} AS congestion_index
         FROM newest GROUP BY 1, 2""",

@@ -55,12 +55,14 @@ def cluster_overview(roads: DataFrame, zones: DataFrame) -> DataFrame:
 def forecast_steps(cached: DataFrame, stored: DataFrame, newest: int = 24) -> DataFrame:
     """Forecast per (city, horizon): the current predictions, then stored ones.
 
-    Both frames hold (city, horizon_minutes, predicted_level, predicted_at); of
-    the stored ones each city gives its newest rows.
+    Both frames hold (city, horizon_minutes, predicted_level, predicted_at).  Of
+    the stored ones the newest of each horizon counts; the limit of rows per city
+    comes after that, so no horizon disappears behind repeated ones.
     """
     from tidemark.operators.cleaning import keep_latest
 
-    ranked = newest_predictions(stored, newest)
+    latest = keep_latest(stored, ("city", "horizon_minutes"), [F.col("predicted_at").desc()])
+    ranked = newest_predictions(latest, newest)
     both = cached.withColumn("source", F.lit(0)).unionByName(ranked.withColumn("source", F.lit(1)))
     steps = keep_latest(
         both, ("city", "horizon_minutes"), [F.col("source"), F.col("predicted_at").desc()]

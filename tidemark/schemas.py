@@ -66,7 +66,7 @@ PUBLISHED_PRECISION = {
     "delta_congestion": "decimal(6,2)",
     "baseline_mean": "decimal(6,2)",
     "baseline_stddev": "decimal(6,2)",
-    "zscore": "decimal(9,3)",
+    "zscore": "decimal(18,3)",
     "anomaly_rate_pct": "decimal(6,2)",
     "metric_value": "decimal(6,4)",
     "current_congestion": "decimal(6,2)",

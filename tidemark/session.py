@@ -9,6 +9,8 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
+_STAGED: list[str] = []
+_LOCAL_ROOT: list[str] = []
 
 
 def build_session(app: str = "tidemark", master: str | None = None, **conf: str) -> SparkSession:
@@ -41,16 +43,17 @@ def scratch_root(spark: SparkSession) -> str:
     """The shared folder for staged tables and stream checkpoints.
 
     A cluster names it in ``spark.checkpoint.dir``.  Only a local master may go
-    without: it gets a fresh temporary folder, remembered in the session.
+    without: it gets a fresh temporary folder, the same for the whole program.
     """
     root = spark.conf.get(_CHECKPOINT_KEY, None)
     if root:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {_CHECKPOINT_KEY} to a folder every executor can reach")
-    root = tempfile.mkdtemp(prefix="tidemark-")
-    spark.conf.set(_CHECKPOINT_KEY, root)
-    return root
+    # Kept here: Spark does not let a running session change this setting.
+    if not _LOCAL_ROOT:
+        _LOCAL_ROOT.append(tempfile.mkdtemp(prefix="tidemark-"))
+    return _LOCAL_ROOT[0]
 
 
 def scratch_path(spark: SparkSession, tag: str) -> str:
@@ -68,10 +71,19 @@ def stage(df: DataFrame, tag: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, tag)
+    _STAGED.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def clean_scratch(spark: SparkSession) -> None:
+    """Remove every table that this program staged; frames that read them end with it."""
+    from tidemark.sources import files
+
+    while _STAGED:
+        files.remove(spark, _STAGED.pop())
+
+
 @contextmanager
 def shuffle_width(spark: SparkSession, partitions: int | None):
     """Set the shuffle width while a stream starts.

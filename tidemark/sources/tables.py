@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.functions import scores
+from tidemark.operators import cleaning
+from tidemark.session import stage
+from tidemark.sources import files
 
 BRONZE_COLUMNS = (
     "city", "road_name", "lat", "lon", "current_speed", "free_flow_speed", "congestion_index",
@@ -16,26 +20,33 @@ BRONZE_COLUMNS = (
 )
 
 
-def trailing_window(bronze: DataFrame, as_of: str, days: int = 60) -> DataFrame:
-    """Bronze rows of the last ``days`` days before ``as_of``.
+def within(rows: DataFrame, as_of: str, days: int, ahead: bool = False) -> DataFrame:
+    """Rows of the last ``days`` days up to ``as_of``; ``ahead`` keeps later ones too.
 
-    On a table partitioned by ``date`` the same bound is put on the partition
+    On a table partitioned by ``date`` the same bounds are put on the partition
     column, which Catalyst cannot infer from ``recorded_at``.
     """
-    oldest = F.lit(as_of).cast("timestamp") - F.make_dt_interval(days=F.lit(days))
-    rows = bronze.where(F.col("recorded_at") >= oldest)
-    if "date" in bronze.columns:
-        rows = rows.where(F.col("date") >= F.to_date(oldest))
+    now = F.lit(as_of).cast("timestamp")
+    oldest = now - F.make_dt_interval(days=F.lit(days))
+    kept = rows.where(F.col("recorded_at") >= oldest)
+    if not ahead:
+        kept = kept.where(F.col("recorded_at") <= now)
+    if "date" in rows.columns:
+        kept = kept.where(F.col("date") >= F.to_date(oldest))
+        if not ahead:
+            kept = kept.where(F.col("date") <= F.to_date(now))
+    return kept
+
+
+def trailing_window(
+    bronze: DataFrame, as_of: str, days: int = 60, ahead: bool = False
+) -> DataFrame:
+    """Bronze rows of the last ``days`` days up to ``as_of``."""
+    rows = within(bronze, as_of, days, ahead)
     extra = [c for c in ("ingest_seq", "ingested_at") if c in bronze.columns]
     return rows.select(*BRONZE_COLUMNS, *extra)
 
 
-def recent_bronze(spark: SparkSession, path: str, as_of: str, days: int = 60) -> DataFrame | None:
-    """The trailing window of the bronze table, or None when it holds nothing."""
-    rows = trailing_window(spark.read.parquet(path), as_of, days)
-    return None if rows.isEmpty() else rows
-
-
 def table_exists(spark: SparkSession, path: str) -> bool:
     """Whether a Parquet table can be read at ``path``."""
     from pyspark.errors import AnalysisException
@@ -97,9 +108,7 @@ SEED_BATCH = -1
 
 def seed_bronze(readings: DataFrame, path: str, source: str = "tomtom") -> None:
     """Bulk load of historical readings, tagged as a batch; may run again."""
-    from tidemark.operators.cleaning import with_defaults
-
-    seeded = with_defaults(readings, source=source, ingested_via="batch_seed")
+    seeded = cleaning.with_defaults(readings, source=source, ingested_via="batch_seed")
     write_partitioned(
         seeded.withColumn("ingest_batch", F.lit(SEED_BATCH)), path, by=BRONZE_PARTITIONS
     )
@@ -110,18 +119,34 @@ def touched_dates(bronze: DataFrame, after_batch: int) -> DataFrame:
     return bronze.where(F.col("ingest_batch") > after_batch).select("date").distinct()
 
 
-def refresh_silver(silver: DataFrame, path: str) -> None:
-    """Refresh the silver partitions; running it again changes nothing."""
-    write_partitioned(
-        silver.withColumn("date", F.to_date("recorded_at")), path,
-        sort_by=("road_name", "recorded_at"),
-    )
+def refresh_silver(silver: DataFrame, path: str, days: DataFrame | None = None) -> None:
+    """Replace the silver rows of ``days`` (a frame of dates; None: all) by ``silver``.
+
+    A (city, date) that has rows in the table but none left in ``silver`` would
+    survive a dynamic overwrite.  It is overwritten by a row of nulls, in the same
+    commit; :func:`read_silver` leaves these out.  Running it again changes nothing.
+    """
+    rows = silver.withColumn("date", F.to_date("recorded_at"))
+    if table_exists(silver.sparkSession, path):
+        held = silver.sparkSession.read.parquet(path).select("city", "date").distinct()
+        if days is not None:
+            held = held.join(days, "date", "left_semi")
+        rows = rows.unionByName(stage(held, "silver-days"), allowMissingColumns=True)
+    write_partitioned(rows, path, sort_by=("road_name", "recorded_at"))
+
+
+def read_silver(spark: SparkSession, path: str) -> DataFrame:
+    """The silver readings; emptied days hold no reading."""
+    return spark.read.parquet(path).where(F.col("congestion_index").isNotNull())
 
 
 def published_precision(df: DataFrame) -> DataFrame:
-    """Round the known columns to the decimal precision they are published with."""
+    """Round the known columns to the decimal precision they are published with.
+
+    A value beyond the precision becomes null and does not fail the read.
+    """
     casts = {
-        name: F.col(name).cast(kind)
+        name: F.col(name).try_cast(kind)
         for name, kind in schemas.PUBLISHED_PRECISION.items()
         if name in df.columns
     }
@@ -142,18 +167,47 @@ def append_history(df: DataFrame, path: str, run_id: str, computed_at: str) -> N
 
 
 def replace_table(df: DataFrame, path: str) -> None:
-    """Truncate and load."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    """Truncate and load: the rows become the next version below ``path``.
+
+    Readers of the version before are not disturbed; older versions are removed.
+    """
+    spark = df.sparkSession
+    versions = _versions(spark, path, "load")
+    df.write.mode("overwrite").parquet(f"{path}/load={max(versions, default=0) + 1}")
+    for old in sorted(versions)[:-1]:
+        files.remove(spark, f"{path}/load={old}")
+
+
+def read_replaced(spark: SparkSession, path: str) -> DataFrame:
+    """The newest finished version of a table written by :func:`replace_table`."""
+    done = [v for v in _versions(spark, path, "load") if files.exists(spark, f"{path}/load={v}/_SUCCESS")]
+    if not done:
+        raise FileNotFoundError(path)
+    return spark.read.parquet(f"{path}/load={max(done)}")
+
+
+def _versions(spark: SparkSession, path: str, key: str) -> list[int]:
+    names = (n for n in files.children(spark, path) if n.startswith(f"{key}="))
+    return [int(n.split("=")[1]) for n in names]
 
 
 def export_csv(report: DataFrame, path: str, by: str = "city") -> None:
     report.write.mode("overwrite").partitionBy(by).option("header", True).csv(path)
 
 
-def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``target`` with the rows of ``updates`` added or put in place by key."""
-    kept = target.join(updates.select(*keys), list(keys), "left_anti")
-    return kept.unionByName(updates)
+def upsert(
+    target: DataFrame, updates: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()
+) -> DataFrame:
+    """``target`` with the rows of ``updates`` added or put in place by key.
+
+    Null is a key like any other.  Of several updates with one key the first in
+    ``order`` counts (by default the greatest by the other columns).
+    """
+    rest = [F.col(c).desc() for c in updates.columns if c not in keys]
+    single = cleaning.keep_latest(updates, keys, [*order, *rest] or [F.lit(0)])
+    wanted = single.select(*(F.col(k).alias(f"__{k}") for k in keys))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
+    return target.join(wanted, same, "left_anti").unionByName(single)
 
 
 class KeyedTable:
@@ -162,7 +216,7 @@ class KeyedTable:
     ``put`` writes the changed rows as one more version, so a writer never reads
     and overwrites the same files, and putting a version again (a retried stream
     batch, a repeated cycle) replaces just that version.  ``read`` resolves the
-    newest row per key; ``compact`` folds all versions into one new table.
+    newest row per key; ``fold`` keeps the number of versions bounded.
     """
 
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str]):
@@ -177,22 +231,35 @@ class KeyedTable:
             .parquet(self.path)
         )
 
-    def read(self) -> DataFrame:
-        stored = self.spark.read.parquet(self.path).withColumn(
+    def _stored(self) -> DataFrame:
+        return self.spark.read.parquet(self.path).withColumn(
             "version", F.col("version").cast("bigint")
         )
-        newest = F.row_number().over(
-            Window.partitionBy(*self.keys).orderBy(F.col("version").desc())
-        )
-        return stored.withColumn("_newest", newest).where("_newest = 1").drop("_newest", "version")
+
+    def _newest(self, stored: DataFrame) -> DataFrame:
+        return cleaning.keep_latest(stored, self.keys, [F.col("version").desc()]).drop("version")
+
+    def read(self) -> DataFrame:
+        return self._newest(self._stored())
 
     def exists(self) -> bool:
         return table_exists(self.spark, self.path)
 
-    def compact(self, path: str) -> KeyedTable:
-        folded = KeyedTable(self.spark, path, self.keys)
-        folded.put(self.read(), 0)
-        return folded
+    def fold(self, most: int = 16) -> None:
+        """Fold the older versions into one when there are more than ``most``.
+
+        The newest version stays apart, so that its batch can still run again and
+        replace just itself.  A reader finds the same rows before and after; a
+        failure in between leaves versions that the next call folds.
+        """
+        versions = sorted(_versions(self.spark, self.path, "version"))
+        if len(versions) <= most:
+            return
+        *older, _ = versions
+        rows = self._newest(self._stored().where(F.col("version") <= older[-1]))
+        self.put(stage(rows, "folded"), older[-1])
+        for version in older[:-1]:
+            files.remove(self.spark, f"{self.path}/version={version}")
 
 
 def comparison_documents(wide: DataFrame) -> DataFrame:

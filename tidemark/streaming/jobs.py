@@ -34,11 +34,17 @@ def write_keyed(
 
     The batch id is the version, so a batch that runs again after a failure
     replaces its own rows.  An empty batch writes nothing; it is not counted
-    first, which would run the batch twice.
+    first, which would run the batch twice.  Older versions are folded as they
+    gather, so readers meet a bounded number of them.
     """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        table.put(batch, batch_id)
+        table.fold()
+
     writer = (
         rows.writeStream.outputMode("update")
-        .foreachBatch(lambda batch, batch_id: table.put(batch, batch_id))
+        .foreachBatch(write)
         .option("checkpointLocation", checkpoint)
     )
     with shuffle_width(rows.sparkSession, state_partitions):
@@ -207,10 +213,9 @@ def distinct_readings(readings: DataFrame, delay: str = "2 minutes") -> DataFram
 
 def latest_road_stream(readings: DataFrame) -> DataFrame:
     """Latest state per road in update mode; the state holds one row per road."""
+    # Ordered by time, then by the values: readings at one time have a defined winner.
     state = F.struct("recorded_at", "congestion_index", "current_speed", "period")
-    return readings.groupBy("city", "road_name").agg(
-        F.max_by(state, "recorded_at").alias("s")
-    ).select("city", "road_name", "s.*")
+    return readings.groupBy("city", "road_name").agg(F.max(state).alias("s")).select("city", "road_name", "s.*")
 
 
 def live_feed(roads: DataFrame) -> DataFrame:
@@ -219,6 +224,6 @@ def live_feed(roads: DataFrame) -> DataFrame:
         scores.mobility_score(F.avg("congestion_index")).alias("mobility_score"),
         scores.half_up(F.avg("congestion_index"), 2).alias("congestion_level"),
         scores.half_up(F.avg("current_speed"), 2).alias("avg_speed"),
-        F.max_by("period", "recorded_at").alias("period"),
+        F.max_by("period", F.struct("recorded_at", "road_name")).alias("period"),
         F.max("recorded_at").alias("updated_at"),
     )
