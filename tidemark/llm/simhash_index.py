@@ -130,8 +130,9 @@ def fingerprint_with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: st
     )
     half = "cast(floor(n / 2) as int)"
     edited = (
-        base.withColumn("n", F.length("body").cast("long"))
-        .join(heads, "k")
+        base.join(heads, "k")
+        # Counted after the join: before it, the two shuffles of the texts would differ.
+        .withColumn("n", F.length("body").cast("long"))
         .withColumn("edited", F.expr(f"concat(substring(body, 1, cast(n as int) - {half}), substring(head, 1, {half}))"))
         .select(
             "k", "h", "n", F.sha2("edited", 256).alias("sha"),
