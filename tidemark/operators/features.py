@@ -18,20 +18,40 @@ FILLED = (
 )
 
 
-def price_delta(fuel: DataFrame) -> DataFrame:
+def price_delta(fuel: DataFrame, slice_unit: str = "month") -> DataFrame:
     """Percent change of the mean price against the previous window of the same fuel.
 
-    Without a previous window, or after a zero price, the change is 0.  A group
-    holds one row per calendar window, however many raw events fell into it.
+    Without a previous window, or after a zero price, the change is 0.  The
+    previous price is looked up inside calendar slices, so a series is no single
+    task; the first window of a slice takes the last price of the slice before,
+    one row per slice.
     """
-    order = Window.partitionBy("city", "fuel_type").orderBy("window_start")
-    previous = F.lag("avg_price").over(order)
-    return fuel.withColumn("prev_avg_price", previous).withColumn(
-        "fuel_price_delta",
-        F.when(
-            F.col("prev_avg_price") > 0,
-            scores.percent_change(F.col("prev_avg_price"), F.col("avg_price")),
-        ).otherwise(0.0),
+    series = ("city", "fuel_type")
+    cut = fuel.withColumn("_slice", F.date_trunc(slice_unit, "window_start"))
+    inside = Window.partitionBy(*series, "_slice").orderBy("window_start")
+    whole = inside.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    marked = cut.withColumns(
+        {
+            "_own": F.lag("avg_price").over(inside),
+            "_row": F.row_number().over(inside),
+            "_last": F.last("avg_price").over(whole),
+        }
+    )
+    earlier = F.lag("_last").over(Window.partitionBy(*series).orderBy("_slice"))
+    heads = marked.where("_row = 1").select(*series, "_slice", earlier.alias("_earlier"))
+    linked = marked.join(heads, [*series, "_slice"], "left")
+    return (
+        linked.withColumn(
+            "prev_avg_price", F.when(F.col("_row") == 1, F.col("_earlier")).otherwise(F.col("_own"))
+        )
+        .withColumn(
+            "fuel_price_delta",
+            F.when(
+                F.col("prev_avg_price") > 0,
+                scores.percent_change(F.col("prev_avg_price"), F.col("avg_price")),
+            ).otherwise(0.0),
+        )
+        .drop("_slice", "_own", "_row", "_last", "_earlier")
     )
 
 

@@ -116,6 +116,25 @@ def transport_windows(events: DataFrame, width: str = "5 minutes") -> DataFrame:
     )
 
 
+def fuel_means(events: DataFrame, width: str = "5 minutes") -> DataFrame:
+    """Mean price per window, city and fuel, grouped once (see :func:`merge_fuel`)."""
+    means = [F.avg("price").alias("avg_price"), F.count("*").alias("sample_count")]
+    return _windowed(valid_fuel(events), width, ["city", "fuel_type"], means)
+
+
+def traffic_means(
+    events: DataFrame, width: str = "5 minutes", congestion: str = "congestion_level"
+) -> DataFrame:
+    """Traffic means per window and city, grouped once (see :func:`merge_traffic`)."""
+    means = [
+        F.avg(congestion).alias("avg_congestion"),
+        F.avg("avg_speed").alias("avg_speed"),
+        F.avg("mobility_index").alias("avg_mobility_index"),
+        F.count("*").alias("roads_monitored"),
+    ]
+    return _windowed(valid_traffic(events, congestion), width, ["city"], means)
+
+
 def weighted_merge(
     windows: DataFrame, keys: Sequence[str], means: Sequence[str], weight: str
 ) -> DataFrame:

@@ -14,6 +14,8 @@ from tidemark.operators import (
     mobility_forecast, sequences, windows, zones,
 )
 from tidemark.plans import cycle, serving
+from tidemark.plans.feature_store import run_features
+from tidemark.plans.feature_store import stored_features as stored_features_of
 from tidemark.session import scratch_path, stage
 from tidemark.sources import samples, tables
 from tidemark.sources.samples import SampleTables
@@ -25,7 +27,6 @@ DAY = "1 day"
 AS_OF_TRAILING = "2024-03-10 00:00:00"
 AS_OF_LIVE = "2024-01-30 12:00:00"
 AS_OF_HOUR = 8
-FUEL_PRICE = 16_250.0
 FRESH_KINDS = {
     "click": "traffic", "view": "mobility", "purchase": "prediction",
     "signup": "correlation", "error": "cluster",
@@ -79,13 +80,13 @@ def scored(rows: DataFrame) -> DataFrame:
 
 def daily_features(t: SampleTables) -> DataFrame:
     """The feature table with one-day windows over the sample streams."""
-    fuel = windows.fuel_windows(
+    # Grouped once per source: the bands that the stored tables carry are not needed here.
+    fuel = windows.fuel_means(
         samples.fuel_events(t).where(F.col("fuel_type") == samples.BENCHMARK_FUEL), DAY
     )
-    traffic = windows.traffic_windows(samples.traffic_events(t), DAY)
     return features.assemble_features(
-        windows.merge_fuel(fuel),
-        windows.merge_traffic(traffic),
+        fuel,
+        windows.traffic_means(samples.traffic_events(t), DAY),
         windows.weather_windows(samples.weather_events(t), DAY),
         windows.transport_windows(samples.transport_events(t), DAY),
         sample_holidays(t.spark),
@@ -465,14 +466,30 @@ def mobility_score(t):
     return mobility_rows(rows, impact.reading_cells(rows))
 
 
+def event_load(t: SampleTables) -> DataFrame:
+    """Mean load per city of the transport messages among the events."""
+    messages = samples.event_messages(t.events, "transport")
+    rows = messages.select(F.from_json("value", jobs.schemas.TRANSPORT_EVENT).alias("e")).select("e.*")
+    load = scores.load_factor(F.col("ridership"), F.col("capacity"))
+    return rows.groupBy("city").agg(F.avg(load).alias("avg_load_factor"))
+
+
 @query
 def dashboard_snapshot(t):
     rows = silver(t)
     cells = stage(impact.reading_cells(rows), "cells")
+    # One price is in force: that of the newest policy (ties: the last fuel by name).
+    newest = F.max_by("price_after", F.struct("effective_date", "fuel_type")).alias("price")
+    price = samples.price_table(t).agg(newest).first()["price"]
+    weather = samples.condition_events(t.events).groupBy("city").agg(
+        F.avg(scores.weather_score(F.col("weather_main"), F.col("rain_1h"))).alias("weather_score")
+    )
     snapshot = serving.dashboard_snapshot(
-        mobility_rows(rows, cells), daily_from_cells(cells), FUEL_PRICE
+        mobility_rows(rows, cells), daily_from_cells(cells), price, weather, event_load(t)
+    )
+    return dated(
+        rounded(snapshot, "avg_congestion_index", "weather_score", "avg_load_factor"), "summary_date"
     )
-    return dated(rounded(snapshot, "avg_congestion_index"), "summary_date")
 
 
 @query
@@ -718,6 +735,50 @@ def stream_bronze_ingest(t):
     return dated(parts[0].unionByName(parts[1]), "date")
 
 
+@query
+def bronze_rejects(t):
+    """Messages that bronze cannot take: cut off, without city, without time, of no known topic."""
+    events = samples.events_stream(t)
+    part = F.col("event_id") % 40
+    kinds = {
+        0: {"value": F.substring("value", 1, 20)},
+        1: {"value": F.regexp_replace("value", '"recorded_at":"[^"]*"', '"recorded_at":"soon"')},
+        2: {"value": F.regexp_replace("value", '"city":"[^"]*",', "")},
+        3: {"topic": F.lit("other.raw")},
+    }
+    raw = samples.event_messages(events.where(part > 3), "reading")
+    for k, change in kinds.items():
+        raw = raw.unionByName(samples.event_messages(events.where(part == k), "reading").withColumns(change))
+    lake = scratch_path(t.spark, "rejects")
+    jobs.split_topics(raw, lake, f"{lake}/checkpoints", trigger=None).awaitTermination()
+    kept = t.spark.read.parquet(f"{lake}/bronze_traffic").select(
+        F.lit("traffic.raw").alias("topic"), F.lit("kept").alias("reason")
+    )
+    rejects = t.spark.read.parquet(f"{lake}/bronze_rejects").select("topic", "reason")
+    return kept.unionAll(rejects).groupBy("topic", "reason").agg(F.count("*").alias("messages"))
+
+
+@query
+def feature_store(t):
+    """Windows written by the streams' tables, features stored as a run, read back."""
+    lake = cycle.Lake(t.spark, scratch_path(t.spark, "features"))
+    built = (
+        windows.fuel_windows(samples.fuel_events(t), DAY),
+        windows.traffic_windows(samples.traffic_events(t), DAY),
+        windows.weather_windows(samples.weather_events(t), DAY),
+        windows.transport_windows(samples.transport_events(t), DAY),
+    )
+    for job, rows in zip(jobs.WINDOW_JOBS, built):
+        KeyedTable(t.spark, lake.path(job.table), job.keys).put(rows, 0)
+    run_features(lake, "2030-01-01 00:00:00", samples.BENCHMARK_FUEL, sample_holidays(t.spark))
+    return rounded(
+        stored_features_of(lake),
+        "avg_price", "fuel_price_delta", "traffic_index", "avg_congestion", "avg_speed",
+        "avg_mobility_index", "transport_usage_norm", "avg_load_factor", "weather_score_norm",
+        "avg_temperature", "avg_rain_1h",
+    )
+
+
 @query
 def stream_joined_windows(t):
     """The four streams joined per city and window; closed windows only."""

@@ -337,6 +337,15 @@ conditions AS (
               ELSE CAST(0 AS DOUBLE) END AS rain_1h
   FROM events)"""
 
+WEATHER_SCORE = (
+    "greatest(CAST(0 AS DOUBLE), "
+    + r("""CASE weather_main WHEN 'Clear' THEN 100
+          WHEN 'Clouds' THEN 80 WHEN 'Drizzle' THEN 60 WHEN 'Rain' THEN 40
+          WHEN 'Thunderstorm' THEN 10 WHEN 'Fog' THEN 50 ELSE 70 END
+          - least(rain_1h * 5, 30)""", 1)
+    + ")"
+)
+
 PRICES = f"""
 prices AS (
   SELECT concat('part_', l_partkey) AS fuel_type,
@@ -471,12 +480,7 @@ ORACLES: dict[str, str] = {
                  AS derived_percent
         FROM bronze WHERE free_flow_speed <> 0""",
     "weather_score": f"""WITH {CONDITIONS}
-        SELECT event_id, city, weather_main,
-               greatest(CAST(0 AS DOUBLE), {r('''CASE weather_main WHEN 'Clear' THEN 100
-                 WHEN 'Clouds' THEN 80 WHEN 'Drizzle' THEN 60 WHEN 'Rain' THEN 40
-                 WHEN 'Thunderstorm' THEN 10 WHEN 'Fog' THEN 50 ELSE 70 END
-                 - least(rain_1h * 5, 30)''', 1)}) AS weather_score
-        FROM conditions""",
+        SELECT event_id, city, weather_main, {WEATHER_SCORE} AS weather_score FROM conditions""",
     "transport_load": f"""WITH {TRANSPORT_EV},
         loads AS (SELECT *, {r("CAST(ridership AS DOUBLE) / capacity * 100", 2)} AS pct
                   FROM transport_ev)
@@ -642,13 +646,20 @@ ORACLES: dict[str, str] = {
         SELECT 'Multi-kota', 'Mobilitas', b, a, {r("a - b", 2)}, 'high' FROM sides
         WHERE a > b - 100""",
     "mobility_score": f"WITH {MOBILITY} SELECT * FROM mobility",
-    "dashboard_snapshot": f"""WITH {MOBILITY},{DAILY_ONLY},
+    "dashboard_snapshot": f"""WITH {MOBILITY},{DAILY_ONLY},{CONDITIONS},{PRICES},
         newest AS (SELECT * FROM daily
-                   QUALIFY row_number() OVER (PARTITION BY city ORDER BY summary_date DESC) = 1)
+                   QUALIFY row_number() OVER (PARTITION BY city ORDER BY summary_date DESC) = 1),
+        weather AS (SELECT city, {r(f"avg({WEATHER_SCORE})")} AS weather_score
+                    FROM conditions GROUP BY city),
+        load AS (SELECT concat('city_', user_id % 3) AS city,
+                        {r("avg(" + r("floor(value) / 600 * 100", 2) + ")")} AS avg_load_factor
+                 FROM events GROUP BY 1)
         SELECT m.city, mobility_score, {r("(1 - mobility_score) * 100", 2)} AS congestion_level,
-               CAST(16250 AS DOUBLE) AS fuel_price, impact_level, summary_date,
+               (SELECT price_after FROM policy ORDER BY fuel_type DESC LIMIT 1) AS fuel_price,
+               impact_level, weather_score, avg_load_factor, summary_date,
                avg_congestion_index, est_extra_fuel_cost_idr, est_extra_travel_min
-        FROM mobility m LEFT JOIN newest USING (city)""",
+        FROM mobility m LEFT JOIN newest USING (city) LEFT JOIN weather USING (city)
+        LEFT JOIN load USING (city)""",
     "kpi_strip": f"""WITH {SCORED},{COMPARISON_ONLY},{DAILY_ONLY},
         chg AS (SELECT city, {CHANGE} AS c FROM wide)
         SELECT 'worst_change' AS kpi, city, {r("c")} AS value
@@ -817,6 +828,12 @@ ORACLES: dict[str, str] = {
         FROM events, (VALUES ('tomtom', 'bronze_traffic'), ('openweathermap', 'bronze_weather'))
           AS b(source, bronze_table)
         GROUP BY ALL""",
+    "bronze_rejects": """
+        SELECT CASE event_id % 40 WHEN 3 THEN 'other.raw' ELSE 'traffic.raw' END AS topic,
+               CASE event_id % 40 WHEN 0 THEN 'unreadable' WHEN 1 THEN 'no_time'
+                    WHEN 2 THEN 'no_city' WHEN 3 THEN 'unknown_topic' ELSE 'kept' END AS reason,
+               count(*) AS messages
+        FROM events GROUP BY 1, 2""",
     "stream_joined_windows": f"""
         WITH e AS (SELECT {FIVE}, {CITY}, value, {ROAD_SPEED} AS speed FROM events
                    WHERE time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 5 MINUTE
@@ -856,3 +873,6 @@ ORACLES: dict[str, str] = {
         ]
     ),
 }
+
+# The stored features are the feature table.
+ORACLES["feature_store"] = ORACLES["feature_table"]

@@ -9,8 +9,16 @@ from tidemark import config
 from tidemark.functions import bands, scores
 
 
-def mobility(wide: DataFrame, zones: DataFrame) -> DataFrame:
-    """Mobility score per city; null (and flagged) while there is no ``after`` data."""
+def mobility(wide: DataFrame, zones: DataFrame, clusters: DataFrame | None = None) -> DataFrame:
+    """Mobility score per city; null (and flagged) while there is no ``after`` data.
+
+    ``impact_level`` follows from fixed bands of the roads' change.  With
+    ``clusters`` (the commonest cluster zone per city, see ``modal_zone``) the
+    level that the road clusters give stands beside it as ``cluster_level``.
+    """
+    if clusters is not None:
+        named = clusters.select("city", F.col("impact_level").alias("cluster_level"))
+        return mobility(wide, zones).join(named, "city", "left")
     after = F.when(F.col("has_after"), F.col("after_congestion"))
     return wide.join(zones.select("city", "impact_level"), "city", "left").select(
         "city",
@@ -23,20 +31,32 @@ def mobility(wide: DataFrame, zones: DataFrame) -> DataFrame:
 
 
 def dashboard_snapshot(
-    mobility_rows: DataFrame, daily: DataFrame, fuel_price: float
+    mobility_rows: DataFrame, daily: DataFrame, fuel_price: float | None,
+    weather: DataFrame, transport: DataFrame,
 ) -> DataFrame:
-    """Mobility with the city's newest daily summary."""
+    """Mobility with the city's newest daily summary, weather score and transport load.
+
+    ``weather`` (city, weather_score) and ``transport`` (city, avg_load_factor) have
+    one row per city; ``fuel_price`` is the price in force.
+    """
     rest = ("avg_congestion_index", "est_extra_fuel_cost_idr", "est_extra_travel_min")
     newest = daily.groupBy("city").agg(
         F.max_by(F.struct("summary_date", *rest), "summary_date").alias("d")
     )
     level = scores.half_up((1 - F.col("mobility_score")) * 100, 2)
-    return mobility_rows.join(newest, "city", "left").select(
+    joined = (
+        mobility_rows.join(newest, "city", "left")
+        .join(weather.select("city", "weather_score"), "city", "left")
+        .join(transport.select("city", "avg_load_factor"), "city", "left")
+    )
+    return joined.select(
         "city",
         "mobility_score",
         level.alias("congestion_level"),
-        F.lit(float(fuel_price)).alias("fuel_price"),
+        F.lit(fuel_price).cast("double").alias("fuel_price"),
         "impact_level",
+        "weather_score",
+        "avg_load_factor",
         F.col("d.summary_date").alias("summary_date"),
         *[F.col(f"d.{name}").alias(name) for name in rest],
     )

@@ -176,13 +176,27 @@ BRONZE_TOPICS = {
 }
 
 
+def rejected_messages(raw: DataFrame) -> DataFrame:
+    """Messages that no bronze table can take, as they came, with the reason."""
+    known = raw.withColumn("_at", F.try_to_timestamp(F.get_json_object("value", "$.recorded_at")))
+    reason = (
+        F.when(~F.col("topic").isin(*(t for t, _, _ in BRONZE_TOPICS.values())), "unknown_topic")
+        .when(F.get_json_object("value", "$").isNull(), "unreadable")
+        .when(F.get_json_object("value", "$.city").isNull(), "no_city")
+        .when(F.col("_at").isNull(), "no_time")
+    )
+    marked = known.withColumn("reason", reason).where(F.col("reason").isNotNull())
+    return marked.select(F.coalesce("topic", F.lit("")).alias("topic"), "value", "broker_ts", "reason")
+
+
 def split_topics(
     raw: DataFrame, lake: str, checkpoint: str, trigger: str | None = "30 seconds"
 ) -> StreamingQuery:
     """One subscription, one bronze table per topic.
 
-    A batch is kept while both tables are written, and each row carries its
-    batch as the last partition, so a repeated batch replaces its own files.
+    A batch is kept while the tables are written, and each row carries its batch
+    as the last partition, so a repeated batch replaces its own files.  Messages
+    that fit neither table go to ``bronze_rejects`` with the reason.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -194,6 +208,10 @@ def split_topics(
                     rows.withColumn("ingest_batch", F.lit(batch_id)), f"{lake}/{table}",
                     by=BRONZE_PARTITIONS,
                 )
+            write_partitioned(
+                rejected_messages(batch).withColumn("ingest_batch", F.lit(batch_id)),
+                f"{lake}/bronze_rejects", by=("topic", "ingest_batch"),
+            )
         finally:
             batch.unpersist()
 
