@@ -121,7 +121,10 @@ def _anchor_counts(docs: DataFrame, text_col: str, length: int) -> DataFrame:
         return [anchors.view(np.int64), times]
 
     rows = emit(docs, plain_text(text_col), "anchor long, times long", work)
-    return rows.groupBy("anchor").agg(F.sum("times").alias("times")).where("times > 1").select("anchor")
+    counts = rows.groupBy("anchor").agg(F.sum("times").alias("times"))
+    # Stored, so that both sides of the join with it are plain shuffles, which Spark can split
+    # where one anchor has very many rows.
+    return stage(counts.where("times > 1").select("anchor"), "repeated-anchors")
 
 
 def _segment_rows(docs: DataFrame, id_col: str, text_col: str, length: int) -> DataFrame:
@@ -155,7 +158,9 @@ def _classes(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     again = classes.where("times > 1").select("anchor", "content")
     repeated = rows.where("times = 1").join(again, ["anchor", "content"])
-    crowds = classes.groupBy("anchor").agg(F.count("*").alias("crowd")).where("crowd > 1")
+    crowds = stage(
+        classes.groupBy("anchor").agg(F.count("*").alias("crowd")).where("crowd > 1"), "crowds"
+    )
     return repeated, classes.join(crowds, "anchor")
 
 
