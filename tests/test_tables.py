@@ -206,8 +206,10 @@ def test_baseline_is_broadcast_by_its_stored_size(spark):
 
 
 def test_no_query_uses_a_cross_join(spark):
-    for name in ("kpi_strip", "layer_counts", "dashboard_snapshot", "corr_report", "feature_table",
-                 "hourly_dense", "anomaly_rate"):
+    # Streams, cycles and models run inside their query; their results are plain reads.
+    heavy = ("stream_", "cycle_", "medallion", "gold_summary", "rf_", "forecast_", "mobility_forecast",
+             "bronze_rejects", "city_cluster", "cluster_", "road_zones", "feature_store")
+    for name in (n for n in catalog.REGISTRY if not n.startswith(heavy)):
         text = plan(catalog.REGISTRY[name](spark, SMALL))
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
 

@@ -104,6 +104,7 @@ SEQUENCE_FEATURES = (
 SEQUENCE_TARGET = "mobility_composite"
 
 
+# The assumptions, weights and run settings below.
 @dataclass(frozen=True)
 class Economics:
     """Assumptions behind the daily cost and travel-time estimates."""

@@ -13,6 +13,7 @@ def price_policy(prices: DataFrame) -> DataFrame:
     return prices.orderBy(F.col("effective_date").desc(), "fuel_type")
 
 
+# Scope and subject names and the severity limits of the alerts below.
 def price_alerts(prices: DataFrame, scope: str = "Nasional") -> DataFrame:
     """One alert per fuel whose price went up: high above 10 percent, else medium."""
     old, new = F.col("price_before"), F.col("price_after")

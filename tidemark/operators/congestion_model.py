@@ -15,6 +15,7 @@ from tidemark.config import CLASSIFIER_FEATURES, ImpactSettings
 from tidemark.functions import bands, scores
 from tidemark.operators.cleaning import add_calendar
 
+# The published model name and the assumed speeds.
 MODEL_NAME = "RandomForest_Congestion"
 # Assumed share of the present mean speed at each horizon (minutes).
 SPEED_SHARE = {30: 1.0, 60: 0.95}

@@ -19,6 +19,8 @@ from tidemark.config import SEQUENCE_FEATURES
 from tidemark.functions import scores
 from tidemark.operators.sequences import chronological_split, recent_context
 
+ERRORS_SCHEMA = "city string, mae double, mse double, steps long"
+STEPS_SCHEMA = "city string, step int, forecast_at timestamp, mobility_score double"
 STEP_INPUTS = ("step", "step_sin", "step_cos")
 
 
@@ -38,7 +40,15 @@ def _with_step(rows: DataFrame, step: Column, steps_per_day: int) -> DataFrame:
 def training_rows(
     sequences: DataFrame, features: Sequence[str] = SEQUENCE_FEATURES, steps_per_day: int = 48
 ) -> DataFrame:
-    """One row per sequence and future step: the last and mean past values, the target."""
+    """One row per sequence and future step: the last and mean past values, the target.
+
+    Takes ``sequence_rows``, which have these values, or ``training_sequences``.
+    """
+    if "x" not in sequences.columns:
+        rows = sequences.select(
+            "city", "split", *_names(features), F.posexplode("y").alias("_at", "label")
+        )
+        return _with_step(rows, F.col("_at") + 1, steps_per_day).drop("_at")
 
     def mean_of(j: int) -> Column:
         total = F.aggregate("x", F.lit(0.0), lambda acc, row: acc + row[j])
@@ -63,7 +73,7 @@ def fit_forecast(
     """The fitted model and its validation error per city (MAE, MSE).
 
     Trains on the first 80 percent of each city's sequences; None when no city
-    has enough of them.
+    has enough of them.  The city names go through the driver, one indicator each.
     """
     rows = training_rows(chronological_split(sequences, past, future), features, steps_per_day)
     train = rows.where("split = 'train'")

@@ -38,6 +38,35 @@ def training_sequences(
     )
 
 
+def sequence_rows(
+    inputs: DataFrame,
+    past: int = 48,
+    future: int = 48,
+    names: Sequence[str] = SEQUENCE_FEATURES,
+    target: str = SEQUENCE_TARGET,
+) -> DataFrame:
+    """The same sequences by what a regression on them reads: the last and the mean past
+    values (``last_*``, ``mean_*``) and the targets ``y``, without the past itself."""
+    filled = inputs.fillna(0.0, subset=list(names))
+    narrow = filled.select(
+        "city", "window_start", *[F.col(c).cast("double").alias(c) for c in names],
+        F.col(target).cast("double").alias("_target"),
+    )
+    placed = with_halo(with_positions(narrow, SERIES, "window_start"), past, future - 1)
+    around = block_window(SERIES)
+    before = around.rowsBetween(-past, -1)
+    y = F.collect_list("_target").over(around.rowsBetween(0, future - 1))
+    return (
+        placed.select(
+            "city", "window_start", "pos", "n", "owned", y.alias("y"),
+            *[F.lag(c).over(around).alias(f"last_{c}") for c in names],
+            *[F.avg(c).over(before).alias(f"mean_{c}") for c in names],
+        )
+        .where(F.col("owned") & (F.col("pos") >= past) & (F.col("pos") < F.col("n") - future))
+        .drop("owned")
+    )
+
+
 def chronological_split(
     sequences: DataFrame, past: int = 48, future: int = 48, share: float = 0.8,
     min_sequences: int = 10,

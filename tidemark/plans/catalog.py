@@ -863,7 +863,15 @@ def forecast_steps(t):
 
 
 def clustered_roads(t: SampleTables) -> DataFrame:
-    return zones.cluster_roads(stage(impact.road_impact(silver(t)), "roads"))
+    """Roads with their cluster zone; without rows when there are fewer roads than clusters."""
+    roads = stage(impact.road_impact(silver(t)), "roads")
+    clustered = zones.cluster_roads(roads)
+    if clustered is not None:
+        return clustered
+    nothing = F.lit(None)
+    return roads.where(F.lit(False)).withColumns(
+        {"cluster_id": nothing.cast("int"), "zone_label": nothing.cast("string")}
+    )
 
 
 @query
@@ -894,20 +902,24 @@ def city_cluster_scores(t):
     return zones.score_cities(*zones.load_clusters(t.spark, path), cities)
 
 
+def fitted_forecast(t: SampleTables):
+    """Forecast inputs, and the model with its errors or None for too few days."""
+    inputs = features.forecast_inputs(stored_features(t))
+    return inputs, mobility_forecast.fit_forecast(sequences.sequence_rows(inputs), steps_per_day=1)
+
+
 @query
 def mobility_forecast_errors(t):
-    return mobility_forecast.fit_forecast(
-        stage(sample_sequences(t), "sequences"), steps_per_day=1
-    )[1]
+    _, fitted = fitted_forecast(t)
+    return fitted[1] if fitted else t.spark.createDataFrame([], mobility_forecast.ERRORS_SCHEMA)
 
 
 @query
 def mobility_forecast_steps(t):
-    inputs = features.forecast_inputs(stored_features(t))
-    model, _ = mobility_forecast.fit_forecast(
-        stage(sequences.training_sequences(inputs), "sequences"), steps_per_day=1
-    )
-    return mobility_forecast.forecast_mobility(model, inputs, steps_per_day=1)
+    inputs, fitted = fitted_forecast(t)
+    if fitted is None:
+        return t.spark.createDataFrame([], mobility_forecast.STEPS_SCHEMA)
+    return mobility_forecast.forecast_mobility(fitted[0], inputs, steps_per_day=1)
 
 
 # --- the whole cycle ---------------------------------------------------------
@@ -1000,3 +1012,41 @@ def snapshot_pages(t):
     # One row per road: both the page count and the pages read it.
     pages = latest.road_pages(stage(latest.latest_readings(bronze(t)), "latest"))
     return pages.select("city", "page", F.to_json("roads").alias("roads"))
+
+
+@query
+def snapshot_roads(t):
+    """The road records of all pages, one row each: no road is lost or doubled by the paging."""
+    pages = latest.road_pages(stage(latest.latest_readings(bronze(t)), "latest"))
+    records = pages.select("city", F.explode("roads").alias("r")).select("city", "r.*")
+    return rounded(records, "lat", "lon", "current_speed")
+
+
+@query
+def gold_summary_fields(t):
+    """The comparison documents after one cycle, parsed back into their fields."""
+    lake = cycle.Lake(t.spark, scratch_path(t.spark, "lake"))
+    tables.seed_bronze(bronze(t), lake.path("bronze_traffic"))
+    cycle.run_cycle(lake, CYCLE_AS_OF, with_models=False)
+    side = "struct<avg_congestion: double, avg_speed: double, records: bigint>"
+    parsed = F.from_json("document", f"before {side}, after {side}, change_pct double")
+    documents = lake.read("serving_documents").where(F.col("key").startswith("comparison:"))
+    return documents.select(F.col("key"), parsed.alias("d")).select(
+        "key", "d.change_pct",
+        *[F.col(f"d.{p}.{f}").alias(f"{p}_{f}") for p in ("before", "after")
+          for f in ("avg_congestion", "avg_speed", "records")],
+    )
+
+
+@query
+def timeseries_store(t):
+    """Points appended in two batches, one of them twice, with the expired days removed."""
+    path = scratch_path(t.spark, "points")
+    points = metric_points(t)
+    late = F.col("ts") >= F.lit("2024-01-29 12:00:00").cast("timestamp")
+    for batch, rows in enumerate((points.where(~late), points.where(late), points.where(late))):
+        tables.append_points(rows, path, min(batch, 1))
+    tables.expire_points(t.spark, path, AS_OF_LIVE, keep_seconds=86_400)
+    return latest.series_range(
+        tables.read_points(t.spark, path), AS_OF_LIVE, "2024-01-29 00:00:00", "2024-01-30 06:00:00"
+    )

@@ -876,3 +876,18 @@ ORACLES: dict[str, str] = {
 
 # The stored features are the feature table.
 ORACLES["feature_store"] = ORACLES["feature_table"]
+# Stored points that are kept are the points in range.
+ORACLES["timeseries_store"] = ORACLES["timeseries_range"]
+ORACLES["snapshot_roads"] = f"""WITH {BRONZE},
+    latest AS (SELECT * FROM bronze QUALIFY row_number() OVER (
+      PARTITION BY city, road_name ORDER BY recorded_at DESC, ingest_seq DESC) = 1)
+    SELECT city, road_name, {r("lat")} AS lat, {r("lon")} AS lon,
+           {r("current_speed")} AS current_speed, free_flow_speed, congestion_index, recorded_at
+    FROM latest"""
+ORACLES["gold_summary_fields"] = f"""WITH {COMPARISON}
+    SELECT concat('comparison:', city) AS key, {CHANGE} AS change_pct,
+           {r("before_congestion", 2)} AS before_avg_congestion,
+           {r("before_speed", 2)} AS before_avg_speed, before_records,
+           {r("after_congestion", 2)} AS after_avg_congestion,
+           {r("after_speed", 2)} AS after_avg_speed, after_records
+    FROM wide"""

@@ -4,50 +4,33 @@ Field names, order and precision are fixed formats shared with the producers and
 the readers of the tables.
 """
 
-from pyspark.sql import types as T
-
-
-_TYPES = {
-    "STRING": T.StringType(),
-    "DOUBLE": T.DoubleType(),
-    "INT": T.IntegerType(),
-    "BOOLEAN": T.BooleanType(),
-}
-
-
-def _schema(columns: str) -> T.StructType:
-    """A schema from "name TYPE, ..." text; needs no running session."""
-    fields = (column.split() for column in columns.split(","))
-    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in fields])
-
-
-FUEL_EVENT = _schema(
+FUEL_EVENT = (
     "timestamp STRING, city STRING, fuel_type STRING, price DOUBLE, station STRING, "
     "source STRING, surge_event BOOLEAN"
 )
 
-TRAFFIC_EVENT = _schema(
+TRAFFIC_EVENT = (
     "timestamp STRING, city STRING, road_id STRING, road_name STRING, congestion_level DOUBLE, "
     "avg_speed DOUBLE, free_flow_speed DOUBLE, mobility_index DOUBLE, source STRING"
 )
 
-WEATHER_EVENT = _schema(
+WEATHER_EVENT = (
     "timestamp STRING, city STRING, temperature DOUBLE, humidity DOUBLE, weather_main STRING, "
     "rain_1h DOUBLE, weather_score DOUBLE, source STRING"
 )
 
-TRANSPORT_EVENT = _schema(
+TRANSPORT_EVENT = (
     "timestamp STRING, city STRING, transport_mode STRING, transport_code STRING, ridership INT, "
     "capacity INT, load_factor_pct DOUBLE, source STRING"
 )
 
-ROAD_READING = _schema(
+ROAD_READING = (
     "city STRING, road_name STRING, lat DOUBLE, lon DOUBLE, current_speed DOUBLE, "
     "free_flow_speed DOUBLE, congestion_index DOUBLE, period STRING, source STRING, "
     "ingested_via STRING, recorded_at STRING"
 )
 
-WEATHER_READING = _schema(
+WEATHER_READING = (
     "city STRING, temp DOUBLE, humidity INT, weather_desc STRING, rain_1h DOUBLE, source STRING, "
     "ingested_via STRING, recorded_at STRING"
 )

@@ -166,6 +166,25 @@ def append_history(df: DataFrame, path: str, run_id: str, computed_at: str) -> N
     )
 
 
+def append_points(points: DataFrame, path: str, batch: int) -> None:
+    """Add time-series points as one batch; a repeated batch replaces itself."""
+    stamped = points.withColumns({"date": F.to_date("ts"), "batch": F.lit(int(batch))})
+    write_partitioned(stamped, path, by=("date", "batch"))
+
+
+def read_points(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).drop("date", "batch")
+
+
+def expire_points(spark: SparkSession, path: str, as_of: str, keep_seconds: int) -> None:
+    """Remove the days that lie wholly before the retention at ``as_of``."""
+    limit = F.to_date(F.lit(as_of).cast("timestamp") - F.make_dt_interval(secs=F.lit(keep_seconds)))
+    oldest = spark.range(1).select(limit.cast("string")).first()[0]
+    for name in files.children(spark, path):
+        if name.startswith("date=") and name.split("=")[1] < oldest:
+            files.remove(spark, f"{path}/{name}")
+
+
 def replace_table(df: DataFrame, path: str) -> None:
     """Truncate and load: the rows become the next version below ``path``.
 

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def subscribe(
@@ -48,7 +47,7 @@ def json_folder(
     )
 
 
-def parse_events(raw: DataFrame, schema: T.StructType, delay: str = "2 minutes") -> DataFrame:
+def parse_events(raw: DataFrame, schema: str, delay: str = "2 minutes") -> DataFrame:
     """Typed events with ``event_time`` and a watermark.
 
     A malformed message becomes a row of nulls and an unreadable time a null;

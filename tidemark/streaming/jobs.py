@@ -7,7 +7,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark import schemas
@@ -63,7 +62,7 @@ class WindowJob:
     """One of the four windowed streams."""
 
     topic: str
-    schema: T.StructType
+    schema: str
     aggregate: object
     keys: Sequence[str]
     table: str
@@ -144,7 +143,7 @@ def join_windows(
 # --- bronze ------------------------------------------------------------------
 
 
-def parse_readings(raw: DataFrame, schema: T.StructType, **defaults) -> DataFrame:
+def parse_readings(raw: DataFrame, schema: str, **defaults) -> DataFrame:
     """Readings with their ingest defaults; rows without city or time are dropped."""
     rows = raw.select(
         F.from_json("value", schema).alias("r"), F.col("broker_ts").alias("ingested_at")
