@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.columnar import plain_text, slices, sums_by_row
+from tidemark.llm.rows import map_texts, numbers
 from tidemark.llm.sampling import labelled_sample
 
 UNKNOWN = "und"
@@ -217,29 +218,6 @@ def _loss(logits: np.ndarray, target: np.ndarray) -> float:
     return -((1 - chance) * logs[np.arange(len(target)), target] + chance * logs.mean(axis=1)).mean()
 
 
-def _predictor(model: LanguageModel, passed: list[str], out: pa.Schema):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = np.array(model.languages, object)
-        for rows, data, offsets in slices(batches, "body"):
-            buckets, counts = subword_buckets(data, offsets, model.bucket_bits)
-            mean = sums_by_row(model.scores[buckets], counts) / np.maximum(counts, 1)[:, None]
-            found = _softmax((mean + model.bias) / model.temperature)
-            best = found.argmax(axis=1)
-            sure = found[np.arange(len(best)), best]
-            known = np.asarray(rows.column(rows.schema.get_field_index("lettered")).to_numpy(zero_copy_only=False), bool)
-            yield pa.RecordBatch.from_arrays(
-                [rows.column(rows.schema.get_field_index(c)) for c in passed]
-                + [
-                    pa.array(np.where(known, names[best], UNKNOWN), pa.string()),
-                    pa.array(np.where(known, sure, 0.0)),
-                    pa.array(~known | (sure < model.threshold)),
-                ],
-                schema=out,
-            )
-
-    return run
-
-
 def identify_language(
     docs: DataFrame,
     model: LanguageModel | None,
@@ -260,25 +238,25 @@ def identify_language(
     lettered = plain_text(text_col).rlike(r"\p{L}")
     if model is None:
         return docs.select(
-            *passed,
+            *(f"`{c}`" for c in passed),
             F.lit(UNKNOWN).alias(names[0]),
             F.lit(0.0).alias(names[1]),
             F.lit(True).alias(names[2]),
         )
-    # Internal names of their own, so that no input column can clash with them.
-    inside = [f"c{i}" for i in range(len(passed))]
-    rows = docs.select(
-        *(F.col(f"`{c}`").alias(i) for c, i in zip(passed, inside, strict=True)),
-        lettered.alias("lettered"),
-        _prepared(text_col),
-    )
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
-
-    schema = StructType(
-        list(rows.schema.fields[: len(inside)])
-        + [StructField("p0", StringType()), StructField("p1", DoubleType()), StructField("p2", BooleanType())]
-    )
-    arrow = to_arrow_schema(schema)
-    done = rows.mapInArrow(_predictor(model, inside, arrow), schema)
-    return done.toDF(*passed, *names)
+    known_names = np.array(model.languages, object)
+
+    def work(part, data, offsets):
+        buckets, counts = subword_buckets(data, offsets, model.bucket_bits)
+        mean = sums_by_row(model.scores[buckets], counts) / np.maximum(counts, 1)[:, None]
+        found = _softmax((mean + model.bias) / model.temperature)
+        best = found.argmax(axis=1)
+        sure = found[np.arange(len(best)), best]
+        known = numbers(part, "__lettered").astype(bool)
+        return [
+            pa.array(np.where(known, known_names[best], UNKNOWN), pa.string()),
+            pa.array(np.where(known, sure, 0.0)),
+            pa.array(~known | (sure < model.threshold)),
+        ]
+
+    out = f"`{names[0]}` string, `{names[1]}` double, `{names[2]}` boolean"
+    return map_texts(docs, passed, _prepared(text_col), out, work, {"__lettered": lettered})

@@ -17,10 +17,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tidemark.llm.columnar import RangeHash, mix, plain_text, slices, sums_by_row
+from tidemark.llm.rows import map_texts
 from tidemark.llm.sampling import labelled_sample
 
 # Token classes of bytes: 0 blank, 1 letter (any byte of a multi-byte character too), 2 digit, 3 symbol.
@@ -176,24 +175,12 @@ def score_quality(
     Whole texts are scored.  Null and empty texts have no features and get the
     score of the bias alone.  An input column called ``score_col`` is replaced.
     """
-    passed = [c for c in (docs.columns if keep is None else keep) if c != score_col]
-    inside = [f"c{i}" for i in range(len(passed))]
-    rows = docs.select(
-        *(F.col(f"`{c}`").alias(i) for c, i in zip(passed, inside, strict=True)),
-        plain_text(text_col).alias("body"),
-    )
-    schema = StructType(list(rows.schema.fields[:-1]) + [StructField("p0", DoubleType())])
-    arrow = to_arrow_schema(schema)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, data, offsets in slices(batches, "body"):
-            features, counts = token_features(data, offsets, model.bucket_bits)
-            dot = sums_by_row(model.weights[features].sum(axis=1), counts)
-            logit = model.bias + model.scale * dot / np.maximum(2 * counts, 1)
-            yield pa.RecordBatch.from_arrays(
-                [part.column(part.schema.get_field_index(c)) for c in inside]
-                + [pa.array(1 / (1 + np.exp(-np.clip(logit, -35, 35))))],
-                schema=arrow,
-            )
+    def work(part, data, offsets):
+        features, counts = token_features(data, offsets, model.bucket_bits)
+        dot = sums_by_row(model.weights[features].sum(axis=1), counts)
+        logit = model.bias + model.scale * dot / np.maximum(2 * counts, 1)
+        return [pa.array(1 / (1 + np.exp(-np.clip(logit, -35, 35))))]
 
-    return rows.mapInArrow(run, schema).toDF(*passed, score_col)
+    kept = docs.columns if keep is None else keep
+    return map_texts(docs, kept, plain_text(text_col), f"`{score_col}` double", work)
