@@ -3,6 +3,7 @@ from datetime import datetime, timedelta
 from pathlib import Path
 
 from conftest import SMALL, rows
+from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.operators import windows
@@ -159,6 +160,45 @@ def test_mode_breaks_ties_by_name(spark):
     assert rows(windows.weather_windows(df))[0]["dominant_weather"] == "Clear"
 
 
+def test_window_extras(spark):
+    weather = spark.createDataFrame(
+        [("a", T0, w, 50.0, 1.0, 1.0, 0.0) for w in ("Rain", "Clear", "Rain")],
+        "city STRING, event_time TIMESTAMP, weather_main STRING, weather_score DOUBLE, "
+        "temperature DOUBLE, humidity DOUBLE, rain_1h DOUBLE",
+    )
+    got = rows(windows.weather_windows(weather, extras=True))[0]
+    assert (got["first_weather"], got["dominant_weather"]) == ("Clear", "Rain")
+    transport = spark.createDataFrame(
+        [("a", T0, m, 5, 10.0) for m in ("bus", "bus", "train")],
+        "city STRING, event_time TIMESTAMP, transport_mode STRING, ridership INT, load_factor_pct DOUBLE",
+    )
+    got = rows(windows.transport_windows(transport, extras=True))[0]
+    assert (got["active_modes"], got["distinct_modes"]) == (3, 2)
+    traffic = spark.createDataFrame(
+        [("a", T0, r, 10.0, 30.0, 90.0) for r in ("r1", "r2", "r1")],
+        "city STRING, event_time TIMESTAMP, road_id STRING, congestion_level DOUBLE, avg_speed DOUBLE, "
+        "mobility_index DOUBLE",
+    )
+    got = rows(windows.traffic_windows(traffic, extras=True))[0]
+    assert (got["roads_monitored"], got["distinct_roads"]) == (3, 2)
+    means = rows(windows.traffic_means(traffic))[0]
+    assert (means["roads_monitored"], means["avg_congestion"]) == (3, 10.0)
+
+
+def test_rejected_messages(spark):
+    raw = spark.createDataFrame(
+        [("traffic.raw", '{"city":"a","recorded_at":"2026-06-01 08:00:00"}'), ("traffic.raw", '{"city":'),
+         ("traffic.raw", '{"recorded_at":"2026-06-01 08:00:00"}'), ("weather.raw", '{"city":"a"}'),
+         ("x", "{}"), ("traffic.raw", None)],
+        "topic STRING, value STRING",
+    ).withColumn("broker_ts", F.lit(T0))
+    got = sorted((r["topic"], r["reason"]) for r in rows(jobs.rejected_messages(raw)))
+    assert got == [
+        ("traffic.raw", "no_city"), ("traffic.raw", "unreadable"), ("traffic.raw", "unreadable"),
+        ("weather.raw", "no_time"), ("x", "unknown_topic"),
+    ]
+
+
 def test_weighted_merge(spark):
     df = spark.createDataFrame(
         [(T0, "a", "light", 10.0, 50.0, None, 3), (T0, "a", "heavy", 70.0, 10.0, 30.0, 1)],

@@ -53,6 +53,14 @@ def test_versions_stay_bounded(spark, lake):
     assert got == {f"c{k}": max(b for b in range(49) if b % 7 == k) for k in range(7)} | {"x": 1000}
 
 
+def test_jdbc_options():
+    got = tables.jdbc_options("jdbc:x", "t", "id", (1, 9), 4, {"user": "u"})
+    assert got == {
+        "url": "jdbc:x", "dbtable": "t", "partitionColumn": "id", "lowerBound": "1", "upperBound": "9",
+        "numPartitions": "4", "user": "u",
+    }
+
+
 def test_upsert_keys(spark):
     """Null is a key; several updates of one key leave one row."""
     target = spark.createDataFrame([(None, 1), ("a", 1), ("b", 5)], "k STRING, v INT")

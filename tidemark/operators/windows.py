@@ -71,8 +71,11 @@ def fuel_windows(events: DataFrame, width: str = "5 minutes") -> DataFrame:
 
 
 def traffic_windows(
-    events: DataFrame, width: str = "5 minutes", congestion: str = "congestion_level"
+    events: DataFrame, width: str = "5 minutes", congestion: str = "congestion_level",
+    extras: bool = False,
 ) -> DataFrame:
+    """``extras`` adds the approximate number of different roads."""
+    more = [F.approx_count_distinct("road_id").alias("distinct_roads")] if extras else []
     return _windowed(
         valid_traffic(events, congestion),
         width,
@@ -82,12 +85,20 @@ def traffic_windows(
             F.avg("avg_speed").alias("avg_speed"),
             F.avg("mobility_index").alias("avg_mobility_index"),
             F.count("road_id").alias("roads_monitored"),
+            *more,
         ],
     )
 
 
-def weather_windows(events: DataFrame, width: str = "5 minutes") -> DataFrame:
-    """``dominant_weather`` is the commonest condition, the alphabetically first on a tie."""
+def weather_windows(
+    events: DataFrame, width: str = "5 minutes", extras: bool = False
+) -> DataFrame:
+    """``dominant_weather`` is the commonest condition, the alphabetically first on a tie.
+
+    ``extras`` adds the earliest condition, at one time the first by name.
+    """
+    first = F.min_by("weather_main", F.struct("event_time", "weather_main")).alias("first_weather")
+    more = [first] if extras else []
     return _windowed(
         valid_weather(events),
         width,
@@ -99,11 +110,16 @@ def weather_windows(events: DataFrame, width: str = "5 minutes") -> DataFrame:
             F.avg("rain_1h").alias("avg_rain_1h"),
             F.mode("weather_main", True).alias("dominant_weather"),
             F.count("*").alias("sample_count"),
+            *more,
         ],
     )
 
 
-def transport_windows(events: DataFrame, width: str = "5 minutes") -> DataFrame:
+def transport_windows(
+    events: DataFrame, width: str = "5 minutes", extras: bool = False
+) -> DataFrame:
+    """``extras`` adds the approximate number of different modes."""
+    more = [F.approx_count_distinct("transport_mode").alias("distinct_modes")] if extras else []
     return _windowed(
         valid_transport(events),
         width,
@@ -112,6 +128,7 @@ def transport_windows(events: DataFrame, width: str = "5 minutes") -> DataFrame:
             F.sum("ridership").alias("total_ridership"),
             F.avg("load_factor_pct").alias("avg_load_factor"),
             F.count("transport_mode").alias("active_modes"),
+            *more,
         ],
     )
 
@@ -130,7 +147,7 @@ def traffic_means(
         F.avg(congestion).alias("avg_congestion"),
         F.avg("avg_speed").alias("avg_speed"),
         F.avg("mobility_index").alias("avg_mobility_index"),
-        F.count("*").alias("roads_monitored"),
+        F.count("road_id").alias("roads_monitored"),
     ]
     return _windowed(valid_traffic(events, congestion), width, ["city"], means)
 

@@ -57,28 +57,26 @@ def table_exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
-def jdbc_table(
-    spark: SparkSession,
-    url: str,
-    table: str,
-    partition_column: str,
-    bounds: tuple,
-    partitions: int,
+def jdbc_options(
+    url: str, table: str, partition_column: str, bounds: tuple, partitions: int,
     properties: dict[str, str] | None = None,
-) -> DataFrame:
-    """A database table read in parallel ranges of ``partition_column``."""
+) -> dict[str, str]:
+    """Options of a database read in parallel ranges of ``partition_column``."""
     low, high = bounds
-    reader = (
-        spark.read.format("jdbc")
-        .option("url", url)
-        .option("dbtable", table)
-        .option("partitionColumn", partition_column)
-        .option("lowerBound", low)
-        .option("upperBound", high)
-        .option("numPartitions", partitions)
-        .options(**(properties or {}))
-    )
-    return reader.load()
+    return {
+        "url": url,
+        "dbtable": table,
+        "partitionColumn": partition_column,
+        "lowerBound": str(low),
+        "upperBound": str(high),
+        "numPartitions": str(partitions),
+        **(properties or {}),
+    }
+
+
+def jdbc_table(spark: SparkSession, options: dict[str, str]) -> DataFrame:
+    """A database table by :func:`jdbc_options`; needs the database's driver."""
+    return spark.read.format("jdbc").options(**options).load()
 
 
 def write_partitioned(
