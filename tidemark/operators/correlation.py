@@ -20,7 +20,7 @@ def _present(features: DataFrame, pairs) -> list[tuple[str, str, str]]:
     return [p for p in pairs if p[0] in have and p[1] in have]
 
 
-def _pair_rows(pairs: Sequence[tuple[str, str, str]], y_of=F.col) -> Column:
+def _pair_rows(pairs: Sequence[tuple[str, str, str]]) -> Column:
     """One struct (pair, x, y) per pair, to explode in place."""
     return F.explode(
         F.array(
@@ -28,7 +28,7 @@ def _pair_rows(pairs: Sequence[tuple[str, str, str]], y_of=F.col) -> Column:
                 F.struct(
                     F.lit(name).alias("pair"),
                     F.col(x).cast("double").alias("x"),
-                    y_of(y).cast("double").alias("y"),
+                    F.col(y).cast("double").alias("y"),
                 )
                 for x, y, name in pairs
             ]
@@ -137,8 +137,8 @@ def lagged_correlation(
     """r between x at a row and y ``lag`` rows later, for every lag up to ``max_lag``.
 
     The later values come from ``lead`` inside position blocks, so there is no
-    self-join; lags and pairs are exploded right before an aggregation that
-    combines map-side, so the extra rows never reach the shuffle.
+    self-join; lags are exploded right before an aggregation that combines
+    map-side, so the extra rows never reach the shuffle.
     """
     pairs = _present(features, pairs)
     names = sorted({name for p in pairs for name in p[:2]})
@@ -162,15 +162,22 @@ def lagged_correlation(
         placed.withColumn("_steps", steps)
         .where("owned")
         .select("city", *{p[0] for p in pairs}, F.explode("_steps").alias("_later"))
-        .select(
-            "city",
-            "_later.lag_steps",
-            _pair_rows(pairs, lambda y: F.col(f"_later.{y}")).alias("v"),
-        )
-        .select("city", "lag_steps", "v.*")
     )
-    moments = rows.groupBy("city", "pair", "lag_steps").agg(
-        *stats.paired_moments(F.col("x"), F.col("y"))
+    # The pairs of a lag are aggregated side by side; only their few results become rows.
+    of_pair = [
+        F.struct(
+            *stats.paired_moments(F.col(x).cast("double"), F.col(f"_later.{y}").cast("double"))
+        ).alias(f"_m{i}")
+        for i, (x, y, _) in enumerate(pairs)
+    ]
+    results = F.array(
+        *[F.struct(F.lit(name).alias("pair"), F.col(f"_m{i}").alias("m")) for i, (*_, name) in enumerate(pairs)]
+    )
+    moments = (
+        rows.groupBy("city", F.col("_later.lag_steps").alias("lag_steps"))
+        .agg(*of_pair)
+        .select("city", "lag_steps", F.explode(results).alias("_r"))
+        .select("city", "lag_steps", "_r.pair", "_r.m.*")
     )
     scored = (
         moments.where(F.col("n") >= min_pairs)
