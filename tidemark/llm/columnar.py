@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 
 def plain_text(name: str) -> Column:
