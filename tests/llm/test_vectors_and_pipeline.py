@@ -64,6 +64,39 @@ def test_vectors_match_brute_force(spark, monkeypatch, block):
     assert grid_join.near_vectors(table.limit(0)).count() == 0
 
 
+def _with_repeated_ids():
+    """Vectors of which some have no id, some share one, and some components have none at all."""
+    vectors = [(None if k % 9 == 4 else k // 2 if k % 9 == 5 else k, v, lab) for k, v, lab in _vectors()]
+    random = np.random.default_rng(8)
+    for k in range(6):
+        centre = random.normal(size=16)
+        vectors += [(None, (centre + random.normal(size=16) * 0.02 * n).tolist(), 7 + k) for n in (0, 0, 1)]
+    return [*vectors, (None, None, 0), (None, [1.0] * 16, None)]
+
+
+@pytest.mark.parametrize("block", [7, 512])
+def test_null_and_repeated_ids_match_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(grid_join, "_BLOCK", block)
+    vectors = _with_repeated_ids()
+    table = spark.createDataFrame(vectors, "vec_id long, embedding array<float>, label int")
+    stored = [r.embedding for r in table.collect()]
+    by_row = _brute([(k, v, lab) for k, (v, (_, _, lab)) in enumerate(zip(stored, vectors, strict=True))], 0.93)
+    members = {}
+    for k, (_, root) in by_row.items():
+        members.setdefault(root, []).append(k)
+    least = {root: min((vectors[k][0] for k in of if vectors[k][0] is not None), default=None) for root, of in members.items()}
+    found = grid_join.near_vectors(table, 0.93).collect()
+    assert sorted((str(r.vec_id), r.n_links, str(r.component_id)) for r in found) == sorted(
+        (str(vectors[k][0]), links, str(least[root])) for k, (links, root) in by_row.items()
+    )
+    named = [r for r in found if r.component_id is not None]
+    assert len(found) - len(named) > 18 and {r.kept for r in named if r.vec_id is None} == {False}
+    assert all(r.kept == (r.vec_id == r.component_id) for r in named)
+    # Of a component without any id one distinct vector stays, with its copies.
+    linked = sorted(r.n_links for r in found if r.component_id is None and r.n_links and r.kept)
+    assert 6 <= len(linked) <= 12 and all(r.kept for r in found if r.component_id is None and not r.n_links)
+
+
 def test_components_of_chains_and_hubs(spark):
     chain = [(k, k + 1) for k in range(60)]
     hub = [(1000, k) for k in range(1001, 1300)]

@@ -10,7 +10,8 @@ and compares what is left exactly.
 
 Equal vectors are joined once.  A block pair gives at most one row per vector, its
 links there and the smallest vector it reaches there, so a crowd of near copies
-makes no list of pairs.
+makes no list of pairs.  Inside the join a distinct vector goes by a key of its own,
+as ids may be null or repeated.
 """
 
 from __future__ import annotations
@@ -72,14 +73,14 @@ def _blocks():
     """Consecutive rows of one label and dimension, at most ``_BLOCK`` a row."""
     schema = pa.schema(
         [("label", pa.string()), ("dim", pa.int32()), ("low", pa.list_(pa.int32())), ("high", pa.list_(pa.int32()))]
-        + [(c, pa.binary()) for c in ("ids", "times", "vectors", "cells")]
+        + [(c, pa.binary()) for c in ("keys", "times", "vectors", "cells")]
     )
 
     def pack(label, dim, part):
-        ids, times, vectors, cells = (np.concatenate(p) for p in zip(*part, strict=True))
+        keys, times, vectors, cells = (np.concatenate(p) for p in zip(*part, strict=True))
         return {
             "label": label, "dim": dim, "low": cells.min(axis=0).tolist(), "high": cells.max(axis=0).tolist(),
-            "ids": ids.tobytes(), "times": times.tobytes(), "vectors": vectors.tobytes(), "cells": cells.tobytes(),
+            "keys": keys.tobytes(), "times": times.tobytes(), "vectors": vectors.tobytes(), "cells": cells.tobytes(),
         }
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -88,19 +89,19 @@ def _blocks():
             values, lengths = _vectors(batch, "vector")
             ends = np.cumsum(lengths)
             labels = batch.column(batch.schema.get_field_index("label")).to_pylist()
-            ids, times = numbers(batch, "id"), numbers(batch, "times")
+            keys, times = numbers(batch, "key"), numbers(batch, "times")
             cells = np.stack([numbers(batch, f"c{i}") for i in range(_DIRECTIONS)], axis=1).astype(np.int32)
             k = 0
             while k < batch.num_rows:
-                key = (labels[k], int(lengths[k]))
-                if open_ is not None and (key != open_ or size == _BLOCK):
+                group = (labels[k], int(lengths[k]))
+                if open_ is not None and (group != open_ or size == _BLOCK):
                     yield pa.RecordBatch.from_pylist([pack(*open_, part)], schema=schema)
                     part, size = [], 0
-                open_ = key
+                open_ = group
                 end = k
-                while end < batch.num_rows and end - k < _BLOCK - size and (labels[end], lengths[end]) == key:
+                while end < batch.num_rows and end - k < _BLOCK - size and (labels[end], lengths[end]) == group:
                     end += 1
-                part.append((ids[k:end], times[k:end], values[ends[k] - lengths[k] : ends[end - 1]], cells[k:end]))
+                part.append((keys[k:end], times[k:end], values[ends[k] - lengths[k] : ends[end - 1]], cells[k:end]))
                 size += end - k
                 k = end
         if part:
@@ -133,20 +134,20 @@ def _interval_join(cells_a, cells_b, compare, same: bool) -> None:
 
 
 def _opened(row: dict, side: str):
-    ids = np.frombuffer(row[f"ids_{side}"], np.int64)
+    keys = np.frombuffer(row[f"keys_{side}"], np.int64)
     return (
-        ids,
+        keys,
         np.frombuffer(row[f"times_{side}"], np.int64),
-        np.frombuffer(row[f"vectors_{side}"], np.float64).reshape(len(ids), -1),
-        np.frombuffer(row[f"cells_{side}"], np.int32).reshape(len(ids), -1),
+        np.frombuffer(row[f"vectors_{side}"], np.float64).reshape(len(keys), -1),
+        np.frombuffer(row[f"cells_{side}"], np.int32).reshape(len(keys), -1),
     )
 
 
 def _pair_links(row: dict, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(id, links, smallest id reached) of the linked vectors of two blocks."""
+    """(key, links, smallest key reached) of the linked vectors of two blocks."""
     same = row["block_a"] == row["block_b"]
-    ids_a, times_a, rows_a, cells_a = _opened(row, "a")
-    ids_b, times_b, rows_b, cells_b = _opened(row, "b")
+    keys_a, times_a, rows_a, cells_a = _opened(row, "a")
+    keys_b, times_b, rows_b, cells_b = _opened(row, "b")
     norm_a, norm_b = np.linalg.norm(rows_a, axis=1), np.linalg.norm(rows_b, axis=1)
     left, right = [], []
 
@@ -163,12 +164,12 @@ def _pair_links(row: dict, least: float) -> tuple[np.ndarray, np.ndarray, np.nda
     none = np.zeros(0, np.int64)
     i, j = np.concatenate(left or [none]), np.concatenate(right or [none])
     if not same:
-        j = j + len(ids_a)
-        ids, times = np.concatenate([ids_a, ids_b]), np.concatenate([times_a, times_b])
+        j = j + len(keys_a)
+        keys, times = np.concatenate([keys_a, keys_b]), np.concatenate([times_a, times_b])
     else:
-        ids, times = ids_a, times_a
-    links = np.bincount(i, times[j], len(ids)) + np.bincount(j, times[i], len(ids))
-    lowest = ids.copy()
+        keys, times = keys_a, times_a
+    links = np.bincount(i, times[j], len(keys)) + np.bincount(j, times[i], len(keys))
+    lowest = keys.copy()
     while True:
         both = np.minimum(lowest[i], lowest[j])
         after = lowest.copy()
@@ -178,11 +179,11 @@ def _pair_links(row: dict, least: float) -> tuple[np.ndarray, np.ndarray, np.nda
             break
         lowest = after
     linked = np.flatnonzero(links)
-    return ids[linked], links[linked].astype(np.int64), lowest[linked]
+    return keys[linked], links[linked].astype(np.int64), lowest[linked]
 
 
 def _joiner(least: float):
-    schema = pa.schema([("id", pa.int64()), ("links", pa.int64()), ("root", pa.int64())])
+    schema = pa.schema([("key", pa.int64()), ("links", pa.int64()), ("root", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -202,6 +203,11 @@ def near_vectors(
     double precision.  Null, empty or zero vectors, vectors with null or non-finite
     components and vectors without label have no links and are their own
     component.  n_links counts the other rows linked directly.
+
+    Rows with null id, and rows that share one, are linked and counted like all
+    others.  component_id is the least id of the component that is not null, and
+    null if it has none.  kept marks the rows with that id; in a component without
+    any id it marks the rows of its vector with the least hash.
     """
     if not 0 < least <= 1:
         raise ValueError("the least cosine must lie in (0, 1]")
@@ -217,43 +223,54 @@ def near_vectors(
     distinct = stage(
         sound.select(F.col(id_col).cast("long").alias("id"), *keys, vector.alias("vector"))
         .groupBy("label", "h1", "h2")
-        .agg(F.min("id").alias("id"), F.count("*").alias("times"), F.first("vector").alias("vector")),
+        .agg(F.min("id").alias("id"), F.count("*").alias("times"), F.first("vector").alias("vector"))
+        # Written once, so every branch reads the same keys.
+        .withColumn("key", F.monotonically_increasing_id()),
         "distinct-vectors",
     )
     eps = float(np.sqrt(2 - 2 * least)) * (1 + 1e-9) + 1e-9
     directions = _directions(distinct)
-    celled = distinct.select("label", "id", "times", "vector").mapInArrow(
+    celled = distinct.select("label", "key", "times", "vector").mapInArrow(
         _cells(directions, eps),
-        "label string, id long, times long, vector array<double>, "
+        "label string, key long, times long, vector array<double>, "
         + ", ".join(f"c{i} int" for i in range(_DIRECTIONS)),
     )
-    order = ["label", F.size("vector"), *(f"c{i}" for i in range(_DIRECTIONS)), "id"]
+    order = ["label", F.size("vector"), *(f"c{i}" for i in range(_DIRECTIONS)), "key"]
     blocks = stage(
         celled.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(
             _blocks(),
-            "label string, dim int, low array<int>, high array<int>, ids binary, times binary, vectors binary, cells binary",
+            "label string, dim int, low array<int>, high array<int>, keys binary, times binary, vectors binary, cells binary",
         ).withColumn("block", F.monotonically_increasing_id()),
         "vector-blocks",
     )
     joined = _touching(blocks)
     for side in "ab":
-        held = ["ids", "times", "vectors", "cells"]
+        held = ["keys", "times", "vectors", "cells"]
         joined = joined.join(
             blocks.select(F.col("block").alias(f"block_{side}"), *(F.col(c).alias(f"{c}_{side}") for c in held)),
             f"block_{side}",
         )
-    found = stage(joined.mapInArrow(_joiner(least), "id long, links long, root long"), "vector-links")
-    roots = connected(found.select(F.col("id").alias("a"), F.col("root").alias("b")))
-    degrees = found.groupBy("id").agg(F.sum("links").alias("links"))
-    named = (
-        distinct.select("label", "h1", "h2", "id", "times")
-        .join(degrees, "id", "left")
-        .join(roots, F.col("id") == F.col("node"), "left")
+    found = stage(joined.mapInArrow(_joiner(least), "key long, links long, root long"), "vector-links")
+    roots = connected(found.select(F.col("key").alias("a"), F.col("root").alias("b")))
+    degrees = found.groupBy("key").agg(F.sum("links").alias("links"))
+    rooted = stage(
+        distinct.select("label", "h1", "h2", "id", "key", "times")
+        .join(degrees, "key", "left")
+        .join(roots, F.col("key") == F.col("node"), "left")
         .select(
-            F.col("label").alias("__label"), F.col("h1").alias("__h1"), F.col("h2").alias("__h2"),
+            "label", "h1", "h2", "id",
             (F.coalesce("links", F.lit(0)) + F.col("times") - 1).alias("links"),
-            F.coalesce("root", "id").alias("root"),
-        )
+            F.coalesce("root", "key").alias("root"),
+        ),
+        "rooted-vectors",
+    )
+    # Stored, so that the join below reads both sides from a shuffle and a large component can be split.
+    first = F.min(F.struct(F.col("id").isNull(), "id", "h1", "h2")).alias("first")
+    firsts = stage(rooted.groupBy("root").agg(first), "components")
+    named = rooted.join(firsts, "root").select(
+        F.col("label").alias("__label"), F.col("h1").alias("__h1"), F.col("h2").alias("__h2"), "links",
+        F.col("first.id").alias("least"),
+        ((F.col("h1") == F.col("first.h1")) & (F.col("h2") == F.col("first.h2"))).alias("leads"),
     )
     rows = table.select(
         F.col(id_col).alias("__id"),
@@ -264,18 +281,20 @@ def near_vectors(
         (F.col("__k0") == F.col("__label")) & (F.col("__k1") == F.col("__h1")) & (F.col("__k2") == F.col("__h2")),
         "left",
     )
-    component = F.coalesce("root", F.col("__id").cast("long"))
+    own = F.col("__id").cast("long")
+    component = F.when(F.col("__label").isNull(), own).otherwise(F.col("least"))
+    without_id = F.coalesce("leads", F.lit(True))
     return matched.select(
         F.col("__id").alias(id_col),
         F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
         component.alias("component_id"),
-        (F.col("__id").cast("long") == component).alias("kept"),
+        F.when(component.isNull(), without_id).otherwise(F.coalesce(own == component, F.lit(False))).alias("kept"),
     )
 
 
 def _directions(distinct: DataFrame) -> dict[int, np.ndarray]:
     """Principal directions per vector length, from a bounded sample; they only steer the pruning."""
-    rows = distinct.orderBy(F.xxhash64("id"), "id").limit(_SAMPLE).select("vector").toArrow().column("vector")
+    rows = distinct.orderBy("h1", "h2", "label").limit(_SAMPLE).select("vector").toArrow().column("vector")
     by_dim: dict[int, list] = {}
     for row in rows:
         values = np.asarray(row.values, np.float64)
