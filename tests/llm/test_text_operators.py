@@ -66,6 +66,27 @@ def test_language_of_awkward_texts(spark, awkward, empty):
     assert {r.lang_pred for r in language_id.identify_language(awkward, None).collect()} == {"und"}
 
 
+def test_every_language_is_learnt(spark):
+    """Ninety labels, of which the rarest have one row and no id."""
+    random = np.random.default_rng(4)
+    letters = list("abcdefghijklmnopqrstuvwxyz")
+    words = [["".join(random.choice(letters, 7)) for _ in range(12)] for _ in range(90)]
+    docs, asked = [], []
+    for k in range(90):
+        for n in range(1 if k >= 85 else 3 if k >= 70 else 12):
+            docs.append((None if k >= 85 else len(docs), " ".join(random.choice(words[k], 30)), f"l{k:02d}"))
+        asked.append((k, " ".join(random.choice(words[k], 30))))
+    labelled = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    model = language_id.train_language_model(labelled)
+    assert model.languages == [f"l{k:02d}" for k in range(90)]
+    found = language_id.identify_language(spark.createDataFrame(asked, "doc_id long, text string"), model).collect()
+    wrong = [r.doc_id for r in found if r.lang_pred != f"l{r.doc_id:02d}"]
+    assert len(wrong) <= 2, wrong
+    chosen, labels = language_id.sample_of_every_label(labelled, "lang", "doc_id", 2, 1)
+    assert len(labels) == 90 and sorted(r.lang for r in chosen.collect()) == labels
+    assert language_id.sample_of_every_label(labelled, "lang", "doc_id", 2, 180)[0].count() == 85 * 2 + 5
+
+
 def test_language_table_ignores_position_in_batch():
     texts = [" alpha beta ", " gamma ", "  ", " delta epsilon zeta "]
     data = np.frombuffer("".join(texts).encode(), np.uint8)

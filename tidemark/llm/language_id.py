@@ -8,7 +8,9 @@ part of the sample sets the softmax temperature and the confidence below which
 a document is rejected.
 
 At prediction the table and the softmax fold into one table of class scores per
-hash, so a document is one gather and one sum over its runs.
+hash, so a document is one gather and one sum over its runs.  With more languages
+than dimensions the two stay apart, and the softmax is applied to the document's
+sum, so the table does not grow with the languages.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.columnar import plain_text, slices, sums_by_row
 from tidemark.llm.rows import map_texts, numbers
-from tidemark.llm.sampling import labelled_sample
+from tidemark.llm.sampling import sample_of_every_label
 
 UNKNOWN = "und"
 _LENGTHS = (3, 4, 5)
@@ -43,9 +45,11 @@ class LanguageSettings:
     dimensions: int = 16
     epochs: int = 6
     least_steps: int = 8000  # a small sample is gone over more often
+    steps_per_language: int = 800  # and so is one of many languages, up to ``epochs`` of ``rows_in_all``
     learning_rate: float = 0.5
     rows_per_language: int = 600  # bound of the training sample, per language
-    max_languages: int = 64
+    rows_in_all: int = 38_400  # shared evenly by the languages if there are more than 64
+    calibration_scores: int = 8_000_000  # bound of the rows held back, times the languages
     calibration_share: float = 0.25
     wrongly_rejected: float = 0.001  # share of right answers that may be rejected
     strictest_threshold: float = 0.5  # below a half no language holds the text
@@ -57,6 +61,7 @@ class LanguageModel:
     languages: list[str]
     scores: np.ndarray = field(repr=False)  # bucket x language: embedding table times softmax weights
     bias: np.ndarray = field(repr=False)
+    softmax: np.ndarray | None = field(default=None, repr=False)  # set if ``scores`` is the embedding table alone
     temperature: float = 1.0
     threshold: float = 0.0
     bucket_bits: int = 16
@@ -139,13 +144,14 @@ def train_language_model(
 ) -> LanguageModel | None:
     """Train on (text, label) rows; rows without label or letters are not used.
 
-    At most ``rows_per_language`` rows of each of ``max_languages`` languages are
-    drawn by a hash of ``order_col``; what reaches the driver is their subword
-    counts, at most 2^bucket_bits numbers a row.  Returns None without any row.
+    Every label is learnt.  At most ``rows_per_language`` rows of each, and about
+    ``rows_in_all`` together but one at least, are drawn by a hash of ``order_col``;
+    what reaches the driver is their subword counts, at most 2^bucket_bits numbers
+    a row, and the list of labels.  Returns None without any row.
     """
     usable = labelled.where(plain_text(text_col).rlike(r"\p{L}"))
-    rows, languages = labelled_sample(
-        usable, label_col, order_col, settings.rows_per_language, settings.max_languages
+    rows, languages = sample_of_every_label(
+        usable, label_col, order_col, settings.rows_per_language, settings.rows_in_all
     )
     if not languages:
         return None
@@ -169,9 +175,14 @@ def _fit(languages, truth, ids, weights, s: LanguageSettings) -> LanguageModel:
     softmax = np.zeros((classes, s.dimensions), np.float32)
     bias = np.zeros(classes, np.float32)
     order = random.permutation(len(truth))
-    held = order[: int(len(order) * s.calibration_share)] if len(order) >= 20 else order[:0]
+    # The first row of every language is learnt from, however few it has.
+    first = np.unique(truth[order], return_index=True)[1]
+    order = np.concatenate([np.delete(order, first), order[first]])
+    held = min(int(len(order) * s.calibration_share), len(order) - classes, s.calibration_scores // classes)
+    held = order[: max(0, held)] if len(order) >= 20 else order[:0]
     fit = order[len(held) :]
-    epochs = max(s.epochs, -(-s.least_steps // max(1, len(fit))))
+    least = max(s.least_steps, min(s.steps_per_language * classes, s.epochs * s.rows_in_all))
+    epochs = max(s.epochs, -(-least // max(1, len(fit))))
     steps, step = max(1, epochs * len(fit)), 0
     for _ in range(epochs):
         for k in random.permutation(fit):
@@ -187,9 +198,9 @@ def _fit(languages, truth, ids, weights, s: LanguageSettings) -> LanguageModel:
             bias -= rate * 0.1 * error
             # Rows of one bag are distinct, so plain indexing adds every part once.
             table[ids[k]] -= (rate * len(ids[k]) ** 0.5) * np.outer(weights[k], back)
-    scores = table @ softmax.T
-    check = held if len(held) else fit
-    logits = np.array([weights[k] @ scores[ids[k]] + bias for k in check]).reshape(-1, classes)
+    check = held if len(held) else fit[: max(1, s.calibration_scores // classes)]
+    means = np.array([weights[k] @ table[ids[k]] for k in check]).reshape(-1, s.dimensions)
+    logits = means @ softmax.T + bias
     target = truth[check]
     temperature = min(
         np.geomspace(0.05, 5, 60), key=lambda t: _loss(logits / t, target), default=1.0
@@ -199,8 +210,9 @@ def _fit(languages, truth, ids, weights, s: LanguageSettings) -> LanguageModel:
     threshold = float(np.quantile(sure, s.wrongly_rejected)) if len(sure) else 0.0
     # Below chance the answer means nothing; above the cap an easy sample would reject honest texts.
     threshold = float(np.clip(threshold * 0.9, 1 / classes, s.strictest_threshold))
+    folded = classes <= s.dimensions
     return LanguageModel(
-        languages, scores.astype(np.float32), bias, float(temperature),
+        languages, table @ softmax.T if folded else table, bias, None if folded else softmax, float(temperature),
         threshold if classes > 1 else 0.0, s.bucket_bits,
     )
 
@@ -248,6 +260,8 @@ def identify_language(
     def work(part, data, offsets):
         buckets, counts = subword_buckets(data, offsets, model.bucket_bits)
         mean = sums_by_row(model.scores[buckets], counts) / np.maximum(counts, 1)[:, None]
+        if model.softmax is not None:
+            mean = mean @ model.softmax.T
         found = _softmax((mean + model.bias) / model.temperature)
         best = found.argmax(axis=1)
         sure = found[np.arange(len(best)), best]
