@@ -162,6 +162,24 @@ def test_block_tables_find_every_neighbour(spark):
             assert found[v] == sum(((v ^ w) % (1 << 64)).bit_count() <= radius for w in values)
 
 
+def test_search_names_the_neighbours(spark):
+    random = np.random.default_rng(6)
+    base = random.integers(-(1 << 63), 1 << 63, 12)
+    values = [int(b) ^ sum(1 << int(i) for i in random.choice(63, n, replace=False)) for b in base for n in range(6)]
+    held = [(k, v) for k, v in enumerate(values + values[:9])]
+    prints = spark.createDataFrame(held, "doc_id long, print long")
+    queries = prints.where("doc_id % 4 = 0 or doc_id >= 72")
+    asked = {v for k, v in held if k % 4 == 0 or k >= 72}
+    for radius in (0, 3):
+        near = {(q, k, v) for q in asked for k, v in held if ((q ^ v) % (1 << 64)).bit_count() <= radius}
+        pairs = [tuple(r) for r in simhash_index.neighbours(prints, queries, radius).collect()]
+        assert sorted(pairs) == sorted((q, v, values.count(v) + values[:9].count(v)) for q, v in {(q, v) for q, _, v in near})
+        members = [tuple(r) for r in simhash_index.neighbour_rows(prints, queries, radius).collect()]
+        assert sorted(members) == sorted(near)
+        counts = {r.print: r.near for r in simhash_index.count_neighbours(prints, queries, radius).collect()}
+        assert counts == {q: sum(x[0] == q for x in near) for q in asked}
+
+
 # ---- op3
 
 

@@ -189,13 +189,13 @@ def _signed(value: int) -> Column:
     return F.lit(value - (1 << 64) if value >> 63 else value).cast("long")
 
 
-def count_neighbours(prints: DataFrame, queries: DataFrame, radius: int = 3) -> DataFrame:
-    """(print, near): how many rows of ``prints`` lie within ``radius`` bits of each query.
+def _found(prints: DataFrame, queries: DataFrame, radius: int) -> DataFrame:
+    """(query, found): arrays of struct(print, n) within ``radius`` bits, n the rows of that print.
 
-    Both take a long column ``print``; ``prints`` counts repeated values, ``queries``
-    is reduced to distinct ones.  A crowded key is stored in chunks, and a query
-    meets whole chunks, so no list of pairs is ever made.  A pair is counted in
-    the table of its first three agreeing blocks only.
+    Both take a long column ``print`` and are reduced to distinct values.  A crowded
+    key is stored in chunks, and a query meets whole chunks, so a query has several
+    arrays, some empty.  A pair is found in the table of its first three agreeing
+    blocks only.
     """
     tables = _tables(radius)
     members = prints.groupBy("print").agg(F.count("*").alias("n"))
@@ -217,16 +217,38 @@ def count_neighbours(prints: DataFrame, queries: DataFrame, radius: int = 3) ->
         F.col("print").alias("query"), F.explode(F.array(*rows)).alias("f")
     ).select("query", "f.t", "f.key", "f.rest")
 
-    def counted(total: Column, member: Column) -> Column:
+    def near(member: Column) -> Column:
         apart = member["print"].bitwiseXOR(F.col("query"))
-        near = F.bit_count(apart) <= radius
         # Spare entries of ``rest`` are -1: they hold unless the prints are equal.
         first = F.forall(
             F.col("rest"), lambda m: (m == -1) | (apart.bitwiseAND(m) != 0)
         )
-        return total + F.when(near & first, member["n"]).otherwise(F.lit(0).cast("long"))
+        return (F.bit_count(apart) <= radius) & first
 
-    met = asked.join(chunks, ["t", "key"]).select(
-        "query", F.aggregate("members", F.lit(0).cast("long"), counted).alias("near")
-    )
+    return asked.join(chunks, ["t", "key"]).select("query", F.filter("members", near).alias("found"))
+
+
+def neighbours(prints: DataFrame, queries: DataFrame, radius: int = 3) -> DataFrame:
+    """(query, print, n): every fingerprint of ``prints`` within ``radius`` bits of each query.
+
+    Both take a long column ``print``.  Pairs are between distinct values, each once,
+    equal values included; n counts the rows of ``prints`` that have the value.
+    """
+    return _found(prints, queries, radius).select("query", F.inline("found"))
+
+
+def neighbour_rows(prints: DataFrame, queries: DataFrame, radius: int = 3) -> DataFrame:
+    """``query`` and the columns of ``prints``: the rows within ``radius`` bits of each distinct query."""
+    pairs = neighbours(prints.select("print"), queries, radius)
+    return pairs.select("query", "print").join(prints, "print").select("query", *(f"`{c}`" for c in prints.columns))
+
+
+def count_neighbours(prints: DataFrame, queries: DataFrame, radius: int = 3) -> DataFrame:
+    """(print, near): how many rows of ``prints`` lie within ``radius`` bits of each query.
+
+    The sum of n over ``neighbours``, taken from its arrays, so a count makes no list
+    of pairs.
+    """
+    of = F.aggregate("found", F.lit(0).cast("long"), lambda total, m: total + m["n"])
+    met = _found(prints, queries, radius).select("query", of.alias("near"))
     return met.groupBy(F.col("query").alias("print")).agg(F.sum("near").alias("near"))
