@@ -2,8 +2,9 @@
 
 DataFrame functions only.  A text's terms are its neighbouring word pairs (and
 its last word), hashed to 64 bits; a term votes for or against every bit with
-its length as weight, as longer pairs say more about a text.  Votes are summed
-two bits to a number, which keeps the whole count in generated code.
+its length as weight, as longer pairs say more about a text; pairs of over 24
+letters (long compounds, clauses in scripts without blanks) all weigh 24.  Votes are
+summed two bits to a number, which keeps the whole count in generated code.
 
 The search cuts fingerprints into ``radius + 3`` blocks.  Within the radius at
 most ``radius`` blocks differ, so at least three agree: for every choice of three
