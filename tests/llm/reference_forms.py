@@ -133,3 +133,84 @@ def awkward(spark):
     """The awkward documents with columns that clash with the operators' own names."""
     rest = (5, "b", "c", "d", 1, 2, "e", "f", "g", "h", "i", "j", "k", "l", 3)
     return spark.createDataFrame([(i, t, *rest) for i, t in AWKWARD], CLASHING)
+
+
+def periodic_runs(words, least=6, times=4):
+    """(start, length, period) of all maximal runs, by start and period."""
+    out = []
+    for q in range(1, len(words) // times + 1):
+        same = [words[i] == words[i + q] for i in range(len(words) - q)]
+        i = 0
+        while i < len(same):
+            j = i
+            while j < len(same) and same[j]:
+                j += 1
+            length = j - i + q
+            if j > i and length >= max(least, times * q):
+                span = words[i : i + length]
+                if not any(span[p:] == span[:-p] for p in range(1, q)):
+                    out.append((i, length, q))
+            i = max(j, i + 1)
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def collapsed(words, runs):
+    gone = {i for start, length, period in runs for i in range(start + period, start + length)}
+    return " ".join(w for i, w in enumerate(words) if i not in gone)
+
+
+def with_periodic_tail(doc_id, words):
+    h = zlib.crc32(str(doc_id).encode())
+    g, n = h // 10, len(words)
+    if h % 10 or not n:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+
+
+def repetition(text, least=8):
+    """Counts of one text, in the order of ``repetition.MEASURES``."""
+    words = WORD.findall(text or "")
+    n = len(words)
+    spans = {}
+    for i in range(n - least + 1):
+        spans.setdefault(tuple(words[i : i + least]), []).append(i)
+    held = {i + k for at in spans.values() if len(at) > 1 for i in at for k in range(least)}
+    # Pairs of equal places that cannot be extended to either side give the maximal repeats.
+    found = set()
+    for at in spans.values():
+        for x, i in enumerate(at):
+            for j in at[x + 1 :]:
+                if i and words[i - 1] == words[j - 1]:
+                    continue
+                length = least
+                while j + length < n and words[i + length] == words[j + length]:
+                    length += 1
+                found.add(tuple(words[i : i + length]))
+    lines = [x for x in (text or "").split("\n") if WORD.search(x)]
+    return (
+        n, sum(map(len, words)), sum(c in "#*$%&|<>" for c in text or ""), len(lines) - len(set(lines)),
+        len(held), len(found), max(map(len, found), default=0),
+    )
+
+
+def hard_negatives(rows, positives=5, negatives=5, low=80, high=100, scale=256):
+    """Rows of (id, vector, label, anchor) to (anchor, positive, rank, negative, scores)."""
+    sound = [
+        (i, [int(np.floor(float(x) * scale)) for x in v], lab, a, n) for n, (i, v, lab, a) in enumerate(rows)
+        if lab is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)
+    ]
+    out = []
+    for i, v, lab, anchor, n in sound:
+        if not anchor:
+            continue
+        scored = [
+            (-sum(x * y for x, y in zip(v, w, strict=True)), j is None, j or 0, m, other, j)
+            for j, w, other, _, m in sound if len(v) == len(w)
+        ]
+        scored.sort(key=lambda s: s[:4])
+        for p in [s for s in scored if s[4] == lab and s[3] != n][:positives]:
+            window = [s for s in scored if s[4] != lab and low * -p[0] <= high * -s[0] <= high * -p[0]]
+            out += [(i, p[5], r + 1, s[5], -p[0], -s[0]) for r, s in enumerate(window[:negatives])]
+    return out

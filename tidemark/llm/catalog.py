@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 from tidemark.llm.bpe import token_digests
 from tidemark.llm.golay_dedup import near_duplicates
 from tidemark.llm.grid_join import near_vectors
+from tidemark.llm.hard_negatives import mine_negatives
 from tidemark.llm.language_id import identify_language, train_language_model
 from tidemark.llm.line_dedup import drop_shared_lines
 from tidemark.llm.packing import pack_documents
+from tidemark.llm.periodic_runs import find_runs, repeat_tail
 from tidemark.llm.quality import score_quality, train_quality_model
 from tidemark.llm.repeats import remove_repeats
+from tidemark.llm.repetition import quality_rules
 from tidemark.llm.sampling import held_out
 from tidemark.llm.sharding import assign_shards
 from tidemark.llm.simhash_index import as_text, count_neighbours, fingerprint_with_edits
@@ -104,6 +107,38 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return token_digests(_texts(spark, folder), TOKENIZER, ["doc_id"])
 
 
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """One document in ten first gets a periodic tail, chosen by its id; a null id gets none."""
+    h, g = F.crc32(F.col("doc_id").cast("string")), F.expr("crc32(CAST(doc_id AS STRING)) div 10")
+    n = F.size(F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1)))
+    at = (g % n).cast("int")
+    width = (1 + F.floor((n - at) / (3 + g % 8))).cast("int")
+    planted = F.when((h % 10 == 0) & (n > 0), repeat_tail(F.col("text"), at, width)).otherwise(F.col("text"))
+    found = find_runs(_texts(spark, folder).withColumn("text", planted), keep=["doc_id"])
+    # Greatest length, then smallest start, then smallest period.
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("l"), (-r["start"]).alias("s"), (-r["period"]).alias("p"))))
+    listed = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.s")).alias("start"),
+        F.col("best.l").alias("length"),
+        (-F.col("best.p")).alias("period"),
+        F.expr("1000 * best.l div -best.p").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(listed, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_negatives(_table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, label=label)
+
+
+def op13_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules(_texts(spark, folder), keep=["doc_id"])
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_fingerprints": op2_fingerprints,
@@ -115,6 +150,9 @@ QUERIES = {
     "op8_embedding_dedup": op8_embedding_dedup,
     "op9_line_dedup": op9_line_dedup,
     "op10_bpe": op10_bpe,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_quality_rules": op13_quality_rules,
 }
 
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
