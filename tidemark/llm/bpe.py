@@ -27,8 +27,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from tokenizers import Regex, normalizers, pre_tokenizers
 
-from tidemark.llm.columnar import RangeHash, plain_text, ragged, sums_by_row
+from tidemark.llm.columnar import plain_text, ragged, sums_by_row
 from tidemark.llm.rows import map_texts
+from tidemark.llm.words import dictionary
 
 # Fixed values of the supported file format.
 _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -283,13 +284,13 @@ class Encoder:
         self._tables = tables
         self._limit = cached_words
         self._kinds = _kind_table(tables.kinds)
-        self._hash = RangeHash(seed=9, symbols=0x110000)
         names = "|".join(re.escape(s) for s in sorted(tables.special, key=len, reverse=True))
         self._special = re.compile(f"({names})") if names else None
         self._forget()
 
     def _forget(self) -> None:
-        self._slots: dict[int, int] = {}
+        self._slots: dict[str, int] = {}
+        self._held = 0  # letters of the remembered words
         self._ids, self._starts, self._counts = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -319,24 +320,27 @@ class Encoder:
         if not len(points):
             return np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
         starts, ends = split_words(points, offsets, self._kinds)
-        with np.errstate(over="ignore"):
-            hashes = self._hash.ranges(self._hash.sums(points), starts, ends)
-        distinct, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self._slots) + len(distinct) > self._limit:
+        # Words are told apart by their letters: hashes of chosen words can collide.
+        lengths = ends - starts
+        inverse = dictionary(points[ragged(starts, lengths)].view(np.uint8), 4 * lengths)
+        first = np.empty(inverse.max(initial=-1) + 1, np.int64)
+        first[inverse[::-1]] = np.arange(len(inverse))[::-1]
+        spans = zip(starts[first].tolist(), ends[first].tolist(), strict=True)
+        distinct = [whole[a:b] for a, b in spans]
+        letters = int(lengths[first].sum())
+        if len(self._slots) + len(distinct) > self._limit or self._held + letters > 16 * self._limit:
             self._forget()
-        keys = distinct.tolist()
-        slots = np.array([self._slots.get(k, -1) for k in keys], np.int64)
+        slots = np.array([self._slots.get(w, -1) for w in distinct], np.int64)
         new = np.flatnonzero(slots < 0)
         if len(new):
-            at = first[new]
-            spans = zip(starts[at].tolist(), ends[at].tolist(), strict=True)
-            ids, counts = encode_words([whole[a:b].encode() for a, b in spans], self._tables)
+            ids, counts = encode_words([distinct[i].encode() for i in new], self._tables)
             known = len(self._counts)
             self._starts = np.concatenate([self._starts, len(self._ids) + np.cumsum(counts) - counts])
             self._ids = np.concatenate([self._ids, ids])
             self._counts = np.concatenate([self._counts, counts])
             slots[new] = known + np.arange(len(new))
-            self._slots.update(zip([keys[i] for i in new], slots[new].tolist(), strict=True))
+            self._slots.update(zip([distinct[i] for i in new], slots[new].tolist(), strict=True))
+            self._held += int(lengths[first[new]].sum())
         used = slots[inverse]
         per_word = self._counts[used]
         found = self._ids[ragged(self._starts[used], per_word)]
