@@ -17,7 +17,10 @@ Consecutive windows with one anchor form a segment.
    to 4 apply to the halves, until groups are small.  A half of one window is
    fully decided by step 2, so this ends.
 
-Segments are compared by two independent 64-bit hashes (anchor and content).
+Equal segments in a row are folded into one, so a periodic text of any length gives few.
+Segments are compared by anchor and by content, a polynomial hash modulo the prime
+2^61 - 1: two different segments collide for a fraction of 10^-12 of its bases at most,
+and no strings collide for all of them.
 """
 
 from __future__ import annotations
@@ -31,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.bwt_merge import repeated_starts
-from tidemark.llm.columnar import RangeHash, mix, plain_text, ragged
+from tidemark.llm.columnar import PrimeHash, RangeHash, mix, plain_text, ragged
 from tidemark.llm.rows import doc_key, emit, map_texts, numbers
 from tidemark.session import stage
 
@@ -43,10 +46,12 @@ _BLOCK_BYTES = 60_000  # text that is merged together
 _SCRAMBLE = np.uint64(0x9E3779B97F4A7C15)
 
 _anchors = RangeHash(seed=31)
-_contents = RangeHash(seed=32)
-_cores = RangeHash(seed=33)
+_contents = PrimeHash(seed=32)
+_cores = PrimeHash(seed=33)
 
-_SEGMENT = "anchor long, content long, k1 long, k2 long, start long, place int, windows int"
+_SEGMENT = (
+    "anchor long, content long, k1 long, k2 long, start long, place int, windows int, reach long, times long"
+)
 
 
 # ---- segments -------------------------------------------------------------------------------
@@ -113,6 +118,18 @@ def _all_segments(data: np.ndarray, offsets: np.ndarray, length: int) -> dict[st
     return {c: np.concatenate([p[c] for p in found]) for c in found[0]}
 
 
+def _folded(s: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """Equal segments in a row (a periodic stretch) as one, with their number (``times``) and all
+    their windows (``reach``).  They repeat each other, so the whole stretch is repeated."""
+    same = np.zeros(len(s["doc"]), bool)
+    same[1:] = s["start"][1:] == s["start"][:-1] + s["windows"][:-1]
+    for c in ("doc", "anchor", "content", "windows"):
+        same[1:] &= s[c][1:] == s[c][:-1]
+    heads = np.flatnonzero(~same)
+    times = np.diff(np.append(heads, len(same)))
+    return {c: v[heads] for c, v in s.items()} | {"times": times, "reach": times * s["windows"][heads]}
+
+
 def _anchor_counts(docs: DataFrame, text_col: str, length: int) -> DataFrame:
     """Anchors that occur more than once."""
 
@@ -129,11 +146,12 @@ def _anchor_counts(docs: DataFrame, text_col: str, length: int) -> DataFrame:
 
 def _segment_rows(docs: DataFrame, id_col: str, text_col: str, length: int) -> DataFrame:
     def work(part, data, offsets):
-        s = _all_segments(data, offsets, length)
+        s = _folded(_all_segments(data, offsets, length))
         return [
             s["anchor"].view(np.int64), s["content"].view(np.int64),
             numbers(part, "k1")[s["doc"]], numbers(part, "k2")[s["doc"]],
             s["start"], s["place"].astype(np.int32), s["windows"].astype(np.int32),
+            s["reach"], s["times"],
         ]
 
     k1, k2 = doc_key(id_col, text_col)
@@ -144,28 +162,26 @@ def _segment_rows(docs: DataFrame, id_col: str, text_col: str, length: int) -> D
 
 
 def _classes(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(repeated, open): segments that occur whole more than once, and one segment of every
+    """(again, open): the (anchor, content) that occur more than once, and one segment of every
     content of those anchors that have several, with the anchor's ``crowd`` of contents.
 
-    ``rows`` is stored and has ``times``; references (times > 1) are not reported again.
+    ``rows`` is stored.
     """
-    others = [c for c in rows.columns if c not in ("anchor", "content", "times")]
+    others = [c for c in rows.columns if c not in ("anchor", "content", "times", "reach")]
     classes = stage(
         rows.groupBy("anchor", "content").agg(
             F.sum("times").alias("times"), *(F.first(c).alias(c) for c in others)
         ),
         "segment-classes",
     )
-    again = classes.where("times > 1").select("anchor", "content")
-    repeated = rows.where("times = 1").join(again, ["anchor", "content"])
     crowds = stage(
         classes.groupBy("anchor").agg(F.count("*").alias("crowd")).where("crowd > 1"), "crowds"
     )
-    return repeated, classes.join(crowds, "anchor")
+    return classes.where("times > 1").select("anchor", "content"), classes.join(crowds, "anchor")
 
 
-def _spans(rows: DataFrame, length: int) -> DataFrame:
-    return rows.select("k1", "k2", "start", (F.col("start") + F.col("windows") + length - 1).alias("end"))
+def _spans(rows: DataFrame, reach: str, length: int) -> DataFrame:
+    return rows.select("k1", "k2", "start", (F.col("start") + F.col(reach) + length - 1).alias("end"))
 
 
 def _cut_texts(keyed: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
@@ -303,18 +319,19 @@ def repeated_spans(docs: DataFrame, id_col: str, text_col: str, length: int) ->
     keyed = docs.select(*doc_key(id_col, text_col), plain_text(text_col).alias("__body"))
     known = _anchor_counts(docs, text_col, length)
     rows = stage(
-        _segment_rows(docs, id_col, text_col, length).join(known, "anchor").withColumn("times", F.lit(1).cast("long")),
-        "segments",
+        _segment_rows(docs, id_col, text_col, length).join(known, "anchor"), "segments"
     )
-    repeated, open_ = _classes(rows)
-    spans = [_spans(repeated, length)]
+    again, open_ = _classes(rows)
+    spans = [_spans(rows.join(again, ["anchor", "content"]), "reach", length)]
     texts = stage(_cut_texts(keyed, open_, length), "segment-texts")
     quiet = [texts.where(F.col("crowd") <= _CROWD)]
     crowded, width = texts.where(F.col("crowd") > _CROWD), 64
     while crowded.limit(1).count():
         parts = stage(_halved(crowded, length, min(width, length)), "segment-halves")
-        repeated, open_ = _classes(parts)
-        spans.append(_spans(repeated, length))
+        again, open_ = _classes(parts)
+        # Segments that stand for several are repeated, and were reported with their class.
+        single = parts.where("times = 1").join(again, ["anchor", "content"])
+        spans.append(_spans(single, "windows", length))
         texts = stage(open_, "segment-texts")
         quiet.append(texts.where(F.col("crowd") <= _CROWD))
         crowded, width = texts.where(F.col("crowd") > _CROWD), width // 2
@@ -343,21 +360,21 @@ def remove_repeats(
     if length < 2:
         raise ValueError("the length must be at least 2")
     spans = repeated_spans(docs, id_col, text_col, length)
-    per_doc = spans.groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "end")).alias("__spans"))
+    per_doc = spans.groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     k1, k2 = doc_key(id_col, text_col)
-    marked = docs.withColumns({"__k1": k1, "__k2": k2}).join(
-        per_doc.select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2"), "__spans"), ["__k1", "__k2"], "left"
-    )
+    # The input travels as one column, so that its names cannot meet the names used here.
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    marked = docs.select(k1, k2, F.struct(*own).alias("row")).join(per_doc, ["k1", "k2"], "left")
 
     def work(part, data, offsets):
-        lists = part.column(part.schema.get_field_index("__spans"))
+        lists = part.column(part.schema.get_field_index("spans"))
         counts = np.asarray(lists.value_lengths().fill_null(0))
         flat = lists.flatten()
         doc = np.repeat(np.arange(part.num_rows), counts)
-        steps = np.zeros(len(data) + 1, np.int64)
+        steps = np.zeros(len(data) + 1, np.int32)
         np.add.at(steps, offsets[doc] + flat.field(0).to_numpy(), 1)
         np.add.at(steps, offsets[doc] + flat.field(1).to_numpy(), -1)
-        gone = np.cumsum(steps[:-1]) > 0
+        gone = np.cumsum(steps[:-1], dtype=np.int32) > 0
         removed = np.concatenate([[0], np.cumsum(gone)])
         removed = removed[offsets[1:]] - removed[offsets[:-1]]
         begins = gone.copy()
@@ -377,5 +394,12 @@ def remove_repeats(
         ]
 
     out = f"`{text_col}` string, `{added[0]}` long, `{added[1]}` long, `{added[2]}` long, `{added[3]}` string"
-    done = map_texts(marked, docs.columns, plain_text(text_col), out, work, {"__spans": F.col("__spans")})
-    return done.select(*(f"`{c}`" for c in docs.columns if c not in added), *added)
+    text = F.coalesce(F.col("row").getField(text_col).cast("string"), F.lit(""))
+    done = map_texts(marked, ["row"], text, out, work, {"spans": F.col("spans")})
+    return done.select(
+        *(
+            F.col(f"`{text_col}`") if c == text_col else F.col("row").getField(c).alias(c)
+            for c in docs.columns if c not in added
+        ),
+        *(f"`{c}`" for c in added),
+    )
