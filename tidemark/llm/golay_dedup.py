@@ -358,6 +358,8 @@ def keep_one(
     stays = found.groupBy("__root").agg(first).select(
         F.xxhash64("first.__id").alias("__k1"), F.col("first.__k2").alias("__k2")
     )
-    marked = docs.withColumns({"__k1": F.xxhash64(F.col(id_col)), "__k2": text_hash})
+    # The input travels as one column, so that its names cannot meet the names used here.
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    marked = docs.select(F.xxhash64(F.col(id_col)).alias("__k1"), text_hash.alias("__k2"), row)
     kept = marked.join(stays, ["__k1", "__k2"], "left_semi").dropDuplicates(["__k1", "__k2"])
-    return kept.select(*(f"`{c}`" for c in docs.columns))
+    return kept.select(*(F.col("row").getField(c).alias(c) for c in docs.columns))

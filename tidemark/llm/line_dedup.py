@@ -40,7 +40,7 @@ _LIMIT = (1 << 32) - 1
 class LineSettings:
     min_docs: int = 10
     min_chars: int = 1
-    docs_per_shard: int = 500  # keeps a shard's arrays at some thousands to some hundred thousands of lines
+    lines_per_shard: int = 12_000  # different lines that a shard's arrays hold on average, at most
 
 
 # ---- line keys ---------------------------------------------------------------------------
@@ -330,20 +330,21 @@ def drop_shared_lines(
     ``counted`` (replacing columns of these names).  Rows repeated in the input
     count as documents of their own.
     """
-    shards = max(8, -(-docs.count() // settings.docs_per_shard))
+    # All lines, of which the different ones are a part: few documents may hold very many.
+    body = plain_text(text_col)
+    breaks = F.length(body) - F.length(F.replace(body, F.lit("\n"))) + 1
+    lines = docs.agg(F.coalesce(F.sum(breaks), F.lit(0))).first()[0]
+    shards = max(8, -(-lines // settings.lines_per_shard))
     index = stage(build_index(line_counts(docs, text_col, settings), shards), "line-index")
     found = probe(docs, index, id_col, text_col, shards, settings)
     gone = found.groupBy("k1", "k2").agg(F.array_sort(F.collect_set("line")).alias("gone"))
     k1, k2 = doc_key(id_col, text_col)
-    # Prefixed key names: the documents may have columns k1 and k2 themselves.
-    marked = docs.withColumns({"__k1": k1, "__k2": k2}).join(
-        gone.select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2"), F.col("gone").alias("__gone")),
-        ["__k1", "__k2"],
-        "left",
-    )
+    # The input travels as one column, so that its names cannot meet the names used here.
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    marked = docs.select(k1, k2, row).join(gone, ["k1", "k2"], "left")
 
     def work(part, data, offsets):
-        lists = part.column(part.schema.get_field_index("__gone"))
+        lists = part.column(part.schema.get_field_index("gone"))
         raw = data.tobytes()
         breaks = np.concatenate([[0], np.cumsum(data == _NEWLINE)])
         lines = breaks[offsets[1:]] - breaks[offsets[:-1]] + 1
@@ -366,6 +367,12 @@ def drop_shared_lines(
         return [text, pa.array(lines), pa.array(dropped)]
 
     out = f"`{text_col}` string, `{counted[0]}` long, `{counted[1]}` long"
-    done = map_texts(marked, docs.columns, plain_text(text_col), out, work, {"__gone": F.col("__gone")})
-    first = [c for c in docs.columns if c not in counted]
-    return done.select(*(f"`{c}`" for c in first), *counted)
+    text = F.coalesce(F.col("row").getField(text_col).cast("string"), F.lit(""))
+    done = map_texts(marked, ["row"], text, out, work, {"gone": F.col("gone")})
+    return done.select(
+        *(
+            F.col(f"`{text_col}`") if c == text_col else F.col("row").getField(c).alias(c)
+            for c in docs.columns if c not in counted
+        ),
+        *(f"`{c}`" for c in counted),
+    )
