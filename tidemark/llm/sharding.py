@@ -23,7 +23,6 @@ from tidemark.llm.rows import numbers
 from tidemark.session import stage
 
 _RANGES_PER_SHARD = 512
-_ROWS_PER_RANGE = 50_000
 _SAMPLES_PER_RANGE = 32
 _OVERFULL = 2.0  # times the expected bytes
 _ROUNDS = 4
@@ -117,8 +116,8 @@ def assign_shards(
     """(id, size, text_crc32, shard, slot): shards of near-equal bytes.
 
     The size is the text's UTF-8 bytes plus 1; a null text has none and counts as
-    the empty one.  Slots number a shard's rows from 0 in key order.  Rows equal in
-    id and text cannot be told apart and stay together.  Shards may stay empty
+    the empty one.  Slots number a shard's rows from 0 in key order.  Rows of one id and
+    text stay together; those without id do not.  Shards may stay empty
     when there are fewer texts than shards.
     """
     spark = docs.sparkSession
@@ -129,13 +128,16 @@ def assign_shards(
             (F.octet_length(body).cast("long") + 1).alias("size"),
             F.crc32(body.cast("binary")).alias("crc"),
             F.xxhash64(body).alias("group"),
-            F.xxhash64(F.lit(3), F.col(id_col)).alias("member"),
+            # Rows without id are told apart by their number, which is fixed once it is written.
+            F.when(F.col(id_col).isNull(), F.xxhash64(F.lit(4), F.monotonically_increasing_id()))
+            .otherwise(F.xxhash64(F.lit(3), F.col(id_col))).alias("member"),
         ),
         "shard-keys",
     )
     keys = rows.groupBy("group", "member").agg(F.sum("size").alias("bytes"))
-    total, count = rows.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("*")).first()
-    ranges = max(shards * _RANGES_PER_SHARD, count // _ROWS_PER_RANGE)
+    total = rows.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    # As many ranges whatever the rows: samples, boundaries and sums on the driver stay bounded.
+    ranges = shards * _RANGES_PER_SHARD
     bounds = _quantiles(_draw(keys, ranges * _SAMPLES_PER_RANGE, total, 0), ranges)
     for attempt in range(1, _ROUNDS + 1):
         # Only ranges with more than one key can be cut again.
