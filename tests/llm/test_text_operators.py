@@ -256,6 +256,31 @@ def test_repeats_match_brute_force(spark, awkward, sample, empty):
     assert repeats.remove_repeats(empty).count() == 0
 
 
+def test_doubled_words_are_no_repeats(spark):
+    texts = [t for n in (1024, 4096) for t in _doubled(n)] + ["start " + _doubled(2048)[0] + " end"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in repeats.remove_repeats(docs).collect()}
+    expected = [(n, gone, runs, ref.sha(left)) for n, gone, runs, left in ref.repeats_removed(texts)]
+    assert found == dict(enumerate(expected))
+
+
+@pytest.mark.parametrize("unit", ["-", "ab", "abcdefghijklmnopqrstuvwxyz0123456789"])
+def test_long_periodic_texts(spark, unit):
+    """Periodic stretches give a handful of segments, however long they are."""
+    long = unit * (3_000_000 // len(unit))
+    data = np.frombuffer(long.encode(), np.uint8)
+    folded = repeats._folded(repeats._all_segments(data, np.array([0, len(data)]), 200))
+    assert len(folded["doc"]) <= 8 and int(folded["reach"].sum()) == len(data) - 199
+    pick = np.random.default_rng(1).integers(97, 123, 400, dtype=np.uint8).tobytes().decode()
+    texts = [long, pick + unit * 300 + pick[::-1], unit * 250 + "!", "x" * 199, unit]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in repeats.remove_repeats(docs).collect()}
+    small = [unit * 1000, *texts[1:]]  # the same repeats, within reach of brute force
+    expected = [(n, gone, runs, ref.sha(left)) for n, gone, runs, left in ref.repeats_removed(small)]
+    expected[0] = (len(long), len(long), 1, ref.sha(""))
+    assert found == dict(enumerate(expected))
+
+
 def test_repeats_of_crowded_anchors(spark, monkeypatch):
     """Groups are split by window offset before they are merged, with the same result."""
     monkeypatch.setattr(repeats, "_CROWD", 2)
@@ -388,6 +413,24 @@ def test_shards_are_near_equal(spark, awkward, empty):
     assert sharding.assign_shards(empty).count() == 0
 
 
+def test_shards_hold_every_row_once(spark):
+    """Nulls in either column, repeated rows and ties against the plain definition."""
+    rows_ = [(i % 500 if i % 3 else None, [None, "", "a", "b" * 400, f"t{i}"][i % 5]) for i in range(1500)]
+    docs = spark.createDataFrame(rows_, "doc_id long, text string")
+    found = sharding.assign_shards(docs, 4).collect()
+    order = lambda r: (r[0] is None, r[0] or 0, r[1], r[2])
+    import zlib
+
+    expected = [(i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t in rows_]
+    assert sorted(((r.doc_id, r["size"], r.text_crc32) for r in found), key=order) == sorted(expected, key=order)
+    slots = {}
+    for r in found:
+        slots.setdefault(r.shard, []).append((r.slot, r["size"]))
+    sums = [sum(n for _, n in own) for own in slots.values()]
+    assert all(sorted(k for k, _ in own) == list(range(len(own))) for own in slots.values())
+    assert max(sums) - min(sums) < 0.2 * sum(sums) / 4
+
+
 def test_overfull_ranges_are_cut_again(spark, monkeypatch):
     monkeypatch.setattr(sharding, "_SAMPLES_PER_RANGE", 1)
     monkeypatch.setattr(sharding, "_RANGES_PER_SHARD", 64)
@@ -427,15 +470,68 @@ def test_hot_lines_spread_over_copies(spark):
     docs = spark.range(3000).select(
         F.col("id").alias("doc_id"), F.concat(F.lit("a very common line\nrare line "), F.col("id").cast("string")).alias("text")
     )
-    settings = line_dedup.LineSettings(docs_per_shard=100)
+    settings = line_dedup.LineSettings(lines_per_shard=200)
     kept = line_dedup.drop_shared_lines(docs, settings=settings)
     assert {(r.n_lines, r.n_dropped) for r in kept.collect()} == {(2, 1)}
     assert kept.where("text != concat('rare line ', doc_id)").count() == 0
 
 
+def test_few_documents_with_very_many_lines(spark):
+    """Shards follow the lines, not the documents; every line of all but one text is shared."""
+    many = 20_000
+    docs = spark.range(12).select(
+        F.col("id").alias("doc_id"),
+        F.array_join(F.transform(F.sequence(F.lit(1), F.lit(many)), lambda i: F.concat(
+            F.lit("line "), F.when(F.col("id") == 11, -i).otherwise(i).cast("string"))), "\n").alias("text"),
+    )
+    kept = {r.doc_id: r for r in line_dedup.drop_shared_lines(docs).collect()}
+    assert all((kept[i].n_dropped, kept[i].text) == (many, "") for i in range(11))
+    assert (kept[11].n_lines, kept[11].n_dropped) == (many, 0)
+    counts = line_dedup.line_counts(docs, "text", line_dedup.LineSettings())
+    sizes = [sum(r.sizes) for r in line_dedup.build_index(counts, 20).collect()]
+    assert len(sizes) == 20 and counts.count() == 2 * many
+
+
 # ---- op10
 
 
+def _doubled(n):
+    """A Thue-Morse word of n letters and its complement: they collide modulo 2^64 for every base."""
+    word = "a"
+    while len(word) < n:
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+def test_words_that_collide_modulo_powers_of_two(spark):
+    tokenizer = Tokenizer.from_file(PATH)
+    texts = [t for n in (512, 1024, 2048, 8192) for t in _doubled(n)]
+    texts += [" ".join(_doubled(1024)), "before " + _doubled(4096)[1] + " " + _doubled(4096)[0]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    found = {r.doc_id: list(r.ids) for r in bpe.encode_documents(docs, PATH, ["doc_id"]).collect()}
+    assert found == {i: tokenizer.encode(t, add_special_tokens=False).ids for i, t in enumerate(texts)}
+    for text in texts:
+        alone = bpe.Encoder(bpe.BpeTables.load(PATH)).encode([text])[0].tolist()
+        assert alone == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_prime_hash_tells_doubled_words_apart():
+    from tidemark.llm.columnar import PrimeHash, RangeHash
+
+    for n in (1024, 4096):
+        data = np.frombuffer("".join(_doubled(n)).encode(), np.uint8)
+        found = []
+        for kind in (RangeHash, PrimeHash):
+            hashes = kind(9)
+            with np.errstate(over="ignore"):
+                a, b = hashes.ranges(hashes.sums(data), np.array([0, n]), np.array([n, 2 * n])).tolist()
+            found.append(a == b)
+        assert found == [True, False]
+    hashes, data = PrimeHash(4), np.frombuffer(b"xyxyxyabxyxyxyab", np.uint8)
+    same = hashes.ranges(hashes.sums(data), np.array([0, 2, 8]), np.array([4, 6, 12]))
+    assert len(set(same.tolist())) == 1
+
+
 def test_encoding_and_decoding_match_the_library(spark, awkward, sample, empty):
     tokenizer = Tokenizer.from_file(PATH)
     docs = spark.createDataFrame(sample[:80], "doc_id long, text string")
@@ -466,10 +562,104 @@ def test_other_tokenizer_files_are_refused():
         bpe.BpeTables.load(public_tokenizers.path("byte_bpe_50k.json"))
 
 
+# ---- op1 and op7 by their definitions, one text at a time
+
+
+def test_quality_scores_follow_the_definition(spark, sample):
+    """Tokens, pairs and the dot product in plain Python, with the hashes of one token alone."""
+    import re as plain_re
+
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    model = quality.train_quality_model(docs, spark.read.parquet(f"{SMALL}/labels.parquet"))
+    mask, gold = (1 << 64) - 1, 0x9E3779B97F4A7C15
+
+    def spread(h):
+        for _ in range(2):
+            h = ((h ^ (h >> 32)) * 0xD6E8FEB86659FD93) & mask
+        return h ^ (h >> 32)
+
+    def token_hash(token):
+        data = np.frombuffer(token.encode(), np.uint8)
+        with np.errstate(over="ignore"):
+            low = quality._LOWER[data]
+            return int(quality._HASH.ranges(quality._HASH.sums(low), np.array([0]), np.array([len(low)]))[0])
+
+    def score(text):
+        blank, digit = "\x09-\x0d\x20", "0-9"
+        symbol = "\x00-\x08\x0e-\x1f!-/:-@\\[-`{-\x7f"
+        tokens = plain_re.findall(f"[{digit}]+|[{symbol}]+|[^{blank}{digit}{symbol}]+", text or "")
+        total, before = 0.0, int(quality._START)
+        for token in tokens:
+            h = token_hash(token)
+            marked = int(quality._REPEATED) if h == before else h
+            pair = marked if h == before else spread((before * gold + marked) & mask)
+            for x in (spread(marked), spread(pair)):
+                total += float(model.weights[x >> (64 - model.bucket_bits)])
+            before = h
+        logit = model.bias + model.scale * total / max(2 * len(tokens), 1)
+        return 1 / (1 + np.exp(-logit))
+
+    chosen = [(i, t) for i, t in sample if len(t or "") < 3000][:60] + [(1000, None), (1001, "a a a 1 1 ### b")]
+    frame = spark.createDataFrame(chosen, "doc_id long, text string")
+    found = {r.doc_id: r.score for r in quality.score_quality(frame, model).collect()}
+    for i, text in chosen:
+        assert found[i] == pytest.approx(score(text), abs=1e-5)
+
+
+def test_language_scores_follow_the_definition(spark, sample):
+    """Subwords, their mean and the softmax in plain Python, one text at a time."""
+    model = language_id.train_language_model(spark.read.parquet(f"{SMALL}/documents.parquet"))
+
+    def expected(text):
+        body = (" " + (text or "").lower() + " ").encode()
+        folded = [int(language_id._FOLD[b]) for b in body]
+        edge, total, count = int(language_id._EDGE), np.zeros(model.scores.shape[1]), 0
+        for n in language_id._LENGTHS:
+            for at in range(len(folded) - n + 1):
+                run = folded[at : at + n]
+                if edge in run[1:-1]:
+                    continue
+                key = sum(b << (8 * k) for k, b in enumerate(run)) + n
+                bucket = (key * int(language_id._MULTIPLIER) & ((1 << 64) - 1)) >> (64 - model.bucket_bits)
+                total, count = total + model.scores[bucket], count + 1
+        mean = total / max(count, 1)
+        logits = ((mean if model.softmax is None else mean @ model.softmax.T) + model.bias) / model.temperature
+        weights = np.exp(logits - logits.max())
+        best = int(np.argmax(weights))
+        return model.languages[best], float(weights[best] / weights.sum())
+
+    chosen = [(i, t) for i, t in sample if t and 20 < len(t) < 1200][:25]
+    frame = spark.createDataFrame(chosen, "doc_id long, text string")
+    found = {r.doc_id: r for r in language_id.identify_language(frame, model).collect()}
+    for i, text in chosen:
+        language, score = expected(text)
+        assert found[i].lang_pred == language and found[i].score == pytest.approx(score, abs=1e-4)
+
+
 # ---- all
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_columns_named_like_internals(spark):
+    """The stages of the pipeline return every input column unchanged, whatever its name."""
+    import corpus_pipeline
+
+    names = ("__k1", "__k2", "k1", "k2", "__spans", "spans", "__gone", "gone", "row", "__rank", "__print", "__root",
+             "__id", "__text", "__body", "__c0", "__o0", "print", "root", "node", "component_id", "start", "end",
+             "line", "shard", "a.b", "_rank")
+    texts = [(i, t) for i, t in ref.AWKWARD if i != 12] + [(60 + k, f"a text of its own, number {k} of a few") for k in range(4)]
+    data = [(i, t, "en", "s", 0, *(f"{n}-{i}" for n in names)) for i, t in texts]
+    fields = ", ".join(f"`{n}` string" for n in names)
+    docs = spark.createDataFrame(data, f"doc_id long, text string, lang string, source string, n_chars long, {fields}")
+    for stage_ in (corpus_pipeline.line_dedup, corpus_pipeline.near_dedup, corpus_pipeline.suffix_dedup):
+        kept = stage_(spark, docs, SMALL)
+        assert kept.columns == docs.columns
+        for r in kept.collect():
+            assert [r[n] for n in names] == [f"{n}-{r.doc_id}" for n in names]
+
+
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"op12_hard_negatives"}))
 def test_queries_return_a_row_per_document(spark, name):
     table, key = ("embeddings", "vec_id") if name.startswith("op8") else ("documents", "doc_id")
     found = QUERIES[name](spark, SMALL)

@@ -136,7 +136,10 @@ def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op13_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
-    return quality_rules(_texts(spark, folder), keep=["doc_id"])
+    found = quality_rules(_texts(spark, folder), keep=["doc_id"])
+    return found.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
 
 
 QUERIES = {
@@ -191,4 +194,65 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
                sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '')) AS kept_sha256
         FROM marked GROUP BY doc_id""",
+    "op12_hard_negatives": """
+        WITH sound AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+            FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
+                   list_dot_product(a.v, b.v)::BIGINT AS score
+            FROM sound a JOIN sound b ON len(a.v) = len(b.v) AND a.vec_id <> b.vec_id
+            WHERE a.vec_id % 100 = 0
+        ), positives AS (
+            SELECT anchor_id, other AS positive_id, score AS positive_score FROM scored WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5
+        )
+        SELECT p.anchor_id, positive_id,
+               row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other)::INTEGER AS rank,
+               other AS negative_id, positive_score, score AS negative_score
+        FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+             AND 80 * positive_score <= 100 * score AND score <= positive_score
+        QUALIFY rank <= 5""",
+    "op13_quality_rules": r"""
+        WITH cut AS (
+            SELECT doc_id, coalesce(text, '') AS t,
+                   regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+        ), base AS (
+            SELECT doc_id, len(ws) AS n_words,
+                   coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0)::BIGINT AS word_chars,
+                   length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+                   list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+            FROM cut
+        ), words AS (
+            SELECT doc_id, unnest(ws) AS word, unnest(range(len(ws))) AS i, len(ws) AS n FROM cut
+        ), windows AS (
+            SELECT doc_id, i, CASE WHEN i + 8 <= n THEN concat_ws(' ', word, lead(word, 1) OVER o, lead(word, 2) OVER o,
+                   lead(word, 3) OVER o, lead(word, 4) OVER o, lead(word, 5) OVER o, lead(word, 6) OVER o,
+                   lead(word, 7) OVER o) END AS win
+            FROM words WINDOW o AS (PARTITION BY doc_id ORDER BY i)
+        ), again AS (
+            SELECT doc_id, i, win, win IS NOT NULL AND count(*) OVER (PARTITION BY doc_id, win) > 1 AS hit FROM windows
+        ), covered AS (
+            SELECT doc_id, bool_or(hit) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 7 PRECEDING AND CURRENT ROW) AS c
+            FROM again
+        ), repeats AS (SELECT doc_id, count(*) FILTER (c) AS n_repeat_words FROM covered GROUP BY doc_id
+        ), judged AS (
+            SELECT doc_id, n_words, word_chars, n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+                   coalesce(n_repeat_words, 0) AS n_repeat_words,
+                   n_words < 20 OR 100 * coalesce(n_repeat_words, 0) > 30 * n_words AS base_failed
+            FROM base LEFT JOIN repeats USING (doc_id)
+        ), pairs AS (
+            SELECT a.doc_id, b.i - a.i AS apart, a.i FROM again a JOIN again b
+            ON a.doc_id = b.doc_id AND a.win = b.win AND a.i < b.i AND a.hit AND b.hit
+            WHERE a.doc_id IN (SELECT doc_id FROM judged WHERE NOT base_failed)
+        ), islands AS (
+            SELECT doc_id, apart, i - row_number() OVER (PARTITION BY doc_id, apart ORDER BY i) AS island FROM pairs
+        ), longest AS (
+            SELECT doc_id, max(size) + 7 AS size FROM (
+                SELECT doc_id, count(*) AS size FROM islands GROUP BY doc_id, apart, island) GROUP BY doc_id
+        )
+        SELECT j.*, NOT base_failed AND 100 * coalesce(size, 0) <= 20 * n_words AS kept
+        FROM judged j LEFT JOIN longest USING (doc_id)""",
 }

@@ -218,6 +218,9 @@ def quality_rules(
     found = measure_repetition(docs, text_col, least, keep, prefix)
     n, covered, longest = (F.col(f"`{prefix}{c}`") for c in ("n_words", "n_repeat_words", "longest_repeat"))
     base = (n < least_words) | (100 * covered > covered_percent * n)
-    return found.withColumn(f"{prefix}base_failed", base).withColumn(
-        f"{prefix}kept", ~base & (100 * longest <= longest_percent * n)
+    names = (f"{prefix}base_failed", f"{prefix}kept")
+    return found.select(
+        *(F.col(f"`{c}`") for c in found.columns if c not in names),
+        base.alias(names[0]),
+        (~base & (100 * longest <= longest_percent * n)).alias(names[1]),
     )
