@@ -515,23 +515,6 @@ def test_words_that_collide_modulo_powers_of_two(spark):
         assert alone == tokenizer.encode(text, add_special_tokens=False).ids
 
 
-def test_prime_hash_tells_doubled_words_apart():
-    from tidemark.llm.columnar import PrimeHash, RangeHash
-
-    for n in (1024, 4096):
-        data = np.frombuffer("".join(_doubled(n)).encode(), np.uint8)
-        found = []
-        for kind in (RangeHash, PrimeHash):
-            hashes = kind(9)
-            with np.errstate(over="ignore"):
-                a, b = hashes.ranges(hashes.sums(data), np.array([0, n]), np.array([n, 2 * n])).tolist()
-            found.append(a == b)
-        assert found == [True, False]
-    hashes, data = PrimeHash(4), np.frombuffer(b"xyxyxyabxyxyxyab", np.uint8)
-    same = hashes.ranges(hashes.sums(data), np.array([0, 2, 8]), np.array([4, 6, 12]))
-    assert len(set(same.tolist())) == 1
-
-
 def test_encoding_and_decoding_match_the_library(spark, awkward, sample, empty):
     tokenizer = Tokenizer.from_file(PATH)
     docs = spark.createDataFrame(sample[:80], "doc_id long, text string")

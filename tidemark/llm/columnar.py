@@ -101,68 +101,6 @@ class RangeHash:
         return mix((sums[end] - sums[start]) * self._inverse[start])
 
 
-_PRIME = np.uint64((1 << 61) - 1)
-_HALF = np.uint64(31)
-_LOW = np.uint64((1 << 31) - 1)
-
-
-def _reduced(x: np.ndarray) -> np.ndarray:
-    x = (x & _PRIME) + (x >> np.uint64(61))
-    return np.where(x >= _PRIME, x - _PRIME, x)
-
-
-def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """a * b modulo 2^61 - 1, from products of halves; 2^62 is 2 there."""
-    a1, a0, b1, b0 = a >> _HALF, a & _LOW, b >> _HALF, b & _LOW
-    middle = a1 * b0 + a0 * b1
-    high, low = middle >> np.uint64(30), middle & np.uint64((1 << 30) - 1)
-    return _reduced(_reduced(np.uint64(2) * a1 * b1 + high) + _reduced(low << _HALF) + _reduced(a0 * b0))
-
-
-class PrimeHash(RangeHash):
-    """The same interface modulo the prime 2^61 - 1.
-
-    Two different ranges of n symbols collide for n of the 2^61 bases at most.  Modulo
-    2^64 some strings collide for every base (those built by doubling with a complement).
-    """
-
-    def __init__(self, seed: int = 1, symbols: int = 256):
-        random = np.random.default_rng(seed)
-        self._values = random.integers(1, int(_PRIME), symbols, dtype=np.uint64)
-        self._base = int(random.integers(1 << 32, int(_PRIME)))
-        self._powers = np.ones(1, np.uint64)
-        self._inverse = np.ones(1, np.uint64)
-
-    def _grow(self, n: int) -> None:
-        if len(self._powers) < n:
-            size = max(n, SLICE_BYTES + 1024)
-            self._powers = self._series(self._base, size)
-            self._inverse = self._series(pow(self._base, -1, int(_PRIME)), size)
-
-    @staticmethod
-    def _series(base: int, size: int) -> np.ndarray:
-        out = np.full(size, base, np.uint64)
-        done = 1
-        while done < size:
-            more = min(done, size - done)
-            out[done : done + more] = _times(out[:more], out[done - 1])
-            done += more
-        return out
-
-    def sums(self, symbols: np.ndarray) -> np.ndarray:
-        self._grow(len(symbols) + 1)
-        terms = _times(self._values[symbols], self._powers[: len(symbols)])
-        out = np.zeros(len(symbols) + 1, np.uint64)
-        high, low = np.cumsum(terms >> _HALF), np.cumsum(terms & _LOW)
-        # High sums stay below 2^62 for 2^32 symbols.
-        out[1:] = _reduced(_times(_reduced(high), np.uint64(1 << 31)) + _reduced(low))
-        return out
-
-    def ranges(self, sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        difference = _reduced(sums[end] + (_PRIME - sums[start]))
-        return mix(_times(difference, self._inverse[start]))
-
-
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """start, start + 1, ... for every (start, length), one after another."""
     total = int(lengths.sum())

@@ -18,9 +18,7 @@ Consecutive windows with one anchor form a segment.
    fully decided by step 2, so this ends.
 
 Equal segments in a row are folded into one, so a periodic text of any length gives few.
-Segments are compared by anchor and by content, a polynomial hash modulo the prime
-2^61 - 1: two different segments collide for a fraction of 10^-12 of its bases at most,
-and no strings collide for all of them.
+Segments are compared by anchor and by content, an XXH3 of their bytes.
 """
 
 from __future__ import annotations
@@ -30,11 +28,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.bwt_merge import repeated_starts
-from tidemark.llm.columnar import PrimeHash, RangeHash, mix, plain_text, ragged
+from tidemark.llm.columnar import RangeHash, mix, plain_text, ragged
 from tidemark.llm.rows import doc_key, emit, map_texts, numbers
 from tidemark.session import stage
 
@@ -46,8 +45,6 @@ _BLOCK_BYTES = 60_000  # text that is merged together
 _SCRAMBLE = np.uint64(0x9E3779B97F4A7C15)
 
 _anchors = RangeHash(seed=31)
-_contents = PrimeHash(seed=32)
-_cores = PrimeHash(seed=33)
 
 _SEGMENT = (
     "anchor long, content long, k1 long, k2 long, start long, place int, windows int, reach long, times long"
@@ -67,9 +64,18 @@ def _least_in_windows(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[:n], ahead[width - 1 : width - 1 + n])
 
 
-def segments(data: np.ndarray, offsets: np.ndarray, length: int) -> dict[str, np.ndarray]:
+def _digests(data: bytes, starts: np.ndarray, ends: np.ndarray, seeds: np.ndarray) -> np.ndarray:
+    """XXH3 of byte ranges; unlike sums of powers it has no pairs of strings that always collide."""
+    digest, view = xxhash.xxh3_64_intdigest, memoryview(data)
+    spans = zip(starts.tolist(), ends.tolist(), seeds.tolist(), strict=True)
+    return np.fromiter((digest(view[a:b], s) for a, b, s in spans), np.uint64, len(starts))
+
+
+def segments(
+    data: np.ndarray, offsets: np.ndarray, length: int, contents: bool = True
+) -> dict[str, np.ndarray]:
     """Segments of all texts: document, start, windows, place of the anchor in the first
-    window, anchor hash and content hash."""
+    window, anchor hash and, unless not asked for, content hash."""
     gram = min(_ANCHOR, length)
     many = len(data) - length + 1
     if many <= 0:
@@ -93,9 +99,9 @@ def segments(data: np.ndarray, offsets: np.ndarray, length: int) -> dict[str, np
     starts = np.flatnonzero(begins)
     windows = np.bincount((np.cumsum(begins) - 1)[inside], minlength=len(starts)) if len(starts) else starts
     place = anchor[starts] - starts
-    whole = _contents.sums(data)
-    content = _contents.ranges(whole, starts, starts + windows + length - 1)
-    content = mix(content * _SCRAMBLE + place.astype(np.uint64))
+    content = np.zeros(len(starts), np.uint64)
+    if contents:
+        content = _digests(data.tobytes(), starts, starts + windows + length - 1, place)
     doc = np.searchsorted(offsets, starts, side="right") - 1
     return {
         "doc": doc, "start": starts - offsets[doc], "windows": windows, "place": place,
@@ -103,15 +109,17 @@ def segments(data: np.ndarray, offsets: np.ndarray, length: int) -> dict[str, np
     }
 
 
-def _all_segments(data: np.ndarray, offsets: np.ndarray, length: int) -> dict[str, np.ndarray]:
+def _all_segments(
+    data: np.ndarray, offsets: np.ndarray, length: int, contents: bool = True
+) -> dict[str, np.ndarray]:
     """``segments``, with very long texts taken in parts that overlap by a window less a byte."""
     if len(data) <= _LONGEST:
-        return segments(data, offsets, length)
+        return segments(data, offsets, length, contents)
     found = []
     for doc, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):
         for low in range(a, max(a + 1, b - length + 1), _LONGEST):
             high = min(b, low + _LONGEST + length - 1)
-            part = segments(data[low:high], np.array([0, high - low]), length)
+            part = segments(data[low:high], np.array([0, high - low]), length, contents)
             part["doc"] = part["doc"] + doc
             part["start"] = part["start"] + (low - a)
             found.append(part)
@@ -134,7 +142,9 @@ def _anchor_counts(docs: DataFrame, text_col: str, length: int) -> DataFrame:
     """Anchors that occur more than once."""
 
     def work(part, data, offsets):
-        anchors, times = np.unique(_all_segments(data, offsets, length)["anchor"], return_counts=True)
+        anchors, times = np.unique(
+            _all_segments(data, offsets, length, contents=False)["anchor"], return_counts=True
+        )
         return [anchors.view(np.int64), times]
 
     rows = emit(docs, plain_text(text_col), "anchor long, times long", work)
@@ -239,19 +249,19 @@ def _halved(rows: DataFrame, length: int, width: int) -> DataFrame:
             size = top - bottom + 1
             column = batch.column(batch.schema.get_field_index("text"))
             raw = column.to_pylist()
-            data = np.frombuffer(b"".join(raw), np.uint8)
+            data = b"".join(raw)
             at = np.concatenate([[0], np.cumsum([len(r) for r in raw])])[row]
             # From the start of the bin's last window to the end of its first one.
             core = at + place[row] - part * width
-            shared = _cores.ranges(_cores.sums(data), core, core + length - width + 1)
+            shared = _digests(data, core, core + length - width + 1, np.zeros(len(core), np.int64))
             begin = at + skip
-            content = _contents.ranges(_contents.sums(data), begin, begin + size + length - 1)
+            content = _digests(data, begin, begin + size + length - 1, top)
             group = numbers(batch, "anchor").view(np.uint64)[row] * _SCRAMBLE + part.astype(np.uint64)
             texts = [raw[r][s : s + n + length - 1] for r, s, n in zip(row, skip, size, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(mix(mix(group) + shared).view(np.int64)),
-                    pa.array(mix(content * _SCRAMBLE + top.astype(np.uint64)).view(np.int64)),
+                    pa.array(content.view(np.int64)),
                     pa.array(numbers(batch, "times")[row]),
                     pa.array(numbers(batch, "k1")[row]), pa.array(numbers(batch, "k2")[row]),
                     pa.array(numbers(batch, "start")[row] + skip),
