@@ -26,6 +26,23 @@ def spark(tmp_path_factory):
     session.stop()
 
 
+@pytest.fixture(scope="session", autouse=True)
+def shared_lake():
+    """Queries that read the corrected lake of one folder share it: it takes two cycles to make."""
+    from tidemark.plans import catalog
+
+    made, build = {}, catalog.corrected_lake
+
+    def once(t):
+        if t.folder not in made:
+            made[t.folder] = build(t)
+        return made[t.folder]
+
+    catalog.corrected_lake = once
+    yield
+    catalog.corrected_lake = build
+
+
 @pytest.fixture
 def lake(tmp_path):
     return str(tmp_path)

@@ -47,15 +47,20 @@ def test_metrics_equal_the_library_ones(spark):
 
 def test_classifier_and_forecast(silver):
     settings = ImpactSettings(trees=10)
-    model, metrics = congestion_model.fit_classifier(silver, settings)
-    assert all(0 < m["metric_value"] <= 1 for m in rows(metrics))
-    got = rows(congestion_model.forecast(model, silver, "2024-01-30 23:45:00"), "city", "horizon_minutes")
+    fitted = congestion_model.fit_classifier(silver, settings)
+    model, means = fitted.model, congestion_model.speed_means(silver)
+    assert fitted.held and all(0 < m["metric_value"] <= 1 for m in rows(fitted.frame))
+    got = rows(congestion_model.forecast(model, means, "2024-01-30 23:45:00"), "city", "horizon_minutes")
     assert len(got) == 6 and {g["horizon_minutes"] for g in got} == {30, 60}
     assert all(g["predicted_level"] in range(4) and g["predicted_label"] for g in got)
     wide = rows(congestion_model.forecast_by_city(
-        congestion_model.forecast(model, silver, "2024-01-30 23:45:00")), "city")
+        congestion_model.forecast(model, means, "2024-01-30 23:45:00")), "city")
     assert [w["predicted_30m"] for w in wide] == [g["predicted_level"] for g in got if g["horizon_minutes"] == 30]
-    assert congestion_model.fit_classifier(silver.limit(49), settings) is None
+    few = congestion_model.fit_classifier(silver.limit(49), settings)
+    assert not few.held and "50" in few.reason and few.model is None
+    assert few.frame.schema == fitted.frame.schema and few.frame.isEmpty()
+    nothing = congestion_model.forecast(None, means, "2024-01-30 23:45:00")
+    assert nothing.isEmpty() and nothing.columns == congestion_model.forecast(model, means, "2024-01-30 23:45:00").columns
 
 
 def roads(spark, *data):
@@ -68,12 +73,14 @@ def roads(spark, *data):
 
 def test_road_zones_follow_the_mean_change(spark):
     data = [(30.0, d) for d in (0.0, 0.5, 1.0, 10.0, 10.5, 11.0, 30.0, 30.5, 31.0)]
-    got = rows(zones.cluster_roads(roads(spark, *data)), "delta_congestion")
+    got = rows(zones.cluster_roads(roads(spark, *data)).frame, "delta_congestion")
     assert [g["zone_label"] for g in got] == (
         ["Dampak Rendah"] * 3 + ["Dampak Sedang"] * 3 + ["Dampak Tinggi"] * 3
     )
-    assert zones.cluster_roads(roads(spark, (1.0, 1.0), (2.0, 2.0))) is None
-    assert zones.cluster_roads(roads(spark, (1.0, 1.0), (2.0, 2.0), (9.0, 9.0))).count() == 3
+    few = zones.cluster_roads(roads(spark, (1.0, 1.0), (2.0, 2.0)))
+    enough = zones.cluster_roads(roads(spark, (1.0, 1.0), (2.0, 2.0), (9.0, 9.0)))
+    assert not few.held and few.frame.isEmpty() and enough.frame.count() == 3
+    assert few.frame.dtypes == enough.frame.dtypes
 
 
 # The demonstration rows: six cities, five measures.
@@ -91,9 +98,12 @@ def cities(spark):
 
 def test_city_clusters_save_and_score(spark, lake):
     df = cities(spark)
-    model, score = zones.fit_city_clusters(df)
-    assert -1 <= score <= 1
-    labelled = rows(zones.label_cities(model, df), "city")
+    fitted = zones.fit_city_clusters(df)
+    model, labelled = fitted.model, rows(fitted.frame, "city")
+    few = zones.fit_city_clusters(df.limit(2))
+    assert not few.held and few.frame.isEmpty() and few.frame.dtypes == fitted.frame.dtypes
+    same = df.withColumns({n: F.lit(1.0) for n in zones.CITY_CLUSTER_FEATURES})
+    assert zones.fit_city_clusters(same).reason
     means = {}
     for g in labelled:
         means.setdefault((g["cluster"], g["impact_level"]), []).append(g["avg_mobility_drop"])
@@ -130,14 +140,48 @@ def test_mobility_forecast_learns_the_daily_cycle(spark):
     )
     inputs = features.forecast_inputs(stage(df, "daily"))
     built = stage(sequences.training_sequences(inputs), "sequences")
-    model, errors = mobility_forecast.fit_forecast(built)
-    got = rows(errors, "city")
+    fitted = mobility_forecast.fit_forecast(built)
+    got = rows(fitted.frame, "city")
     # The plain mean would be off by about 0.19.
     assert [g["city"] for g in got] == ["a", "b"] and all(g["mae"] < 0.06 for g in got)
-    steps = rows(mobility_forecast.forecast_mobility(model, inputs), "city", "step")
+    steps = rows(mobility_forecast.forecast_mobility(fitted.model, inputs), "city", "step")
     assert len(steps) == 96 and all(0 <= s["mobility_score"] <= 1 for s in steps)
     assert (steps[1]["forecast_at"] - steps[0]["forecast_at"]).total_seconds() == 1800
-    assert mobility_forecast.fit_forecast(built.where("pos < 0")) is None
+    few = mobility_forecast.fit_forecast(built.where("pos < 0"))
+    assert not few.held and few.frame.dtypes == fitted.frame.dtypes and few.frame.isEmpty()
+
+
+def test_weights_equal_a_ridge_solved_at_once(spark):
+    """Coefficients against numpy on the rows themselves; an input that does not vary gets none."""
+    names = ("a", "b")
+    random = np.random.default_rng(6)
+    data = []
+    for city, shift in (("x", 0.0), ("y", 3.0)):
+        for k in range(300):
+            a, step = float(random.normal()) + shift, float(k % 48)
+            last_b, mean_a = 0.7, a * 0.5 + float(random.normal()) * 0.1
+            label = 0.2 + 0.1 * a - 0.05 * mean_a + 0.01 * step + float(random.normal()) * 0.01
+            data.append((city, a, last_b, mean_a, a * a, step, math.sin(step), math.cos(step), label))
+    columns = ["city", "last_a", "last_b", "mean_a", "mean_b", "step", "step_sin", "step_cos", "label"]
+    rows_ = spark.createDataFrame(data, columns)
+    size = len(mobility_forecast.inputs_of(names))
+    solved = mobility_forecast.solve_cities(mobility_forecast.gram_sums(rows_, names), size)
+    got = {r.city: np.array(r.weights) for r in solved.collect()}
+    for city in ("x", "y"):
+        x = np.array([d[1:8] for d in data if d[0] == city])
+        y = np.array([d[8] for d in data if d[0] == city])
+        mean, scale = x.mean(axis=0), x.std(axis=0)
+        varies = scale > 1e-9
+        z = (x[:, varies] - mean[varies]) / scale[varies]
+        inner = np.linalg.solve(z.T @ z / len(z) + 1e-3 * np.eye(z.shape[1]), z.T @ (y - y.mean()) / len(z))
+        weights = np.zeros(7)
+        weights[varies] = inner / scale[varies]
+        assert got[city][1:] == pytest.approx(weights, abs=1e-7)
+        assert got[city][0] == pytest.approx(y.mean() - weights @ mean, abs=1e-7) and got[city][2] == 0
+    scored = rows(mobility_forecast.predicted(solved, rows_.where("city = 'x'").limit(5), names))
+    for s in scored:
+        inputs = np.array([1.0, *(s[c] for c in columns[1:8])])
+        assert s["mobility_score"] == pytest.approx(min(1.0, max(0.0, float(got["x"] @ inputs))))
 
 
 def test_cycle_runs_twice_to_the_same_tables(spark, lake):
@@ -197,6 +241,84 @@ def test_incremental_cycle_only_cleans_touched_days(spark, lake):
     assert place.read("gold_anomaly_rate").agg(F.sum("total_records")).first()[0] == since
 
 
+def test_changed_days():
+    from tidemark.plans.cycle import changed_days
+
+    days = changed_days("2024-03-03 01:00:00", "2024-03-01 23:00:00", ["2024-02-20", "2023-12-01"], 60)
+    assert days == ["2024-01-03", "2024-02-20", "2024-03-01", "2024-03-02", "2024-03-03"]
+    back = changed_days("2024-03-01 00:00:00", "2024-03-02 00:00:00", [], 60)
+    assert back == ["2024-01-01", "2024-01-02", "2024-03-01"]
+
+
+def _gold(place):
+    cells = place.read("silver_cells")
+    return {
+        name: rows(df.drop("computed_at").select(sorted(c for c in df.columns if c != "computed_at")),
+                   *sorted(c for c in df.columns if c != "computed_at"))
+        for name, df in {
+            "cells": cells, "comparison": place.read("gold_city_comparison"),
+            "hourly": place.read("gold_hourly_pattern"), "rate": place.read("gold_anomaly_rate"),
+            "top": place.read("gold_anomalies"), "documents": place.read("serving_documents"),
+        }.items()
+    }
+
+
+def test_incremental_cycles_equal_a_full_one(spark, tmp_path, monkeypatch):
+    """Corrections, new days and a moving window: kept cells and fresh ones give one result,
+    and only the days that changed are read for them."""
+    from tidemark.operators import impact
+
+    t = SampleTables(spark, SMALL)
+    bronze = samples.road_readings(t.events)
+    kept, fresh = Lake(spark, str(tmp_path / "kept")), Lake(spark, str(tmp_path / "fresh"))
+    settings = ImpactSettings(trailing_days=9)
+    late = "to_date(recorded_at) IN ('2024-01-14', '2024-01-16')"
+    for place in (kept, fresh):
+        tables.seed_bronze(bronze.where(f"NOT {late}"), place.path("bronze_traffic"))
+    run_cycle(kept, "2024-01-16 10:30:00", settings, with_models=False, incremental=True)
+    fixed = bronze.where("to_date(recorded_at) = '2024-01-12' AND city = 'city_1'")
+    fixed = fixed.withColumns({"ingest_seq": F.col("ingest_seq") + 10**9, "current_speed": F.lit(0.0)})
+    for place in (kept, fresh):
+        for batch, part in ((1, bronze.where(late)), (2, fixed)):
+            tables.write_partitioned(
+                tables_with_batch(part, batch), place.path("bronze_traffic"), by=tables.BRONZE_PARTITIONS
+            )
+    read = []
+    whole = impact.reading_cells
+
+    def watched(silver):
+        read.extend(str(r["date"]) for r in silver.select("date").distinct().collect())
+        return whole(silver)
+
+    monkeypatch.setattr(impact, "reading_cells", watched)
+    run_cycle(kept, "2024-01-18 06:15:00", settings, with_models=False, incremental=True)
+    assert set(read) == {"2024-01-09", "2024-01-12", "2024-01-14", "2024-01-16", "2024-01-17", "2024-01-18"}
+    monkeypatch.undo()
+    run_cycle(fresh, "2024-01-18 06:15:00", settings, with_models=False)
+    assert _gold(kept) == _gold(fresh)
+
+
+def test_withdrawn_city_is_not_served(spark, lake):
+    """All readings of a city corrected away: no document and no gold row of it stays."""
+    t = SampleTables(spark, SMALL)
+    place = Lake(spark, lake)
+    bronze = samples.road_readings(t.events)
+    tables.seed_bronze(bronze, place.path("bronze_traffic"))
+    run_cycle(place, "2024-01-31 12:00:00", with_models=False)
+    keys = {r.key for r in place.read("serving_documents").collect()}
+    assert {"comparison:city_1", "daily:city_1", "hourly:city_1"} <= keys
+    gone = bronze.where("city = 'city_1'").withColumns(
+        {"ingest_seq": F.col("ingest_seq") + 10**9, "current_speed": F.lit(0.0)}
+    )
+    tables.write_partitioned(
+        tables_with_batch(gone, 1), place.path("bronze_traffic"), by=tables.BRONZE_PARTITIONS
+    )
+    run_cycle(place, "2024-01-31 12:10:00", with_models=False, incremental=True)
+    assert not [r.key for r in place.read("serving_documents").collect() if "city_1" in r.key]
+    for table in ("gold_city_comparison", "gold_hourly_pattern", "gold_daily_summary", "silver_cells"):
+        assert place.read(table).where("city = 'city_1'").isEmpty() and not place.read(table).isEmpty()
+
+
 def test_cycle_sees_nothing_after_its_time(spark, lake):
     t = SampleTables(spark, SMALL)
     place = Lake(spark, lake)
@@ -230,8 +352,7 @@ def test_constant_hours_have_no_false_anomalies(spark, lake):
 
 def test_readings_without_a_feature_are_counted(spark, silver):
     holes = silver.withColumn("free_flow_speed", F.when(F.col("hour") != 7, F.col("free_flow_speed")))
-    _, metrics = congestion_model.fit_classifier(holes, ImpactSettings(trees=3))
-    got = rows(metrics)[0]
+    got = rows(congestion_model.fit_classifier(holes, ImpactSettings(trees=3)).frame)[0]
     assert got["dropped_rows"] == silver.where("hour = 7").count() > 0
     assert got["train_rows"] + got["test_rows"] + got["dropped_rows"] == silver.count()
 

@@ -124,6 +124,21 @@ def test_sliding_against_brute_force(spark, window, step):
     assert len(found) == expected
 
 
+@pytest.mark.parametrize("offset,spread", [(0.0, 1.0), (16_250.0, 0.001), (1e6, 0.1), (1e6, 0.01)])
+def test_sliding_far_from_zero(spark, offset, spread):
+    """Values large against their deviation, as prices are: four digits of a two-pass result."""
+    base, other = noise(60, 3), noise(60, 4)
+    x = [offset + spread * v for v in base]
+    y = [offset + spread * (0.7 * v + 0.6 * w) for v, w in zip(base, other)]
+    got = rows(correlation.sliding_correlation(series(spark, a=(x, y)), pairs=PAIRS), "window_end")
+    assert [g["window_end"] for g in got] == [48, 54]
+    for g in got:
+        i = g["window_end"]
+        a, b = (np.array(v[i - 48:i]) - offset for v in (x, y))
+        r = float(np.corrcoef(a - a.mean(), b - b.mean())[0, 1])
+        assert g["r"] == pytest.approx(r, abs=6e-5)
+
+
 def test_sliding_constant_side(spark):
     got = rows(correlation.sliding_correlation(series(spark, a=([0.1] * 60, noise(60, 1))), pairs=PAIRS))
     assert got and all(g["r"] is None and g["significant"] is False for g in got)

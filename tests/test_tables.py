@@ -48,11 +48,117 @@ def test_versions_stay_bounded(spark, lake):
         table.fold(most=5)
     table.put(frame(spark, ("x", "after", 1000)), 49)
     table.fold(most=5)
-    assert len(tables._versions(spark, table.path, "version")) <= 6
+    # Three levels at most, and what the last fold has merged.
+    assert len(table._levels(table.path)) <= 18 and table.newest_version() == 49
     got = {g["city"]: g["v"] for g in rows(table.read())}
     assert got == {f"c{k}": max(b for b in range(49) if b % 7 == k) for k in range(7)} | {"x": 1000}
 
 
+def test_keys_can_go(spark, lake):
+    table = KeyedTable(spark, f"{lake}/t", ["city", "period"], schema="city string, period string, v int")
+    assert rows(table.read()) == [] and table.newest_version() == -1
+    table.put(frame(spark, ("a", "before", 1), ("b", "before", 2), (None, "before", 3)), 1)
+    gone = frame(spark, ("a", "before", 0), (None, "before", 0))
+    table.put(frame(spark, ("c", "before", 4)), 2, gone=gone)
+    assert sorted(g["city"] for g in rows(table.read())) == ["b", "c"]
+    table.put(frame(spark, ("a", "before", 5)), 3)
+    for most in (1, 1, 0):
+        table.fold(most=most)
+        assert {g["city"]: g["v"] for g in rows(table.read())} == {"a": 5, "b": 2, "c": 4}
+
+
+def _windows(spark, minutes, value):
+    start = F.timestamp_seconds(F.lit(1780272000) + F.lit(60) * F.col("m"))
+    return spark.createDataFrame([(m,) for m in minutes], "m long").select(
+        F.concat(F.lit("c"), (F.col("m") % 3).cast("string")).alias("city"), start.alias("window_start"),
+        F.lit(value).alias("v"),
+    )
+
+
+def test_bytes_written_grow_with_the_rows_put(spark, lake):
+    """A hundred batches over ten days: a row is rewritten a few times, whatever the table holds."""
+    from pathlib import Path
+
+    table = KeyedTable(spark, f"{lake}/t", ["city", "window_start"], day="window_start")
+    written, seen, at = 0, set(), []
+    for batch in range(100):
+        # The last window of the batch before changes again.
+        table.put(_windows(spark, range(batch * 144 - 1, batch * 144 + 143, 12), batch), batch)
+        table.fold(most=4)
+        for file in Path(lake, "t").rglob("*.parquet"):
+            if str(file) not in seen:
+                seen.add(str(file))
+                written += file.stat().st_size
+        at.append(written)
+    assert at[99] < 2.3 * at[49]
+    found = table.read()
+    assert found.count() == found.select("city", "window_start").distinct().count() == 1201 - 0 - 1 + 0
+    low = table.read("2026-06-03", "2026-06-04")
+    assert low.count() == 240 and low.agg(F.min("v")).first()[0] >= 19
+    # Folded days are neither ranked nor read for other days.
+    text = plan(table.read("2026-06-02", "2026-06-02"))
+    assert "PartitionFilters" in text and "day" in text.split("PartitionFilters")[1]
+    held = table._folders(table._stored())
+    assert all(len(v) == 1 for d, v in held.items() if d < "2026-06-09")
+
+
+def test_late_rows_reach_a_folded_day(spark, lake):
+    table = KeyedTable(spark, f"{lake}/t", ["city", "window_start"], day="window_start")
+    for batch in range(5):
+        table.put(_windows(spark, [batch * 1440], batch), batch)
+        table.fold(most=2)
+    table.put(_windows(spark, [0], 77), 9)
+    table.fold(most=2)
+    assert sorted(r.v for r in table.read().collect()) == [1, 2, 3, 4, 77]
+    table.fold_days()
+    table.fold_days()
+    assert sorted(r.v for r in table.read().collect()) == [1, 2, 3, 4, 77]
+    assert sorted(r.v for r in table.changes(2).collect()) == [3, 4, 77]
+
+
+def test_reader_of_folded_versions_is_not_disturbed(spark, lake):
+    table = KeyedTable(spark, f"{lake}/t", ["city", "period"])
+    for batch in range(4):
+        table.put(frame(spark, (f"c{batch}", "before", batch)), batch)
+    listed = table.read()
+    table.fold(most=2)
+    assert listed.count() == 4  # what it listed is still there
+    table.fold(most=2)
+    assert table.read().count() == 4
+
+
+def test_counts_come_from_footers(spark, lake):
+    df = spark.range(0, 1000, 1, 4).select("id", F.when(F.col("id") % 4 > 0, F.col("id")).alias("v"))
+    df.withColumn("p", F.col("id") % 3).write.partitionBy("p").parquet(f"{lake}/t")
+    got = tables.footer_counts(spark, {"all": (f"{lake}/t", None), "v": (f"{lake}/t", "v"), "no": (f"{lake}/x", None)})
+    assert got == {"all": 1000, "v": 750, "no": 0}
+    with tables._footers_answer(spark):
+        for column in (None, "v"):
+            assert "PushedAggregation: [COUNT" in plan(tables.footer_count(spark, f"{lake}/t", column))
+    assert "PushedAggregation" not in plan(spark.read.parquet(f"{lake}/t").agg(F.count("v")))
+
+
+def test_lookup_reads_sorted_files(spark, lake):
+    states = spark.range(0, 5000, 1, 4).select(
+        F.concat(F.lit("city_"), (F.col("id") % 5).cast("string")).alias("city"),
+        F.concat(F.lit("road_"), F.col("id").cast("string")).alias("road_name"), F.col("id").alias("v"),
+    )
+    tables.write_latest(states, f"{lake}/t")
+    stored = tables.read_replaced(spark, f"{lake}/t")
+    found = tables.find_roads(stored, [("city_2", "road_7"), ("city_3", "road_8"), ("city_0", "road_9")])
+    assert sorted(r.v for r in found.collect()) == [7, 8]
+    text = plan(found)
+    assert "Window" not in text and "In(road_name" in text and "In(city" in text
+    assert tables.find_roads(stored, []).isEmpty()
+
+
+def test_precision_losses_are_counted(spark):
+    df = spark.createDataFrame([(1e300, 1.0), (12.0, None), (None, 1e9)], "zscore DOUBLE, avg_speed DOUBLE")
+    got = {g["column_name"]: g["dropped"] for g in rows(tables.beyond_precision(df))}
+    assert got == {"zscore": 1, "avg_speed": 1}
+    assert rows(tables.beyond_precision(df.select(F.lit(1).alias("other")))) == []
+
+
 def test_jdbc_options():
     got = tables.jdbc_options("jdbc:x", "t", "id", (1, 9), 4, {"user": "u"})
     assert got == {
@@ -234,8 +340,10 @@ def test_scratch_needs_a_shared_folder_off_local(spark, monkeypatch):
         class sparkContext:
             master = "yarn"
 
-    with pytest.raises(ValueError):
-        session.scratch_root(Cluster)
+    for master in ("yarn", "local-cluster[2,1,1024]", "spark://host:7077"):
+        Cluster.sparkContext.master = master
+        with pytest.raises(ValueError):
+            session.scratch_root(Cluster)
 
 
 def test_a_hot_partition_becomes_several_files(spark, lake):

@@ -75,11 +75,11 @@ FRESH_SECONDS = {
     "fuel": 30,
     "traffic": 30,
     "mobility": 60,
-    "snapshot": 120,
-    "alert": 300,
     "prediction": 1_800,
+    "alert": 300,
     "correlation": 3_600,
     "cluster": 86_400,
+    "snapshot": 120,
     "timeseries": 86_400,
 }
 

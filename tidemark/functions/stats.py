@@ -27,6 +27,56 @@ def paired_moments(x: Column, y: Column) -> list[Column]:
     ]
 
 
+# Co-moments about the mean, of a block of pairs.
+_CENTRED = ("k", "mean_x", "mean_y", "m2_x", "m2_y", "c_xy")
+
+
+def centred_moments(x: Column, y: Column) -> Column:
+    """Aggregate to a struct of the pairs where both values exist: their number, means, squared
+    distances from the means and products of distances, with the range of both sides."""
+    both = x.isNotNull() & y.isNotNull() & ~F.isnan(x) & ~F.isnan(y)
+    px, py = F.when(both, x), F.when(both, y)
+    k = F.count(px)
+    values = (k.cast("double"), F.avg(px), F.avg(py), F.var_pop(px) * k, F.var_pop(py) * k, F.covar_pop(px, py) * k)
+    return F.struct(
+        *(F.coalesce(v, F.lit(0.0)).alias(name) for v, name in zip(values, _CENTRED, strict=True)),
+        F.min(px).alias("low_x"), F.max(px).alias("high_x"), F.min(py).alias("low_y"), F.max(py).alias("high_y"),
+    )
+
+
+def merged_moments(blocks: Column) -> Column:
+    """One :func:`centred_moments` struct for an array of them, combined pairwise.
+
+    Blocks are put together by the distance of their means, so nothing is lost where
+    values are large against their deviation.
+    """
+
+    def merge(a: Column, b: Column) -> Column:
+        n = a["k"] + b["k"]
+        share = F.when(n > 0, b["k"] / n).otherwise(F.lit(0.0))
+        dx, dy, weight = b["mean_x"] - a["mean_x"], b["mean_y"] - a["mean_y"], a["k"] * share
+        values = (
+            n, a["mean_x"] + dx * share, a["mean_y"] + dy * share,
+            a["m2_x"] + b["m2_x"] + dx * dx * weight,
+            a["m2_y"] + b["m2_y"] + dy * dy * weight,
+            a["c_xy"] + b["c_xy"] + dx * dy * weight,
+        )
+        return F.struct(
+            *(v.alias(name) for v, name in zip(values, _CENTRED, strict=True)),
+            F.least(a["low_x"], b["low_x"]).alias("low_x"), F.greatest(a["high_x"], b["high_x"]).alias("high_x"),
+            F.least(a["low_y"], b["low_y"]).alias("low_y"), F.greatest(a["high_y"], b["high_y"]).alias("high_y"),
+        )
+
+    return F.aggregate(F.slice(blocks, 2, F.size(blocks)), blocks[0], merge)
+
+
+def centred_r(moments: Column) -> Column:
+    """r of a :func:`centred_moments` struct; a constant side gives null."""
+    varies = (moments["low_x"] < moments["high_x"]) & (moments["low_y"] < moments["high_y"])
+    r = F.try_divide(moments["c_xy"], F.sqrt(moments["m2_x"]) * F.sqrt(moments["m2_y"]))
+    return F.when(varies, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)))
+
+
 def pearson_r() -> Column:
     """r from the columns of :func:`paired_moments`.
 

@@ -54,6 +54,26 @@ def anomaly_rate(scored: DataFrame) -> DataFrame:
     return rates.withColumn("anomaly_rate_pct", scores.half_up(share, 2))
 
 
+def anomalies_only(scored: DataFrame) -> DataFrame:
+    """The anomalous readings with what the rate and the ranking need.  Stored, they are the
+    one pass over the readings that both read."""
+    return scored.where("is_anomaly = 1").select(
+        "city", "road_name", "recorded_at", "period", "congestion_index", "mu", "sigma", "zscore", "is_anomaly"
+    )
+
+
+def rate_from_cells(cells: DataFrame, anomalies: DataFrame) -> DataFrame:
+    """:func:`anomaly_rate` from the reading counts of :func:`impact.reading_cells` and the
+    anomalous readings."""
+    totals = cells.groupBy("period").agg(F.sum("readings").alias("total_records"))
+    found = anomalies.groupBy(F.col("period").alias("_period")).agg(F.count("*").alias("anomaly_count"))
+    rates = totals.join(found, F.col("period").eqNullSafe(F.col("_period")), "left").select(
+        "period", "total_records", F.coalesce("anomaly_count", F.lit(0)).alias("anomaly_count")
+    )
+    share = F.col("anomaly_count") / F.col("total_records") * 100
+    return rates.withColumn("anomaly_rate_pct", scores.half_up(share, 2))
+
+
 def top_anomalies(
     scored: DataFrame, n: int = 200, city: str | None = None, period: str = "after"
 ) -> DataFrame:

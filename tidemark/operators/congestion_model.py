@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tidemark.config import CLASSIFIER_FEATURES, ImpactSettings
 from tidemark.functions import bands, scores
 from tidemark.operators.cleaning import add_calendar
+from tidemark.operators.guards import Guarded, at_least, withheld
 
 # The published model name and the assumed speeds.
 MODEL_NAME = "RandomForest_Congestion"
@@ -21,6 +22,16 @@ MODEL_NAME = "RandomForest_Congestion"
 SPEED_SHARE = {30: 1.0, 60: 0.95}
 
 
+METRICS_SCHEMA = (
+    "model_name string, metric_name string, metric_value double, train_rows long, test_rows long, "
+    "dropped_rows long"
+)
+FORECAST_SCHEMA = (
+    "city string, horizon_minutes int, predicted_level int, predicted_label string, "
+    "current_avg_speed double, predicted_at timestamp"
+)
+
+
 def mark_split(
     silver: DataFrame, seed: int = 42, share: float = 0.8, chronological: bool = False
 ) -> DataFrame:
@@ -38,11 +49,6 @@ def mark_split(
     return silver.withColumn("is_train", bucket < int(share * 10_000))
 
 
-def enough_rows(df: DataFrame, least: int) -> bool:
-    """Whether ``df`` has at least ``least`` rows; reads no more than that."""
-    return df.limit(least).count() >= least
-
-
 def _complete():
     """Whether a reading has all features of the classifier."""
     return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in CLASSIFIER_FEATURES])
@@ -50,14 +56,15 @@ def _complete():
 
 def fit_classifier(
     silver: DataFrame, settings: ImpactSettings = ImpactSettings(), chronological: bool = False
-) -> tuple[PipelineModel, DataFrame] | None:
-    """The fitted forest and its metrics, or None with too few readings.
+) -> Guarded:
+    """The fitted forest with the frame of its metrics; withheld with too few readings.
 
     Readings without one of the features cannot be classified; they are left out
     of training and test and counted as ``dropped_rows``.
     """
-    if not enough_rows(silver.where(_complete()), settings.min_classifier_rows):
-        return None
+    if not at_least(silver.where(_complete()), settings.min_classifier_rows):
+        reason = f"fewer than {settings.min_classifier_rows} complete readings"
+        return withheld(silver.sparkSession, METRICS_SCHEMA, reason)
     marked = mark_split(silver, settings.seed, chronological=chronological).select(
         *CLASSIFIER_FEATURES, F.col("congestion_level").cast("double").alias("label"), "is_train"
     )
@@ -73,7 +80,7 @@ def fit_classifier(
         F.count_if(F.col("is_train") & _complete()).alias("train_rows"),
         F.count_if(~_complete()).alias("dropped_rows"),
     )
-    return model, metrics(model.transform(rows.where(~F.col("is_train"))), counts)
+    return Guarded(metrics(model.transform(rows.where(~F.col("is_train"))), counts), model)
 
 
 def metrics(predictions: DataFrame, counts: DataFrame) -> DataFrame:
@@ -122,27 +129,29 @@ def metrics(predictions: DataFrame, counts: DataFrame) -> DataFrame:
     )
 
 
-METRICS_SCHEMA = (
-    "model_name string, metric_name string, metric_value double, train_rows long, test_rows long, "
-    "dropped_rows long"
-)
+def speed_means(silver: DataFrame) -> DataFrame:
+    """(city, mean_speed, free_flow_speed) of the readings."""
+    return silver.groupBy("city").agg(
+        F.avg("current_speed").alias("mean_speed"), F.avg("free_flow_speed").alias("free_flow_speed")
+    )
 
 
 def forecast(
-    model: PipelineModel,
-    silver: DataFrame,
+    model: PipelineModel | None,
+    means: DataFrame,
     as_of: str,
     current: DataFrame | None = None,
     speed_share: Mapping[int, float] = SPEED_SHARE,
 ) -> DataFrame:
-    """Predicted level per city and horizon, in one frame.
+    """Predicted level per city and horizon, in one frame; empty without a model.
 
-    Calendar inputs belong to ``as_of`` plus the horizon.  ``current`` (city,
-    current_congestion, change_pct) fills the columns that describe the present.
+    ``means`` are :func:`speed_means`.  Calendar inputs belong to ``as_of`` plus the
+    horizon.  ``current`` (city, current_congestion, change_pct) fills the columns
+    that describe the present.
     """
-    means = silver.groupBy("city").agg(
-        F.avg("current_speed").alias("mean_speed"), F.avg("free_flow_speed").alias("free_flow_speed")
-    )
+    if model is None:
+        nothing = means.sparkSession.createDataFrame([], FORECAST_SCHEMA)
+        return _with_current(nothing, current)
     steps = F.explode(
         F.array(
             *[
@@ -171,6 +180,10 @@ def forecast(
         scores.half_up(F.col("current_avg_speed"), 1).alias("current_avg_speed"),
         now.alias("predicted_at"),
     )
+    return _with_current(result, current)
+
+
+def _with_current(result: DataFrame, current: DataFrame | None) -> DataFrame:
     if current is None:
         return result
     return result.join(current.select("city", "current_congestion", "change_pct"), "city", "left")

@@ -67,26 +67,26 @@ def sliding_correlation(
 ) -> DataFrame:
     """r over every ``window`` rows, moving by ``step``; the series end is left out.
 
-    Rows are first reduced to sums over blocks of gcd(window, step) rows and the
-    windows are put together from whole blocks, so a row is read once, not once
+    Rows are first reduced to centred co-moments of blocks of gcd(window, step) rows and
+    the windows are put together from whole blocks, so a row is read once, not once
     per window, and no task holds a series.
     """
     block_rows = math.gcd(window, step)
     per_window = window // block_rows
-    rows = (
-        with_positions(features, SERIES, "window_start")
-        .withColumn("block", F.floor(F.col("pos") / block_rows))
-        .select("city", "n", "block", "window_start", _pair_rows(_present(features, pairs)).alias("v"))
-        .select("city", "n", "block", "window_start", "v.*")
-    )
-    both = F.col("x").isNotNull() & F.col("y").isNotNull() & ~F.isnan("x") & ~F.isnan("y")
-    x, y = F.when(both, F.col("x")), F.when(both, F.col("y"))
-    sums = {"k": F.count(x), "sx": F.sum(x), "sy": F.sum(y), "sxx": F.sum(x * x),
-            "syy": F.sum(y * y), "sxy": F.sum(x * y)}
-    ends = {"x_lo": F.min(x), "y_lo": F.min(y)}
-    tops = {"x_hi": F.max(x), "y_hi": F.max(y), "window_end_at": F.max("window_start")}
-    blocks = rows.groupBy("city", "n", "pair", "block").agg(
-        *[agg.alias(name) for name, agg in {**sums, **ends, **tops}.items()]
+    pairs = _present(features, pairs)
+    placed = with_positions(features, SERIES, "window_start").withColumn("block", F.floor(F.col("pos") / block_rows))
+    # The pairs of a block are aggregated side by side; only their few results become rows.
+    by_pair = F.array(*[F.struct(F.lit(name).alias("pair"), F.col(f"_m{i}").alias("m")) for i, (*_, name) in enumerate(pairs)])
+    blocks = (
+        placed.groupBy("city", "n", "block")
+        .agg(
+            F.max("window_start").alias("last_at"),
+            *[
+                stats.centred_moments(F.col(x).cast("double"), F.col(y).cast("double")).alias(f"_m{i}")
+                for i, (x, y, _) in enumerate(pairs)
+            ],
+        )
+        .select("city", "n", "block", "last_at", by_pair.alias("of_pair"))
     )
     # A block ends between 1 and per_window windows; keep those on the step grid.
     window_end = (F.col("block") + F.col("ahead")) * block_rows
@@ -99,24 +99,21 @@ def sliding_correlation(
             & ((F.col("window_end") - window) % step == 0)
         )
     )
-    totals = members.groupBy("city", "pair", "window_end").agg(
-        *[F.sum(name).alias(name) for name in sums],
-        *[F.min(name).alias(name) for name in ends],
-        *[F.max(name).alias(name) for name in tops],
-    )
-    k = F.col("k")
-    var_x = F.col("sxx") - F.col("sx") * F.col("sx") / k
-    var_y = F.col("syy") - F.col("sy") * F.col("sy") / k
-    cov = F.col("sxy") - F.col("sx") * F.col("sy") / k
-    varies = (F.col("x_lo") < F.col("x_hi")) & (F.col("y_lo") < F.col("y_hi"))
-    spread = F.sqrt(F.when((var_x > 0) & (var_y > 0), var_x * var_y))
-    r = F.when(varies, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.try_divide(cov, spread))))
-    # Sums of squares cancel on nearly constant data; null there, as for constants.
-    r = F.when(spread.isNotNull(), r)
+    # ``per_window`` blocks make a window, in the order of the series.
+    windows = members.groupBy("city", "window_end").agg(
+        F.max("last_at").alias("window_end_at"),
+        F.array_sort(F.collect_list(F.struct("block", "of_pair"))).alias("parts"),
+    )
+    merged = windows.select(
+        "city", "window_end", "window_end_at",
+        F.posexplode(F.col("parts")[0]["of_pair"]["pair"]).alias("_i", "pair"), "parts",
+    ).withColumn(
+        "m", stats.merged_moments(F.transform("parts", lambda p: p["of_pair"][F.col("_i")]["m"]))
+    )
     scored = (
-        totals.where(k >= min_pairs)
-        .withColumn("r_raw", r)
-        .withColumn("p_raw", stats.pearson_p(F.col("r_raw"), k))
+        merged.select("city", "pair", "window_end", "window_end_at", F.col("m.k").cast("long").alias("k"), stats.centred_r(F.col("m")).alias("r_raw"))
+        .where(F.col("k") >= min_pairs)
+        .withColumn("p_raw", stats.pearson_p(F.col("r_raw"), F.col("k")))
     )
     return scored.select(
         "city",
@@ -126,7 +123,7 @@ def sliding_correlation(
         scores.half_up(F.col("r_raw"), 4).alias("r"),
         scores.half_up(F.col("p_raw"), 6).alias("p_value"),
         _significant("p_raw").alias("significant"),
-        k.alias("n"),
+        F.col("k").alias("n"),
     )
 
 

@@ -18,13 +18,16 @@ FILLED = (
 )
 
 
-def price_delta(fuel: DataFrame, slice_unit: str = "month") -> DataFrame:
+def price_delta(
+    fuel: DataFrame, slice_unit: str = "month", earlier: DataFrame | None = None
+) -> DataFrame:
     """Percent change of the mean price against the previous window of the same fuel.
 
     Without a previous window, or after a zero price, the change is 0.  The
     previous price is looked up inside calendar slices, so a series is no single
     task; the first window of a slice takes the last price of the slice before,
-    one row per slice.
+    one row per slice.  ``earlier`` (city, fuel_type, _slice, _earlier) gives that
+    price when ``fuel`` holds only some slices of the series.
     """
     series = ("city", "fuel_type")
     cut = fuel.withColumn("_slice", F.date_trunc(slice_unit, "window_start"))
@@ -37,9 +40,10 @@ def price_delta(fuel: DataFrame, slice_unit: str = "month") -> DataFrame:
             "_last": F.last("avg_price").over(whole),
         }
     )
-    earlier = F.lag("_last").over(Window.partitionBy(*series).orderBy("_slice"))
-    heads = marked.where("_row = 1").select(*series, "_slice", earlier.alias("_earlier"))
-    linked = marked.join(heads, [*series, "_slice"], "left")
+    if earlier is None:
+        before = F.lag("_last").over(Window.partitionBy(*series).orderBy("_slice"))
+        earlier = marked.where("_row = 1").select(*series, "_slice", before.alias("_earlier"))
+    linked = marked.join(earlier, [*series, "_slice"], "left")
     return (
         linked.withColumn(
             "prev_avg_price", F.when(F.col("_row") == 1, F.col("_earlier")).otherwise(F.col("_own"))
@@ -72,15 +76,18 @@ def assemble_features(
     ridership_ceiling: float = 50_000.0,
     weights: CompositeWeights = CompositeWeights(),
     null_policy: str = "observed",
+    slice_unit: str = "month",
+    earlier: DataFrame | None = None,
 ) -> DataFrame:
     """Join the four window tables on the benchmark fuel's (city, window_start).
 
     Every input has one row per key (see ``merge_fuel`` and ``merge_traffic``),
     so nothing fans out.  With ``null_policy='observed'`` a missing source
     normalises to 1.0; ``'propagate'`` keeps the null until the final fill.
+    ``slice_unit`` and ``earlier`` go to :func:`price_delta`.
     """
     key = ["city", "window_start"]
-    base = price_delta(fuel.where(F.col("fuel_type") == benchmark_fuel)).select(
+    base = price_delta(fuel.where(F.col("fuel_type") == benchmark_fuel), slice_unit, earlier).select(
         *key, "avg_price", "fuel_price_delta"
     )
     joined = (

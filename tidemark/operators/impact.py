@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.config import Economics
@@ -226,13 +226,10 @@ def ranked_roads(roads: DataFrame, city: str | None = None) -> DataFrame:
     return roads.orderBy(F.col("delta_congestion").desc(), "city", "road_name")
 
 
-def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
+def table_counts(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
     """Row count per named table."""
-    counts = [
-        df.agg(F.count("*").alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
-        for name, df in tables.items()
-    ]
-    result = counts[0]
-    for part in counts[1:]:
-        result = result.unionByName(part)
+    result = spark.createDataFrame([], "table_name string, row_count bigint")
+    for name, df in tables.items():
+        count = df.agg(F.count("*").alias("row_count"))
+        result = result.unionByName(count.select(F.lit(name).alias("table_name"), "row_count"))
     return result

@@ -19,7 +19,11 @@ def latest_readings(bronze: DataFrame, sequence: str = "ingest_seq") -> DataFram
 
 
 def lookup_roads(latest: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Latest state of the requested (city, road_name) pairs."""
+    """Latest state of the requested (city, road_name) pairs.
+
+    ``latest`` has one row per road; give a stored table (``sources.tables.write_latest``),
+    so that a lookup neither ranks nor reads all of it.
+    """
     return latest.join(wanted, ["city", "road_name"], "left_semi")
 
 

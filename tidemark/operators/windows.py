@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import bands
 
+# Keys and output names of the four window tables, and the limits of valid events.
 FUEL_KEYS = ("window_start", "city", "fuel_type", "price_category")
 TRAFFIC_KEYS = ("window_start", "city", "traffic_severity")
 CITY_KEYS = ("window_start", "city")
@@ -74,8 +75,9 @@ def traffic_windows(
     events: DataFrame, width: str = "5 minutes", congestion: str = "congestion_level",
     extras: bool = False,
 ) -> DataFrame:
-    """``extras`` adds the approximate number of different roads."""
-    more = [F.approx_count_distinct("road_id").alias("distinct_roads")] if extras else []
+    """``extras`` adds ``road_sketch``, a mergeable sketch of the different roads (see
+    :func:`merge_traffic` and :func:`with_estimates`)."""
+    more = [F.hll_sketch_agg("road_id").alias("road_sketch")] if extras else []
     return _windowed(
         valid_traffic(events, congestion),
         width,
@@ -90,36 +92,76 @@ def traffic_windows(
     )
 
 
+_WEATHER_MEANS = {
+    "avg_weather_score": "weather_score", "avg_temperature": "temperature", "avg_humidity": "humidity",
+    "avg_rain_1h": "rain_1h",
+}
+# Conditions that a stream counts per window; the least frequent of more share the rest.
+_CONDITIONS = 64
+
+
 def weather_windows(
     events: DataFrame, width: str = "5 minutes", extras: bool = False
 ) -> DataFrame:
     """``dominant_weather`` is the commonest condition, the alphabetically first on a tie.
 
-    ``extras`` adds the earliest condition, at one time the first by name.
+    ``extras`` adds the earliest condition, at one time the first by name.  A batch counts
+    per condition first, so no group holds its conditions in memory.  A stream keeps a
+    frequent-items sketch of bounded size, which is exact for up to 48 conditions a window.
     """
+    if events.isStreaming:
+        return _weather_stream(events, width, extras)
+    condition = F.col("weather_main")
+    sums = [F.sum(c).alias(f"_sum_{c}") for c in _WEATHER_MEANS.values()]
+    counts = [F.count(c).alias(f"_count_{c}") for c in _WEATHER_MEANS.values()]
+    slot = F.window("event_time", width)["start"].alias("window_start")
+    per_condition = valid_weather(events).groupBy(slot, "city", "weather_main").agg(
+        F.count("*").alias("_n"), F.min("event_time").alias("_first_at"), *sums, *counts
+    )
+    commonest = F.when(condition.isNotNull(), F.struct((-F.col("_n")).alias("n"), "weather_main"))
+    more = [F.min_by("weather_main", F.struct("_first_at", "weather_main")).alias("first_weather")]
+    merged = per_condition.groupBy("window_start", "city").agg(
+        *[
+            F.try_divide(F.sum(f"_sum_{c}"), F.sum(f"_count_{c}")).alias(name)
+            for name, c in _WEATHER_MEANS.items()
+        ],
+        F.min_by("weather_main", commonest).alias("dominant_weather"),
+        F.sum("_n").alias("sample_count"),
+        *(more if extras else []),
+    )
+    rest = [c for c in merged.columns if c != "window_start"]
+    end = F.col("window_start") + F.expr(f"INTERVAL {width}")
+    return merged.select("window_start", end.alias("window_end"), *rest)
+
+
+def _weather_stream(events: DataFrame, width: str, extras: bool) -> DataFrame:
     first = F.min_by("weather_main", F.struct("event_time", "weather_main")).alias("first_weather")
-    more = [first] if extras else []
-    return _windowed(
+    rows = _windowed(
         valid_weather(events),
         width,
         ["city"],
         [
-            F.avg("weather_score").alias("avg_weather_score"),
-            F.avg("temperature").alias("avg_temperature"),
-            F.avg("humidity").alias("avg_humidity"),
-            F.avg("rain_1h").alias("avg_rain_1h"),
-            F.mode("weather_main", True).alias("dominant_weather"),
+            *[F.avg(c).alias(name) for name, c in _WEATHER_MEANS.items()],
+            F.expr(f"approx_top_k(weather_main, {_CONDITIONS // 2}, {_CONDITIONS})").alias("_top"),
             F.count("*").alias("sample_count"),
-            *more,
+            *([first] if extras else []),
         ],
     )
+    named = F.filter("_top", lambda x: x["item"].isNotNull())
+    ranked = F.transform(named, lambda x: F.struct((-x["count"]).alias("n"), x["item"].alias("item")))
+    rows = rows.withColumn("dominant_weather", F.array_min(ranked)["item"])
+    order = [
+        "window_start", "window_end", "city", *_WEATHER_MEANS, "dominant_weather", "sample_count",
+        *(["first_weather"] if extras else []),
+    ]
+    return rows.select(*order)
 
 
 def transport_windows(
     events: DataFrame, width: str = "5 minutes", extras: bool = False
 ) -> DataFrame:
-    """``extras`` adds the approximate number of different modes."""
-    more = [F.approx_count_distinct("transport_mode").alias("distinct_modes")] if extras else []
+    """``extras`` adds ``mode_sketch``, a mergeable sketch of the different modes."""
+    more = [F.hll_sketch_agg("transport_mode").alias("mode_sketch")] if extras else []
     return _windowed(
         valid_transport(events),
         width,
@@ -133,6 +175,22 @@ def transport_windows(
     )
 
 
+_SKETCHES = {"road_sketch": "distinct_roads", "mode_sketch": "distinct_modes"}
+
+
+def with_estimates(windows: DataFrame) -> DataFrame:
+    """The sketches of different values as estimated numbers."""
+    present = {s: n for s, n in _SKETCHES.items() if s in windows.columns}
+    return windows.withColumns({n: F.hll_sketch_estimate(s) for s, n in present.items()}).drop(*present)
+
+
+def merge_sketches(windows: DataFrame, *keys: str) -> DataFrame:
+    """Windows (or finer groups) to one row per key with their sketches united: a road that
+    several of them saw counts once, which numbers of different roads cannot tell."""
+    present = [s for s in _SKETCHES if s in windows.columns]
+    return windows.groupBy(*keys).agg(*[F.hll_union_agg(s).alias(s) for s in present])
+
+
 def fuel_means(events: DataFrame, width: str = "5 minutes") -> DataFrame:
     """Mean price per window, city and fuel, grouped once (see :func:`merge_fuel`)."""
     means = [F.avg("price").alias("avg_price"), F.count("*").alias("sample_count")]
@@ -162,13 +220,14 @@ def weighted_merge(
         weights = F.when(value.isNotNull(), F.col(weight))
         return F.try_divide(F.sum(value * weights), F.sum(weights)).alias(name)
 
+    sketches = [F.hll_union_agg(s).alias(s) for s in _SKETCHES if s in windows.columns]
     return windows.groupBy(*keys).agg(
-        *[merged(m) for m in means], F.sum(weight).alias(weight)
+        *[merged(m) for m in means], F.sum(weight).alias(weight), *sketches
     )
 
 
 def merge_traffic(windows: DataFrame) -> DataFrame:
-    """Traffic windows without the severity split."""
+    """Traffic windows without the severity split; sketches of roads are united."""
     return weighted_merge(
         windows, CITY_KEYS, ["avg_congestion", "avg_speed", "avg_mobility_index"],
         "roads_monitored",

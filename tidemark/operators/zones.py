@@ -11,8 +11,10 @@ from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StringType, StructField, StructType
 
 from tidemark.config import CITY_CLUSTER_FEATURES, IMPACT_CODES, ZONE_LABELS
+from tidemark.operators.guards import Guarded, withheld
 
 
 def _ranked(clustered: DataFrame, cluster: str, value: str, descending: bool) -> DataFrame:
@@ -28,37 +30,55 @@ def _ranked(clustered: DataFrame, cluster: str, value: str, descending: bool) ->
     )
 
 
-def cluster_roads(roads: DataFrame, most: int = 3, seed: int = 42) -> DataFrame | None:
+def zone_names(clustered: DataFrame) -> DataFrame:
+    """``zone_label`` of every ``zone_cluster``, by ascending mean change of its roads."""
+    ranks = _ranked(clustered, "zone_cluster", "delta_congestion", descending=False)
+    place = F.least(F.col("place"), F.lit(len(ZONE_LABELS) - 1))
+    names = F.element_at(F.array(*map(F.lit, ZONE_LABELS)), place + 1)
+    return ranks.select("zone_cluster", names.alias("zone_label"))
+
+
+def cluster_roads(roads: DataFrame, most: int = 3, seed: int = 42) -> Guarded:
     """Roads with ``zone_cluster`` and ``zone_label`` (by ascending mean change).
 
-    None with fewer than three two-sided roads.
+    Withheld with fewer than three two-sided roads.
     """
     n = roads.limit(most).count()
     if n < 3:
-        return None
+        schema = StructType(roads.schema.fields + [
+            StructField("zone_cluster", IntegerType()), StructField("zone_label", StringType())
+        ])
+        return withheld(roads.sparkSession, schema, "fewer than three roads with both sides")
     assembler = VectorAssembler(inputCols=["ci_before", "delta_congestion"], outputCol="features")
     kmeans = KMeans(
         k=min(most, n), seed=seed, featuresCol="features", predictionCol="zone_cluster"
     )
-    clustered = Pipeline(stages=[assembler, kmeans]).fit(roads).transform(roads).drop("features")
-    ranks = _ranked(clustered, "zone_cluster", "delta_congestion", descending=False)
-    place = F.least(F.col("place"), F.lit(len(ZONE_LABELS) - 1))
-    labels = ranks.select(
-        "zone_cluster", F.element_at(F.array(*map(F.lit, ZONE_LABELS)), place + 1).alias("zone_label")
-    )
-    return clustered.join(F.broadcast(labels), "zone_cluster")  # at most k rows
+    model = Pipeline(stages=[assembler, kmeans]).fit(roads)
+    clustered = model.transform(roads).drop("features")
+    named = clustered.join(F.broadcast(zone_names(clustered)), "zone_cluster")  # at most k rows
+    return Guarded(named.select(*roads.columns, "zone_cluster", "zone_label"), model)
 
 
 def fit_city_clusters(
     cities: DataFrame, ks: Sequence[int] = range(2, 6), seed: int = 42,
     names: Sequence[str] = CITY_CLUSTER_FEATURES,
-) -> tuple[PipelineModel, float]:
-    """The standardising k-means pipeline with the best silhouette, and that silhouette."""
-    evaluator = ClusteringEvaluator(featuresCol="features", predictionCol="cluster")
-    best: tuple[PipelineModel, float] | None = None
+) -> Guarded:
+    """The standardising k-means pipeline with the best silhouette, and the labelled cities.
+
+    Withheld with fewer than three different cities; no k beyond their number is tried.
+    """
     cities = cities.persist()
     try:
-        for k in ks:
+        different = cities.select(*names).distinct().limit(max(ks)).count()
+        if different < 3:
+            schema = StructType([
+                StructField("cluster", IntegerType()), *cities.schema.fields,
+                StructField("impact_level", StringType()),
+            ])
+            return withheld(cities.sparkSession, schema, "fewer than three different cities")
+        evaluator = ClusteringEvaluator(featuresCol="features", predictionCol="cluster")
+        best: tuple[float, PipelineModel] | None = None
+        for k in (k for k in ks if k <= different):
             stages = [
                 VectorAssembler(inputCols=list(names), outputCol="raw_features"),
                 StandardScaler(
@@ -68,11 +88,11 @@ def fit_city_clusters(
             ]
             model = Pipeline(stages=stages).fit(cities)
             score = evaluator.evaluate(model.transform(cities))
-            if best is None or score > best[1]:
-                best = (model, score)
+            if best is None or score > best[0]:
+                best = (score, model)
     finally:
         cities.unpersist()
-    return best
+    return Guarded(label_cities(best[1], cities), best[1])
 
 
 def impact_levels(clustered: DataFrame) -> DataFrame:
@@ -104,8 +124,15 @@ def load_clusters(spark, path: str) -> tuple[PipelineModel, DataFrame]:
     return PipelineModel.load(f"{path}/model"), spark.read.parquet(f"{path}/labels")
 
 
-def score_cities(model: PipelineModel, labels: DataFrame, cities: DataFrame) -> DataFrame:
-    """Cluster, label and the distance to every centre, in standardised space."""
+def score_cities(model: PipelineModel | None, labels: DataFrame, cities: DataFrame) -> DataFrame:
+    """Cluster, label and the distance to every centre, in standardised space; without a
+    model there is no row."""
+    if model is None:
+        schema = StructType([
+            StructField("cluster", IntegerType()), *cities.schema.fields,
+            StructField("distances", ArrayType(DoubleType())), StructField("impact_level", StringType()),
+        ])
+        return cities.sparkSession.createDataFrame([], schema)
     centres = [[float(v) for v in centre] for centre in model.stages[-1].clusterCenters()]
     scored = model.transform(cities).withColumn("_point", vector_to_array("features"))
 

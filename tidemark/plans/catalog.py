@@ -301,21 +301,22 @@ def upsert_comparison(t):
 
 @query
 def layer_counts(t):
-    rows = silver(t)
-    marked = scored(rows)
-    return impact.table_counts(
-        {
-            "bronze_traffic": bronze(t),
-            "bronze_weather": samples.condition_events(t.events),
-            "silver_traffic": rows,
-            "gold_city_comparison": impact.city_comparison(rows),
-            "gold_hourly_pattern": impact.hourly_pattern(rows),
-            "gold_daily_summary": impact.daily_summary(rows),
-            "gold_road_impact": impact.road_impact(rows),
-            "gold_anomalies": anomaly.top_anomalies(marked),
-            "gold_anomaly_rate": anomaly.anomaly_rate(marked),
-        }
+    """The nine layer tables after a cycle with models."""
+    lake = cycle.Lake(t.spark, scratch_path(t.spark, "lake"))
+    tables.seed_bronze(bronze(t), lake.path("bronze_traffic"))
+    tables.write_partitioned(
+        samples.condition_events(t.events).withColumn("date", F.to_date("event_time")),
+        lake.path("bronze_weather"),
     )
+    cycle.run_cycle(lake, CYCLE_AS_OF)
+    return serving.layer_counts(lake)
+
+
+@query
+def precision_losses(t):
+    """Road values that the published decimals cannot hold, once speeds are scaled up."""
+    roads = impact.road_impact(silver(t)).withColumn("ci_after", F.col("ci_after") * 200)
+    return tables.beyond_precision(roads)
 
 
 # --- anomalies ---------------------------------------------------------------
@@ -360,6 +361,21 @@ def latest_traffic(t):
     return rounded(latest.latest_readings(bronze(t)), "lat", "lon", "current_speed")
 
 
+def stored_latest(t: SampleTables) -> DataFrame:
+    path = scratch_path(t.spark, "latest-roads")
+    tables.write_latest(latest.latest_readings(bronze(t)), path)
+    return tables.read_replaced(t.spark, path)
+
+
+def looked_up(found: DataFrame) -> DataFrame:
+    return found.select(
+        "city", "road_name", "congestion_index",
+        scores.half_up(F.col("current_speed"), 6).alias("current_speed"),
+        bands.level_label(bands.congestion_level("congestion_index")).alias("level_label"),
+        "recorded_at",
+    )
+
+
 @query
 def latest_lookup(t):
     """Latest state of the roads that ever reported a large error value."""
@@ -371,13 +387,14 @@ def latest_lookup(t):
         )
         .distinct()
     )
-    found = latest.lookup_roads(latest.latest_readings(bronze(t)), wanted)
-    return found.select(
-        "city", "road_name", "congestion_index",
-        scores.half_up(F.col("current_speed"), 6).alias("current_speed"),
-        bands.level_label(bands.congestion_level("congestion_index")).alias("level_label"),
-        "recorded_at",
-    )
+    return looked_up(latest.lookup_roads(stored_latest(t), wanted))
+
+
+@query
+def road_lookup(t):
+    """Latest state of a few roads given by name, one of them in the wrong city."""
+    wanted = [("city_0", "road_3"), ("city_1", "road_7"), ("city_2", "road_11"), ("city_0", "road_4")]
+    return looked_up(tables.find_roads(stored_latest(t), wanted))
 
 
 @query
@@ -494,12 +511,19 @@ def dashboard_snapshot(t):
 
 @query
 def kpi_strip(t):
-    rows = silver(t)
+    # Silver is cleaned once: its few columns that the numbers need are stored for both passes.
+    rows = stage(
+        silver(t).select(
+            "city", "period", "recorded_at", "hour", "congestion_index", "current_speed", "free_flow_speed"
+        ),
+        "kpi-readings",
+    )
     cells = stage(impact.reading_cells(rows), "cells")
+    baseline = stage(anomaly.baseline_from_cells(cells), "baseline")
+    anomalies = anomaly.score_readings(rows, baseline).where("is_anomaly = 1").select("period")
     kpis = serving.kpi_strip(
         impact.comparison_wide(impact.roll_up(cells, "city", "period")),
-        anomaly.anomaly_rate(anomaly.score_readings(rows, stage(
-            anomaly.baseline_from_cells(cells), "baseline"))),
+        anomaly.rate_from_cells(cells, anomalies),
         impact.latest_day(daily_from_cells(cells)),
     )
     return rounded(kpis, "value")
@@ -558,6 +582,29 @@ def transport_windows(t):
     )
 
 
+@query
+def distinct_estimates(t):
+    """Different roads and modes per city and year, united from the sketches of the days, and
+    whether the estimates lie within 5 percent of the exact numbers."""
+    parts = []
+    for kind, built, events, of, rule in (
+        ("road", windows.traffic_windows(samples.traffic_events(t), DAY, extras=True),
+         windows.valid_traffic(samples.traffic_events(t)), "road_id", "distinct_roads"),
+        ("mode", windows.transport_windows(samples.transport_events(t), DAY, extras=True),
+         windows.valid_transport(samples.transport_events(t)), "transport_mode", "distinct_modes"),
+    ):
+        yearly = built.withColumn("year", F.year("window_start"))
+        united = windows.with_estimates(windows.merge_sketches(yearly, "city", "year"))
+        exact = events.groupBy("city", F.year("event_time").alias("year")).agg(
+            F.countDistinct(of).alias("exact")
+        )
+        near = F.abs(F.col(rule) - F.col("exact")) <= 0.05 * F.col("exact")
+        parts.append(united.join(exact, ["city", "year"]).select(
+            F.lit(kind).alias("kind"), "city", "year", "exact", near.alias("near")
+        ))
+    return parts[0].unionByName(parts[1])
+
+
 # --- features, correlation, sequences ----------------------------------------
 
 
@@ -690,7 +737,51 @@ def drain_windows(t: SampleTables, kind: str, table: str) -> DataFrame:
         state_partitions=t.spark.sparkContext.defaultParallelism,
     )
     running[table].awaitTermination()
-    return KeyedTable(t.spark, f"{lake}/{table}", job.keys).read()
+    return job.keyed(t.spark, lake).read()
+
+
+@query
+def stream_left_out(t):
+    """Events of the traffic stream that no window took, counted as they passed."""
+    job = next(j for j in jobs.WINDOW_JOBS if j.table == "traffic_agg")
+    lake = scratch_path(t.spark, "stream")
+    events = samples.events_stream(t)
+    raw = samples.event_messages(events.where("event_id % 50 <> 0"), "traffic").unionByName(
+        samples.event_messages(events.where("event_id % 50 = 0"), "traffic").withColumn(
+            "value", F.regexp_replace("value", '"timestamp":"[^"]*"', '"timestamp":"soon"')
+        )
+    )
+    running = jobs.start_windows(
+        {job.topic: raw}, lake, f"{lake}/checkpoints", trigger=None,
+        state_partitions=t.spark.sparkContext.defaultParallelism,
+    )[job.table]
+    running.awaitTermination()
+    log = jobs.progress_log(t.spark, f"{lake}/progress", job.table)
+    jobs.log_progress(running, job.table, log)
+    return log.read().groupBy("stream").agg(
+        *[F.sum(c).alias(c) for c in ("events", "invalid", "no_time", "late")]
+    )
+
+
+@query
+def stream_fresh(t):
+    """Values that still live at the newest time of the stream, kept by keyed state."""
+    events = samples.events_stream(t).select(
+        F.col("event_type").alias("metric"),
+        F.concat(F.lit("city_"), (F.col("user_id") % 3).cast("string")).alias("city"),
+        F.col("ts").cast("timestamp").alias("ts"), "value",
+    )
+    values = events.withColumn("kind", bands.lookup("metric", FRESH_KINDS))
+    path = scratch_path(t.spark, "fresh")
+    table = KeyedTable(
+        t.spark, f"{path}/values", ("kind", "city"), schema="kind string, city string, ts timestamp, value double"
+    )
+    ttl = {kind: config.FRESH_SECONDS[kind] for kind in FRESH_KINDS.values()}
+    jobs.write_fresh(
+        jobs.fresh_values(values, ttl), table, f"{path}/checkpoint", trigger=None,
+        state_partitions=t.spark.sparkContext.defaultParallelism,
+    ).awaitTermination()
+    return table.read()
 
 
 @query
@@ -769,10 +860,38 @@ def feature_store(t):
         windows.transport_windows(samples.transport_events(t), DAY),
     )
     for job, rows in zip(jobs.WINDOW_JOBS, built):
-        KeyedTable(t.spark, lake.path(job.table), job.keys).put(rows, 0)
-    run_features(lake, "2030-01-01 00:00:00", samples.BENCHMARK_FUEL, sample_holidays(t.spark))
+        job.keyed(t.spark, lake.root, "month").put(rows, 0)
+    run_features(
+        lake, "2030-01-01 00:00:00", samples.BENCHMARK_FUEL, sample_holidays(t.spark), per="month"
+    )
     return rounded(
-        stored_features_of(lake),
+        stored_features_of(lake, per="month"),
+        "avg_price", "fuel_price_delta", "traffic_index", "avg_congestion", "avg_speed",
+        "avg_mobility_index", "transport_usage_norm", "avg_load_factor", "weather_score_norm",
+        "avg_temperature", "avg_rain_1h",
+    )
+
+
+@query
+def feature_store_late(t):
+    """The same features when the windows come in two parts: a first run sees the earlier
+    fuel prices and none of the later years, a second one computes what changed."""
+    lake = cycle.Lake(t.spark, scratch_path(t.spark, "features"))
+    built = (
+        windows.fuel_windows(samples.fuel_events(t), DAY),
+        windows.traffic_windows(samples.traffic_events(t), DAY),
+        windows.weather_windows(samples.weather_events(t), DAY),
+        windows.transport_windows(samples.transport_events(t), DAY),
+    )
+    late = (F.year("window_start") >= 1998) | (F.dayofyear("window_start") % 97 == 0)
+    for version, part in enumerate((~late, late)):
+        for job, rows in zip(jobs.WINDOW_JOBS, built):
+            job.keyed(t.spark, lake.root, "month").put(rows.where(part), version)
+        run_features(
+            lake, f"2030-01-01 00:0{version}:00", samples.BENCHMARK_FUEL, sample_holidays(t.spark), per="month"
+        )
+    return rounded(
+        stored_features_of(lake, per="month"),
         "avg_price", "fuel_price_delta", "traffic_index", "avg_congestion", "avg_speed",
         "avg_mobility_index", "transport_usage_norm", "avg_load_factor", "weather_score_norm",
         "avg_temperature", "avg_rain_1h",
@@ -820,58 +939,127 @@ def stream_live_feed(t):
 
 
 def fitted_classifier(t: SampleTables):
+    """Silver, its mean speeds and the model, which is None with too few readings."""
     rows = silver(t)
-    return rows, *congestion_model.fit_classifier(rows)
+    return rows, stage(congestion_model.speed_means(rows), "speed-means"), congestion_model.fit_classifier(rows).model
 
 
 @query
 def rf_metrics(t):
-    fitted = congestion_model.fit_classifier(silver(t))
-    return fitted[1] if fitted else t.spark.createDataFrame([], congestion_model.METRICS_SCHEMA)
+    return congestion_model.fit_classifier(silver(t)).frame
 
 
 @query
 def rf_forecast(t):
-    rows, model, _ = fitted_classifier(t)
+    rows, means, model = fitted_classifier(t)
     change = wide_comparison(rows).select("city", "change_pct")
     current = latest.city_snapshot(latest.latest_readings(rows)).select(
         "city", F.col("avg_congestion").alias("current_congestion")
     )
     return congestion_model.forecast(
-        model, rows, AS_OF_LIVE, current.join(change, "city", "left")
+        model, means, AS_OF_LIVE, current.join(change, "city", "left")
     )
 
 
 @query
 def forecast_by_city(t):
-    rows, model, _ = fitted_classifier(t)
-    return congestion_model.forecast_by_city(congestion_model.forecast(model, rows, AS_OF_LIVE))
+    _, means, model = fitted_classifier(t)
+    return congestion_model.forecast_by_city(congestion_model.forecast(model, means, AS_OF_LIVE))
 
 
 @query
 def forecast_steps(t):
     """Present predictions with stored ones of an earlier hour, and a placeholder."""
-    rows, model, _ = fitted_classifier(t)
+    rows, means, model = fitted_classifier(t)
     columns = ["city", "horizon_minutes", "predicted_level", "predicted_at"]
-    cached = congestion_model.forecast(model, rows, AS_OF_LIVE).select(columns)
+    cached = congestion_model.forecast(model, means, AS_OF_LIVE).select(columns)
     earlier = congestion_model.forecast(
-        model, rows, "2024-01-30 10:00:00", speed_share={30: 1.0, 60: 0.95, 90: 0.9}
+        model, means, "2024-01-30 10:00:00", speed_share={30: 1.0, 60: 0.95, 90: 0.9}
     ).select(columns)
     steps = serving.forecast_steps(cached, earlier)
     cities = rows.select("city").distinct()
     return serving.with_placeholder(steps, cities)
 
 
+# The same queries over fixed predictions and clusters, which SQL can follow.
+
+
+def newest_per_horizon(predictions: DataFrame) -> DataFrame:
+    return cleaning.keep_latest(predictions, ("city", "horizon_minutes"), [F.col("predicted_at").desc()])
+
+
+@query
+def latest_predictions(t):
+    return serving.newest_predictions(samples.prediction_table(t), 24).drop("current_avg_speed")
+
+
+@query
+def forecast_sides(t):
+    """Both horizons of the newest predictions side by side."""
+    newest = newest_per_horizon(samples.prediction_table(t).where("horizon_minutes <= 60"))
+    return congestion_model.forecast_by_city(
+        newest.withColumn("predicted_label", bands.level_label("predicted_level"))
+    )
+
+
+@query
+def forecast_steps_stored(t):
+    """Cached predictions of two cities, stored ones of all, a placeholder for the others."""
+    predictions = stage(samples.prediction_table(t).drop("current_avg_speed"), "predictions")
+    cached = newest_per_horizon(predictions.where("city <> 'city_2' AND horizon_minutes <= 60"))
+    stored = predictions.where(F.col("predicted_at") < F.lit("2024-01-25").cast("timestamp"))
+    cities = t.events.select(F.concat(F.lit("city_"), (F.col("user_id") % 5).cast("string")).alias("city"))
+    return serving.with_placeholder(serving.forecast_steps(cached, stored), cities.distinct())
+
+
+def fixed_clusters(t: SampleTables) -> DataFrame:
+    return stage(samples.with_fixed_clusters(impact.road_impact(silver(t))), "fixed-clusters")
+
+
+@query
+def cluster_ranking(t):
+    """Zone label of every fixed road cluster, by its rank."""
+    roads = fixed_clusters(t)
+    sizes = roads.groupBy("zone_cluster").agg(F.count("*").alias("roads"))
+    return zones.zone_names(roads).join(sizes, "zone_cluster")
+
+
+@query
+def cluster_levels(t):
+    """Impact level of every fixed cluster, joined back to its roads."""
+    drops = fixed_clusters(t).select(
+        "city", "road_name", F.col("zone_cluster").alias("cluster"),
+        F.col("delta_congestion").alias("avg_mobility_drop"),
+    )
+    return drops.join(zones.impact_levels(drops), "cluster").select(
+        "city", "road_name", "cluster", "impact_level"
+    )
+
+
+@query
+def cluster_overview_fixed(t):
+    roads = fixed_clusters(t)
+    labelled = stage(roads.join(zones.zone_names(roads), "zone_cluster"), "labelled-roads")
+    overview = serving.cluster_overview(labelled, stage(impact.modal_zone(labelled), "city-zones"))
+    return overview.select("city", "road_name", "zone_cluster", "zone_label", "city_zone", "impact_level")
+
+
+@query
+def confusion_metrics(t):
+    """Accuracy and F1 of a fixed guess: the level that the speed alone suggests."""
+    rows = silver(t)
+    guess = F.when(F.col("current_speed") > 50, 0.0).when(F.col("current_speed") > 40, 1.0).when(
+        F.col("current_speed") > 32, 2.0).otherwise(3.0)
+    predictions = rows.select(F.col("congestion_level").cast("double").alias("label"), guess.alias("prediction"))
+    counts = rows.agg(
+        F.count_if(F.col("hour") < 12).alias("train_rows"), F.count_if(F.col("hour") > 20).alias("dropped_rows")
+    )
+    return congestion_model.metrics(predictions, counts)
+
+
 def clustered_roads(t: SampleTables) -> DataFrame:
     """Roads with their cluster zone; without rows when there are fewer roads than clusters."""
-    roads = stage(impact.road_impact(silver(t)), "roads")
-    clustered = zones.cluster_roads(roads)
-    if clustered is not None:
-        return clustered
-    nothing = F.lit(None)
-    return roads.where(F.lit(False)).withColumns(
-        {"cluster_id": nothing.cast("int"), "zone_label": nothing.cast("string")}
-    )
+    return zones.cluster_roads(stage(impact.road_impact(silver(t)), "roads")).frame
 
 
 @query
@@ -887,39 +1075,48 @@ def cluster_overview(t):
 
 @query
 def city_clusters(t):
-    cities = stage(samples.city_impact(t), "cities")
-    model, _ = zones.fit_city_clusters(cities)
-    return zones.label_cities(model, cities)
+    return zones.fit_city_clusters(stage(samples.city_impact(t), "cities")).frame
 
 
 @query
 def city_cluster_scores(t):
     """Cities scored by a saved and reloaded cluster model."""
     cities = stage(samples.city_impact(t), "cities")
-    model, _ = zones.fit_city_clusters(cities)
+    model = zones.fit_city_clusters(cities).model
+    if model is None:
+        return zones.score_cities(None, None, cities)
     path = scratch_path(t.spark, "clusters")
     zones.save_clusters(model, zones.impact_levels(model.transform(cities)), path)
     return zones.score_cities(*zones.load_clusters(t.spark, path), cities)
 
 
 def fitted_forecast(t: SampleTables):
-    """Forecast inputs, and the model with its errors or None for too few days."""
+    """Forecast inputs, and the weights per city with their errors."""
     inputs = features.forecast_inputs(stored_features(t))
     return inputs, mobility_forecast.fit_forecast(sequences.sequence_rows(inputs), steps_per_day=1)
 
 
+@query
+def mobility_gram(t):
+    """The normal equations of every city, one sum of products a row."""
+    built = sequences.sequence_rows(features.forecast_inputs(stored_features(t)))
+    rows = mobility_forecast.training_rows(sequences.chronological_split(built), steps_per_day=1)
+    sums = mobility_forecast.gram_sums(rows.where("split = 'train'"))
+    flat = sums.select("city", F.posexplode(F.concat("gram", "moments")).alias("place", "total"))
+    return rounded(flat, "total", digits=4)
+
+
 @query
 def mobility_forecast_errors(t):
-    _, fitted = fitted_forecast(t)
-    return fitted[1] if fitted else t.spark.createDataFrame([], mobility_forecast.ERRORS_SCHEMA)
+    return fitted_forecast(t)[1].frame
 
 
 @query
 def mobility_forecast_steps(t):
     inputs, fitted = fitted_forecast(t)
-    if fitted is None:
+    if not fitted.held:
         return t.spark.createDataFrame([], mobility_forecast.STEPS_SCHEMA)
-    return mobility_forecast.forecast_mobility(fitted[0], inputs, steps_per_day=1)
+    return mobility_forecast.forecast_mobility(fitted.model, inputs, steps_per_day=1)
 
 
 # --- the whole cycle ---------------------------------------------------------
@@ -931,7 +1128,7 @@ def medallion_cycle(t):
     lake = cycle.Lake(t.spark, scratch_path(t.spark, "lake"))
     tables.seed_bronze(bronze(t), lake.path("bronze_traffic"))
     written = cycle.run_cycle(lake, "2024-02-01 00:00:00")
-    return impact.table_counts({name: lake.read(name) for name in sorted(set(written))})
+    return impact.table_counts(t.spark, {name: lake.read(name) for name in sorted(set(written))})
 
 
 CYCLE_AS_OF = "2024-02-01 00:00:00"
@@ -993,7 +1190,7 @@ def cycle_anomaly_rate(t):
 @query
 def cycle_top_anomalies(t):
     lake = corrected_lake(t)
-    rows = tables.read_replaced(t.spark, lake.path("gold_anomalies"))
+    rows = lake.stored("gold_anomalies")
     return rounded(rows, "baseline_mean", "baseline_stddev", "zscore")
 
 
@@ -1038,6 +1235,27 @@ def gold_summary_fields(t):
     )
 
 
+@query
+def daily_documents(t):
+    """The daily documents of a corrected lake, parsed back into their fields."""
+    fields = ("avg_congestion_index double, avg_speed double, est_extra_fuel_cost_idr double, "
+              "est_extra_travel_min double, summary_date timestamp, city string")
+    documents = corrected_lake(t).read("serving_documents").where(F.col("key").startswith("daily:"))
+    return documents.select("key", F.from_json("document", fields).alias("d")).select("key", "d.*")
+
+
+@query
+def hourly_documents(t):
+    """The hourly documents of a corrected lake, one row per city, period and hour."""
+    cell = "struct<avg_congestion: double, avg_speed: double>"
+    documents = corrected_lake(t).read("serving_documents").where(F.col("key").startswith("hourly:"))
+    parsed = documents.select("key", F.from_json("document", f"map<string, map<string, {cell}>>").alias("d"))
+    hours = parsed.select("key", F.explode("d").alias("period", "hours")).select(
+        "key", "period", F.explode("hours").alias("hour", "c")
+    )
+    return hours.select("key", "period", F.col("hour").cast("int").alias("hour"), "c.*")
+
+
 @query
 def timeseries_store(t):
     """Points appended in two batches, one of them twice, with the expired days removed."""

@@ -439,18 +439,18 @@ ORACLES: dict[str, str] = {
     "cycle_silver": f"""WITH {CORRECTED}
         SELECT city, CAST(CAST(recorded_at AS DATE) AS TIMESTAMP) AS day, count(*) AS readings
         FROM silver GROUP BY 1, 2""",
-    "cycle_comparison": _both_cycles(
-        f"""SELECT city, period, {r("avg(congestion_index)")} AS avg_congestion,
-                   {r("avg(current_speed)")} AS avg_speed, count(*) AS record_count
-            FROM silver GROUP BY city, period""", "city, period"),
-    "cycle_hourly": _both_cycles(
-        f"""SELECT city, period, hour, {r("avg(congestion_index)")} AS avg_congestion,
-                   {r("avg(current_speed)")} AS avg_speed
-            FROM silver GROUP BY city, period, hour""", "city, hour, period"),
+    "cycle_comparison": f"""WITH {LATE}
+        SELECT city, period, {r("avg(congestion_index)")} AS avg_congestion,
+               {r("avg(current_speed)")} AS avg_speed, count(*) AS record_count
+        FROM silver GROUP BY city, period""",
+    "cycle_hourly": f"""WITH {LATE}
+        SELECT city, period, hour, {r("avg(congestion_index)")} AS avg_congestion,
+               {r("avg(current_speed)")} AS avg_speed
+        FROM silver GROUP BY city, period, hour""",
     "cycle_daily": _both_cycles(
         "SELECT * FROM daily WHERE summary_date = (SELECT max(summary_date) FROM daily)",
         "summary_date, city", "," + DAILY_ONLY),
-    "cycle_anomaly_rate": _both_cycles("SELECT * FROM rates", "period", "," + SCORED_ONLY),
+    "cycle_anomaly_rate": f"WITH {LATE},{SCORED_ONLY} SELECT * FROM rates",
     "cycle_top_anomalies": f"WITH {LATE},{SCORED_ONLY} {_anomaly_columns('')} {_STRONGEST} LIMIT 200",
     "history_fallback": f"""WITH {BRONZE}
         SELECT city, road_name, current_speed, congestion_index,
@@ -570,11 +570,13 @@ ORACLES: dict[str, str] = {
             _count("silver_traffic", "silver"),
             _count("gold_city_comparison", "(SELECT DISTINCT city, period FROM silver)"),
             _count("gold_hourly_pattern", "(SELECT DISTINCT city, period, hour FROM silver)"),
-            _count("gold_daily_summary", "daily"),
-            _count("gold_road_impact", "road_impact"),
+            _count("gold_daily_summary", "daily WHERE summary_date = "
+                                         "(SELECT max(summary_date) FROM daily)"),
+            _count("gold_predictions", "(SELECT DISTINCT city, h FROM silver, "
+                                       "(VALUES (30), (60)) AS m(h))"),
+            _count("gold_road_clusters", "road_impact"),
             _count("gold_anomalies", "(SELECT 1 FROM scored WHERE is_anomaly = 1 "
                                      "AND period = 'after' LIMIT 200)"),
-            _count("gold_anomaly_rate", "rates"),
         ]
     ),
     "baseline_stats": f"""WITH {SCORED}
@@ -864,6 +866,7 @@ ORACLES: dict[str, str] = {
                                          "(SELECT max(summary_date) FROM daily)"),
             _count("gold_road_impact", "road_impact"),
             _count("gold_road_clusters", "road_impact"),
+            _count("latest_roads", "(SELECT DISTINCT city, road_name FROM silver)"),
             _count("gold_anomalies", "(SELECT 1 FROM scored WHERE is_anomaly = 1 "
                                      "AND period = 'after' LIMIT 200)"),
             _count("gold_anomaly_rate", "rates"),
@@ -891,3 +894,137 @@ ORACLES["gold_summary_fields"] = f"""WITH {COMPARISON}
            {r("after_congestion", 2)} AS after_avg_congestion,
            {r("after_speed", 2)} AS after_avg_speed, after_records
     FROM wide"""
+
+ORACLES["feature_store_late"] = ORACLES["feature_table"]
+ORACLES["road_lookup"] = f"""WITH {BRONZE},
+    latest AS (SELECT * FROM bronze QUALIFY row_number() OVER (
+      PARTITION BY city, road_name ORDER BY recorded_at DESC, ingest_seq DESC) = 1)
+    SELECT city, road_name, congestion_index, {r("current_speed")} AS current_speed,
+           {label("(" + level("congestion_index") + ")")} AS level_label, recorded_at
+    FROM latest WHERE (city, road_name) IN (
+      ('city_0', 'road_3'), ('city_1', 'road_7'), ('city_2', 'road_11'), ('city_0', 'road_4'))"""
+ORACLES["precision_losses"] = f"""WITH {ROADS}
+    SELECT unnest(['lat', 'lon', 'ci_before', 'ci_after', 'delta_congestion']) AS column_name,
+           unnest([0, 0, 0, (SELECT count(*) FROM road_impact WHERE ci_after * 200 >= 9999.995), 0])::BIGINT
+             AS dropped"""
+ORACLES["daily_documents"] = f"""WITH {LATE},{DAILY_ONLY}
+    SELECT concat('daily:', city) AS key, city, summary_date,
+           {r("avg_congestion_index", 2)} AS avg_congestion_index, {r("avg_speed", 2)} AS avg_speed,
+           est_extra_fuel_cost_idr, est_extra_travel_min
+    FROM daily WHERE summary_date = (SELECT max(summary_date) FROM daily)"""
+ORACLES["hourly_documents"] = f"""WITH {LATE}
+    SELECT concat('hourly:', city) AS key, period, hour, {r("avg(congestion_index)", 2)} AS avg_congestion,
+           {r("avg(current_speed)", 2)} AS avg_speed
+    FROM silver GROUP BY city, period, hour"""
+ORACLES["distinct_estimates"] = f"""WITH {PLACES},{TRAFFIC_EV},{TRANSPORT_EV}
+    SELECT 'road' AS kind, city, {i("year(event_time)")} AS year, count(DISTINCT road_id) AS exact, true AS near
+    FROM traffic_ev WHERE congestion BETWEEN 0 AND 100 AND avg_speed > 0 GROUP BY ALL
+    UNION ALL
+    SELECT 'mode', city, {i("year(event_time)")}, count(DISTINCT transport_code), true
+    FROM transport_ev WHERE ridership >= 0 GROUP BY ALL"""
+ORACLES["stream_left_out"] = """
+    SELECT 'traffic_agg' AS stream, count(*) AS events, count(*) FILTER (value NOT BETWEEN 0 AND 100) AS invalid,
+           count(*) FILTER (event_id % 50 = 0) AS no_time, 0::BIGINT AS late
+    FROM events"""
+ORACLES["stream_fresh"] = f"""WITH {POINTS},
+    kinds AS (SELECT CASE metric WHEN 'click' THEN 'traffic' WHEN 'view' THEN 'mobility'
+                WHEN 'purchase' THEN 'prediction' WHEN 'signup' THEN 'correlation'
+                WHEN 'error' THEN 'cluster' END AS kind, city, ts, value FROM points)
+    SELECT * FROM kinds
+    WHERE ts >= (SELECT max(ts) FROM events) - to_seconds(CASE kind WHEN 'traffic' THEN 30
+        WHEN 'mobility' THEN 60 WHEN 'prediction' THEN 1800 WHEN 'correlation' THEN 3600 ELSE 86400 END)
+    QUALIFY row_number() OVER (PARTITION BY kind, city ORDER BY ts DESC, value DESC) = 1"""
+
+PREDICTIONS = f"""
+predictions AS (
+  SELECT {CITY}, {i("30 * (1 + event_id % 3)")} AS horizon_minutes,
+         CAST(date_trunc('hour', ts) AS TIMESTAMP) AS predicted_at,
+         {i("max(least(floor(value / 100), 3))")} AS predicted_level, max(user_id)::DOUBLE AS current_avg_speed
+  FROM events GROUP BY 1, 2, 3)"""
+_NEWEST = "row_number() OVER (PARTITION BY city, horizon_minutes ORDER BY predicted_at DESC)"
+
+ORACLES["latest_predictions"] = f"""WITH {PREDICTIONS}
+    SELECT city, horizon_minutes, predicted_level, predicted_at FROM predictions
+    QUALIFY row_number() OVER (PARTITION BY city ORDER BY predicted_at DESC, horizon_minutes) <= 24"""
+ORACLES["forecast_sides"] = f"""WITH {PREDICTIONS},
+    newest AS (SELECT * FROM predictions WHERE horizon_minutes <= 60 QUALIFY {_NEWEST} = 1),
+    h30 AS (SELECT * FROM newest WHERE horizon_minutes = 30),
+    h60 AS (SELECT * FROM newest WHERE horizon_minutes = 60)
+    SELECT coalesce(a.city, b.city) AS city,
+           greatest(a.current_avg_speed, b.current_avg_speed) AS current_avg_speed,
+           a.predicted_level AS predicted_30m, {label("a.predicted_level")} AS predicted_30m_label,
+           b.predicted_level AS predicted_60m, {label("b.predicted_level")} AS predicted_60m_label,
+           greatest(a.predicted_at, b.predicted_at) AS updated_at
+    FROM h30 a FULL JOIN h60 b ON a.city = b.city"""
+ORACLES["forecast_steps_stored"] = f"""WITH {PREDICTIONS},
+    cached AS (SELECT *, 0 AS source FROM predictions WHERE city <> 'city_2' AND horizon_minutes <= 60
+               QUALIFY {_NEWEST} = 1),
+    stored AS (SELECT *, 1 AS source FROM predictions WHERE predicted_at < TIMESTAMP '2024-01-25'
+               QUALIFY {_NEWEST} = 1),
+    both_sides AS (SELECT * FROM cached UNION ALL SELECT * FROM stored),
+    steps AS (SELECT city, horizon_minutes / 60.0 AS hour_offset, {r("1 - predicted_level / 3", 4)} AS mobility_score,
+                     {label("predicted_level")} AS congestion_level
+              FROM both_sides QUALIFY row_number() OVER (PARTITION BY city, horizon_minutes ORDER BY source) = 1),
+    cities AS (SELECT DISTINCT concat('city_', user_id % 5) AS city FROM events)
+    SELECT city, hour_offset::DOUBLE AS hour_offset, mobility_score, congestion_level FROM steps
+    UNION ALL SELECT city, 0.5, 0.5, 'Ramai Lancar' FROM cities WHERE city NOT IN (SELECT city FROM steps)"""
+
+CLUSTERS = f"""{ROADS},
+fixed AS (SELECT *, {i("CAST(regexp_extract(road_name, '[0-9]+') AS INTEGER) % 4")} AS zone_cluster FROM road_impact),
+ranked AS (
+  SELECT zone_cluster, count(*) AS roads, row_number() OVER (ORDER BY avg(delta_congestion), zone_cluster) AS place,
+         count(*) OVER () AS clusters
+  FROM fixed GROUP BY zone_cluster),
+named AS (
+  SELECT *, CASE place WHEN 1 THEN 'Dampak Rendah' WHEN 2 THEN 'Dampak Sedang' ELSE 'Dampak Tinggi' END AS zone_label
+  FROM ranked)"""
+ORACLES["cluster_ranking"] = f"WITH {CLUSTERS} SELECT zone_cluster, zone_label, roads FROM named"
+ORACLES["cluster_levels"] = f"""WITH {CLUSTERS}
+    SELECT city, road_name, zone_cluster AS cluster,
+           CASE WHEN place = clusters THEN 'high_impact' WHEN place = 1 THEN 'low_impact'
+                ELSE 'moderate_impact' END AS impact_level
+    FROM fixed JOIN ranked USING (zone_cluster)"""
+ORACLES["cluster_overview_fixed"] = f"""WITH {CLUSTERS},
+    labelled AS (SELECT city, road_name, zone_cluster, zone_label FROM fixed JOIN named USING (zone_cluster)),
+    counts AS (SELECT city, zone_label AS city_zone, count(*) AS n FROM labelled GROUP BY ALL),
+    top AS (SELECT city, city_zone FROM counts
+            QUALIFY row_number() OVER (PARTITION BY city ORDER BY n DESC, city_zone) = 1)
+    SELECT l.*, city_zone, {impact_code("city_zone")} AS impact_level FROM labelled l JOIN top USING (city)"""
+ORACLES["confusion_metrics"] = f"""WITH {SILVER},
+    guessed AS (SELECT congestion_level AS label, hour,
+                  CASE WHEN current_speed > 50 THEN 0 WHEN current_speed > 40 THEN 1
+                       WHEN current_speed > 32 THEN 2 ELSE 3 END AS guess FROM silver),
+    levels AS (SELECT level, count(*) FILTER (label = level) AS actual, count(*) FILTER (guess = level) AS predicted,
+                 count(*) FILTER (label = level AND guess = level) AS hits
+               FROM guessed, (SELECT unnest([0, 1, 2, 3]) AS level) GROUP BY level),
+    totals AS (SELECT sum(hits) / sum(actual) AS accuracy,
+                 sum(2.0 * hits / nullif(actual + predicted, 0) * actual) / sum(actual) AS f1 FROM levels)
+    SELECT 'RandomForest_Congestion' AS model_name, unnest(['accuracy', 'f1']) AS metric_name,
+           unnest([{r("accuracy", 4)}, {r("f1", 4)}]) AS metric_value,
+           (SELECT count(*) FROM guessed WHERE hour < 12) AS train_rows, (SELECT count(*) FROM guessed) AS test_rows,
+           (SELECT count(*) FROM guessed WHERE hour > 20) AS dropped_rows
+    FROM totals"""
+
+# The inputs of the forecast in the order of ``mobility_forecast.inputs_of``.
+_INPUTS = (
+    "fuel_price_delta", "traffic_index", "weather_score_norm", "transport_usage_norm", "time_of_day / 23.0",
+    "day_of_week / 6.0", "holiday_flag",
+)
+_X = ["one", *(f"l{k}" for k in range(7)), *(f"m{k}" for k in range(7)), "step", "step_sin", "step_cos"]
+_SUMS = [f"sum({a} * {b})" for k, a in enumerate(_X) for b in _X[k:]] + [f"sum({a} * label)" for a in _X]
+ORACLES["mobility_gram"] = f"""WITH {FEATURES},
+    placed AS (SELECT *, row_number() OVER (PARTITION BY city ORDER BY window_start) - 1 AS pos,
+                      count(*) OVER (PARTITION BY city) AS total FROM features),
+    past AS (SELECT city, pos, total, {", ".join(
+        f"(lag({c}) OVER (PARTITION BY city ORDER BY pos))::DOUBLE AS l{k}, "
+        f"avg({c}) OVER (PARTITION BY city ORDER BY pos ROWS BETWEEN 48 PRECEDING AND 1 PRECEDING) AS m{k}"
+        for k, c in enumerate(_INPUTS))} FROM placed),
+    train AS (SELECT * FROM past WHERE pos >= 48 AND pos < total - 48 AND total - 96 >= 10
+              AND pos - 48 < floor((total - 96) * CAST(0.8 AS DOUBLE))),
+    rows_ AS (SELECT t.*, 1.0::DOUBLE AS one, (p.pos - t.pos + 1)::DOUBLE AS step, p.mobility_composite AS label,
+                sin(2 * pi() * (l4 * 23 / 24 + (p.pos - t.pos + 1))) AS step_sin,
+                cos(2 * pi() * (l4 * 23 / 24 + (p.pos - t.pos + 1))) AS step_cos
+              FROM train t JOIN placed p ON p.city = t.city AND p.pos BETWEEN t.pos AND t.pos + 47),
+    sums AS (SELECT city, [{", ".join(_SUMS)}] AS totals FROM rows_ GROUP BY city),
+    flat AS (SELECT city, unnest(range(len(totals))) AS place, unnest(totals) AS total FROM sums)
+    SELECT city, {i("place")} AS place, {r("total", 4)} AS total FROM flat"""

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from tidemark import config
 from tidemark.functions import bands, scores
+from tidemark.operators import impact
+from tidemark.sources import tables
 
 
 def mobility(wide: DataFrame, zones: DataFrame, clusters: DataFrame | None = None) -> DataFrame:
@@ -117,6 +119,25 @@ def newest_predictions(stored: DataFrame, n: int) -> DataFrame:
     return stored.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= n).drop("_r")
 
 
+def layer_counts(lake) -> DataFrame:
+    """Rows per layer table.  Large tables are counted from the footers of their files, so
+    that markers of emptied days do not count; keyed ones by their newest rows."""
+    spark = lake.spark
+    wanted = {
+        "bronze_traffic": (lake.path("bronze_traffic"), None),
+        "bronze_weather": (lake.path("bronze_weather"), None),
+        "silver_traffic": (lake.path("silver_traffic"), "congestion_index"),
+        "gold_predictions": (lake.path("gold_predictions"), None),
+    }
+    if lake.has("gold_anomalies"):
+        wanted["gold_anomalies"] = (tables.replaced_path(spark, lake.path("gold_anomalies")), None)
+    counts = {"gold_anomalies": 0} | tables.footer_counts(spark, wanted)
+    # One number a table.
+    footers = spark.createDataFrame(list(counts.items()), "table_name string, row_count bigint")
+    keyed = ("gold_city_comparison", "gold_hourly_pattern", "gold_daily_summary", "gold_road_clusters")
+    return footers.unionByName(impact.table_counts(spark, {name: lake.stored(name) for name in keyed}))
+
+
 def kpi_strip(wide: DataFrame, rates: DataFrame, latest_daily: DataFrame) -> DataFrame:
     """The headline numbers, one row per KPI."""
 

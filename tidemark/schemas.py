@@ -55,3 +55,57 @@ PUBLISHED_PRECISION = {
     "current_congestion": "decimal(6,2)",
     "change_pct": "decimal(6,2)",
 }
+
+# Stored gold tables and the tables of a cycle, unrounded.
+GOLD = {
+    "silver_traffic": (
+        "city string, road_name string, lat double, lon double, current_speed double, free_flow_speed double, "
+        "congestion_index double, period string, recorded_at timestamp, ingest_seq bigint, hour int, "
+        "day_of_week int, is_weekend int, congestion_level int, date date"
+    ),
+    "silver_cells": (
+        "city string, period string, date date, hour int, readings bigint, sum_ci double, spread_ci double, "
+        "min_ci double, max_ci double, sum_speed double, sum_free_flow double, free_flow_readings bigint"
+    ),
+    "silver_baseline": "city string, hour int, mu double, sigma double",
+    "gold_city_comparison": (
+        "city string, period string, avg_congestion double, avg_speed double, record_count bigint, "
+        "computed_at timestamp"
+    ),
+    "gold_hourly_pattern": (
+        "city string, period string, hour int, avg_congestion double, avg_speed double, computed_at timestamp"
+    ),
+    "gold_daily_summary": (
+        "summary_date date, city string, avg_congestion_index double, avg_speed double, "
+        "est_extra_fuel_cost_idr double, est_extra_travel_min double, computed_at timestamp"
+    ),
+    "gold_anomalies": (
+        "city string, road_name string, recorded_at timestamp, congestion_index double, baseline_mean double, "
+        "baseline_stddev double, zscore double"
+    ),
+    "gold_anomaly_rate": (
+        "period string, total_records bigint, anomaly_count bigint, anomaly_rate_pct double, computed_at timestamp"
+    ),
+    "gold_road_impact": (
+        "city string, road_name string, ci_before double, ci_after double, lat double, lon double, "
+        "delta_congestion double, zone_band string"
+    ),
+    "gold_road_clusters": (
+        "city string, road_name string, ci_before double, ci_after double, lat double, lon double, "
+        "delta_congestion double, zone_band string, zone_cluster int, zone_label string, computed_at timestamp"
+    ),
+    "gold_model_metrics": (
+        "model_name string, metric_name string, metric_value double, train_rows bigint, test_rows bigint, "
+        "dropped_rows bigint, computed_at timestamp, run_id string"
+    ),
+    "gold_predictions": (
+        "city string, horizon_minutes int, predicted_level int, predicted_label string, current_avg_speed double, "
+        "predicted_at timestamp, current_congestion double, change_pct double, computed_at timestamp, run_id string"
+    ),
+    "latest_roads": (
+        "city string, road_name string, lat double, lon double, current_speed double, free_flow_speed double, "
+        "congestion_index double, period string, recorded_at timestamp, ingest_seq bigint"
+    ),
+    "serving_documents": "key string, document string",
+    "cycle_state": "task string, last_batch bigint, as_of string",
+}

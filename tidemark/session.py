@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -30,8 +31,6 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
         ),
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
-        # The most frequent value is kept in small per-group maps; sort only beyond this.
-        "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "10000",
     }
     settings.update({key.replace("__", "."): value for key, value in conf.items()})
     for key, value in settings.items():
@@ -42,13 +41,14 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for staged tables and stream checkpoints.
 
-    A cluster names it in ``spark.checkpoint.dir``.  Only a local master may go
+    A cluster names it in ``spark.checkpoint.dir``.  Only a master of one process may go
     without: it gets a fresh temporary folder, the same for the whole program.
     """
     root = spark.conf.get(_CHECKPOINT_KEY, None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    # ``local-cluster`` runs executors of its own, which do not share the driver's folder.
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise ValueError(f"set {_CHECKPOINT_KEY} to a folder every executor can reach")
     # Kept here: Spark does not let a running session change this setting.
     if not _LOCAL_ROOT:

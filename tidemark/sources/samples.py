@@ -274,3 +274,19 @@ def city_impact(t: SampleTables) -> DataFrame:
     )
     joined = fuel.join(traffic, "nation").join(transport, "nation").join(income, "nation")
     return joined.withColumnRenamed("nation", "city").na.drop()
+
+
+def prediction_table(t: SampleTables) -> DataFrame:
+    """Stored predictions as a fixed table: one per city, horizon and hour."""
+    level = F.least(F.floor(F.col("value") / 100), F.lit(3)).cast("int")
+    return t.events.groupBy(
+        F.concat(F.lit("city_"), (F.col("user_id") % 3).cast("string")).alias("city"),
+        (30 * (1 + F.col("event_id") % 3)).cast("int").alias("horizon_minutes"),
+        F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("predicted_at"),
+    ).agg(F.max(level).alias("predicted_level"), F.max("user_id").cast("double").alias("current_avg_speed"))
+
+
+def with_fixed_clusters(roads: DataFrame) -> DataFrame:
+    """Roads with a cluster that follows from their number, in place of a model's."""
+    number = F.regexp_extract("road_name", "[0-9]+", 0).cast("int")
+    return roads.withColumn("zone_cluster", (number % 4).cast("int"))

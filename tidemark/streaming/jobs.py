@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -14,9 +16,14 @@ from tidemark.functions import scores
 from tidemark.operators import cleaning, windows
 from tidemark.session import shuffle_width
 from tidemark.sources.tables import BRONZE_PARTITIONS, KeyedTable, write_partitioned
+from tidemark.streaming import freshness
 from tidemark.streaming.events import parse_events
 
 
+# The state's code travels by value: the processes that run it need not have this package.
+cloudpickle.register_pickle_by_value(freshness)
+
+
 def _paced(writer, trigger: str | None):
     """A processing-time trigger, or one drain of what is there when None."""
     return writer.trigger(processingTime=trigger) if trigger else writer.trigger(availableNow=True)
@@ -66,18 +73,28 @@ class WindowJob:
     aggregate: object
     keys: Sequence[str]
     table: str
+    kind: str
+
+    def keyed(self, spark: SparkSession, lake: str, per: str = "day") -> KeyedTable:
+        """The job's table, in days (or ``per`` another unit) of its windows."""
+
+        def schema():
+            nothing = spark.createDataFrame([], "topic string, value string, broker_ts timestamp")
+            return self.aggregate(parse_events(nothing, self.schema)).schema
+
+        return KeyedTable(spark, f"{lake}/{self.table}", self.keys, "window_start", schema, per)
 
 
 # Topics and tables of the four streams.
 WINDOW_JOBS = (
     WindowJob("fuel-price-stream", schemas.FUEL_EVENT, windows.fuel_windows,
-              windows.FUEL_KEYS, "fuel_price_agg"),
+              windows.FUEL_KEYS, "fuel_price_agg", "fuel"),
     WindowJob("traffic-stream", schemas.TRAFFIC_EVENT, windows.traffic_windows,
-              windows.TRAFFIC_KEYS, "traffic_agg"),
+              windows.TRAFFIC_KEYS, "traffic_agg", "traffic"),
     WindowJob("weather-stream", schemas.WEATHER_EVENT, windows.weather_windows,
-              windows.CITY_KEYS, "weather_agg"),
+              windows.CITY_KEYS, "weather_agg", "weather"),
     WindowJob("transport-stream", schemas.TRANSPORT_EVENT, windows.transport_windows,
-              windows.CITY_KEYS, "transport_agg"),
+              windows.CITY_KEYS, "transport_agg", "transport"),
 )
 
 
@@ -90,27 +107,91 @@ def start_windows(
     trigger: str | None = "30 seconds",
     state_partitions: int | None = None,
 ) -> dict[str, StreamingQuery]:
-    """Start the window jobs whose topic is in ``sources``, one query and checkpoint each."""
+    """Start the window jobs whose topic is in ``sources``, one query and checkpoint each.
+
+    Invalid events are counted as they pass (see :func:`log_progress`).
+    """
     running = {}
     for job in WINDOW_JOBS:
         if job.topic not in sources:
             continue
         raw = sources[job.topic]
-        table = KeyedTable(raw.sparkSession, f"{lake}/{job.table}", job.keys)
-        rows = job.aggregate(parse_events(raw, job.schema, delay), width)
+        events = counted(parse_events(raw, job.schema, delay), windows.stream_rules()[job.kind])
         running[job.table] = write_keyed(
-            rows, table, f"{checkpoints}/{job.table}", trigger, state_partitions
+            job.aggregate(events, width), job.keyed(raw.sparkSession, lake),
+            f"{checkpoints}/{job.table}", trigger, state_partitions,
         )
     return running
 
 
-def run_until_any_stops(spark: SparkSession, running: Mapping[str, StreamingQuery]) -> None:
-    """Block until one query ends (or fails), then stop the others."""
+def run_until_any_stops(
+    spark: SparkSession, running: Mapping[str, StreamingQuery], log: str | None = None,
+    every: float = 60.0,
+) -> None:
+    """Block until one query ends (or fails), then stop the others.
+
+    With a folder ``log`` the progress of all of them is stored every so many seconds.
+    """
+
+    def note() -> None:
+        for name, job in running.items():
+            if log is not None:
+                log_progress(job, name, progress_log(spark, log, name))
+
     try:
-        spark.streams.awaitAnyTermination()
+        if log is None:
+            spark.streams.awaitAnyTermination()
+        while log is not None and not spark.streams.awaitAnyTermination(every):
+            note()
     finally:
         for job in running.values():
             job.stop()
+        note()
+
+
+# --- what a stream leaves out --------------------------------------------------
+
+_OBSERVED = "events"
+PROGRESS_SCHEMA = (
+    "stream string, batch bigint, events bigint, invalid bigint, no_time bigint, late bigint, watermark string"
+)
+
+
+def counted(events: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
+    """Parsed events, unchanged, that count themselves while they pass: all of them, those that
+    break a rule (a null counts as a break) and those without a readable time."""
+    sound = reduce(lambda a, b: a & b, [F.coalesce(r, F.lit(False)) for r in rules.values()])
+    return events.observe(
+        _OBSERVED,
+        F.count(F.lit(1)).alias("events"),
+        F.count_if(~sound).alias("invalid"),
+        F.count_if(F.col("event_time").isNull()).alias("no_time"),
+    )
+
+
+def progress_log(spark: SparkSession, path: str, name: str) -> KeyedTable:
+    """Where the progress of one stream is kept."""
+    return KeyedTable(spark, f"{path}/{name}", ("batch",), schema=PROGRESS_SCHEMA)
+
+
+def log_progress(query: StreamingQuery, name: str, log: KeyedTable) -> None:
+    """Store what the batches that a query still remembers took in and left out.
+
+    ``late`` counts the rows that the state refused as older than the watermark, after
+    they were combined per key and task.  Storing a batch again changes nothing.
+    """
+    rows, stored = [], log.newest_version()
+    for p in query.recentProgress:
+        seen = p.observedMetrics.get(_OBSERVED)
+        if seen is None or not p.numInputRows or p.batchId <= stored:
+            continue
+        late = sum(s.numRowsDroppedByWatermark for s in p.stateOperators)
+        mark = (p.eventTime or {}).get("watermark")
+        rows.append((name, p.batchId, seen["events"], seen["invalid"], seen["no_time"], late, mark))
+    if rows:
+        spark = log.spark
+        log.put(spark.createDataFrame(rows, PROGRESS_SCHEMA), max(r[1] for r in rows))
+        log.fold()
 
 
 def join_windows(
@@ -235,6 +316,52 @@ def latest_road_stream(readings: DataFrame) -> DataFrame:
     return readings.groupBy("city", "road_name").agg(F.max(state).alias("s")).select("city", "road_name", "s.*")
 
 
+def fresh_values(
+    values: DataFrame, ttl: Mapping[str, int], delay: str | None = None
+) -> DataFrame:
+    """The latest value per (kind, city) of a stream while it outlives its kind's lifetime.
+
+    ``values`` are (kind, city, ts, value).  Update mode: a row with ``fresh`` for a new
+    latest value, one without when it has run out, so a keyed table that takes the latter
+    as gone (:func:`write_fresh`) holds what ``latest.fresh_latest`` finds at the newest
+    time seen.  State is one row a key, and a timer clears it; kinds without a lifetime
+    are left out.  The watermark stays behind by the longest lifetime, since a value may
+    come that late and still be fresh.
+    """
+    longest = max(ttl.values())
+    known = values.where(F.col("kind").isin(*ttl)).select("kind", "city", "ts", "value")
+    return (
+        known.withWatermark("ts", delay or f"{longest} seconds")
+        .groupBy("kind", "city")
+        .transformWithStateInPandas(
+            freshness.Freshness({k: s - longest for k, s in ttl.items()}),
+            "kind string, city string, ts timestamp, value double, fresh boolean", "Update", "EventTime",
+        )
+    )
+
+
+def write_fresh(
+    rows: DataFrame, table: KeyedTable, checkpoint: str, trigger: str | None = "30 seconds",
+    state_partitions: int | None = None,
+) -> StreamingQuery:
+    """Keep ``table`` (by kind and city) at the fresh values of :func:`fresh_values`."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        last = cleaning.keep_latest(batch, table.keys, [F.col("ts").desc(), F.col("fresh")]).persist()
+        try:
+            table.put(last.where("fresh").drop("fresh"), batch_id, last.where("NOT fresh"))
+        finally:
+            last.unpersist()
+        table.fold()
+
+    writer = (
+        rows.writeStream.outputMode("update").foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+    )
+    with shuffle_width(rows.sparkSession, state_partitions):
+        return _paced(writer, trigger).start()
+
+
 def live_feed(roads: DataFrame) -> DataFrame:
     """City feed from the latest road states."""
     return roads.groupBy("city").agg(
