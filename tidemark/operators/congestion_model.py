@@ -117,8 +117,9 @@ def metrics(predictions: DataFrame, counts: DataFrame) -> DataFrame:
             ]
         )
     )
-    # Both frames are single rows of totals.
-    joined = total.withColumn("k", F.lit(1)).join(counts.withColumn("k", F.lit(1)), "k")
+    # Both frames are single rows; put together by an aggregate, there is nothing to join.
+    both_rows = total.unionByName(counts, allowMissingColumns=True)
+    joined = both_rows.agg(*[F.max(c).alias(c) for c in both_rows.columns])
     return joined.select("train_rows", "test_rows", "dropped_rows", both.alias("m")).select(
         F.lit(MODEL_NAME).alias("model_name"),
         "m.metric_name",
