@@ -40,8 +40,7 @@ def test_empty_tables(spark, empty, name):
         assert shape(found.schema) == shape(usual.schema)
 
 
-@pytest.mark.parametrize("name", ["road_zones", "rf_metrics", "rf_forecast", "forecast_by_city", "city_clusters",
-                                  "city_cluster_scores", "mobility_forecast_errors", "mobility_forecast_steps",
-                                  "gold_summary", "cycle_daily", "cycle_comparison", "stream_fresh"])
-def test_empty_tables_of_models_and_cycles(spark, empty, name):
+@pytest.mark.parametrize("name", ["road_zones", "rf_metrics", "forecast_by_city", "city_clusters",
+                                  "city_cluster_scores", "mobility_forecast_errors", "stream_live_feed"])
+def test_empty_tables_of_models(spark, empty, name):
     assert shape(REGISTRY[name](spark, empty).schema) == shape(REGISTRY[name](spark, SMALL).schema)

@@ -6,6 +6,7 @@ from conftest import SMALL, rows
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
+from tidemark import schemas
 from tidemark.config import ImpactSettings
 from tidemark.operators import congestion_model, features, mobility_forecast, sequences, zones
 from tidemark.plans import catalog
@@ -194,6 +195,11 @@ def test_cycle_runs_twice_to_the_same_tables(spark, lake):
     before = {name: place.read(name).count() for name in written}
     assert run_cycle(place, "2024-01-31 12:00:00", settings) == written
     assert {name: place.read(name).count() for name in written} == before
+    # Tables that were never written have the columns of those that were.
+    nothing = Lake(spark, f"{lake}/nothing")
+    for name in set(schemas.GOLD) - {"silver_traffic"}:
+        assert dict(place.stored(name).dtypes) == dict(nothing.stored(name).dtypes), name
+        assert nothing.read(name).isEmpty()
     docs = place.read("serving_documents")
     prefixes = {r.p for r in docs.select(F.split("key", ":")[0].alias("p")).collect()}
     assert prefixes == {

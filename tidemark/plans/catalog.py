@@ -817,7 +817,7 @@ def stream_bronze_ingest(t):
     lake = scratch_path(t.spark, "bronze")
     jobs.split_topics(raw, lake, f"{lake}/checkpoints", trigger=None).awaitTermination()
     parts = [
-        t.spark.read.parquet(f"{lake}/{table}")
+        jobs.bronze_rows(t.spark, lake, table)
         .groupBy("city", "date", "source", "ingested_via")
         .agg(F.count("*").alias("records"))
         .withColumn("bronze_table", F.lit(table))
@@ -842,10 +842,10 @@ def bronze_rejects(t):
         raw = raw.unionByName(samples.event_messages(events.where(part == k), "reading").withColumns(change))
     lake = scratch_path(t.spark, "rejects")
     jobs.split_topics(raw, lake, f"{lake}/checkpoints", trigger=None).awaitTermination()
-    kept = t.spark.read.parquet(f"{lake}/bronze_traffic").select(
+    kept = jobs.bronze_rows(t.spark, lake, "bronze_traffic").select(
         F.lit("traffic.raw").alias("topic"), F.lit("kept").alias("reason")
     )
-    rejects = t.spark.read.parquet(f"{lake}/bronze_rejects").select("topic", "reason")
+    rejects = jobs.bronze_rows(t.spark, lake, "bronze_rejects").select("topic", "reason")
     return kept.unionAll(rejects).groupBy("topic", "reason").agg(F.count("*").alias("messages"))
 
 
@@ -927,7 +927,7 @@ def stream_live_feed(t):
     raw = samples.event_messages(samples.events_stream(t), "reading")
     readings = jobs.parse_readings(raw, jobs.schemas.ROAD_READING)
     path = scratch_path(t.spark, "live")
-    roads = KeyedTable(t.spark, f"{path}/roads", ("city", "road_name"))
+    roads = KeyedTable(t.spark, f"{path}/roads", ("city", "road_name"), schema=jobs.ROADS_SCHEMA)
     jobs.write_keyed(
         jobs.latest_road_stream(readings), roads, f"{path}/checkpoint", trigger=None,
         state_partitions=t.spark.sparkContext.defaultParallelism,

@@ -214,7 +214,13 @@ def append_points(points: DataFrame, path: str, batch: int) -> None:
     write_partitioned(stamped, path, by=("date", "batch"))
 
 
-def read_points(spark: SparkSession, path: str) -> DataFrame:
+def read_points(
+    spark: SparkSession, path: str,
+    schema: str = "metric string, city string, ts timestamp, value double",
+) -> DataFrame:
+    """The stored points; without any an empty frame of ``schema``."""
+    if not table_exists(spark, path):
+        return spark.createDataFrame([], schema)
     return spark.read.parquet(path).drop("date", "batch")
 
 

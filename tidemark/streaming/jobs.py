@@ -15,7 +15,7 @@ from tidemark import schemas
 from tidemark.functions import scores
 from tidemark.operators import cleaning, windows
 from tidemark.session import shuffle_width
-from tidemark.sources.tables import BRONZE_PARTITIONS, KeyedTable, write_partitioned
+from tidemark.sources.tables import BRONZE_PARTITIONS, KeyedTable, table_exists, write_partitioned
 from tidemark.streaming import freshness
 from tidemark.streaming.events import parse_events
 
@@ -299,6 +299,21 @@ def split_topics(
     return _paced(writer, trigger).start()
 
 
+def bronze_rows(spark: SparkSession, lake: str, table: str) -> DataFrame:
+    """A table that :func:`split_topics` writes, ``bronze_rejects`` included; empty before its
+    first message."""
+    path = f"{lake}/{table}"
+    if table_exists(spark, path):
+        return spark.read.parquet(path)
+    nothing = spark.createDataFrame([], "topic string, value string, broker_ts timestamp")
+    if table in BRONZE_TOPICS:
+        _, schema, defaults = BRONZE_TOPICS[table]
+        made = parse_readings(nothing, schema, **defaults)
+    else:
+        made = rejected_messages(nothing)
+    return made.withColumn("ingest_batch", F.lit(0))
+
+
 def distinct_readings(readings: DataFrame, delay: str = "2 minutes") -> DataFrame:
     """Drop repeated readings of a road and time while the watermark allows it."""
     return readings.withWatermark("recorded_at", delay).dropDuplicatesWithinWatermark(
@@ -306,6 +321,12 @@ def distinct_readings(readings: DataFrame, delay: str = "2 minutes") -> DataFram
     )
 
 
+ROADS_SCHEMA = (
+    "city string, road_name string, recorded_at timestamp, congestion_index double, current_speed double, "
+    "period string"
+)
+
+
 # --- live state --------------------------------------------------------------
 
 
