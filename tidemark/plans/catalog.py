@@ -1098,12 +1098,14 @@ def fitted_forecast(t: SampleTables):
 
 @query
 def mobility_gram(t):
-    """The normal equations of every city, one sum of products a row."""
+    """The normal equations of every city, one mean product a row."""
     built = sequences.sequence_rows(features.forecast_inputs(stored_features(t)))
     rows = mobility_forecast.training_rows(sequences.chronological_split(built), steps_per_day=1)
     sums = mobility_forecast.gram_sums(rows.where("split = 'train'"))
-    flat = sums.select("city", F.posexplode(F.concat("gram", "moments")).alias("place", "total"))
-    return rounded(flat, "total", digits=4)
+    n = F.col("gram")[0]
+    means = F.transform(F.concat("gram", "moments"), lambda total: total / n)
+    flat = sums.select("city", F.posexplode(means).alias("place", "mean_product"))
+    return rounded(flat, "mean_product", digits=5)
 
 
 @query

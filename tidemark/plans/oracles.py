@@ -1026,5 +1026,5 @@ ORACLES["mobility_gram"] = f"""WITH {FEATURES},
                 cos(2 * pi() * (l4 * 23 / 24 + (p.pos - t.pos + 1))) AS step_cos
               FROM train t JOIN placed p ON p.city = t.city AND p.pos BETWEEN t.pos AND t.pos + 47),
     sums AS (SELECT city, [{", ".join(_SUMS)}] AS totals FROM rows_ GROUP BY city),
-    flat AS (SELECT city, unnest(range(len(totals))) AS place, unnest(totals) AS total FROM sums)
-    SELECT city, {i("place")} AS place, {r("total", 4)} AS total FROM flat"""
+    flat AS (SELECT city, unnest(range(len(totals))) AS place, unnest(totals) AS total, totals[1] AS n FROM sums)
+    SELECT city, {i("place")} AS place, {r("total / n", 5)} AS mean_product FROM flat"""
