@@ -64,6 +64,53 @@ def test_vectors_match_brute_force(spark, monkeypatch, block):
     assert grid_join.near_vectors(table.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("least", [0.6, 0.99999, 1.0])
+def test_links_are_counted_in_small_lots(spark, monkeypatch, least):
+    """At any cosine, with links settled after every few and blocks cut by their bytes."""
+    monkeypatch.setattr(grid_join, "_PAIRS", 5)
+    monkeypatch.setattr(grid_join, "_LEAF", 8)
+    monkeypatch.setattr(grid_join, "_BLOCK_BYTES", 40 * 8 * 16)
+    vectors = _vectors()
+    table = spark.createDataFrame(vectors, "vec_id long, embedding array<float>, label int")
+    # A cosine of equal vectors may round to less than one, so only copies are certain there.
+    found = {r.vec_id: (r.n_links, r.component_id) for r in grid_join.near_vectors(table, least).collect()}
+    if least < 1:
+        assert found == _brute(vectors, least)
+    else:
+        assert found[1000][0] >= 30 and found[1000][1] == 0
+
+
+def test_classes_joined_at_once():
+    random = np.random.default_rng(5)
+    for _ in range(50):
+        n = int(random.integers(1, 40))
+        i, j = random.integers(0, n, (2, int(random.integers(1, 50))))
+        half = len(i) // 2
+        roots = grid_join._joined_roots(np.arange(n), i[:half], j[:half])
+        roots = grid_join._joined_roots(roots, i[half:], j[half:])
+        expected = list(range(n))
+        for _ in range(n):
+            for a, b in zip(i, j, strict=True):
+                expected[a] = expected[b] = min(expected[a], expected[b])
+        assert roots.tolist() == expected
+
+
+def test_distant_intervals_are_skipped():
+    """Every pair within reach is compared, once, and far halves are not."""
+    random = np.random.default_rng(6)
+    points = np.sort(random.uniform(0, 50, 900)).reshape(-1, 1) * [1.0, 0.2]
+    for same, others in ((True, points), (False, points[::-1] + 0.1)):
+        seen = np.zeros((len(points), len(others)), int)
+
+        def compare(a0, a1, b0, b1, seen=seen):
+            seen[a0:a1, b0:b1] += 1
+
+        grid_join._interval_join(points, others, 0.5, compare, same)
+        near = np.linalg.norm(points[:, None] - others[None], axis=2) <= 0.5
+        wanted = np.triu(near) if same else near
+        assert seen.max() == 1 and seen[wanted].all() and seen.mean() < 0.5
+
+
 def _with_repeated_ids():
     """Vectors of which some have no id, some share one, and some components have none at all."""
     vectors = [(None if k % 9 == 4 else k // 2 if k % 9 == 5 else k, v, lab) for k, v, lab in _vectors()]
