@@ -162,6 +162,24 @@ def test_block_tables_find_every_neighbour(spark):
             assert found[v] == sum(((v ^ w) % (1 << 64)).bit_count() <= radius for w in values)
 
 
+def test_crowded_keys_are_kept_in_chunks(spark, monkeypatch):
+    """However many prints share their leading blocks, no array holds many more than a chunk."""
+    monkeypatch.setattr(simhash_index, "_CHUNK", 16)
+    values = [*range(600), *range(0, 600, 7), 1 << 40, -1, -2]  # all but three share the upper blocks
+    prints = spark.createDataFrame([(v,) for v in values], "print long")
+    queries = spark.createDataFrame([(v,) for v in [0, 5, 5, 300, -1, 1 << 41]], "print long")
+    sizes = [r.n for r in simhash_index._chunks(prints, 3).select(F.size("members").alias("n")).collect()]
+    assert 16 <= max(sizes) < 48
+    times = {v: values.count(v) for v in values}
+    for radius in (1, 3):
+        expected = {
+            (q, v, n) for q in (0, 5, 300, -1, 1 << 41) for v, n in times.items()
+            if ((q ^ v) & ((1 << 64) - 1)).bit_count() <= radius
+        }
+        found = [tuple(r) for r in simhash_index.neighbours(prints, queries, radius).collect()]
+        assert len(found) == len(set(found)) and set(found) == expected
+
+
 def test_search_names_the_neighbours(spark):
     random = np.random.default_rng(6)
     base = random.integers(-(1 << 63), 1 << 63, 12)

@@ -26,7 +26,7 @@ from tidemark.session import stage
 _LANES = 0x100000001  # the two bits that one sum counts
 _HEAVIEST = 24
 _IDS_PER_SLICE = 50_000
-_CHUNKS = 64
+_CHUNK = 1024  # distinct prints of a crowded key that are kept together
 
 
 def terms(text: Column) -> Column:
@@ -190,32 +190,48 @@ def _signed(value: int) -> Column:
     return F.lit(value - (1 << 64) if value >> 63 else value).cast("long")
 
 
-def _found(prints: DataFrame, queries: DataFrame, radius: int) -> DataFrame:
-    """(query, found): arrays of struct(print, n) within ``radius`` bits, n the rows of that print.
-
-    Both take a long column ``print`` and are reduced to distinct values.  A crowded
-    key is stored in chunks, and a query meets whole chunks, so a query has several
-    arrays, some empty.  A pair is found in the table of its first three agreeing
-    blocks only.
-    """
+def _keys(radius: int) -> Column:
+    """The keys of column ``print`` in all tables, with the earlier blocks that must differ (``rest``)."""
     tables = _tables(radius)
-    members = prints.groupBy("print").agg(F.count("*").alias("n"))
     spare = max(len(rest) for _, rest in tables)
-    rows = [
+    return F.explode(F.array(*(
         F.struct(
             F.lit(t).alias("t"),
             F.col("print").bitwiseAND(_signed(mask)).alias("key"),
             F.array(*(_signed(m) for m in rest), *(F.lit(-1).cast("long") for _ in range(spare - len(rest)))).alias("rest"),
         )
         for t, (mask, rest) in enumerate(tables)
-    ]
-    filed = members.select("print", "n", F.explode(F.array(*rows)).alias("f")).select(
-        "f.t", "f.key", F.pmod(F.xxhash64("print"), F.lit(_CHUNKS)).alias("chunk"), "print", "n"
+    )))
+
+
+def _chunks(prints: DataFrame, radius: int) -> DataFrame:
+    """(t, key, chunk, members): the distinct prints under every key, about ``_CHUNK`` to a row."""
+    members = prints.groupBy("print").agg(F.count("*").alias("n"))
+    # Dealt anew, as every print is filed in all tables: what is little to read is much to file.
+    tasks = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    filed = members.repartition(tasks, "print").select("print", "n", _keys(radius).alias("f")).select(
+        "f.t", "f.key", "print", "n"
+    )
+    crowds = filed.groupBy("t", "key").agg(F.ceil(F.count("*") / _CHUNK).alias("chunks")).where("chunks > 1")
+    # Stored, so that its bytes decide whether it is broadcast; it has a row for _CHUNK filings at most.
+    filed = filed.join(stage(crowds, "crowded-keys"), ["t", "key"], "left").withColumn(
+        "chunk", F.pmod(F.xxhash64("print"), F.coalesce("chunks", F.lit(1)))
     )
-    chunks = filed.groupBy("t", "key", "chunk").agg(F.collect_list(F.struct("print", "n")).alias("members"))
+    return filed.groupBy("t", "key", "chunk").agg(F.collect_list(F.struct("print", "n")).alias("members"))
+
+
+def _found(prints: DataFrame, queries: DataFrame, radius: int) -> DataFrame:
+    """(query, found): arrays of struct(print, n) within ``radius`` bits, n the rows of that print.
+
+    Both take a long column ``print`` and are reduced to distinct values.  A crowded
+    key is stored in chunks, more of them the more prints it has, and a query meets
+    whole chunks, so a query has several arrays, some empty.  A pair is found in the
+    table of its first three agreeing blocks only.
+    """
+    chunks = _chunks(prints, radius)
     asked = queries.select(F.col("print").alias("query")).distinct()
     asked = asked.select(F.col("query").alias("print")).select(
-        F.col("print").alias("query"), F.explode(F.array(*rows)).alias("f")
+        F.col("print").alias("query"), _keys(radius).alias("f")
     ).select("query", "f.t", "f.key", "f.rest")
 
     def near(member: Column) -> Column:
