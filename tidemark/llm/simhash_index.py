@@ -207,11 +207,7 @@ def _keys(radius: int) -> Column:
 def _chunks(prints: DataFrame, radius: int) -> DataFrame:
     """(t, key, chunk, members): the distinct prints under every key, about ``_CHUNK`` to a row."""
     members = prints.groupBy("print").agg(F.count("*").alias("n"))
-    # Dealt anew, as every print is filed in all tables: what is little to read is much to file.
-    tasks = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    filed = members.repartition(tasks, "print").select("print", "n", _keys(radius).alias("f")).select(
-        "f.t", "f.key", "print", "n"
-    )
+    filed = members.select("print", "n", _keys(radius).alias("f")).select("f.t", "f.key", "print", "n")
     crowds = filed.groupBy("t", "key").agg(F.ceil(F.count("*") / _CHUNK).alias("chunks")).where("chunks > 1")
     # Stored, so that its bytes decide whether it is broadcast; it has a row for _CHUNK filings at most.
     filed = filed.join(stage(crowds, "crowded-keys"), ["t", "key"], "left").withColumn(
