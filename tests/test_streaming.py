@@ -108,6 +108,26 @@ def test_fresh_values_by_state(spark, lake):
         assert rows(table.read(), "kind", "city") == rows(expected, "kind", "city"), number
 
 
+def test_fresh_values_whatever_state_store_the_session_has(spark, lake):
+    """A driver's own session has Spark's default store, which takes no timers; its setting stays."""
+    plain = spark.newSession()
+    store = "spark.sql.streaming.stateStore.providerClass"
+    default = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    plain.conf.set(store, default)
+    schema = "kind string, city string, ts timestamp, value double"
+    table = KeyedTable(plain, f"{lake}/fresh", ("kind", "city"), schema=schema)
+    for part in ([("fuel", "a", 0, 1.0), ("fuel", "b", 5, 2.0)], [("fuel", "a", 32, 3.0)]):
+        data = [(k, c, T0 + timedelta(seconds=s), v) for k, c, s, v in part]
+        plain.createDataFrame(data, schema).coalesce(1).write.mode("append").parquet(f"{lake}/in")
+        values = plain.readStream.schema(schema).parquet(f"{lake}/in")
+        jobs.write_fresh(
+            jobs.fresh_values(values, {"fuel": 30}), table, f"{lake}/cp", trigger=None, state_partitions=2
+        ).awaitTermination()
+    # The second part finds the state of the first; b lives for three seconds more.
+    assert [(g["city"], g["value"]) for g in rows(table.read(), "city")] == [("a", 3.0), ("b", 2.0)]
+    assert plain.conf.get(store) == default
+
+
 def test_restart_continues_from_the_checkpoint(spark, lake):
     folder, out = f"{lake}/in", f"{lake}/lake"
     send(folder, "1.json", fuel(0, 9000.0))

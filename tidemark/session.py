@@ -10,6 +10,13 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
+# Stream state off the heap, with incremental checkpoints.
+_ROCKSDB = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 _STAGED: list[str] = []
 _LOCAL_ROOT: list[str] = []
 
@@ -26,11 +33,7 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.ui.enabled": "false",
-        # Stream state off the heap, with incremental checkpoints.
-        "spark.sql.streaming.stateStore.providerClass": (
-            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-        ),
-        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+        **_ROCKSDB,
     }
     settings.update({key.replace("__", "."): value for key, value in conf.items()})
     for key, value in settings.items():
@@ -99,3 +102,22 @@ def shuffle_width(spark: SparkSession, partitions: int | None):
         yield
     finally:
         spark.conf.set(key, before)
+
+
+@contextmanager
+def rocksdb_state(spark: SparkSession):
+    """Keep the state of a stream in RocksDB, whatever the session has, while it starts.
+
+    Keyed state with timers needs it: Spark's default store has one table only.
+    """
+    before = {key: spark.conf.get(key, None) for key in _ROCKSDB}
+    for key, value in _ROCKSDB.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)

@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark import schemas
 from tidemark.functions import scores
 from tidemark.operators import cleaning, windows
-from tidemark.session import shuffle_width
+from tidemark.session import rocksdb_state, shuffle_width
 from tidemark.sources.tables import BRONZE_PARTITIONS, KeyedTable, table_exists, write_partitioned
 from tidemark.streaming import freshness
 from tidemark.streaming.events import parse_events
@@ -365,7 +365,10 @@ def write_fresh(
     rows: DataFrame, table: KeyedTable, checkpoint: str, trigger: str | None = "30 seconds",
     state_partitions: int | None = None,
 ) -> StreamingQuery:
-    """Keep ``table`` (by kind and city) at the fresh values of :func:`fresh_values`."""
+    """Keep ``table`` (by kind and city) at the fresh values of :func:`fresh_values`.
+
+    Their state lies in RocksDB, also in a session whose other streams have another store.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         last = cleaning.keep_latest(batch, table.keys, [F.col("ts").desc(), F.col("fresh")]).persist()
@@ -379,7 +382,7 @@ def write_fresh(
         rows.writeStream.outputMode("update").foreachBatch(write)
         .option("checkpointLocation", checkpoint)
     )
-    with shuffle_width(rows.sparkSession, state_partitions):
+    with shuffle_width(rows.sparkSession, state_partitions), rocksdb_state(rows.sparkSession):
         return _paced(writer, trigger).start()
 
 
