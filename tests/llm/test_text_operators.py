@@ -66,6 +66,24 @@ def test_language_of_awkward_texts(spark, awkward, empty):
     assert {r.lang_pred for r in language_id.identify_language(awkward, None).collect()} == {"und"}
 
 
+def test_language_carries_kept_columns_past_python(spark):
+    """Texts go to Python once and do not come back: else a task holds each batch of them twice."""
+    rows = [(i, f"the {i} words of a text and " * 400) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    label = F.when(F.col("doc_id") % 2 == 0, "a").otherwise("b")
+    found = language_id.identify_language(docs, language_id.train_language_model(docs.withColumn("lang", label)))
+    kept = found.where("rejected OR NOT rejected").select("doc_id", "text", "lang_pred")
+    assert [(r.doc_id, r.text) for r in kept.collect()] == rows
+    nodes, moved = [kept._jdf.queryExecution().executedPlan()], []
+    while nodes:
+        node = nodes.pop()
+        nodes += [node.children().apply(i) for i in range(node.children().size())]
+        if node.metrics().contains("pythonDataSent"):
+            moved.append([node.metrics().apply(f"pythonData{way}").value() for way in ("Sent", "Received")])
+    (sent, received), texts = *moved, sum(len(t) for _, t in rows)
+    assert texts <= sent < 1.5 * texts and received < 0.1 * texts
+
+
 def test_every_language_is_learnt(spark):
     """Ninety labels, of which the rarest have one row and no id."""
     random = np.random.default_rng(4)

@@ -23,8 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.columnar import plain_text, slices, sums_by_row
-from tidemark.llm.rows import map_texts, numbers
+from tidemark.llm.columnar import SLICE_BYTES, plain_text, slices, sums_by_row
+from tidemark.llm.rows import numbers
 from tidemark.llm.sampling import sample_of_every_label
 
 UNKNOWN = "und"
@@ -32,6 +32,9 @@ _LENGTHS = (3, 4, 5)
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _EDGE = 32
 
+# A byte of text makes some hundred bytes of hashes and class scores.
+_SLICE = SLICE_BYTES // 4
+
 # Bytes that are no part of a word become the edge mark; UTF-8 bytes of other letters stay.
 _FOLD = np.full(256, _EDGE, np.uint8)
 _FOLD[128:] = np.arange(128, 256)
@@ -243,7 +246,8 @@ def identify_language(
     with score 0 and rejected, and so is everything if nothing could be learnt.
     Rejected documents with letters still carry their likeliest language.  The
     three new columns replace input columns of the same name; ``prefix`` goes
-    before their names to keep both.
+    before their names to keep both.  Only the lower-cased text goes to Python and
+    only the three columns come back; the columns kept stay with Spark.
     """
     names = [prefix + c for c in ("lang_pred", "score", "rejected")]
     passed = [c for c in (docs.columns if keep is None else keep) if c not in names]
@@ -265,12 +269,21 @@ def identify_language(
         found = _softmax((mean + model.bias) / model.temperature)
         best = found.argmax(axis=1)
         sure = found[np.arange(len(best)), best]
-        known = numbers(part, "__lettered").astype(bool)
+        known = numbers(part, "lettered").astype(bool)
         return [
             pa.array(np.where(known, known_names[best], UNKNOWN), pa.string()),
             pa.array(np.where(known, sure, 0.0)),
             pa.array(~known | (sure < model.threshold)),
         ]
 
-    out = f"`{names[0]}` string, `{names[1]}` double, `{names[2]}` boolean"
-    return map_texts(docs, passed, _prepared(text_col), out, work, {"__lettered": lettered})
+    @F.arrow_udf("lang_pred string, score double, rejected boolean")
+    def identify(parts: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        batches = (pa.RecordBatch.from_arrays([*p], ["body", "lettered"]) for p in parts)
+        for part, data, offsets in slices(batches, "body", _SLICE):
+            yield pa.StructArray.from_arrays(work(part, data, offsets), ["lang_pred", "score", "rejected"])
+
+    # Not deterministic, or a filter on the result would move below it and find the language anew.
+    found = identify.asNondeterministic()(_prepared(text_col), lettered).alias("__found")
+    inside = [f"__c{i}" for i in range(len(passed))]
+    rows = docs.select(*(F.col(f"`{c}`").alias(i) for c, i in zip(passed, inside, strict=True)), found)
+    return rows.select(*inside, "__found.*").toDF(*passed, *names)
